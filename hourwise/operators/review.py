@@ -106,9 +106,23 @@ def incident_evidence(incidents: DataFrame, investigation: DataFrame, lookback_d
     return grid.join(vals, on=[*keys, "hour_ts"], how="left")
 
 
-def clip_reports(reports: DataFrame, lo, hi) -> DataFrame:
-    """Reports overlapping [lo, hi), with their bands clipped to the range (overlay bands)."""
+def clip_reports(reports: DataFrame, lo, hi, hours: DataFrame | None = None) -> DataFrame:
+    """Reports overlapping [lo, hi) with bands clipped to the range (overlay bands).
+
+    With ``hours``, also counts the observed hours overlapping each clipped band
+    (band enumerated into hour slots, equi-joined on ``hour_ts``).
+    """
     lo_c, hi_c = F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")
-    return (reports.filter((F.col("starts_at") < hi_c) & (F.col("ends_at") > lo_c))
-            .select(*REPORT_KEY, F.greatest("starts_at", lo_c).alias("band_start"),
-                    F.least("ends_at", hi_c).alias("band_end")))
+    bands = (reports.filter((F.col("starts_at") < hi_c) & (F.col("ends_at") > lo_c))
+             .select(*REPORT_KEY, F.greatest("starts_at", lo_c).alias("band_start"),
+                     F.least("ends_at", hi_c).alias("band_end")))
+    if hours is None:
+        return bands
+    slots = bands.select("report_id", F.explode(F.sequence(
+        trunc_hour("band_start"), trunc_hour(F.col("band_end") - F.expr("INTERVAL 1 MICROSECOND")), _hours(1)))
+        .alias("hour_ts"))
+    observed = hours.select("hour_ts").distinct()
+    counts = slots.join(observed, on="hour_ts", how="inner").groupBy("report_id").agg(
+        F.count(F.lit(1)).alias("observed_hours_in_band"))
+    return (bands.join(counts, on="report_id", how="left")
+            .withColumn("observed_hours_in_band", F.coalesce("observed_hours_in_band", F.lit(0)).cast("bigint")))
