@@ -219,3 +219,4 @@ def oracle_sql() -> dict[str, str]:
 def _load_all():
     # modules that register further queries on import
     import hourwise.plans.catalog_more  # noqa: F401
+    import hourwise.plans.catalog_metrics  # noqa: F401
