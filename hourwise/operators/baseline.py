@@ -20,11 +20,15 @@ CHUNK_DAYS = 28
 
 
 def chunk_with_halo(df: DataFrame, ts: str, halo_seconds: int, chunk_seconds: int,
-                    chunk_col: str = "_chunk", home_col: str = "_home") -> DataFrame:
-    """Assign each row to its home chunk and to every later chunk within ``halo_seconds``."""
-    ep = epoch_seconds(ts)
-    home = F.floor(ep / F.lit(chunk_seconds))
-    last = F.floor((ep + F.lit(halo_seconds)) / F.lit(chunk_seconds))
+                    chunk_col: str = "_chunk", home_col: str = "_home", micros: bool = False) -> DataFrame:
+    """Assign each row to its home chunk and to every later chunk within ``halo_seconds``.
+
+    ``_ep`` is the epoch in seconds (or microseconds with ``micros``).
+    """
+    unit = 1_000_000 if micros else 1
+    ep = F.unix_micros(F.col(ts).cast("timestamp")) if micros else epoch_seconds(ts)
+    home = F.floor(ep / F.lit(chunk_seconds * unit))
+    last = F.floor((ep + F.lit(halo_seconds * unit)) / F.lit(chunk_seconds * unit))
     return (df.withColumn("_ep", ep)
             .withColumn(chunk_col, F.explode(F.sequence(home, last)))
             .withColumn(home_col, F.col(chunk_col) == home))

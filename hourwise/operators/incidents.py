@@ -31,14 +31,21 @@ INCIDENT_COLUMNS = ["incident_id", "starts_at", "ends_at", "candidate_hours", "r
 
 def assign_islands(flagged: DataFrame, keys: list[str] | None = None, ts: str = "hour_ts",
                    step_seconds: int = 3600, chunk_days: int = CHUNK_DAYS,
-                   out: str = "island_start") -> DataFrame:
-    """Add ``out`` = first timestamp of the run of consecutive steps each row belongs to."""
+                   out: str = "island_start", max_gap_micros: int | None = None) -> DataFrame:
+    """Add ``out`` = first timestamp of the run each row belongs to.
+
+    Default: a run is a sequence of rows exactly ``step_seconds`` apart.  With
+    ``max_gap_micros``: consecutive rows closer than that many microseconds
+    continue a run (session-style segmentation, any timestamp precision).
+    """
     keys = list(keys or [])
-    chunked = chunk_with_halo(flagged, ts, step_seconds, chunk_days * 86400)
+    micros = max_gap_micros is not None
+    halo = -(-max_gap_micros // 1_000_000) if micros else step_seconds
+    chunked = chunk_with_halo(flagged, ts, halo, chunk_days * 86400, micros=micros)
     w = Window.partitionBy(*keys, "_chunk").orderBy("_ep")
     prev = F.lag("_ep").over(w)
-    marked = chunked.withColumn(
-        "_start", F.col("_home") & (prev.isNull() | (prev != F.col("_ep") - F.lit(step_seconds))))
+    breaks = (F.col("_ep") - prev >= F.lit(max_gap_micros)) if micros else (prev != F.col("_ep") - F.lit(step_seconds))
+    marked = chunked.withColumn("_start", F.col("_home") & (prev.isNull() | breaks))
     running = F.max(F.when(F.col("_start"), F.col("_ep"))).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = marked.withColumn("_local", running).filter("_home")
@@ -49,7 +56,8 @@ def assign_islands(flagged: DataFrame, keys: list[str] | None = None, ts: str =
         Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
     joined = local.join(carry, on=[*keys, "_chunk"], how="left")
     start_ep = F.coalesce(F.col("_local"), F.col("_carry"))
-    return (joined.withColumn(out, F.timestamp_seconds(start_ep).cast("timestamp_ntz"))
+    as_ts = F.timestamp_micros(start_ep) if micros else F.timestamp_seconds(start_ep)
+    return (joined.withColumn(out, as_ts.cast("timestamp_ntz"))
             .drop("_ep", "_chunk", "_home", "_start", "_local", "_carry"))
 
 

@@ -220,3 +220,4 @@ def _load_all():
     # modules that register further queries on import
     import hourwise.plans.catalog_more  # noqa: F401
     import hourwise.plans.catalog_metrics  # noqa: F401
+    import hourwise.plans.catalog_alerts  # noqa: F401
