@@ -221,3 +221,4 @@ def _load_all():
     import hourwise.plans.catalog_more  # noqa: F401
     import hourwise.plans.catalog_metrics  # noqa: F401
     import hourwise.plans.catalog_alerts  # noqa: F401
+    import hourwise.plans.catalog_sources  # noqa: F401
