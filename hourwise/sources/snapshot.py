@@ -136,12 +136,8 @@ def publish_snapshot(spark: SparkSession, root: str, snapshot_id: str, tables: d
     write_text(spark, posixpath.join(staging, MANIFEST), json.dumps(manifest, indent=2, sort_keys=True))
     final = posixpath.join(snaps, snapshot_id)
     rename(spark, staging, final)
-    tmp = posixpath.join(root, f".{POINTER}.tmp")
-    write_text(spark, tmp, snapshot_id)
-    fs, ptr = _fs(spark, posixpath.join(root, POINTER))
-    if fs.exists(ptr):
-        fs.delete(ptr, False)
-    rename(spark, tmp, posixpath.join(root, POINTER))
+    # pointer last: a single small object rewritten in place (readers see old or new id)
+    write_text(spark, posixpath.join(root, POINTER), snapshot_id)
     return final
 
 
