@@ -11,6 +11,51 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def ntz_lit(x) -> Column:
+    """Naive timestamp literal, independent of the driver's and the session's time zone.
+
+    Python datetimes are rendered as ISO text and cast to TIMESTAMP_NTZ (a bare
+    ``lit(datetime)`` would be interpreted in the driver process's local zone).
+    """
+    import datetime as _dt
+    if x is None:
+        return F.lit(None).cast("timestamp_ntz")
+    if isinstance(x, Column):
+        return x.cast("timestamp_ntz")
+    if isinstance(x, _dt.datetime):
+        return F.lit(x.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+    if isinstance(x, _dt.date):
+        return F.lit(x.isoformat()).cast("timestamp_ntz")
+    return F.lit(str(x)).cast("timestamp_ntz")
+
+
+def date_lit(x) -> Column:
+    import datetime as _dt
+    if isinstance(x, _dt.datetime):
+        x = x.date()
+    return F.lit(str(x)).cast("date")
+
+
+def local_frame(spark, rows, schema):
+    """Small literal table built JVM-side (a Generate over one row; no Python RDD)."""
+    from pyspark.sql.types import StructType, TimestampNTZType, DateType
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+
+    def lit(v, f):
+        if v is None:
+            return F.lit(None).cast(f.dataType)
+        if isinstance(f.dataType, TimestampNTZType):
+            return ntz_lit(v)
+        if isinstance(f.dataType, DateType):
+            return date_lit(v)
+        return F.lit(v).cast(f.dataType)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    structs = [F.struct(*[lit(v, f).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def trunc_hour(ts) -> Column:
     """Hour floor of a naive timestamp, kept naive (date_trunc returns LTZ)."""
     return F.date_trunc("hour", _c(ts)).cast("timestamp_ntz")

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
+from hourwise.functions.columns import ntz_lit
 from hourwise.operators.incidents import assign_islands
 
 NOT_TRIGGERED, SUCCESS, ON_GRACE = "Not triggered", "Success", "On Grace"
@@ -120,7 +121,7 @@ def latest_n(log: DataFrame, n: int = 30, key: str = "alert", order: str = "tick
 
 def prune_retention(log: DataFrame, days: int, now, order: str = "tick") -> DataFrame:
     """Keep rows with ``tick >= now - days``."""
-    return log.filter(F.col(order) >= F.lit(now).cast("timestamp_ntz") - F.expr(f"INTERVAL {days} DAYS"))
+    return log.filter(F.col(order) >= ntz_lit(now) - F.expr(f"INTERVAL {days} DAYS"))
 
 
 def incremental(log: DataFrame, prior_max, id_col: str = "log_id") -> DataFrame:

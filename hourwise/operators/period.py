@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourwise.functions.columns import ratio
+from hourwise.functions.columns import date_lit, ntz_lit, ratio
 from hourwise.operators.timegrid import densify
 from hourwise import spec as S
 
@@ -33,14 +33,14 @@ def _date(x):
 
 
 def _ts(x):
-    return F.lit(x).cast("timestamp_ntz")
+    return ntz_lit(x)
 
 
 def half_open(df: DataFrame, col: str, lo, hi) -> DataFrame:
     """``lo <= col < hi`` (sargable; pushed to the scan when col is stored)."""
     c = F.col(col)
     if col == "reading_date":
-        return df.filter((c >= F.lit(lo).cast("date")) & (c < F.lit(hi).cast("date")))
+        return df.filter((c >= date_lit(lo)) & (c < date_lit(hi)))
     return df.filter((c >= _ts(lo)) & (c < _ts(hi)))
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourwise.functions.columns import ceil_hour, trunc_hour
+from hourwise.functions.columns import ceil_hour, ntz_lit, trunc_hour
 from hourwise import spec as S
 
 REPORT_KEY = ["report_id", "report_type", "starts_at", "ends_at"]
@@ -112,7 +112,7 @@ def clip_reports(reports: DataFrame, lo, hi, hours: DataFrame | None = None) ->
     With ``hours``, also counts the observed hours overlapping each clipped band
     (band enumerated into hour slots, equi-joined on ``hour_ts``).
     """
-    lo_c, hi_c = F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")
+    lo_c, hi_c = ntz_lit(lo), ntz_lit(hi)
     bands = (reports.filter((F.col("starts_at") < hi_c) & (F.col("ends_at") > lo_c))
              .select(*REPORT_KEY, F.greatest("starts_at", lo_c).alias("band_start"),
                      F.least("ends_at", hi_c).alias("band_end")))

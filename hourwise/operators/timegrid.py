@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourwise.functions.columns import seconds_between, trunc_hour
+from hourwise.functions.columns import ntz_lit, seconds_between, trunc_hour
 
 
 def _step(step_seconds: int) -> Column:
@@ -27,7 +27,7 @@ def densify(df: DataFrame, ts: str, step_seconds: int, lo, hi, keys: list[str] |
             key_rows: DataFrame | None = None) -> DataFrame:
     """Reindex to every step in ``[lo, hi)`` (per key); absent points are NULL rows."""
     keys = list(keys or [])
-    lo_c, hi_c = F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")
+    lo_c, hi_c = ntz_lit(lo), ntz_lit(hi)
     gen = F.explode(F.sequence(lo_c, hi_c - _step(step_seconds), _step(step_seconds))).alias(ts)
     if keys:
         base = key_rows if key_rows is not None else df.select(*keys).distinct()

@@ -11,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from hourwise.functions.columns import ntz_lit
 from hourwise.operators import alerts as X
 from hourwise.plans import oracle as O
 from hourwise.plans.catalog import ASSET, _sql, hourly, investigation, query
@@ -25,7 +26,7 @@ NOW = dt.datetime(2024, 1, 31)
 def ticks(spark, d, before=None):
     h = hourly(spark, d, ASSET)
     if before is not None:
-        h = h.filter(F.col("hour_ts") < F.lit(before).cast("timestamp_ntz"))
+        h = h.filter(F.col("hour_ts") < ntz_lit(before))
     return h.select(F.concat(F.lit("asset-"), F.col("asset_id").cast("string")).alias("alert"),
                     F.col("hour_ts").alias("tick"), F.col("low_pressure_loaded_readings").cast("double").alias("value"))
 
@@ -143,6 +144,6 @@ def q_historical_alert_count(spark, d):
     """Fixed-range eligible-breach count as an alert condition."""
     inv = investigation(spark, d)
     sel = inv.filter(F.col("rule_eligible") & (F.col("evaluation_status") == "Evaluated: breach")
-                     & (F.col("hour_ts") >= F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz"))
-                     & (F.col("hour_ts") < F.lit(dt.datetime(2024, 1, 31)).cast("timestamp_ntz")))
+                     & (F.col("hour_ts") >= ntz_lit(dt.datetime(2024, 1, 1)))
+                     & (F.col("hour_ts") < ntz_lit(dt.datetime(2024, 1, 31))))
     return X.alert_condition(sel.agg(F.count(F.lit(1)).alias("value")), ">", 0)

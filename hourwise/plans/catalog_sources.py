@@ -165,8 +165,11 @@ def _publish(spark, d):
     daily = marts.daily_mart(h)
     from hourwise.operators import rule, incidents as inc, review
     rep = reports(spark)
-    cand = rule.candidate_hours(h, SPEC)
-    inv = rule.investigation(h, rep, SPEC, candidates=cand)
+    checkpoint_dir(spark)
+    # computed once, written to the shared checkpoint folder (lineage cut, survives executor
+    # loss), then consumed by three exported tables
+    cand = rule.candidate_hours(h, SPEC).checkpoint()
+    inv = rule.investigation(h, rep, SPEC, candidates=cand).checkpoint()
     state = S.provenance_row(rd, "sf-run", "events.parquet", None, True).first().asDict()
     counts = S.reconcile_counts(rd, h, daily).first().asDict()
     tables = {"hourly_investigation": (inv, ["hour_ts"]), "daily_metrics": (daily, ["reading_date"]),

@@ -17,7 +17,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourwise.functions.columns import ratio
+from hourwise.functions.columns import date_lit, ntz_lit, ratio
 from hourwise.operators.timegrid import asfreq
 from hourwise import spec as S
 from hourwise.spec import RuleSpec
@@ -108,9 +108,9 @@ def metric_query(df: DataFrame, dataset: Dataset, metrics: list[str] | None = No
         lo, hi = time_range
         c = F.col(t)
         if dict(df.dtypes)[t] == "date":
-            df = df.filter((c >= F.lit(lo).cast("date")) & (c < F.lit(hi).cast("date")))
+            df = df.filter((c >= date_lit(lo)) & (c < date_lit(hi)))
         else:
-            df = df.filter((c >= F.lit(lo).cast("timestamp_ntz")) & (c < F.lit(hi).cast("timestamp_ntz")))
+            df = df.filter((c >= ntz_lit(lo)) & (c < ntz_lit(hi)))
     if raw_columns is not None:
         cols = [(_trunc(c, grain).alias(c) if (c == t and grain) else F.col(c)) for c in raw_columns]
         out = df.select(*cols).distinct()

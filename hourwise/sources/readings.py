@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, StringType, StructField, StructType, TimestampNTZType)
 
+from hourwise.functions.columns import local_frame
 from hourwise.session import ensure_utc
 
 ASSETS = 8
@@ -101,7 +102,7 @@ def reports(spark: SparkSession, rows=None) -> DataFrame:
     bad = [r for r in rows if not r[2] > r[1]]
     if bad:
         raise ValueError(f"report interval must satisfy ends_at > starts_at: {bad}")
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+    return local_frame(spark, rows, REPORT_SCHEMA)
 
 
 REPORTS_SQL = """reports AS (

@@ -18,6 +18,8 @@ import posixpath
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourwise.functions.columns import local_frame, ntz_lit
+
 MANIFEST = "provenance.json"
 POINTER = "CURRENT"
 
@@ -92,7 +94,7 @@ def provenance_row(readings: DataFrame, run_id: str, source_name: str, source_sh
     return per_ts.agg(
         F.lit(run_id).alias("run_id"), F.lit(source_sha256).cast("string").alias("source_sha256"),
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("original_rows"),
-        F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"), F.lit(source_name).alias("source_name"),
+        ntz_lit(loaded_at).alias("loaded_at"), F.lit(source_name).alias("source_name"),
         F.lit(complete).alias("is_complete_source"),
         F.min("observed_at").alias("first_reading"), F.max("observed_at").alias("last_reading"),
         (F.coalesce(F.sum("_n"), F.lit(0)) - F.count("observed_at")).cast("bigint").alias("duplicate_timestamps"))
@@ -161,7 +163,7 @@ def verify_snapshot(spark: SparkSession, root: str) -> DataFrame:
     for name in meta["files"]:
         if name.count("/") != 1 or ".." in name:
             raise SnapshotError(f"Invalid export filename: {name}")
-    expected = spark.createDataFrame(sorted(meta["files"].items()), "file string, expected_sha256 string")
+    expected = local_frame(spark, sorted(meta["files"].items()), "file string, expected_sha256 string")
     actual = (file_digests(spark, folder, "part-*")
               .select(F.regexp_extract("path", r"/([^/]+/[^/]+)$", 1).alias("file"),
                       F.col("sha256").alias("actual_sha256")))

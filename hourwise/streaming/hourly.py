@@ -22,6 +22,7 @@ import posixpath
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourwise.functions.columns import ntz_lit
 from hourwise.operators.marts import HOURLY_COLUMNS, state_predicates
 from hourwise.operators.rule import candidate_hours
 from hourwise.session import ensure_utc
@@ -79,7 +80,7 @@ def stream_scored_hours(spark: SparkSession, source: str, out_root: str, checkpo
         if bounds is None or bounds["lo"] is None:
             return
         batch.write.mode("overwrite").parquet(posixpath.join(hourly_dir, f"batch_id={batch_id}"))
-        lo = F.lit(bounds["lo"]).cast("timestamp_ntz")
+        lo = ntz_lit(bounds["lo"])
         hist = spark.read.parquet(hourly_dir).drop("batch_id").filter(F.col("hour_ts") >= lo - lookback)
         new_hours = batch.select("hour_ts")
         scored = candidate_hours(hist, spec).join(new_hours, on="hour_ts", how="left_semi")
