@@ -35,11 +35,10 @@ def candidate_hours(hourly: DataFrame, spec: RuleSpec, keys: list[str] | None =
               .when((cur >= F.lit(spec.share_floor)) & (cur >= F.lit(spec.prior_multiple) * prior),
                     F.lit(S.REVIEW_PRESSURE))
               .otherwise(F.lit(S.NO_CANDIDATE)))
-    return (base
-            .withColumn("current_low_fraction", ratio("low_pressure_loaded_readings", "loaded_readings"))
-            .withColumn("prior_low_fraction", ratio("prior_low_readings", "prior_loaded_readings"))
-            .withColumn("rule_version", F.lit(spec.version))
-            .withColumn("candidate_status", status)
+    rates = base.withColumns({
+        "current_low_fraction": ratio("low_pressure_loaded_readings", "loaded_readings"),
+        "prior_low_fraction": ratio("prior_low_readings", "prior_loaded_readings")})
+    return (rates.withColumns({"rule_version": F.lit(spec.version), "candidate_status": status})
             .select(*keys, *HOURLY_COLUMNS, *CANDIDATE_EXTRA))
 
 
@@ -70,30 +69,25 @@ def eligibility_columns(df: DataFrame, spec: RuleSpec) -> DataFrame:
     cur_ins = F.col("current_samples_insufficient")
     base_ins = F.col("baseline_samples_insufficient")
     rate_missing = F.col("current_low_fraction").isNull() | F.col("prior_low_fraction").isNull()
-    return (df
-            .withColumn("current_samples_insufficient",
-                        F.coalesce(F.col("loaded_readings"), F.lit(0)) < spec.min_current_loaded)
-            .withColumn("baseline_samples_insufficient",
-                        F.coalesce(F.col("prior_loaded_readings"), F.lit(0)) < spec.min_prior_loaded)
-            .withColumn("rule_eligible", ~(cur_ins | base_ins) & ~rate_missing)
-            .withColumn("evaluation_status",
-                        F.when(cur_ins | base_ins | rate_missing, F.lit(S.NOT_EVALUATED))
-                        .when(F.col("candidate_status") == S.REVIEW_PRESSURE, F.lit(S.EVALUATED_BREACH))
-                        .when(F.col("candidate_status") == S.NO_CANDIDATE, F.lit(S.EVALUATED_NO_BREACH))
-                        .otherwise(F.lit(S.NOT_EVALUATED)))
-            .withColumn("exclusion_reason",
-                        F.when(cur_ins & base_ins, F.lit(lab["both"]))
-                        .when(cur_ins, F.lit(lab["current"]))
-                        .when(base_ins, F.lit(lab["baseline"]))
-                        .when(rate_missing, F.lit(lab["missing"]))
-                        .otherwise(F.lit(lab["none"])))
-            .withColumn("required_current_loaded_observations", F.lit(spec.min_current_loaded).cast("int"))
-            .withColumn("required_prior_loaded_observations", F.lit(spec.min_prior_loaded).cast("int"))
-            .withColumn("baseline_start_inclusive",
-                        F.col("hour_ts") - F.expr(f"INTERVAL {spec.lookback_seconds} SECONDS"))
-            .withColumn("baseline_end_exclusive", F.col("hour_ts"))
-            .withColumn("prior_unobserved_hour_windows",
-                        (F.lit(spec.window_hours) - F.col("prior_observed_hours")).cast("bigint")))
+    flags = df.withColumns({
+        "current_samples_insufficient": F.coalesce(F.col("loaded_readings"), F.lit(0)) < spec.min_current_loaded,
+        "baseline_samples_insufficient": F.coalesce(F.col("prior_loaded_readings"), F.lit(0)) < spec.min_prior_loaded})
+    return flags.withColumns({
+        "rule_eligible": ~(cur_ins | base_ins) & ~rate_missing,
+        "evaluation_status": (F.when(cur_ins | base_ins | rate_missing, F.lit(S.NOT_EVALUATED))
+                              .when(F.col("candidate_status") == S.REVIEW_PRESSURE, F.lit(S.EVALUATED_BREACH))
+                              .when(F.col("candidate_status") == S.NO_CANDIDATE, F.lit(S.EVALUATED_NO_BREACH))
+                              .otherwise(F.lit(S.NOT_EVALUATED))),
+        "exclusion_reason": (F.when(cur_ins & base_ins, F.lit(lab["both"]))
+                             .when(cur_ins, F.lit(lab["current"]))
+                             .when(base_ins, F.lit(lab["baseline"]))
+                             .when(rate_missing, F.lit(lab["missing"]))
+                             .otherwise(F.lit(lab["none"]))),
+        "required_current_loaded_observations": F.lit(spec.min_current_loaded).cast("int"),
+        "required_prior_loaded_observations": F.lit(spec.min_prior_loaded).cast("int"),
+        "baseline_start_inclusive": F.col("hour_ts") - F.expr(f"INTERVAL {spec.lookback_seconds} SECONDS"),
+        "baseline_end_exclusive": F.col("hour_ts"),
+        "prior_unobserved_hour_windows": (F.lit(spec.window_hours) - F.col("prior_observed_hours")).cast("bigint")})
 
 
 def investigation(hourly: DataFrame, reports: DataFrame, spec: RuleSpec,

@@ -214,7 +214,7 @@ _K16 = ["source_name", "first_observation", "last_observation", "pipeline_loaded
 
 def _quality(spark, d):
     rd = readings(spark, d)
-    return Q.data_quality(rd, marts.hourly_mart(rd, SPEC), demo_state(rd))
+    return Q.data_quality(rd, hourly(spark, d), demo_state(rd))
 
 
 @query("k15_quality", _sql(ALL + [_QUALITY_SQL], f"SELECT DISTINCT {', '.join(_K15)} FROM quality"))

@@ -30,6 +30,7 @@ def daily(spark, d, keys=()):
 
 
 def tables(spark, d):
+    """The four period inputs, all derived from one hourly mart and one investigation plan."""
     return {"hourly": investigation(spark, d), "daily": daily(spark, d), "incidents": incidents(spark, d),
             "reports": reports(spark)}
 
@@ -249,7 +250,7 @@ FROM (SELECT COUNT(*) AS raw_observations, MIN(observed_at) AS first_observation
 def q_data_quality(spark, d):
     """Q1: the full-source quality row (with the load's provenance fields)."""
     rd = readings(spark, d)
-    return Q.data_quality(rd, marts.hourly_mart(rd, SPEC), demo_state(rd))
+    return Q.data_quality(rd, hourly(spark, d), demo_state(rd))
 
 
 @query("table_sizes", _sql(O.chain(upto="daily"), """
@@ -258,7 +259,7 @@ SELECT (SELECT COUNT(*) FROM readings) AS source_rows, (SELECT COUNT(*) FROM hou
 def q_table_sizes(spark, d):
     """Q2: relation sizes."""
     rd = readings(spark, d)
-    h = marts.hourly_mart(rd, SPEC)
+    h = hourly(spark, d)
     return Q.table_sizes(rd, h, marts.daily_mart(h), reports(spark))
 
 
@@ -267,7 +268,7 @@ SELECT CAST((SELECT COUNT(*) FROM readings) - (SELECT COALESCE(SUM(readings), 0)
 def q_lost_rows(spark, d):
     """Q3: rows lost by the hourly aggregation (0)."""
     rd = readings(spark, d)
-    return Q.lost_rows(rd, marts.hourly_mart(rd, SPEC))
+    return Q.lost_rows(rd, hourly(spark, d))
 
 
 @query("duplicate_timestamps", _sql([READINGS_SQL], """
@@ -482,7 +483,7 @@ def _rollup_sql():
 def q_weighted_rollup_check(spark, d):
     """Raw vs hourly/daily weighted roll-ups for two periods (1e-10 relative)."""
     rd = readings(spark, d)
-    h = marts.hourly_mart(rd, SPEC)
+    h = hourly(spark, d)
     return A.weighted_rollup_check(rd, h, marts.daily_mart(h), SPEC, _ROLLUP_PERIODS)
 
 
@@ -517,10 +518,8 @@ _STARTS = """starts AS (
 @query("independent_recheck", None)
 def q_independent_recheck(spark, d):
     """Q16: daily metrics, hourly status and island sizes re-derived a second way (mismatches must be 0)."""
-    rd = readings(spark, d)
-    h = marts.hourly_mart(rd, SPEC)
-    inv = rule.investigation(h, reports(spark), SPEC)
-    return A.independent_recheck(rd, marts.daily_mart(h), inv, inc.incidents(inv, SPEC), SPEC)
+    return A.independent_recheck(readings(spark, d), daily(spark, d), investigation(spark, d), incidents(spark, d),
+                                 SPEC)
 
 
 @query("regression_counts", _sql(ALL, """
@@ -582,7 +581,7 @@ SELECT *, in_left AND in_right AND {' AND '.join(f'{c}_matches' for c in _TOL_CO
 def q_tolerance_compare(spark, d):
     """Daily metrics from raw vs from the hourly mart, with numeric tolerance."""
     rd = readings(spark, d)
-    return U.tolerance_compare(A.direct_daily(rd, SPEC), marts.daily_mart(marts.hourly_mart(rd, SPEC)),
+    return U.tolerance_compare(A.direct_daily(rd, SPEC), marts.daily_mart(hourly(spark, d)),
                                ["reading_date"], _TOL_COLS, rel=1e-9, abs_tol=1e-9)
 
 

@@ -75,10 +75,12 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def _num_check(c: Column, name: str) -> tuple[Column, Column]:
     """(typed double, violation-or-NULL)."""
-    v = F.when(F.trim(c).rlike(DECIMAL), F.trim(c).try_cast("double"))
+    v = F.when(c.rlike(DECIMAL), F.trim(c).try_cast("double"))
+    # the non-finite pattern is only tried on values that failed the decimal guard
     bad = (F.when(c.isNull(), F.lit(f"missing_field:{name}"))
+           .when(v.isNotNull(), F.lit(None).cast("string"))
            .when(F.lower(c).rlike(NON_FINITE), F.lit(f"non_finite:{name}"))
-           .when(v.isNull(), F.lit(f"unparseable:{name}")))
+           .otherwise(F.lit(f"unparseable:{name}")))
     return v, bad
 
 
@@ -109,7 +111,8 @@ def typed_with_violations(strings: DataFrame, schema: ReadingSchema = READING_SC
     v, bad = _num_check(F.col(schema.impulse), schema.impulse)
     typed[schema.impulse] = F.when(v >= 0, v)
     checks.append(F.coalesce(bad, F.when(v < 0, F.lit(f"invalid_impulse:{schema.impulse}"))))
-    violations = F.filter(F.array(*checks), lambda x: x.isNotNull())
+    # array_compact (not a lambda filter) keeps the checks inside whole-stage codegen
+    violations = F.array_compact(F.array(*checks))
     if line_col is not None:
         # a blank or short line is reported alone (the field checks would only repeat it)
         violations = (F.when(F.trim(F.col(line_col)) == "", F.array(F.lit("blank_row")))
