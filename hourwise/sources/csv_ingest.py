@@ -73,15 +73,17 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
             .select("file", (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias("line_no"), "value"))
 
 
-def _num_check(c: Column, name: str) -> tuple[Column, Column]:
-    """(typed double, violation-or-NULL)."""
-    v = F.when(c.rlike(DECIMAL), F.trim(c).try_cast("double"))
+def _typed_num(c: Column) -> Column:
+    """Finite decimal text -> double; anything else (incl. '1d', hex, inf, NaN) -> NULL."""
+    return F.when(c.rlike(DECIMAL), F.trim(c).try_cast("double"))
+
+
+def _num_violation(raw: Column, typed: Column, name: str) -> Column:
     # the non-finite pattern is only tried on values that failed the decimal guard
-    bad = (F.when(c.isNull(), F.lit(f"missing_field:{name}"))
-           .when(v.isNotNull(), F.lit(None).cast("string"))
-           .when(F.lower(c).rlike(NON_FINITE), F.lit(f"non_finite:{name}"))
-           .otherwise(F.lit(f"unparseable:{name}")))
-    return v, bad
+    return (F.when(raw.isNull(), F.lit(f"missing_field:{name}"))
+            .when(typed.isNotNull(), F.lit(None).cast("string"))
+            .when(F.lower(raw).rlike(NON_FINITE), F.lit(f"non_finite:{name}"))
+            .otherwise(F.lit(f"unparseable:{name}")))
 
 
 def typed_with_violations(strings: DataFrame, schema: ReadingSchema = READING_SCHEMA,
@@ -89,41 +91,50 @@ def typed_with_violations(strings: DataFrame, schema: ReadingSchema = READING_SC
     """Typed canonical columns + ``violations array<string>`` (empty = valid).
 
     ``strings`` holds one string column per canonical field (NULL = absent).
-    Violation codes, in check order: blank_row, short_row, bad_timestamp / timezone,
-    missing_field / non_finite / unparseable per analog, not_0_1 per digital,
-    invalid_impulse.
+    Violation codes, in check order: blank_row or short_row (reported alone),
+    bad_timestamp / timezone, missing_field / non_finite / unparseable per number,
+    not_0_1 per digital, invalid_impulse.
+
+    Two projections: the typed values are computed once (stage 1), the checks
+    only read them (stage 2), so every regex/cast runs once per field.
     """
+    numeric = [*schema.analog, *schema.digital, schema.impulse]
+    extra = [c for c in ([line_col, "_fields", "_needed"] if line_col is not None else [])]
     ts_raw = F.trim(F.col(schema.time))
-    checks: list[Column] = []
-    ts = F.when(ts_raw.rlike(ISO_NAIVE), ts_raw.try_cast("timestamp_ntz"))
-    checks.append(F.when(ts_raw.isNull(), F.lit("bad_timestamp"))
-                  .when(ts_raw.rlike(ZONE_SUFFIX) & ~ts_raw.rlike(ISO_NAIVE), F.lit("timezone"))
-                  .when(ts.isNull(), F.lit("bad_timestamp")))
-    typed = {schema.time: ts}
+    stage1 = strings.select(
+        F.col(row_col).alias("source_row"), *extra, F.col(schema.time).alias("_raw_ts"),
+        F.when(ts_raw.rlike(ISO_NAIVE), ts_raw.try_cast("timestamp_ntz")).alias("_ts"),
+        *[F.col(c).alias(f"_raw_{c}") for c in numeric],
+        *[_typed_num(F.col(c)).alias(f"_v_{c}") for c in numeric])
+    raw_ts = F.trim(F.col("_raw_ts"))
+    checks = [F.when(F.col("_ts").isNotNull(), F.lit(None).cast("string"))
+              .when(raw_ts.isNull(), F.lit("bad_timestamp"))
+              .when(raw_ts.rlike(ZONE_SUFFIX) & ~raw_ts.rlike(ISO_NAIVE), F.lit("timezone"))
+              .otherwise(F.lit("bad_timestamp"))]
     for a in schema.analog:
-        v, bad = _num_check(F.col(a), a)
-        typed[a] = v
-        checks.append(bad)
+        checks.append(_num_violation(F.col(f"_raw_{a}"), F.col(f"_v_{a}"), a))
     for d in schema.digital:
-        v, bad = _num_check(F.col(d), d)
-        typed[d] = F.when(v.isin(0.0, 1.0), v.cast("smallint"))
-        checks.append(F.coalesce(bad, F.when(~v.isin(0.0, 1.0), F.lit(f"not_0_1:{d}"))))
-    v, bad = _num_check(F.col(schema.impulse), schema.impulse)
-    typed[schema.impulse] = F.when(v >= 0, v)
-    checks.append(F.coalesce(bad, F.when(v < 0, F.lit(f"invalid_impulse:{schema.impulse}"))))
-    # array_compact (not a lambda filter) keeps the checks inside whole-stage codegen
-    violations = F.array_compact(F.array(*checks))
+        v = F.col(f"_v_{d}")
+        checks.append(F.coalesce(_num_violation(F.col(f"_raw_{d}"), v, d),
+                                 F.when(~v.isin(0.0, 1.0), F.lit(f"not_0_1:{d}"))))
+    imp = schema.impulse
+    checks.append(F.coalesce(_num_violation(F.col(f"_raw_{imp}"), F.col(f"_v_{imp}"), imp),
+                             F.when(F.col(f"_v_{imp}") < 0, F.lit(f"invalid_impulse:{imp}"))))
+    # concat_ws skips NULLs and stays inside whole-stage codegen (a lambda filter or
+    # array_compact would force interpreted evaluation of every check)
+    violations = F.array_remove(F.split(F.concat_ws("|", *checks), r"\|"), "")
     if line_col is not None:
         # a blank or short line is reported alone (the field checks would only repeat it)
         violations = (F.when(F.trim(F.col(line_col)) == "", F.array(F.lit("blank_row")))
                       .when(F.col("_fields") < F.col("_needed"), F.array(F.lit("short_row")))
                       .otherwise(violations))
-    out_cols = [F.col(row_col).alias("source_row"), typed[schema.time].alias("observed_at")]
-    out_cols += [typed[a].alias(a) for a in schema.analog]
-    out_cols += [typed[d].alias(d) for d in schema.digital]
-    out_cols += [typed[schema.impulse].alias(schema.impulse)]
-    extra = [F.col(line_col).alias("line")] if line_col is not None else []
-    return strings.select(*out_cols, *extra, violations.alias("violations"))
+    out_cols = [F.col("source_row"), F.col("_ts").alias("observed_at")]
+    out_cols += [F.col(f"_v_{a}").alias(a) for a in schema.analog]
+    out_cols += [F.when(F.col(f"_v_{d}").isin(0.0, 1.0), F.col(f"_v_{d}").cast("smallint")).alias(d)
+                 for d in schema.digital]
+    out_cols += [F.when(F.col(f"_v_{imp}") >= 0, F.col(f"_v_{imp}")).alias(imp)]
+    line_out = [F.col(line_col).alias("line")] if line_col is not None else []
+    return stage1.select(*out_cols, *line_out, violations.alias("violations"))
 
 
 @dataclass
