@@ -147,3 +147,22 @@ def q_historical_alert_count(spark, d):
                      & (F.col("hour_ts") >= ntz_lit(dt.datetime(2024, 1, 1)))
                      & (F.col("hour_ts") < ntz_lit(dt.datetime(2024, 1, 31))))
     return X.alert_condition(sel.agg(F.count(F.lit(1)).alias("value")), ">", 0)
+
+
+@query("stream_alert_state_log", _rsql("SELECT alert, tick, value, state FROM r", ["value"]))
+def q_stream_alert_state_log(spark, d):
+    """X2 (stream form): ticks as a file stream, per-alert last-Success state in the state store."""
+    import posixpath
+    from hourwise.plans.catalog_sources import scratch
+    from hourwise.streaming.alerts import alert_state_stream
+    root = scratch(spark, "alert-stream")
+    tk = ticks(spark, d)
+    src = posixpath.join(root, "ticks")
+    tk.write.parquet(src)
+    stream = spark.readStream.schema(tk.schema).parquet(src)
+    out = alert_state_stream(stream, GRACE_S, ">", 0.0, active=definitions(tk))
+    sink = posixpath.join(root, "log")
+    q = (out.writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", posixpath.join(root, "_checkpoint")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink)

@@ -51,3 +51,20 @@ def test_inactive_alert_has_no_rows(spark):
                                   "alert string, tick timestamp_ntz, value double")
     active = spark.createDataFrame([("a", True), ("b", False)], "alert string, active boolean")
     assert {r.alert for r in X.alert_states(ticks, 60, active=active).collect()} == {"a"}
+
+
+def test_streaming_alert_state_carries_across_batches(spark, tmp_path):
+    from hourwise.streaming.alerts import alert_state_stream
+    schema = "alert string, tick timestamp_ntz, value double"
+    rows = [("test", D(2026, 9, 27, 2, 19, 2), 0.0), ("test", D(2026, 9, 27, 2, 20, 2, 700000), 1.0),
+            ("test", D(2026, 9, 27, 2, 21, 2, 700000), 1.0), ("test", D(2026, 9, 27, 2, 22, 2, 500000), 1.0),
+            ("test", D(2026, 9, 27, 2, 23, 2, 800000), 1.0)]
+    src, sink, ck = str(tmp_path / "ticks"), str(tmp_path / "log"), str(tmp_path / "ck")
+    for part, batch in enumerate([rows[:3], rows[3:]]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        q = (alert_state_stream(stream, 120).writeStream.format("parquet").option("path", sink)
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination()
+    got = [r.state for r in spark.read.parquet(sink).orderBy("tick").collect()]
+    assert got == ["Not triggered", "Success", "On Grace", "On Grace", "Success"]
