@@ -20,7 +20,9 @@ from hourwise.session import build_session  # noqa: E402
 HEADLINE = ["hourly_mart", "hourly_mart_by_asset", "daily_mart", "investigation", "investigation_by_asset",
             "incidents", "report_review", "period_kpis", "k12_hourly_share_baseline", "data_quality",
             "audit_cadence", "window_vs_join_mismatch", "audit_largest_gaps", "independent_recheck",
-            "alert_state_log", "validate_rows"]
+            "alert_state_log", "validate_rows",
+            # end-to-end: CSV written and re-ingested with file-order row numbers; gated snapshot publish
+            "row_numbering", "snapshot_manifest"]
 
 
 def main():

@@ -29,6 +29,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+         # coalesce shuffle partitions to the advisory size, not to the default parallelism
+         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.driver.memory", "8g")

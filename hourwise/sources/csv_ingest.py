@@ -60,17 +60,39 @@ def header_positions(headers: list[str], schema: ReadingSchema = READING_SCHEMA)
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """S3: ``(file, line_no, value)`` with 0-based line positions in file order."""
+    """S3: ``(file, line_no, value)`` with 0-based line positions in file order.
+
+    One row per split (path, block start, line count, first row id) is the only
+    table that needs an order; the prefix sum over it gives each split's first
+    line number, and a row's position inside its split comes from
+    ``monotonically_increasing_id`` (rows of one split are contiguous).
+    """
     raw = (spark.read.text(path)
            .select("value", F.col("_metadata.file_path").alias("file"),
                    F.col("_metadata.file_block_start").alias("block"),
                    F.monotonically_increasing_id().alias("_mid")))
     per_split = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"))
-    # one row per split: offsets by a prefix sum within each file (tiny table)
-    w = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_split.select("file", "block", "_mid0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    # file offsets (data rows of earlier files) and split offsets (lines of earlier splits), one row per split
+    by_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    file_rows = per_split.groupBy("file").agg((F.sum("_n") - 1).alias("_data"))
+    files = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    file_off = file_rows.select("file", F.coalesce(F.sum("_data").over(files), F.lit(0)).alias("_foff"))
+    offsets = (per_split.select("file", "block", "_mid0", F.coalesce(F.sum("_n").over(by_file), F.lit(0)).alias("_off"))
+               .join(file_off, on="file", how="inner"))
     return (raw.join(offsets, on=["file", "block"], how="inner")
-            .select("file", (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias("line_no"), "value"))
+            .select("file", (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias("line_no"), "_foff", "value"))
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """First line of one file, read on the driver through the Hadoop FileSystem API (bounded: one line)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
 
 
 def _typed_num(c: Column) -> Column:
@@ -145,31 +167,36 @@ class IngestResult:
 
 
 def scan_csv(spark: SparkSession, path: str, schema: ReadingSchema = READING_SCHEMA) -> IngestResult:
-    """Text scan -> numbered lines -> header map -> typed rows + quarantine."""
-    lines = numbered_lines(spark, path)
-    headers = lines.filter(F.col("line_no") == 0).select("file", "value").collect()
-    if not headers:
+    """Text scan -> numbered lines -> header map -> typed rows + quarantine.
+
+    The header is taken from the first file (by path) on the driver; every other
+    file's line 0 is compared with it inside the same pass and a differing
+    header is quarantined as ``header_mismatch`` (line 0 of that file).
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+    header = first_line(spark, files[0]) if files else None
+    if header is None:
         raise IngestError("CSV is empty")
-    parsed_headers = [r["value"].split(",") for r in headers]
-    positions = header_positions(parsed_headers[0], schema)
-    for h in parsed_headers[1:]:
-        if header_positions(h, schema) != positions:
-            raise IngestError("CSV part files disagree on their header")
+    header = header.lstrip("\ufeff")
+    headers = header.split(",")
+    positions = header_positions(headers, schema)
     needed = max(positions.values()) + 1
-    data = lines.filter(F.col("line_no") > 0)
-    # source_row: data lines numbered 1..N across files in path order
-    per_file = data.groupBy("file").agg(F.count(F.lit(1)).alias("_n"))
-    fw = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    file_off = per_file.select("file", F.coalesce(F.sum("_n").over(fw), F.lit(0)).alias("_foff"))
-    data = data.join(file_off, on="file", how="inner").withColumn("source_row", F.col("_foff") + F.col("line_no"))
+    lines = numbered_lines(spark, path)
+    body = lines.withColumn("source_row", F.col("_foff") + F.col("line_no"))
+    bad_header = (body.filter((F.col("line_no") == 0)
+                              & (F.regexp_replace("value", "^\ufeff", "") != F.lit(header)))
+                  .select("source_row", F.col("value").alias("line"),
+                          F.array(F.lit("header_mismatch")).alias("violations")))
+    data = body.filter(F.col("line_no") > 0)
     parts = F.split(F.col("value"), ",")
     strings = data.select("source_row", F.col("value").alias("line"), F.size(parts).alias("_fields"),
                           F.lit(needed).alias("_needed"),
                           *[F.get(parts, i).alias(name) for name, i in positions.items()])
     typed = typed_with_violations(strings, schema)
     valid = typed.filter(F.size("violations") == 0).drop("violations", "line")
-    quarantine = typed.filter(F.size("violations") > 0).select("source_row", "line", "violations")
-    return IngestResult(valid, quarantine, parsed_headers[0])
+    quarantine = (typed.filter(F.size("violations") > 0).select("source_row", "line", "violations")
+                  .unionByName(bad_header))
+    return IngestResult(valid, quarantine, headers)
 
 
 def fail_fast(result: IngestResult) -> DataFrame:
