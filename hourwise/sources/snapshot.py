@@ -44,7 +44,19 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(r.value for r in spark.read.text(path).collect())
+    """Small control files (pointer, manifest) read on the driver through the FileSystem API."""
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        lines = []
+        while True:
+            line = reader.readLine()
+            if line is None:
+                return "\n".join(lines)
+            lines.append(line)
+    finally:
+        reader.close()
 
 
 def rename(spark: SparkSession, src: str, dst: str) -> None:
@@ -174,7 +186,12 @@ def verify_snapshot(spark: SparkSession, root: str) -> DataFrame:
 def read_snapshot(spark: SparkSession, root: str, schemas: dict[str, str] | None = None) -> tuple[dict, dict]:
     """Verify digests and totals, then return ``{table: DataFrame}`` and the manifest."""
     folder, meta = current_snapshot(spark, root)
-    bad = verify_snapshot(spark, root).filter(~F.col("ok")).select("file").limit(1).collect()
+    try:
+        bad = verify_snapshot(spark, root).filter(~F.col("ok")).select("file").limit(1).collect()
+    except Exception as e:  # a part file the file system itself refuses (e.g. its own checksum fails)
+        if "FAILED_READ_FILE" in str(e) or "ChecksumException" in str(e):
+            raise SnapshotError(f"Export checksum mismatch: unreadable part file ({str(e)[:200]})") from e
+        raise
     if bad:
         raise SnapshotError(f"Export checksum mismatch: {bad[0]['file']}")
     frames = {}
