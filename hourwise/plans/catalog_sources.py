@@ -160,23 +160,10 @@ def q_provenance_row(spark, d):
 
 
 def _publish(spark, d):
-    rd = readings(spark, d)
-    h = hourly(spark, d)
-    daily = marts.daily_mart(h)
-    from hourwise.operators import rule, incidents as inc, review
-    rep = reports(spark)
-    checkpoint_dir(spark)
-    # computed once, written to the shared checkpoint folder (lineage cut, survives executor
-    # loss), then consumed by three exported tables
-    cand = rule.candidate_hours(h, SPEC).checkpoint()
-    inv = rule.investigation(h, rep, SPEC, candidates=cand).checkpoint()
-    state = S.provenance_row(rd, "sf-run", "events.parquet", None, True).first().asDict()
-    counts = S.reconcile_counts(rd, h, daily).first().asDict()
-    tables = {"hourly_investigation": (inv, ["hour_ts"]), "daily_metrics": (daily, ["reading_date"]),
-              "failure_reports": (rep, ["report_id"]), "incidents": (inc.incidents(inv, SPEC), ["starts_at"]),
-              "report_review": (review.report_review(rep, cand), ["report_id"])}
+    from hourwise.plans.refresh import refresh
     root = scratch(spark, "snapshots")
-    S.publish_snapshot(spark, root, "sf-run-snapshot", tables, state, counts, SPEC.as_dict())
+    refresh(spark, readings(spark, d), reports(spark), SPEC, root, "sf-run", "events.parquet",
+            snapshot_id="sf-run-snapshot")
     return root
 
 

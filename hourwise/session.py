@@ -54,3 +54,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="hourwise-ckpt-", dir=os.environ.get("HOURWISE_SCRATCH", None))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a parquet table under the shared checkpoint folder and read it back.
+
+    Cuts lineage like ``checkpoint()`` but computes the plan a single time (a
+    reliable checkpoint of an unpersisted plan computes it twice), survives
+    executor loss, and the result keeps parquet column pruning and pushdown.
+    """
+    import posixpath
+    import uuid
+    spark = df.sparkSession
+    path = posixpath.join(checkpoint_dir(spark), "hourwise", "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
