@@ -5,10 +5,10 @@ join) and left-joined to the data on ``(keys, ts)``; missing points stay NULL,
 never zero-filled.
 
 ``stitched_lag``: LAG over all raw rows ordered by time has no partition key,
-i.e. one task.  Rows are bucketed (by hour of the order column, or by a range
-of a unique row id); LAG runs inside ``(keys, bucket)``, and the first row of
-each bucket takes the last value of the previous non-empty bucket, found by a
-LAG over the per-bucket table (one row per bucket).
+i.e. one task.  Rows are bucketed (by range partitioning on the order column,
+or by a range of a unique row id); LAG runs inside ``(keys, bucket)``, and the
+first row of each bucket takes the last value of the previous non-empty bucket,
+found by a LAG over the per-bucket table (one row per bucket).
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourwise.functions.columns import ntz_lit, seconds_between, trunc_hour
+from hourwise.functions.columns import ntz_lit, seconds_between
 
 
 def _step(step_seconds: int) -> Column:
@@ -72,15 +72,20 @@ def unobserved_windows(hourly: DataFrame, keys: list[str] | None = None, ts: str
                       (expected - F.col("observed_hours")).alias("unobserved_hour_windows"))
 
 
-def stitched_lag(df: DataFrame, order_col: str, value_col: str, out: str, bucket: Column,
-                 keys: list[str] | None = None) -> DataFrame:
+def stitched_lag(df: DataFrame, order_col: str, value_col: str, out: str, bucket: Column | None = None,
+                 keys: list[str] | None = None, buckets: int | None = None) -> DataFrame:
     """LAG(value) OVER (PARTITION BY keys ORDER BY order_col), computed bucket-locally.
 
-    ``bucket`` must be monotone in ``order_col`` (e.g. hour of a timestamp,
-    ``row_id div N``).  Ties in ``order_col`` must not matter for the value
-    (true when ``value_col`` is the order column itself, or ``order_col`` is unique).
+    ``bucket`` must be monotone in ``order_col`` (e.g. ``row_id div N``).  When it
+    is omitted the buckets are data-adaptive (``quantile_buckets``), so a burst of
+    rows in one hour is split across tasks.  Ties in ``order_col`` must not matter
+    for the value (true when ``value_col`` is the order column itself, or
+    ``order_col`` is unique).
     """
     keys = list(keys or [])
+    if bucket is None:
+        n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bucket = quantile_buckets(df, order_col, n)
     b = df.withColumn("_bucket", bucket)
     w = Window.partitionBy(*keys, "_bucket").orderBy(order_col)
     local = b.withColumn("_lag", F.lag(value_col).over(w)).withColumn("_first", F.row_number().over(w) == 1)
@@ -92,6 +97,32 @@ def stitched_lag(df: DataFrame, order_col: str, value_col: str, out: str, bucket
             .drop("_bucket", "_lag", "_first", "_carry"))
 
 
+def _numeric(df: DataFrame, col: str) -> Column:
+    t = dict(df.dtypes)[col]
+    return F.unix_micros(F.col(col).cast("timestamp")) if t.startswith("timestamp") else F.col(col)
+
+
+def _bucketize(x: Column, bounds: list, lo: int, hi: int) -> Column:
+    """Index i with bounds[i-1] <= x < bounds[i] as a balanced CASE tree (log2 n comparisons per row)."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(x < F.lit(bounds[mid]), _bucketize(x, bounds, lo, mid)).otherwise(_bucketize(x, bounds, mid + 1, hi))
+
+
+def quantile_buckets(df: DataFrame, order_col: str, n: int, rel_error: float = 0.001) -> Column:
+    """Monotone bucket id with about equal rows per bucket.
+
+    ``approxQuantile`` returns ``n - 1`` cut points to the driver (bounded by n),
+    which are embedded as literals, so every branch of a plan and every
+    recomputation after an executor loss assigns the same buckets.
+    """
+    x = _numeric(df, order_col)
+    probs = [i / n for i in range(1, n)]
+    cuts = sorted(set(v for v in df.select(x.alias("_x")).approxQuantile("_x", probs, rel_error) if v is not None))
+    return _bucketize(x, cuts, 0, len(cuts)) if cuts else F.lit(0)
+
+
 def distinct_time_deltas(readings: DataFrame, ts: str = "observed_at",
                          keys: list[str] | None = None) -> DataFrame:
     """Per distinct timestamp: duplicate count and the delta to the previous distinct timestamp.
@@ -102,7 +133,7 @@ def distinct_time_deltas(readings: DataFrame, ts: str = "observed_at",
     """
     keys = list(keys or [])
     per_ts = readings.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("n"))
-    lagged = stitched_lag(per_ts, ts, ts, "previous_at", trunc_hour(ts), keys)
+    lagged = stitched_lag(per_ts, ts, ts, "previous_at", keys=keys)
     return lagged.withColumn("delta_seconds", seconds_between(ts, "previous_at"))
 
 

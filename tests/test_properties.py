@@ -66,3 +66,17 @@ def test_daily_rollup_equals_direct_daily(spark, secs):
     a = {r.reading_date: (r.readings, r.loaded_readings, round(r.avg_panel_pressure_bar, 9)) for r in d.collect()}
     b = {r.reading_date: (r.n, r.loaded, round(r.panel, 9)) for r in direct.collect()}
     assert a == b
+
+
+def test_stitched_lag_balances_a_hot_hour(spark):
+    """A third of all rows in one hour (distinct microsecond stamps) is split across buckets."""
+    from hourwise.operators.timegrid import quantile_buckets, stitched_lag
+    base = [ORIGIN + dt.timedelta(minutes=7 * i) for i in range(2000)]
+    burst = [ORIGIN + dt.timedelta(days=3, microseconds=17 * i) for i in range(1000)]
+    stamps = base + burst
+    df = spark.createDataFrame([(t,) for t in stamps], "ts timestamp_ntz")
+    sizes = [r["count"] for r in df.groupBy(quantile_buckets(df, "ts", 8).alias("b")).count().collect()]
+    assert max(sizes) < 0.25 * len(stamps)
+    got = {r.ts: r.prev for r in stitched_lag(df, "ts", "ts", "prev", buckets=8).collect()}
+    ordered = sorted(stamps)
+    assert got == {t: (ordered[i - 1] if i else None) for i, t in enumerate(ordered)}
