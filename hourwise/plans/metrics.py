@@ -54,35 +54,43 @@ def common_metrics(daily: bool = False) -> dict[str, tuple[str, MetricFn]]:
 
 
 def datasets(spec: RuleSpec) -> dict[str, Dataset]:
-    cur, base = F.col("current_samples_insufficient"), F.col("baseline_samples_insufficient")
-    n = F.count(F.lit(1))
+    """Dataset registry; metric expressions are built lazily (no Spark needed at definition time)."""
+    def cur():
+        return F.col("current_samples_insufficient")
+
+    def base():
+        return F.col("baseline_samples_insufficient")
+
+    def n():
+        return F.count(F.lit(1))
     inv = dict(common_metrics())
     inv.update({
         "candidate_hours": ("Candidate hours", lambda: F.count_if(F.col("candidate_status") == S.REVIEW_PRESSURE)),
         "eligible_hours": ("Eligible hours", lambda: F.count_if(F.col("rule_eligible"))),
-        "eligibility_pct": ("Eligibility (%)", lambda: _pct(F.count_if(F.col("rule_eligible")), n)),
+        "eligibility_pct": ("Eligibility (%)", lambda: _pct(F.count_if(F.col("rule_eligible")), n())),
         "not_evaluated_hours": ("Not evaluated hours",
                                 lambda: F.count_if(F.col("evaluation_status") == S.NOT_EVALUATED)),
-        "current_samples_only": ("Current samples only", lambda: F.count_if(cur & ~base)),
-        "baseline_samples_only": ("Baseline samples only", lambda: F.count_if(base & ~cur)),
-        "both_sample_requirements": ("Both sample requirements", lambda: F.count_if(cur & base)),
-        "missing_rates": ("Missing rates", lambda: F.count_if(~cur & ~base & ~F.col("rule_eligible"))),
-        "observed_hours": ("Observed hours", lambda: n),
+        "current_samples_only": ("Current samples only", lambda: F.count_if(cur() & ~base())),
+        "baseline_samples_only": ("Baseline samples only", lambda: F.count_if(base() & ~cur())),
+        "both_sample_requirements": ("Both sample requirements", lambda: F.count_if(cur() & base())),
+        "missing_rates": ("Missing rates", lambda: F.count_if(~cur() & ~base() & ~F.col("rule_eligible"))),
+        "observed_hours": ("Observed hours", n),
         # point-only metrics: a value only when the group holds exactly one hour
         "prior_share_pct": ("Prior 7-day loaded share (%)",
-                            lambda: F.when(n == 1, F.lit(100.0) * F.max("prior_low_fraction"))),
+                            lambda: F.when(n() == 1, F.lit(100.0) * F.max("prior_low_fraction"))),
         "rule_floor_pct": ("Rule floor (%)", lambda: F.lit(100.0 * spec.share_floor)),
         "multiple_prior_pct": ("Multiple of prior baseline (%)",
-                               lambda: F.when(n == 1, F.lit(100.0 * spec.prior_multiple) * F.max("prior_low_fraction"))),
+                               lambda: F.when(n() == 1,
+                                              F.lit(100.0 * spec.prior_multiple) * F.max("prior_low_fraction"))),
     })
     return {
         "mart_hourly": Dataset("mart_hourly", "hour_ts", common_metrics()),
         "mart_daily": Dataset("mart_daily", "reading_date", common_metrics(daily=True)),
         "mart_hourly_investigation": Dataset("mart_hourly_investigation", "hour_ts", inv),
         "mart_incidents": Dataset("mart_incidents", "starts_at",
-                                  {"candidate_incidents": ("Candidate incidents", lambda: n)}),
+                                  {"candidate_incidents": ("Candidate incidents", n)}),
         "mart_report_review": Dataset("mart_report_review", "starts_at",
-                                      {"maintenance_reports": ("Maintenance reports", lambda: n)}),
+                                      {"maintenance_reports": ("Maintenance reports", n)}),
         "analytics_operating_states": Dataset("analytics_operating_states", "hour_ts", {
             "state_observations": ("State observations",
                                    lambda: F.coalesce(F.sum("observations"), F.lit(0)).cast("bigint"))}),
