@@ -38,6 +38,10 @@ class RuleSpec:
     def window_hours(self) -> int:
         return self.lookback_seconds // self.grain_seconds
 
+    # Fixed label formats of the output contract (filled with this rule's thresholds):
+    #   "Loaded (current >= {hi} {unit})", "Unloaded ({lo} <= current < {hi} {unit})", "Idle (current < {lo} {unit})"
+    #   "Both: current <{c} and prior <{p}", "Current only: loaded observations <{c}",
+    #   "Baseline only: prior loaded observations <{p}", "Missing rate despite sufficient counts", "None: evaluated"
     def state_labels(self) -> dict[str, str]:
         lo, hi, u = _num(self.unloaded_current), _num(self.loaded_current), self.current_unit
         return {
@@ -109,6 +113,8 @@ class ReadingSchema:
     digital: tuple = ("comp", "dv_electric", "towers", "mpg", "lps", "pressure_switch", "oil_level")
     impulse: str = "caudal_impulse"
     time: str = "timestamp"
+    # fixed values: accepted header spellings beyond the canonical names (after lower-casing and
+    # removing non-alphanumerics)
     aliases: dict = field(default_factory=lambda: {"dveletric": "dv_electric", "dvelectric": "dv_electric",
                                                    "caudalimpulses": "caudal_impulse"})
 
