@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hourwise.functions.columns import null_safe_differs, ratio, trunc_hour, within_tolerance
 from hourwise.operators.baseline import trailing_baseline_join
-from hourwise.operators.marts import hourly_mart, state_predicates
+from hourwise.operators.marts import state_predicates
 from hourwise.operators.period import combine_rows, half_open
 from hourwise.operators.timegrid import distinct_time_deltas, stitched_lag, weighted_percentile_disc
 from hourwise import spec as S
@@ -274,5 +274,3 @@ def independent_recheck(readings: DataFrame, daily: DataFrame, inv: DataFrame, i
     return (tag(daily_row, "daily_metrics").unionByName(tag(status_row, "hourly_candidate_status"))
             .unionByName(tag(isl, "incident_islands")))
 
-
-__all__ = ["hourly_mart"]

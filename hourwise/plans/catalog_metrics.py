@@ -6,8 +6,6 @@ baseline window (the investigation table is computed on all hours first).
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from hourwise.operators import marts, quality as Q, review
 from hourwise.plans import oracle as O
 from hourwise.plans.catalog import SPEC, _sql, candidates, hourly, incidents, investigation, query, readings, reports
@@ -228,5 +226,3 @@ def k16(spark, d):
     """Source period and provenance (full source, raw mode)."""
     return metric_query(_quality(spark, d), DS["analytics_data_quality"], raw_columns=_K16)
 
-
-__all__ = ["F"]

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from hourwise.operators import audit as A, compare as U, marts, period as P, quality as Q, review, timegrid as T
 from hourwise.functions.columns import ntz_lit
 from hourwise.operators import rule, incidents as inc
-from hourwise.operators.baseline import trailing_baseline_join
 from hourwise.plans import oracle as O
 from hourwise.plans.catalog import (ASSET, CAND_DOUBLES, DAILY_DOUBLES, INC_DOUBLES, SPEC, _sql, candidates,
                                     hourly, incidents, investigation, query, readings, reports)
-from hourwise.sources.readings import READINGS_SQL, REPORTS_SQL
+from hourwise.sources.readings import READINGS_SQL
 
 # Period used by the period-scoped queries (inclusive dates) and its half-open bounds.
 PERIOD = ("2024-01-08", "2024-01-21")
@@ -487,41 +486,6 @@ def q_weighted_rollup_check(spark, d):
     return A.weighted_rollup_check(rd, h, marts.daily_mart(h), SPEC, _ROLLUP_PERIODS)
 
 
-def _recheck_sql():
-    spec = SPEC
-    status = (f"CASE WHEN a.loaded < {spec.min_current_loaded} OR COALESCE(a.prior_loaded, 0) < {spec.min_prior_loaded} "
-              f"THEN 'INSUFFICIENT_HISTORY' WHEN CAST(a.low AS DOUBLE) / NULLIF(a.loaded, 0) >= {spec.share_floor} AND "
-              f"CAST(a.low AS DOUBLE) / NULLIF(a.loaded, 0) >= {spec.prior_multiple} * "
-              f"(CAST(a.prior_low AS DOUBLE) / NULLIF(a.prior_loaded, 0)) THEN 'REVIEW_PRESSURE' ELSE 'NO_CANDIDATE' END")
-    return f"""
-SELECT 'daily_metrics' AS "check", CAST(COUNT(*) AS BIGINT) AS compared,
-  CAST(COUNT(*) FILTER (WHERE NOT all_match) AS BIGINT) AS mismatches FROM tol
-UNION ALL
-SELECT 'hourly_candidate_status', CAST(COUNT(*) AS BIGINT),
-  CAST(COUNT(*) FILTER (WHERE ({status}) IS DISTINCT FROM b.candidate_status) AS BIGINT)
-FROM independently_joined a FULL JOIN investigation b USING (hour_ts)
-UNION ALL
-SELECT 'incident_islands', CAST(s.n AS BIGINT),
-  CAST(ABS(s.n - (SELECT COUNT(*) FROM incidents))
-       + (SELECT COUNT(*) FROM starts WHERE starts_at NOT IN (SELECT starts_at FROM incidents))
-       + ABS((SELECT COUNT(*) FROM investigation WHERE candidate_status = 'REVIEW_PRESSURE')
-             - (SELECT COALESCE(SUM(candidate_hours), 0) FROM incidents)) AS BIGINT)
-FROM (SELECT COUNT(*) AS n FROM starts) s"""
-
-
-_STARTS = """starts AS (
-  SELECT c.hour_ts AS starts_at FROM investigation c WHERE c.candidate_status = 'REVIEW_PRESSURE'
-    AND NOT EXISTS (SELECT 1 FROM investigation p WHERE p.candidate_status = 'REVIEW_PRESSURE'
-                    AND p.hour_ts = c.hour_ts - INTERVAL 1 HOUR))"""
-
-
-@query("independent_recheck", None)
-def q_independent_recheck(spark, d):
-    """Q16: daily metrics, hourly status and island sizes re-derived a second way (mismatches must be 0)."""
-    return A.independent_recheck(readings(spark, d), daily(spark, d), investigation(spark, d), incidents(spark, d),
-                                 SPEC)
-
-
 @query("regression_counts", _sql(ALL, """
 SELECT COUNT(*) AS observed_hours, COUNT(*) FILTER (WHERE rule_eligible) AS eligible_hours,
   COUNT(*) FILTER (WHERE evaluation_status = 'Evaluated: breach') AS breach_hours FROM investigation"""))
@@ -604,9 +568,37 @@ def q_id_stability(spark, d):
     return U.id_stability(run(prior_rd), run(rd), ["starts_at"], "incident_id")
 
 
-from hourwise.plans.catalog import REGISTRY as _REG  # noqa: E402
+def _recheck_sql():
+    spec = SPEC
+    status = (f"CASE WHEN a.loaded < {spec.min_current_loaded} OR COALESCE(a.prior_loaded, 0) < {spec.min_prior_loaded} "
+              f"THEN 'INSUFFICIENT_HISTORY' WHEN CAST(a.low AS DOUBLE) / NULLIF(a.loaded, 0) >= {spec.share_floor} AND "
+              f"CAST(a.low AS DOUBLE) / NULLIF(a.loaded, 0) >= {spec.prior_multiple} * "
+              f"(CAST(a.prior_low AS DOUBLE) / NULLIF(a.prior_loaded, 0)) THEN 'REVIEW_PRESSURE' ELSE 'NO_CANDIDATE' END")
+    return f"""
+SELECT 'daily_metrics' AS "check", CAST(COUNT(*) AS BIGINT) AS compared,
+  CAST(COUNT(*) FILTER (WHERE NOT all_match) AS BIGINT) AS mismatches FROM tol
+UNION ALL
+SELECT 'hourly_candidate_status', CAST(COUNT(*) AS BIGINT),
+  CAST(COUNT(*) FILTER (WHERE ({status}) IS DISTINCT FROM b.candidate_status) AS BIGINT)
+FROM independently_joined a FULL JOIN investigation b USING (hour_ts)
+UNION ALL
+SELECT 'incident_islands', CAST(s.n AS BIGINT),
+  CAST(ABS(s.n - (SELECT COUNT(*) FROM incidents))
+       + (SELECT COUNT(*) FROM starts WHERE starts_at NOT IN (SELECT starts_at FROM incidents))
+       + ABS((SELECT COUNT(*) FROM investigation WHERE candidate_status = 'REVIEW_PRESSURE')
+             - (SELECT COALESCE(SUM(candidate_hours), 0) FROM incidents)) AS BIGINT)
+FROM (SELECT COUNT(*) AS n FROM starts) s"""
+
+
+_STARTS = """starts AS (
+  SELECT c.hour_ts AS starts_at FROM investigation c WHERE c.candidate_status = 'REVIEW_PRESSURE'
+    AND NOT EXISTS (SELECT 1 FROM investigation p WHERE p.candidate_status = 'REVIEW_PRESSURE'
+                    AND p.hour_ts = c.hour_ts - INTERVAL 1 HOUR))"""
 
-_REG["independent_recheck"].sql = _sql(
-    O.chain(upto="all") + [_RAW_HOURS, _DIRECT_DAILY, f"tol AS ({_tol_sql()})", _STARTS], _recheck_sql())
 
-__all__ = ["trailing_baseline_join"]
+@query("independent_recheck", _sql(
+    O.chain(upto="all") + [_RAW_HOURS, _DIRECT_DAILY, f"tol AS ({_tol_sql()})", _STARTS], _recheck_sql()))
+def q_independent_recheck(spark, d):
+    """Q16: daily metrics, hourly status and island sizes re-derived a second way (mismatches must be 0)."""
+    return A.independent_recheck(readings(spark, d), daily(spark, d), investigation(spark, d), incidents(spark, d),
+                                 SPEC)

@@ -14,13 +14,12 @@ from pyspark.sql import functions as F
 from hourwise.operators import marts
 from hourwise.plans import oracle as O
 from hourwise.plans.catalog import SPEC, _sql, hourly, incidents, investigation, query, readings, reports
-from hourwise.plans.catalog_more import _RECON_SQL
 from hourwise.operators import audit as A
 from hourwise.operators.review import REPORT_KEY, report_slots
 from hourwise.functions.columns import trunc_hour
 from hourwise.session import checkpoint_dir
 from hourwise.sources import csv_ingest as I, snapshot as S
-from hourwise.sources.readings import READINGS_SQL, REPORTS_SQL, load_table
+from hourwise.sources.readings import READINGS_SQL, load_table
 from hourwise.spec import READING_SCHEMA
 
 # Reference CSV header spellings (fixed values of the source contract, physical order free).

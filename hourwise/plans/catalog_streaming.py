@@ -6,8 +6,6 @@ from __future__ import annotations
 
 import posixpath
 
-from pyspark.sql import functions as F
-
 from hourwise.plans import oracle as O
 from hourwise.plans.catalog import CAND_DOUBLES, HOURLY_DOUBLES, SPEC, _sql, query
 from hourwise.plans.catalog_sources import scratch
@@ -38,5 +36,3 @@ def q_stream_scored_hours(spark, d):
     q.awaitTermination()
     return spark.read.parquet(posixpath.join(root, "scored")).drop("batch_id")
 
-
-__all__ = ["F"]
