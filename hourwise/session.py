@@ -43,6 +43,29 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def recommended_conf(input_bytes: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Cluster settings sized to the input, for a ``SparkSession.builder.config`` loop.
+
+    The initial shuffle partition count keeps about 128 MiB per partition at the
+    full input size, so even a map-side-uncombined shuffle (the one-column
+    duplicate count) fits in executor memory. AQE then coalesces small outputs,
+    because the hourly marts are orders of magnitude smaller, and splits skewed
+    join partitions. Scan splits are capped at 256 MiB.
+    """
+    initial = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        UTC_CONF: "UTC",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; set a scratch one only when unset (tests)."""
     sc = spark.sparkContext

@@ -90,3 +90,12 @@ def stream_scored_hours(spark: SparkSession, source: str, out_root: str, checkpo
          .foreachBatch(score).option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     return q.start()
+
+
+def dropped_late_rows(query) -> int:
+    """Rows the watermark dropped as too late, summed over the query's recent progress reports."""
+    total = 0
+    for progress in query.recentProgress:
+        for op in progress.get("stateOperators", []) if isinstance(progress, dict) else progress.stateOperators:
+            total += int(op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark)
+    return total

@@ -68,3 +68,22 @@ def test_streaming_alert_state_carries_across_batches(spark, tmp_path):
         q.awaitTermination()
     got = [r.state for r in spark.read.parquet(sink).orderBy("tick").collect()]
     assert got == ["Not triggered", "Success", "On Grace", "On Grace", "Success"]
+
+
+def test_stream_hourly_mart_drops_late_rows(spark, tmp_path):
+    """An hour closed by the watermark is not reopened; the late row is counted, not silently merged."""
+    from hourwise.spec import DEMO_V1
+    from hourwise.streaming.hourly import dropped_late_rows, stream_hourly_mart
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    src, sink, ck = str(tmp_path / "ev"), str(tmp_path / "out"), str(tmp_path / "ck")
+    first = [(i, D(2024, 1, 1, 0, 5) + dt.timedelta(minutes=20 * i), 1, "view", 35.0, '{"k": 5}') for i in range(9)]
+    late = [(100, D(2024, 1, 1, 0, 30), 1, "view", 35.0, '{"k": 5}')]
+    late_total = 0
+    for batch in (first, late):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(src)
+        q = stream_hourly_mart(spark, src, sink, ck, DEMO_V1)
+        q.awaitTermination()
+        late_total += dropped_late_rows(q)
+    out = {r.hour_ts: r.readings for r in spark.read.parquet(sink).collect()}
+    assert out[D(2024, 1, 1, 0)] == 3       # the late 00:30 row did not reopen the emitted hour
+    assert late_total == 1
