@@ -43,16 +43,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-def recommended_conf(input_bytes: int, target_partition_bytes: int = 128 << 20) -> dict:
-    """Cluster settings sized to the input, for a ``SparkSession.builder.config`` loop.
-
-    The initial shuffle partition count keeps about 128 MiB per partition at the
-    full input size, so even a map-side-uncombined shuffle (the one-column
-    duplicate count) fits in executor memory. AQE then coalesces small outputs,
-    because the hourly marts are orders of magnitude smaller, and splits skewed
-    join partitions. Scan splits are capped at 256 MiB.
+def recommended_conf(largest_shuffle_bytes: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Cluster settings sized to the largest shuffle, for a ``SparkSession.builder.config`` loop.
+
+    On the main path the only shuffle that is not map-side combined is the exact
+    duplicate-timestamp count: one 8-byte column plus a count, about 16 bytes per
+    reading, so roughly 11 TB for 100 TB of raw readings at ~150 bytes/row.  The
+    initial partition count keeps ~128 MiB per partition for it (≈ 85k); AQE then
+    coalesces the small stages (the marts are orders of magnitude smaller) and
+    splits skewed join partitions.  Scan splits are capped at 256 MiB.
     """
-    initial = max(200, -(-input_bytes // target_partition_bytes))
+    initial = max(200, -(-largest_shuffle_bytes // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
