@@ -49,7 +49,7 @@ def alert_condition(values: DataFrame, op: str = ">", threshold: float = 0.0,
 
 def _greedy(grace_us: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ep = np.sort(pdf["_us"].to_numpy())
+        ep = np.unique(pdf["_us"].to_numpy())  # sorted, one row per tick time
         hit = np.zeros(len(ep), dtype=bool)
         i = 0
         while i < len(ep):
@@ -84,7 +84,7 @@ def alert_states(ticks: DataFrame, grace_seconds: float, op: str = ">", threshol
         t = t.join(active.filter(F.col("active")).select(F.col(alert).alias("_alert")), on="_alert", how="left_semi")
     grace_us = int(round(grace_seconds * 1_000_000))
     t = t.withColumn("_us", F.unix_micros(F.col("_tick").cast("timestamp")))
-    true_ticks = t.filter(condition(F.col("_value"), op, threshold)).select("_alert", "_tick", "_us").distinct()
+    true_ticks = t.filter(condition(F.col("_value"), op, threshold)).select("_alert", "_tick", "_us")
     seg = assign_islands(true_ticks, ["_alert"], "_tick", out="_segment", max_gap_micros=grace_us)
     schema = StructType([StructField("_alert", ticks.schema[alert].dataType), StructField("_us", LongType()),
                          StructField("_success", BooleanType())])
