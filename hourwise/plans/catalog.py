@@ -120,6 +120,12 @@ def q_daily_mart(spark, d):
     return marts.daily_mart(hourly(spark, d))
 
 
+@query("daily_mart_by_asset", _sql(O.chain(ASSET, upto="daily"), "SELECT * FROM daily", DAILY_DOUBLES))
+def q_daily_mart_by_asset(spark, d):
+    """A2 per asset."""
+    return marts.daily_mart(hourly(spark, d, ASSET), ASSET)
+
+
 _STATES = SPEC.state_labels()
 
 

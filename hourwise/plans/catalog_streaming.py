@@ -27,6 +27,18 @@ def q_stream_hourly_mart(spark, d):
     return spark.read.parquet(sink)
 
 
+@query("stream_hourly_mart_by_asset", _sql(O.chain(["asset_id"], upto="hourly"), f"SELECT * FROM hourly WHERE {_FINAL}",
+                                           HOURLY_DOUBLES))
+def q_stream_hourly_mart_by_asset(spark, d):
+    """X5 per asset: tumbling hourly windows grouped by asset, one global event-time watermark."""
+    root = scratch(spark, "stream-asset")
+    sink = posixpath.join(root, "hourly")
+    q = stream_hourly_mart(spark, d, sink, posixpath.join(root, "_checkpoint"), SPEC, keys=["asset_id"],
+                           glob=EVENTS_GLOB)
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
 @query("stream_scored_hours", _sql(O.chain(upto="candidates"), f"SELECT * FROM candidates WHERE {_FINAL}",
                                    CAND_DOUBLES))
 def q_stream_scored_hours(spark, d):
