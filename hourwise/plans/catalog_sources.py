@@ -164,8 +164,9 @@ def q_provenance_row(spark, d):
 def _publish(spark, d):
     from hourwise.plans.refresh import refresh
     root = scratch(spark, "snapshots")
+    source_sha = S.file_digests(spark, d, "events.parquet").first()["sha256"]  # digest computed on an executor
     refresh(spark, readings(spark, d), reports(spark), SPEC, root, "sf-run", "events.parquet",
-            snapshot_id="sf-run-snapshot")
+            source_sha256=source_sha, snapshot_id="sf-run-snapshot")
     return root
 
 
@@ -175,7 +176,7 @@ def q_snapshot_manifest(spark, d):
     root = _publish(spark, d)
     folder, _ = S.current_snapshot(spark, root)
     m = spark.read.option("multiLine", True).json(posixpath.join(folder, S.MANIFEST))
-    return m.select("snapshot_id", "original_reading_count", "first_reading", "last_reading",
+    return m.select("snapshot_id", "source_sha256", "original_reading_count", "first_reading", "last_reading",
                     "duplicate_timestamps", "engine_version", "timestamp_policy")
 
 
