@@ -2,8 +2,9 @@
 
 Naive timestamps (TIMESTAMP_NTZ) are truncated via ``date_trunc`` which works in
 the session time zone; the engine pins the session to UTC so no daylight-saving
-shift can move an hour.  Checkpoints go to ``spark.checkpoint.dir`` when the
-cluster names one; only a local/test session gets a scratch default.
+shift can move an hour.  Checkpoints and written intermediate tables go to the
+cluster's ``spark.checkpoint.dir``; only a local-mode session gets a scratch
+default when it is unset.
 """
 
 from __future__ import annotations
@@ -68,13 +69,20 @@ def recommended_conf(largest_shuffle_bytes: int, target_partition_bytes: int = 1
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only when unset (tests)."""
+    """Return the shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+
+    Only a local-mode session (tests, this container) gets a scratch default when
+    none is configured; on a cluster an unset folder is an error, because a
+    driver-local path is not visible to the executors.
+    """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="hourwise-ckpt-", dir=os.environ.get("HOURWISE_SCRATCH", None))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
