@@ -56,6 +56,23 @@ def local_frame(spark, rows, schema):
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def join_keys(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` where NULL keys match each other (``<=>``), keeping one copy of each key.
+
+    Spark still plans this as a hash or sort-merge join (null-safe equality is
+    rewritten to equi-join keys), so asset keys that are NULL keep their group.
+    """
+    lft, rgt = left.alias("_jl"), right.alias("_jr")
+    cond = [F.col(f"_jl.`{c}`").eqNullSafe(F.col(f"_jr.`{c}`")) for c in cols]
+    joined = lft.join(rgt, on=cond, how=how)
+    if how in ("left_semi", "semi", "left_anti", "anti"):
+        return joined
+    if how not in ("inner", "left", "left_outer"):
+        raise ValueError(f"join_keys supports inner/left/semi/anti joins, not {how}")
+    rest = [F.col(f"_jr.`{c}`") for c in right.columns if c not in cols]
+    return joined.select(*[F.col(f"_jl.`{c}`") for c in left.columns], *rest)
+
+
 def trunc_hour(ts) -> Column:
     """Hour floor of a naive timestamp, kept naive (date_trunc returns LTZ)."""
     return F.date_trunc("hour", _c(ts)).cast("timestamp_ntz")

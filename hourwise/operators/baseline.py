@@ -71,7 +71,7 @@ def trailing_baseline_join(hourly: DataFrame, lookback_seconds: int, keys: list[
     prior = (hourly.select(*keys, F.col(ts).alias("_p_ts"), *[F.col(c).alias(f"_p_{c}") for c in sums])
              .withColumn("_bucket", F.explode(F.sequence(F.to_date("_p_ts"),
                                                          F.date_add(F.to_date("_p_ts"), days)))))
-    cond = [cur[k] == prior[k] for k in keys] + [
+    cond = [cur[k].eqNullSafe(prior[k]) for k in keys] + [
         cur["_bucket"] == prior["_bucket"],
         prior["_p_ts"] >= cur[ts] - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(lookback_seconds)),
         prior["_p_ts"] < cur[ts]]

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourwise.functions.columns import ratio, stable_id
+from hourwise.functions.columns import join_keys, ratio, stable_id
 from hourwise.operators.baseline import CHUNK_DAYS, chunk_with_halo
 from hourwise import spec as S
 from hourwise.spec import RuleSpec
@@ -54,7 +54,7 @@ def assign_islands(flagged: DataFrame, keys: list[str] | None = None, ts: str =
                  .agg(F.max(F.when(F.col("_start"), F.col("_ep"))).alias("_chunk_last")))
     carry = per_chunk.select(*keys, "_chunk", F.max("_chunk_last").over(
         Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    joined = local.join(carry, on=[*keys, "_chunk"], how="left")
+    joined = join_keys(local, carry, [*keys, "_chunk"], "left")
     start_ep = F.coalesce(F.col("_local"), F.col("_carry"))
     as_ts = F.timestamp_micros(start_ep) if micros else F.timestamp_seconds(start_ep)
     return (joined.withColumn(out, as_ts.cast("timestamp_ntz"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourwise.functions.columns import ceil_hour, ntz_lit, trunc_hour
+from hourwise.functions.columns import ceil_hour, join_keys, ntz_lit, trunc_hour
 from hourwise import spec as S
 
 REPORT_KEY = ["report_id", "report_type", "starts_at", "ends_at"]
@@ -103,7 +103,7 @@ def incident_evidence(incidents: DataFrame, investigation: DataFrame, lookback_d
         .alias("hour_ts"))
     vals = investigation.select(*keys, "hour_ts", "readings", "loaded_readings", "low_pressure_loaded_readings",
                                 "current_low_fraction", "prior_low_fraction", "candidate_status")
-    return grid.join(vals, on=[*keys, "hour_ts"], how="left")
+    return join_keys(grid, vals, [*keys, "hour_ts"], "left")
 
 
 def clip_reports(reports: DataFrame, lo, hi, hours: DataFrame | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourwise.functions.columns import ntz_lit, seconds_between
+from hourwise.functions.columns import join_keys, ntz_lit, seconds_between
 
 
 def _step(step_seconds: int) -> Column:
@@ -35,7 +35,7 @@ def densify(df: DataFrame, ts: str, step_seconds: int, lo, hi, keys: list[str] |
     else:
         grid = df.sparkSession.range(1).select(gen)
     data = df.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
-    return grid.join(data, on=[*keys, ts], how="left")
+    return join_keys(grid, data, [*keys, ts], "left")
 
 
 def asfreq(df: DataFrame, ts: str, step_seconds: int, keys: list[str] | None = None) -> DataFrame:
@@ -43,15 +43,14 @@ def asfreq(df: DataFrame, ts: str, step_seconds: int, keys: list[str] | None = N
     keys = list(keys or [])
     bounds = df.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
     grid = bounds.select(*keys, F.explode(F.sequence("_lo", "_hi", _step(step_seconds))).alias(ts))
-    return grid.join(df, on=[*keys, ts], how="left")
+    return join_keys(grid, df, [*keys, ts], "left")
 
 
 def resample_null_check(original: DataFrame, resampled: DataFrame, ts: str, value_cols: list[str],
                         keys: list[str] | None = None) -> DataFrame:
     """Rows added by resampling must carry only NULL values."""
     keys = list(keys or [])
-    marked = resampled.join(original.select(*keys, ts).withColumn("_present", F.lit(True)),
-                            on=[*keys, ts], how="left")
+    marked = join_keys(resampled, original.select(*keys, ts).withColumn("_present", F.lit(True)), [*keys, ts], "left")
     added = F.col("_present").isNull()
     any_value = F.lit(False)
     for c in value_cols:
@@ -92,7 +91,7 @@ def stitched_lag(df: DataFrame, order_col: str, value_col: str, out: str, bucket
     last = b.groupBy(*keys, "_bucket").agg(F.max_by(value_col, order_col).alias("_last"))
     carry = last.select(*keys, "_bucket", F.lag("_last").over(
         Window.partitionBy(*keys).orderBy("_bucket")).alias("_carry"))
-    return (local.join(carry, on=[*keys, "_bucket"], how="left")
+    return (join_keys(local, carry, [*keys, "_bucket"], "left")
             .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag")))
             .drop("_bucket", "_lag", "_first", "_carry"))
 

@@ -56,8 +56,15 @@ def query(name: str, sql: str | None = None, rounding: bool = True):
 _PLANS: dict = {}
 
 
+def _session_key(spark):
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect sessions expose no SparkContext
+        return getattr(spark, "session_id", None)
+
+
 def _memo(kind, spark, d, keys, build):
-    k = (kind, id(spark), spark.sparkContext.applicationId, d, tuple(keys))
+    k = (kind, id(spark), _session_key(spark), d, tuple(keys))
     if k not in _PLANS:
         _PLANS[k] = build()
     return _PLANS[k]

@@ -59,3 +59,12 @@ def test_clip_and_context(spark):
     assert ctx[1].expected_hours == 168 and ctx[1].observed_hours == 1 and ctx[1].candidate_hours == 1
     with pytest.raises(ValueError):
         review.report_context(rep, hours, 15)
+
+
+def test_null_asset_key_keeps_its_islands(spark):
+    """Keys are joined null-safely: a NULL asset is its own group, not dropped."""
+    from hourwise.operators.incidents import assign_islands
+    rows = [(None, D(2024, 1, 1, h)) for h in (0, 1, 5)] + [(1, D(2024, 1, 1, h)) for h in (0, 2)]
+    df = spark.createDataFrame(rows, "asset int, hour_ts timestamp_ntz")
+    got = {(r.asset, r.hour_ts.hour): r.island_start.hour for r in assign_islands(df, ["asset"], chunk_days=1).collect()}
+    assert got == {(None, 0): 0, (None, 1): 0, (None, 5): 5, (1, 0): 0, (1, 2): 2}
