@@ -87,3 +87,25 @@ def test_stream_hourly_mart_drops_late_rows(spark, tmp_path):
     out = {r.hour_ts: r.readings for r in spark.read.parquet(sink).collect()}
     assert out[D(2024, 1, 1, 0)] == 3       # the late 00:30 row did not reopen the emitted hour
     assert late_total == 1
+
+
+def test_stream_scoring_uses_stored_history_across_batches(spark, tmp_path):
+    """Hours finalised in a later micro-batch are scored against hours stored by earlier batches."""
+    from hourwise.operators import marts, rule
+    from hourwise.sources.readings import readings_from_events
+    from hourwise.spec import DEMO_V1
+    from hourwise.streaming.hourly import stream_scored_hours
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    ev = [(i, D(2024, 1, 1) + dt.timedelta(minutes=10 * i), 1, "view", 35.0 if i % 3 else 5.0,
+           '{"k": %d}' % (5 if i % 4 == 0 else 50)) for i in range(6 * 24 * 3)]
+    half = len(ev) // 2
+    src, out, ck = str(tmp_path / "ev"), str(tmp_path / "out"), str(tmp_path / "ck")
+    for batch in (ev[:half], ev[half:]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(src)
+        stream_scored_hours(spark, src, out, ck, DEMO_V1).awaitTermination()
+    scored = {r.hour_ts: (r.prior_loaded_readings, r.candidate_status)
+              for r in spark.read.parquet(out + "/scored").collect()}
+    batch_all = spark.createDataFrame(ev, schema)
+    cand = rule.candidate_hours(marts.hourly_mart(readings_from_events(batch_all), DEMO_V1), DEMO_V1)
+    expect = {r.hour_ts: (r.prior_loaded_readings, r.candidate_status) for r in cand.collect() if r.hour_ts in scored}
+    assert len(scored) >= 70 and scored == expect

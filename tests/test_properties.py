@@ -80,3 +80,27 @@ def test_stitched_lag_balances_a_hot_hour(spark):
     got = {r.ts: r.prev for r in stitched_lag(df, "ts", "ts", "prev", buckets=8).collect()}
     ordered = sorted(stamps)
     assert got == {t: (ordered[i - 1] if i else None) for i, t in enumerate(ordered)}
+
+
+@SETTINGS
+@given(days=st.lists(st.tuples(st.integers(0, 20), st.integers(1, 500), st.integers(0, 500), st.integers(0, 500)),
+                     min_size=1, max_size=15, unique_by=lambda x: x[0]),
+       cut=st.integers(0, 20))
+def test_period_kpis_additive_over_disjoint_periods(spark, days, cut):
+    from hourwise.operators import period as P
+    from hourwise.sources.readings import reports
+    rows = [(dt.date(2021, 3, 1) + dt.timedelta(days=d), n, min(l, n), min(lo, l, n)) for d, n, l, lo in days]
+    daily = spark.createDataFrame(rows, "reading_date date, readings long, loaded_readings long, "
+                                        "low_pressure_loaded_readings long")
+    hourly = spark.createDataFrame([], "hour_ts timestamp_ntz, candidate_status string")
+    inc = spark.createDataFrame([], "starts_at timestamp_ntz, ends_at timestamp_ntz")
+    t = {"daily": daily, "hourly": hourly, "incidents": inc, "reports": reports(spark, rows=[])}
+    first, last, mid = dt.date(2021, 3, 1), dt.date(2021, 3, 21), dt.date(2021, 3, 1) + dt.timedelta(days=cut)
+
+    def k(a, b):
+        return P.kpis(P.select_period(t, a, b)).first()
+    whole = k(first, last)
+    left = k(first, mid)
+    right = k(mid + dt.timedelta(days=1), last)
+    assert whole.readings == left.readings + right.readings
+    assert whole.loaded_readings == left.loaded_readings + right.loaded_readings
