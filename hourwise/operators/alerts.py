@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from hourwise.functions.columns import ntz_lit
+from hourwise.session import materialize
 from hourwise.operators.incidents import assign_islands
 
 NOT_TRIGGERED, SUCCESS, ON_GRACE = "Not triggered", "Success", "On Grace"
@@ -83,7 +84,8 @@ def alert_states(ticks: DataFrame, grace_seconds: float, op: str = ">", threshol
     if active is not None:
         t = t.join(active.filter(F.col("active")).select(F.col(alert).alias("_alert")), on="_alert", how="left_semi")
     grace_us = int(round(grace_seconds * 1_000_000))
-    t = t.withColumn("_us", F.unix_micros(F.col("_tick").cast("timestamp")))
+    # the tick log feeds several branches (segments, success marks, running last): written once
+    t = materialize(t.withColumn("_us", F.unix_micros(F.col("_tick").cast("timestamp"))), "alert_ticks")
     true_ticks = t.filter(condition(F.col("_value"), op, threshold)).select("_alert", "_tick", "_us")
     seg = assign_islands(true_ticks, ["_alert"], "_tick", out="_segment", max_gap_micros=grace_us)
     schema = StructType([StructField("_alert", ticks.schema[alert].dataType), StructField("_us", LongType()),

@@ -12,6 +12,7 @@ from hourwise.operators.marts import state_predicates
 from hourwise.operators.period import combine_rows, half_open
 from hourwise.operators.timegrid import distinct_time_deltas, stitched_lag, weighted_percentile_disc
 from hourwise import spec as S
+from hourwise.session import materialize
 from hourwise.spec import RuleSpec
 
 
@@ -187,6 +188,8 @@ def weighted_rollup_check(readings: DataFrame, hourly: DataFrame, daily: DataFra
                           periods: list[tuple]) -> DataFrame:
     """Q15: raw aggregates vs hourly (sum form) and daily (mean*n form) roll-ups per period."""
     p = state_predicates(spec)
+    # both marts are read once per period: write them once
+    hourly, daily = materialize(hourly, "rollup_hourly"), materialize(daily, "rollup_daily")
     out = None
     for lo, hi in periods:
         raw = half_open(readings, "observed_at", lo, hi).agg(
@@ -237,6 +240,7 @@ def independent_recheck(readings: DataFrame, daily: DataFrame, inv: DataFrame, i
                         spec: RuleSpec) -> DataFrame:
     """Q16: re-derive daily metrics, hourly status and island sizes a second way; count mismatches."""
     from hourwise.operators.compare import tolerance_compare
+    inv = materialize(inv, "recheck_investigation")  # read by the status and the islands checks
     cols = ["readings", "loaded_readings", "low_pressure_loaded_readings", "avg_panel_pressure_bar",
             "avg_pressure_gap_bar", "avg_oil_temperature_c"]
     dd = tolerance_compare(direct_daily(readings, spec), daily, ["reading_date"], cols, rel=1e-9, abs_tol=1e-9)

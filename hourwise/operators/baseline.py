@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourwise.functions.columns import epoch_seconds
+from hourwise.session import materialize
 
 CHUNK_DAYS = 28
 
@@ -67,6 +68,7 @@ def trailing_baseline_join(hourly: DataFrame, lookback_seconds: int, keys: list[
     keys = list(keys or [])
     sums = sums or {"loaded": "prior_loaded", "low": "prior_low"}
     days = -(-lookback_seconds // 86400)
+    hourly = materialize(hourly, "self_join_input")  # both join sides read the same written rows
     cur = hourly.withColumn("_bucket", F.to_date(ts))
     prior = (hourly.select(*keys, F.col(ts).alias("_p_ts"), *[F.col(c).alias(f"_p_{c}") for c in sums])
              .withColumn("_bucket", F.explode(F.sequence(F.to_date("_p_ts"),

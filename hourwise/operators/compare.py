@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourwise.functions.columns import within_tolerance
+from hourwise.session import materialize
 
 
 def table_diff(before: DataFrame, after: DataFrame, ignore: list[str] | None = None) -> DataFrame:
     """Rows present on one side only (multiset difference both ways), volatile columns ignored."""
     ignore = set(ignore or [])
     cols = [c for c in before.columns if c not in ignore]
-    b, a = before.select(*cols), after.select(*cols)
+    # each side is read by both multiset differences: written once
+    b, a = materialize(before.select(*cols), "diff_before"), materialize(after.select(*cols), "diff_after")
     return (b.exceptAll(a).withColumn("side", F.lit("before_only"))
             .unionByName(a.exceptAll(b).withColumn("side", F.lit("after_only"))))
 

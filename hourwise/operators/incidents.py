@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from hourwise.functions.columns import join_keys, ratio, stable_id
 from hourwise.operators.baseline import CHUNK_DAYS, chunk_with_halo
+from hourwise.session import materialize
 from hourwise import spec as S
 from hourwise.spec import RuleSpec
 
@@ -41,6 +42,9 @@ def assign_islands(flagged: DataFrame, keys: list[str] | None = None, ts: str =
     keys = list(keys or [])
     micros = max_gap_micros is not None
     halo = -(-max_gap_micros // 1_000_000) if micros else step_seconds
+    # the rows feed two branches (in-chunk scan and per-chunk carry): written once, so the
+    # upstream lineage (the raw aggregation) is not recomputed per branch
+    flagged = materialize(flagged, "islands_input")
     chunked = chunk_with_halo(flagged, ts, halo, chunk_days * 86400, micros=micros)
     w = Window.partitionBy(*keys, "_chunk").orderBy("_ep")
     prev = F.lag("_ep").over(w)

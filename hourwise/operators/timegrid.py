@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourwise.functions.columns import join_keys, ntz_lit, seconds_between
+from hourwise.session import materialize
 
 
 def _step(step_seconds: int) -> Column:
@@ -41,6 +42,7 @@ def densify(df: DataFrame, ts: str, step_seconds: int, lo, hi, keys: list[str] |
 def asfreq(df: DataFrame, ts: str, step_seconds: int, keys: list[str] | None = None) -> DataFrame:
     """Reindex between the first and last present point of each key (pandas ``asfreq``)."""
     keys = list(keys or [])
+    df = materialize(df, "asfreq_input")  # read twice: bounds and the join
     bounds = df.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
     grid = bounds.select(*keys, F.explode(F.sequence("_lo", "_hi", _step(step_seconds))).alias(ts))
     return join_keys(grid, df, [*keys, ts], "left")
@@ -50,6 +52,7 @@ def resample_null_check(original: DataFrame, resampled: DataFrame, ts: str, valu
                         keys: list[str] | None = None) -> DataFrame:
     """Rows added by resampling must carry only NULL values."""
     keys = list(keys or [])
+    resampled = materialize(resampled, "resampled")
     marked = join_keys(resampled, original.select(*keys, ts).withColumn("_present", F.lit(True)), [*keys, ts], "left")
     added = F.col("_present").isNull()
     any_value = F.lit(False)
@@ -85,7 +88,8 @@ def stitched_lag(df: DataFrame, order_col: str, value_col: str, out: str, bucket
     if bucket is None:
         n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         bucket = quantile_buckets(df, order_col, n)
-    b = df.withColumn("_bucket", bucket)
+    # rows feed two branches (in-bucket LAG and per-bucket last value): written once
+    b = materialize(df.withColumn("_bucket", bucket), "lag_input")
     w = Window.partitionBy(*keys, "_bucket").orderBy(order_col)
     local = b.withColumn("_lag", F.lag(value_col).over(w)).withColumn("_first", F.row_number().over(w) == 1)
     last = b.groupBy(*keys, "_bucket").agg(F.max_by(value_col, order_col).alias("_last"))
@@ -132,7 +136,11 @@ def distinct_time_deltas(readings: DataFrame, ts: str = "observed_at",
     """
     keys = list(keys or [])
     per_ts = readings.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("n"))
-    lagged = stitched_lag(per_ts, ts, ts, "previous_at", keys=keys)
+    # cut points from the raw column (a scan with per-partition sketches, no shuffle); any monotone
+    # cut points are correct, these also balance the per-timestamp rows
+    n = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lagged = stitched_lag(per_ts, ts, ts, "previous_at", bucket=quantile_buckets(readings.select(ts), ts, n),
+                          keys=keys)
     return lagged.withColumn("delta_seconds", seconds_between(ts, "previous_at"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hourwise.operators import audit as A, compare as U, marts, period as P, quality as Q, review, timegrid as T
 from hourwise.functions.columns import ntz_lit
+from hourwise.session import materialize
 from hourwise.operators import rule, incidents as inc
 from hourwise.plans import oracle as O
 from hourwise.plans.catalog import (ASSET, CAND_DOUBLES, DAILY_DOUBLES, INC_DOUBLES, SPEC, _sql, candidates,
@@ -29,9 +30,11 @@ def daily(spark, d, keys=()):
 
 
 def tables(spark, d):
-    """The four period inputs, all derived from one hourly mart and one investigation plan."""
-    return {"hourly": investigation(spark, d), "daily": daily(spark, d), "incidents": incidents(spark, d),
-            "reports": reports(spark)}
+    """The four period inputs; the hourly mart they share is written once for the query."""
+    h = materialize(hourly(spark, d), "period_hourly_mart")
+    rep = reports(spark)
+    inv = rule.investigation(h, rep, SPEC)
+    return {"hourly": inv, "daily": marts.daily_mart(h), "incidents": inc.incidents(inv, SPEC), "reports": rep}
 
 
 ALL = O.chain(upto="all")

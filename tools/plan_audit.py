@@ -44,7 +44,8 @@ def main():
         if "ArrowEvalPython" in plan or "BatchEvalPython" in plan or "FlatMapGroupsInPandas" in plan:
             flags.append("python")
         ex = len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange RoundRobin", plan))
-        print(f"{name:32s} exchanges={ex:2d} {' '.join(flags)}")
+        scans = len(re.findall(r"Scan parquet [^\n]*events", plan)) + len(re.findall(r"FileScan parquet [^\n]*events", plan))
+        print(f"{name:32s} exchanges={ex:2d} raw_scans={scans} {' '.join(flags)}")
     spark.stop()
 
 
