@@ -32,19 +32,23 @@ INCIDENT_COLUMNS = ["incident_id", "starts_at", "ends_at", "candidate_hours", "r
 
 def assign_islands(flagged: DataFrame, keys: list[str] | None = None, ts: str = "hour_ts",
                    step_seconds: int = 3600, chunk_days: int = CHUNK_DAYS,
-                   out: str = "island_start", max_gap_micros: int | None = None) -> DataFrame:
+                   out: str = "island_start", max_gap_micros: int | None = None,
+                   materialize_input: bool = True) -> DataFrame:
     """Add ``out`` = first timestamp of the run each row belongs to.
 
     Default: a run is a sequence of rows exactly ``step_seconds`` apart.  With
     ``max_gap_micros``: consecutive rows closer than that many microseconds
     continue a run (session-style segmentation, any timestamp precision).
+    ``materialize_input=False`` skips writing the input when it is already a cheap
+    read of written tables.
     """
     keys = list(keys or [])
     micros = max_gap_micros is not None
     halo = -(-max_gap_micros // 1_000_000) if micros else step_seconds
     # the rows feed two branches (in-chunk scan and per-chunk carry): written once, so the
     # upstream lineage (the raw aggregation) is not recomputed per branch
-    flagged = materialize(flagged, "islands_input")
+    if materialize_input:
+        flagged = materialize(flagged, "islands_input")
     chunked = chunk_with_halo(flagged, ts, halo, chunk_days * 86400, micros=micros)
     w = Window.partitionBy(*keys, "_chunk").orderBy("_ep")
     prev = F.lag("_ep").over(w)
@@ -66,10 +70,11 @@ def assign_islands(flagged: DataFrame, keys: list[str] | None = None, ts: str =
 
 
 def incidents(investigation: DataFrame, spec: RuleSpec, keys: list[str] | None = None,
-              chunk_days: int = CHUNK_DAYS) -> DataFrame:
+              chunk_days: int = CHUNK_DAYS, materialize_input: bool = True) -> DataFrame:
     keys = list(keys or [])
     flagged = investigation.filter(F.col("candidate_status") == S.REVIEW_PRESSURE)
-    isl = assign_islands(flagged, keys, "hour_ts", spec.grain_seconds, chunk_days)
+    isl = assign_islands(flagged, keys, "hour_ts", spec.grain_seconds, chunk_days,
+                         materialize_input=materialize_input)
     agg = (isl.groupBy(*keys, "island_start")
            .agg(F.min("hour_ts").alias("starts_at"),
                 (F.max("hour_ts") + F.expr(f"INTERVAL {spec.grain_seconds} SECONDS")).alias("ends_at"),

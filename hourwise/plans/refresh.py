@@ -46,7 +46,7 @@ def refresh(spark: SparkSession, readings: DataFrame, reports: DataFrame, spec:
     cand = materialize(rule.candidate_hours(hourly, spec), "mart_candidate_hours")
     inv = rule.investigation(hourly, reports, spec, candidates=cand)
     tables = {"hourly_investigation": (inv, ["hour_ts"]), "daily_metrics": (daily, ["reading_date"]),
-              "failure_reports": (reports, ["report_id"]), "incidents": (inc.incidents(inv, spec), ["starts_at"]),
+              "failure_reports": (reports, ["report_id"]), "incidents": (inc.incidents(inv, spec, materialize_input=False), ["starts_at"]),
               "report_review": (review.report_review(reports, cand), ["report_id"])}
     path = S.publish_snapshot(spark, root, snapshot_id or run_id, tables, state, counts, spec.as_dict())
     return RefreshResult(path, state, counts, tables)
