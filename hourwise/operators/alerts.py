@@ -87,7 +87,8 @@ def alert_states(ticks: DataFrame, grace_seconds: float, op: str = ">", threshol
     # the tick log feeds several branches (segments, success marks, running last): written once
     t = materialize(t.withColumn("_us", F.unix_micros(F.col("_tick").cast("timestamp"))), "alert_ticks")
     true_ticks = t.filter(condition(F.col("_value"), op, threshold)).select("_alert", "_tick", "_us")
-    seg = assign_islands(true_ticks, ["_alert"], "_tick", out="_segment", max_gap_micros=grace_us)
+    seg = assign_islands(true_ticks, ["_alert"], "_tick", out="_segment", max_gap_micros=grace_us,
+                         materialize_input=False)  # a filter over the written tick log
     schema = StructType([StructField("_alert", ticks.schema[alert].dataType), StructField("_us", LongType()),
                          StructField("_success", BooleanType())])
     succ = (seg.select("_alert", "_segment", "_us").groupBy("_alert", "_segment")
