@@ -31,6 +31,19 @@ from hourwise.functions.columns import ntz_lit
 from hourwise.session import materialize
 from hourwise.operators.incidents import assign_islands
 
+def _ship_by_value() -> None:
+    """Executor-side Python in this module travels with the task (pickled by value), so Python
+    workers need no installed copy of the package."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # older cloudpickle: the package must then be on the executors' path
+        pass
+
+
+_ship_by_value()
+
 NOT_TRIGGERED, SUCCESS, ON_GRACE = "Not triggered", "Success", "On Grace"
 
 _OPS = {">": lambda c, t: c > t, ">=": lambda c, t: c >= t, "<": lambda c, t: c < t,

@@ -25,6 +25,19 @@ from hourwise.operators.alerts import NOT_TRIGGERED, ON_GRACE, SUCCESS
 _CMP = {">": np.greater, ">=": np.greater_equal, "<": np.less, "<=": np.less_equal, "==": np.equal,
         "!=": np.not_equal}
 
+def _ship_by_value() -> None:
+    """Executor-side Python in this module travels with the task (pickled by value), so Python
+    workers need no installed copy of the package."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # older cloudpickle: the package must then be on the executors' path
+        pass
+
+
+_ship_by_value()
+
 OUTPUT = StructType([StructField("alert", StringType()), StructField("tick", TimestampNTZType()),
                      StructField("value", DoubleType()), StructField("state", StringType())])
 STATE = StructType([StructField("last_success_us", LongType())])
