@@ -32,3 +32,15 @@ def test_scan_prunes_columns(spark):
 def test_raw_period_filter_pushed_to_scan(spark):
     p = plan(queries()["weighted_rollup_check"](spark, SF))
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in p
+
+
+def test_latest_n_limits_per_key_before_the_shuffle(spark):
+    p = plan(queries()["alert_log_latest_n"](spark, SF))
+    assert p.count("WindowGroupLimit") >= 2  # partial (map side) and final per-alert limit
+
+
+def test_no_nested_loop_or_cartesian_joins_in_core_queries(spark):
+    for name in ["investigation", "incidents", "report_review", "retrospective_review", "report_context",
+                 "window_vs_join_mismatch", "period_kpis", "upsert_reports"]:
+        p = plan(queries()[name](spark, SF))
+        assert "NestedLoopJoin" not in p and "CartesianProduct" not in p, name
