@@ -34,7 +34,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
          .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.ui.enabled", "false")
-         .config("spark.driver.memory", "8g")
+         # local-mode heap; override with HOURWISE_DRIVER_MEMORY (the bench container has 7 GB in total)
+         .config("spark.driver.memory", os.environ.get("HOURWISE_DRIVER_MEMORY", "4g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
