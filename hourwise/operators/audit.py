@@ -83,7 +83,7 @@ def window_vs_join(readings: DataFrame, inv: DataFrame, spec: RuleSpec) -> DataF
 
 def cadence(readings: DataFrame, row_bucket: int = 1_000_000, gap_seconds: float = 20.0) -> DataFrame:
     """Q9: duplicates, source-order reversals, discrete median interval, gaps, largest gap."""
-    d = distinct_time_deltas(readings)
+    d = materialize(distinct_time_deltas(readings), "time_deltas")  # read by three aggregates
     # time order: n-1 zero deltas per timestamp plus one delta per distinct timestamp
     time_stats = d.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("observations"),
@@ -107,7 +107,7 @@ def cadence(readings: DataFrame, row_bucket: int = 1_000_000, gap_seconds: float
 
 def largest_gaps(readings: DataFrame, n: int = 10) -> DataFrame:
     """Q11: the n largest consecutive gaps (ties broken by the later timestamp)."""
-    d = distinct_time_deltas(readings)
+    d = materialize(distinct_time_deltas(readings), "time_deltas")  # read twice (steps, zero gaps)
     steps = d.filter(F.col("previous_at").isNotNull()).select("previous_at", "observed_at",
                                                                F.col("delta_seconds").alias("gap_seconds"))
     # duplicate timestamps contribute zero gaps; at most n of them can ever be selected
