@@ -7,7 +7,8 @@ from conftest import SF
 
 NAMES = ["hourly_mart", "daily_mart", "investigation", "incidents_by_asset", "report_review", "audit_cadence",
          "window_vs_join_mismatch", "period_kpis", "k12_hourly_share_baseline", "alert_state_log", "validate_rows",
-         "upsert_reports", "data_quality"]
+         "upsert_reports", "data_quality", "incidents", "k13_incident_queue", "stream_alert_state_log",
+         "stream_hourly_mart_by_asset", "audit_largest_gaps", "report_context", "daily_trend_dense"]
 
 
 def _norm(v):
