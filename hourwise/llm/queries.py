@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hourwise.llm import line_dedup, mixing, url_filter
+from hourwise.llm import (decontaminate, html_extract, language_id, line_dedup, mixing, near_dedup, secret_scan, topk,
+                          url_filter, warc)
 from hourwise.llm.common import ROW, numbered, table
 from hourwise.llm.oracle import SQL
 
@@ -25,13 +26,50 @@ def op2_line_dedup(spark, sf_dir):
     return x.select("doc_id", "text", F.col("__hw_lines").alias("n_lines"), F.col("__hw_removed").alias("n_removed"))
 
 
+def op3_decontaminate(spark, sf_dir):
+    """Benchmark hits of every document."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_language_id(spark, sf_dir):
+    """Predicted language of every document."""
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark, sf_dir):
+    """Metadata and conversion records of every page."""
+    return warc.derived_from_pages(table(spark, sf_dir, "pages"))
+
+
+def op6_near_dedup(spark, sf_dir):
+    """Near-duplicate class of every document."""
+    return near_dedup.labelled(table(spark, sf_dir, "documents"))
+
+
+def op7_html_extract(spark, sf_dir):
+    """Main text of every page."""
+    return html_extract.extracted(table(spark, sf_dir, "pages"))
+
+
+def op8_secret_scan(spark, sf_dir):
+    """Secrets in every document; the source is the owner, the document the repository."""
+    return secret_scan.scanned(table(spark, sf_dir, "documents"))
+
+
+def op9_topk(spark, sf_dir):
+    """The 5 nearest vectors of every 50th one."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark, sf_dir):
     """Words that the mix takes of every document."""
     docs = numbered(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "mix_docs")
     return mixing.mix(docs).drop(ROW)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_line_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (
+    op1_url_filter, op2_line_dedup, op3_decontaminate, op4_language_id, op5_warc, op6_near_dedup, op7_html_extract,
+    op8_secret_scan, op9_topk, op10_mixing)}
 
 
 def queries():
