@@ -101,4 +101,14 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = posixpath.join(checkpoint_dir(spark), "hourwise", "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*dfs) -> None:
+    """Delete the written tables behind ``materialize`` results that no later plan reads."""
+    for df in dfs:
+        spark, folder = df.sparkSession, None
+        for file in df.inputFiles()[:1]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if folder is not None and folder.getParent().getName() == "tables":
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
