@@ -209,18 +209,18 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_column: str, window: int = WI
     schema = T.StructType([d.schema[id_column], T.StructField("n_words", T.LongType()),
                            *(T.StructField(c, T.ArrayType(T.LongType())) for c in ("first", "last")),
                            T.StructField("items", T.ArrayType(T.StringType()))])
-    parts = None
+    parts, columns, id_schema = None, [id_column], schema
     for automaton, n in _shards(benchmark, window, shard_bytes):
         shared = _shared(docs.sparkSession, automaton)
         if n == 1:
-            return d.mapInArrow(_scanner(shared, [id_column]), schema)
-        if parts is None:
-            d, id_schema = numbered(d, "decontaminate_docs"), schema
+            return d.mapInArrow(_scanner(shared, columns), schema)
+        if parts is None and id_column != ROW:
+            d, columns = numbered(d, "decontaminate_docs"), [ROW, id_column]
             schema = T.StructType([T.StructField(ROW, T.LongType()), *schema.fields])
-        part = materialize(d.mapInArrow(_scanner(shared, [ROW, id_column]), schema), "decontaminate_part")
+        part = materialize(d.mapInArrow(_scanner(shared, columns), schema), "decontaminate_part")
         parts = part if parts is None else parts.unionByName(part)
-    joined = parts.groupBy(ROW).agg(F.first(id_column).alias(id_column), F.first("n_words").alias("n_words"), *(
-        F.flatten(F.collect_list(c)).alias(c) for c in ("first", "last", "items"))).drop(ROW)
+    joined = parts.groupBy(ROW).agg(*(F.first(c).alias(c) for c in columns if c != ROW), F.first("n_words").alias("n_words"), *(
+        F.flatten(F.collect_list(c)).alias(c) for c in ("first", "last", "items"))).select(*id_schema.names)
 
     def join_up(batches):
         for batch in batches:
@@ -255,7 +255,8 @@ def kept(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int
     if n > 1:
         d = numbered(docs, "decontaminate_docs")
         found = hits(d, benchmark, ROW, window, shard_bytes)
-        return _apply(d.join(found.drop("items"), ROW).drop(ROW), docs.schema, share, cut, None)
+        found = found.select(ROW, *(F.col(c).alias(f"__hw_{c}") for c in ("n_words", "first", "last")))
+        return _apply(d.join(found, ROW).drop(ROW), docs.schema, share, cut, None)
     return _apply(docs, docs.schema, share, cut, _shared(docs.sparkSession, automaton))
 
 
@@ -268,7 +269,8 @@ def _apply(docs: DataFrame, schema, share: int, cut: bool, shared) -> DataFrame:
             texts, keep = texts_of(batch.column("text")), []
             for k, raw in enumerate(texts):
                 if automaton is None:
-                    spans, n = list(zip(batch.column("first")[k].as_py(), batch.column("last")[k].as_py())), batch.column("n_words")[k].as_py()
+                    n, first, last = (batch.column(f"__hw_{c}")[k].as_py() for c in ("n_words", "first", "last"))
+                    spans = list(zip(first, last))
                 else:
                     n, spans, _ = automaton.scan(raw or b"")
                 keep.append(cut or not is_contaminated(sum(b - a + 1 for a, b in spans), n, share))

@@ -2,7 +2,8 @@
 
 A page is a sequence of tags and text runs. Each word scores +1, or -1 where its open elements say that it is
 not content; each tag scores a negative weight. One linear scan finds the contiguous region with the highest
-sum, and the blocks of its content words are the text. Tags inside a labelled article cost nothing.
+sum, and the blocks of its content words are the text. Tags and notices inside a labelled
+article cost nothing.
 
 Weights come from labelled pages: those with one ``article`` or ``main`` element, whose words inside are
 content. Spark counts, for each tag and each (tag, class or id word), how many of its words and tags lie inside and
@@ -176,7 +177,7 @@ def extract(page: str | None, model: dict) -> str:
                 fine = known[chain] = not any(_not_content(k) or k in out for k in chain) and (
                     not labelled or _named(chain, CONTENT))
             runs.append(value if fine else None)
-            score = len(value.split()) * (1.0 if fine else -1.0)
+            score = len(value.split()) * (1.0 if fine else 0.0 if labelled and _named(chain, CONTENT) else -1.0)
         if total <= 0:
             total, start = 0.0, i
         total += score

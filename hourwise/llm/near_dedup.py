@@ -8,12 +8,12 @@ register keeps the earliest, so two registers agree with the probability of the
 Points are drawn in order of time up to the moment when all registers are likely to be hit, and further only
 if one is not.
 
-Documents of the same words are one node. Nodes that share a band (``ROWS`` registers) are candidates; a
-bucket links each of its nodes to its least and its greatest node, never all pairs. The overlap of the whole
-multisets confirms a link. Buckets that still hold several components are resolved exactly: a pair at the
-threshold must share one of the 1 - threshold rarest units of each side (prefix filter), so nodes of different
-components meet on rare units only, and the nodes outside a unit's largest component are paired
-with the others. Classes are connected components.
+Documents of the same words are one node. Nodes that share a band (``ROWS`` registers) are a group; each of
+its nodes meets the group's best connected node only, never all others, and the overlap of the whole
+multisets confirms a link. Where nodes stay unlinked, exact rules on the overlaps (see ``_open_groups``) tell
+which nodes of the star may still be linked to each other; they form smaller groups, without the
+star's centre, and the step is repeated until no group holds two components that could be linked. Classes are
+connected components.
 
 Two nodes at the threshold share no band with a probability of (1 - 0.8^4)^32 = 5e-8; that is the only way
 to lose a link. Defined cases: texts without words (null, empty) are classes of their own; repeated rows are
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from hourwise.llm.common import ROW, fresh_join, travels
 from hourwise.llm.text import folded_pieces, texts_of
-from hourwise.session import materialize
+from hourwise.session import discard, materialize
 
 travels(__name__)
 
@@ -39,7 +39,7 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 #: Points a draw takes at a time; times are whole multiples of 2^-36, so that sums are exact.
-_DRAW, _TICK = 1024, float(1 << 36)
+_DRAW, _TICK = 4096, float(1 << 36)
 
 _U = np.uint64
 _M1, _M2, _GOLD = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0x9E3779B97F4A7C15)
@@ -216,45 +216,61 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose multisets overlap by the threshold."""
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(m, x, nm, nx, o, outside) of pairs (m, x): sizes, overlap, and the units of x that m has not. Written once."""
     side = lambda c: sets.select(F.col("node").alias(c), F.col("units").alias(f"u{c}"))
-    x = fresh_join(fresh_join(pairs, side("b"), ["b"]), side("a"), ["a"])
-    both = F.size(F.array_intersect("ua", "ub"))
-    return (x.select("a", "b", F.size("ua").alias("na"), F.size("ub").alias("nb"), both.alias("m"))
-            .filter(F.col("m") >= threshold * (F.col("na") + F.col("nb") - F.col("m"))).select("a", "b"))
-
-
-def _star_pairs(banded: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): each node of a bucket with the bucket's least and greatest node."""
-    ends = (banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi"))
-            .filter("lo.node < hi.node"))
-    x = fresh_join(banded, ends, ["band"])
-    x = x.select("node", "n", F.explode(F.array("lo", "hi")).alias("end")).filter("node != end.node")
-    x = x.filter(F.least("n", "end.n") >= threshold * F.greatest("n", "end.n"))
-    return x.select(F.least("node", "end.node").alias("a"), F.greatest("node", "end.node").alias("b")).distinct()
-
-
-def _rest_pairs(banded: DataFrame, comp: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): nodes of different components of one bucket that share a rare unit."""
-    of = banded.join(comp, "node", "left").select("node", "n", "band", F.coalesce("comp", "node").alias("comp"))
-    of = materialize(of, "near_banded")
-    open_ = of.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("band")
-    nodes = fresh_join(of, open_, ["band"]).select("node", "n", "comp").distinct()
-    x = nodes.join(sets, "node").select("node", "n", "comp", F.explode("units").alias("unit"))
-    x = materialize(x, "near_units")
-    seen = x.groupBy("unit").agg(F.count(F.lit(1)).alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    x = fresh_join(x, seen, ["unit"])
-    nth = F.row_number().over(W.partitionBy("node").orderBy("df", "unit"))
-    x = x.withColumn("nth", nth).filter((F.col("nth") <= F.col("n") - F.ceil(threshold * F.col("n")) + 1) & (F.col("lo") < F.col("hi")))
-    x = materialize(x.select("node", "n", "comp", "unit"), "near_rare")
-    most = (x.groupBy("unit", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("unit")
-            .agg(F.max(F.struct("k", "comp")).alias("most")).select("unit", F.col("most.comp").alias("large")))
-    small = fresh_join(x, most, ["unit"]).filter("comp != large").select(
-        F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), "unit")
-    pairs = fresh_join(x, small, ["unit"]).filter(
-        (F.col("comp") != F.col("comp2")) & (F.least("n", "n2") >= threshold * F.greatest("n", "n2")))
-    return pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+    x = fresh_join(fresh_join(pairs, side("x"), ["x"]), side("m"), ["m"])
+    x = x.select("m", "x", F.size("um").alias("nm"), F.size("ux").alias("nx"), F.array_except("ux", "um").alias("outside"))
+    return materialize(x.withColumn("o", F.col("nx") - F.size("outside")), "near_overlaps")
+
+
+def _stars(groups: DataFrame) -> DataFrame:
+    """(m, x): each node of a group with the group's best connected node m."""
+    centre = (groups.groupBy("g").agg(F.max(F.struct("degree", "node")).alias("best"))
+              .select("g", F.col("best.node").alias("m")))
+    return fresh_join(groups, centre, ["g"]).filter("m != node").select("m", F.col("node").alias("x")).distinct()
+
+
+def _open_groups(tested: DataFrame, comp: DataFrame, threshold: float) -> DataFrame:
+    """(g, node): groups in which a link may be left, given the overlaps of stars and the components so far.
+
+    Nodes x and y of the star of m, x not linked to m, can be linked only if they share a unit that m has
+    not, or if y is smaller than m and most of x is in m: otherwise x and y have at most the overlap of x
+    and m in common. Of the units outside m, those of the prefix that such an overlap must meet are enough.
+    """
+    linked = F.col("o") >= threshold * (F.col("nm") + F.col("nx") - F.col("o"))
+    t = tested.withColumn("linked", linked).join(comp.select(F.col("node").alias("x"), "comp"), "x", "left")
+    t = t.withColumn("comp", F.coalesce("comp", "x"))
+    # stars that are wholly linked have nothing left
+    some = t.filter(~F.col("linked")).groupBy("m").agg(F.count(F.lit(1)).alias("k")).select("m")
+    t = fresh_join(t, some, ["m"])
+    need = F.greatest(F.lit(1), F.ceil(threshold * F.col("nx") - F.col("o") - 1e-9)).cast("int")
+    prefix = F.slice(F.array_sort("outside"), 1, F.greatest(F.lit(0), F.size("outside") - need + 1))
+    by_unit = t.select("x", "comp", "linked", "m", F.explode(prefix).alias("unit"))
+    small = t.filter((F.col("nx") < F.col("nm")) | (~F.col("linked") & (F.col("o") >= threshold * F.col("nx"))))
+    groups = by_unit.select(F.xxhash64("m", "unit").alias("g"), "x", "comp", "linked").unionByName(
+        small.select(F.xxhash64("m").alias("g"), "x", "comp", "linked"))
+    groups = materialize(groups, "near_open")
+    left = (groups.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("linked").alias("all_linked"))
+            .filter("lo < hi and not all_linked").select("g"))
+    return materialize(fresh_join(groups, left, ["g"]).select("g", F.col("x").alias("node")), "near_groups")
+
+
+def links_of(banded: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(node, comp) of all nodes with a link. ``banded``: (g, node, degree); sets: (node, units)."""
+    degree = materialize(banded.groupBy("node").agg(F.max("degree").alias("degree")), "near_degrees")
+    groups, links = banded, None
+    while True:
+        tested = _overlaps(_stars(groups), sets)
+        found = tested.filter(F.col("o") >= threshold * (F.col("nm") + F.col("nx") - F.col("o"))).select(
+            F.col("m").alias("a"), F.col("x").alias("b"))
+        links = materialize(found if links is None else links.unionByName(found), "near_links")
+        comp = components(links)
+        groups = _open_groups(tested, comp, threshold)
+        discard(tested)
+        if not groups.take(1):
+            return comp
+        groups = groups.join(degree, "node")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -264,8 +280,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     first = worded.groupBy("d1", "d2").agg(F.min(ROW).alias("node"))
     reps = worded.join(first.select(F.col("node").alias(ROW)), ROW, "left_semi")
     banded = reps.select(F.col(ROW).alias("node"), "n", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("band")
-    banded = materialize(fresh_join(banded, shared, ["band"]), "near_buckets")
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    banded = fresh_join(banded, shared, ["band"])
+    degree = banded.groupBy("node").agg(F.sum("k").alias("degree"))
+    banded = materialize(banded.select("node", F.col("band").alias("g")).join(degree, "node"), "near_buckets")
     # whole texts of the nodes that have a candidate
     wanted = reps.select(F.col(ROW).alias("node"), "doc_id", "th").join(
         banded.select("node").distinct(), "node", "left_semi")
@@ -273,10 +291,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = texts.join(wanted, (texts["th"] == wanted["th"]) & texts["id"].eqNullSafe(wanted["doc_id"]))
     sets = found.select("node", "text").mapInArrow(_unit_arrays, "node long, units array<long>")
     sets = materialize(sets.dropDuplicates(["node"]), "near_sets")  # a row may occur several times
-    links = materialize(_confirmed(_star_pairs(banded, threshold), sets, threshold), "near_links")
-    rest = _rest_pairs(banded, components(links), sets, threshold)
-    links = links.unionByName(_confirmed(rest, sets, threshold))
-    comp = components(links)
+    comp = links_of(banded, sets, threshold)
     node = fresh_join(worded.select(ROW, "doc_id", "th", "n", "d1", "d2"), first, ["d1", "d2"])
     node = node.join(comp, "node", "left").select(ROW, "doc_id", "th", "n", F.coalesce("comp", "node").alias("comp"))
     alone = sig.filter("n = 0").select(ROW, "doc_id", "th", "n", F.col(ROW).alias("comp"))
