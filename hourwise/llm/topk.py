@@ -60,7 +60,9 @@ def _cells(v: DataFrame, queries: DataFrame, n: int, q: int):
 
 
 def _partials(q: np.ndarray, c: np.ndarray, lists: int):
-    """Partial scores of each list: exact, as integers below 2^53."""
+    """Partial scores of each list, exact: sums of integers below 2^24 as single floats, else as doubles."""
+    if np.abs(q).max() * np.abs(c).max() * q.shape[1] < 1 << 24:
+        q, c = q.astype(np.float32), c.astype(np.float32)
     for cut in np.array_split(np.arange(q.shape[1]), lists):
         yield q[:, cut] @ c[:, cut].T
 
@@ -81,8 +83,8 @@ def _gather(k: int, lists: int):
                 m = min(k, p.shape[1])
                 top = np.argpartition(-p, m - 1, axis=1)[:, :m]
                 out.append(pd.DataFrame({
-                    "query": np.repeat(qs, m), "list": b, "cand": cs[top].ravel(), "least": np.repeat(least, m),
-                    "score": np.take_along_axis(p, top, axis=1).ravel()}))
+                    "query": np.repeat(qs, m), "list": b, "cand": cs[top].ravel(), "least": np.repeat(least.astype(float), m),
+                    "score": np.take_along_axis(p, top, axis=1).ravel().astype(float)}))
         x = pd.concat(out) if out else pd.DataFrame(columns=["query", "list", "cand", "least", "score"])
         return x[np.isfinite(x["score"].to_numpy(dtype=float))]
     return run
@@ -101,10 +103,10 @@ def _resolve(k: int, lists: int):
         cutoff = np.floor(bound / lists)
         collected = np.zeros(parts[0].shape, dtype=bool)
         for b, p in enumerate(parts):
-            collected |= p - floor[:, b:b + 1] >= cutoff[:, None]
+            collected |= p >= cutoff[:, None] + floor[:, b:b + 1]
         collected &= qs[:, None] != cs[None, :]
         i, j = np.nonzero(collected)
-        total = sum(p[i, j] for p in parts)
+        total = sum(p[i, j].astype(float) for p in parts)
         keep = total - floor.sum(axis=1)[i] >= bound[i]
         i, j, total = i[keep], j[keep], total[keep]
         order = np.lexsort((j, -total, i))
