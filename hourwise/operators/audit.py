@@ -162,18 +162,23 @@ def integrity(readings: DataFrame, spec: RuleSpec) -> DataFrame:
         F.count_if(p["low"]).alias("rule_low_pressure_observations"))
 
 
-def invariants(recon: DataFrame, window_check: DataFrame) -> DataFrame:
+def missing_rates(investigation: DataFrame) -> DataFrame:
+    """Hours with enough samples on both sides that are not eligible all the same: a rate is missing."""
+    enough = ~F.col("current_samples_insufficient") & ~F.col("baseline_samples_insufficient")
+    return investigation.agg(F.count_if(enough & ~F.col("rule_eligible")).alias("missing_rates"))
+
+
+def invariants(recon: DataFrame, window_check: DataFrame, missing: DataFrame) -> DataFrame:
     """Q14: audit invariants as rows ``(check, expected, actual, ok)``."""
-    row = combine_rows(recon, window_check)
+    row = combine_rows(recon, window_check, missing)
     checks = {
         "eligible_plus_not_evaluated_equals_observed": (F.col("observed_hours"),
                                                         F.col("eligible_hours") + F.col("not_evaluated_hours")),
         "evaluated_split_equals_eligible": (F.col("eligible_hours"),
                                             F.col("evaluated_no_breach") + F.col("evaluated_breach")),
-        "exclusive_reasons_within_not_evaluated": (
+        "exclusion_reasons_sum_to_not_evaluated": (
             F.col("not_evaluated_hours"),
-            F.col("current_only") + F.col("baseline_only") + F.col("both")
-            + (F.col("not_evaluated_hours") - F.col("current_only") - F.col("baseline_only") - F.col("both"))),
+            F.col("current_only") + F.col("baseline_only") + F.col("both") + F.col("missing_rates")),
         "eligible_null_rate_is_zero": (F.lit(0).cast("bigint"), F.col("eligible_null_rate")),
         "compared_equals_observed": (F.col("observed_hours"), F.col("compared_hours")),
         "window_mismatches_zero": (F.lit(0).cast("bigint"), F.col("mismatched_hours")),

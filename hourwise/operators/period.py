@@ -50,14 +50,15 @@ def overlapping(df: DataFrame, lo, hi, start: str = "starts_at", end: str = "end
 
 
 def select_period(tables: dict[str, DataFrame], start, end) -> dict[str, DataFrame]:
-    """hourly/daily by half-open range, incidents/reports by interval overlap."""
+    """hourly/daily by half-open range, incidents/reports by interval overlap; any subset of them."""
     lo, hi = bounds(start, end)
-    return {
-        "hourly": half_open(tables["hourly"], "hour_ts", lo, hi),
-        "daily": half_open(tables["daily"], "reading_date", lo, hi),
-        "incidents": overlapping(tables["incidents"], lo, hi),
-        "reports": overlapping(tables["reports"], lo, hi),
+    cut = {
+        "hourly": lambda t: half_open(t, "hour_ts", lo, hi),
+        "daily": lambda t: half_open(t, "reading_date", lo, hi),
+        "incidents": lambda t: overlapping(t, lo, hi),
+        "reports": lambda t: overlapping(t, lo, hi),
     }
+    return {name: cut[name](t) for name, t in tables.items()}
 
 
 def combine_rows(*one_row_frames: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Temporary views with the reference's relation names, so existing SQL runs on Spark SQL.
 
-``register_views`` defines every relation lazily (no data is computed until a
-query runs): ``readings``, ``failure_reports``, ``mart_hourly``, ``mart_daily``,
+``register_views`` defines every relation lazily (no data is computed or kept
+until a query runs, so each view follows its source): ``readings``, ``failure_reports``, ``mart_hourly``, ``mart_daily``,
 ``mart_candidate_hours``, ``mart_hourly_investigation``, ``mart_incidents``,
 ``mart_report_review``, ``analytics_operating_states``, ``analytics_data_quality``.
 """
@@ -31,7 +31,7 @@ def register_views(spark: SparkSession, readings: DataFrame, reports: DataFrame,
         "mart_daily": marts.daily_mart(hourly),
         "mart_candidate_hours": cand,
         "mart_hourly_investigation": inv,
-        "mart_incidents": inc.incidents(inv, spec),
+        "mart_incidents": inc.incidents(inv, spec, materialize_input=False),
         "mart_report_review": review.report_review(reports, cand),
         "analytics_operating_states": marts.operating_states(hourly, spec),
         "analytics_data_quality": quality.data_quality(readings, hourly, state),
