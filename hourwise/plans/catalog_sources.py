@@ -41,7 +41,6 @@ def dirty_strings(spark, d):
     """Readings rendered as CSV strings with deterministic defects (by event id)."""
     rd = readings(spark, d)
     eid = F.col("source_row") - 1
-    blank = eid % 79 == 0
     cols = {
         "timestamp": F.when(eid % 83 == 0, F.concat(_fmt_ts("observed_at"), F.lit("+05:30")))
         .otherwise(_fmt_ts("observed_at")),
@@ -52,11 +51,33 @@ def dirty_strings(spark, d):
     fields = []
     for f in READING_SCHEMA.fields:
         c = cols.get(f, F.col(f if f != "timestamp" else "observed_at").cast("string"))
-        fields.append(F.when(blank, F.lit(None).cast("string")).otherwise(c).alias(f))
-    out = rd.select("source_row", *fields)
-    line = F.when(blank, F.lit("")).otherwise(F.concat_ws(",", *[F.col(f) for f in READING_SCHEMA.fields]))
-    return out.withColumn("line", line).withColumn("_fields", F.when(blank, 1).otherwise(16)) \
-        .withColumn("_needed", F.lit(16))
+        fields.append(c.alias(f))
+    return rd.select("source_row", *fields)
+
+
+#: Files of a generated source; every other one has its columns reversed and all cells quoted.
+DIRTY_FILES = 4
+
+
+def write_dirty_csv(spark, d) -> str:
+    """CSV files with the strings of ``dirty_strings`` and blank, all-empty and short lines (by event id)."""
+    rows, path = dirty_strings(spark, d), scratch(spark, "dirty_csv")
+    total = rows.count()
+    eid = F.col("source_row") - 1
+    plain = [F.coalesce(F.col(f), F.lit("")) for f in READING_SCHEMA.fields]
+    quoted = [F.concat(F.lit('"'), c, F.lit('"')) for c in reversed(plain)]
+    file = F.floor(eid * DIRTY_FILES / total).cast("int")
+    cells = F.when(file % 2 == 0, F.array(*plain)).otherwise(F.array(*quoted))
+    line = (F.when(eid % 79 == 0, F.lit("")).when(eid % 71 == 0, F.lit(",,,,"))
+            .when(eid % 67 == 0, F.array_join(F.slice(cells, 1, 5), ",")).otherwise(F.array_join(cells, ",")))
+    lines = rows.select(file.alias("file"), "source_row", line.alias("value"))
+    names = [CSV_HEADER[f] for f in READING_SCHEMA.fields]
+    heads = spark.range(DIRTY_FILES).select(
+        F.col("id").cast("int").alias("file"), F.lit(0).cast("long").alias("source_row"),
+        F.when(F.col("id") % 2 == 0, ",".join(names)).otherwise(",".join(f'"{n}"' for n in reversed(names))).alias("value"))
+    (lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "source_row").drop("source_row")
+     .write.partitionBy("file").text(path))
+    return path
 
 
 def _validate_sql():
@@ -79,7 +100,7 @@ def _validate_sql():
     imp = READING_SCHEMA.impulse
     checks.append(f"COALESCE({num(imp)}, CASE WHEN TRY_CAST(trim({imp}) AS DOUBLE) < 0 THEN 'invalid_impulse:{imp}' END)")
     strings = f"""s AS (
-  SELECT source_row, event_id % 79 = 0 AS blank, {ts} AS t,
+  SELECT source_row, event_id % 79 = 0 OR event_id % 71 = 0 AS blank, event_id % 67 = 0 AS short, {ts} AS t,
     CASE WHEN event_id % 89 = 0 THEN 'inf' ELSE CAST(tp3 AS VARCHAR) END AS tp3,
     CASE WHEN event_id % 73 = 0 THEN '1d' ELSE CAST(h1 AS VARCHAR) END AS h1,
     CASE WHEN event_id % 97 = 0 THEN '2.0' ELSE CAST(CAST(comp AS DOUBLE) AS VARCHAR) END AS comp,
@@ -88,16 +109,18 @@ def _validate_sql():
   FROM (SELECT r.*, r.source_row - 1 AS event_id, e.ts FROM readings r JOIN events e ON e.event_id = r.source_row - 1) x)"""
     final = f"""
 SELECT source_row, CASE WHEN v = '' THEN TRY_CAST(t AS TIMESTAMP) END AS observed_at, v AS violations
-FROM (SELECT source_row, t, CASE WHEN blank THEN 'blank_row' ELSE concat_ws('|', {', '.join(checks)}) END AS v FROM s) q"""
+FROM (SELECT source_row, t, CASE WHEN blank THEN 'blank_row' WHEN short THEN 'short_row' ELSE concat_ws('|', {', '.join(checks)}) END AS v FROM s) q"""
     return O.with_(READINGS_SQL, strings) + final
 
 
 @query("validate_rows", _validate_sql())
 def q_validate_rows(spark, d):
-    """Typed validation of string rows with deterministic defects; violation codes per row."""
-    typed = I.typed_with_violations(dirty_strings(spark, d))
-    return typed.select("source_row", F.when(F.size("violations") == 0, F.col("observed_at")).alias("observed_at"),
-                        F.array_join("violations", "|").alias("violations"))
+    """Generated CSV files with quotes, two column orders and defects; violation codes per row."""
+    res = I.scan_csv(spark, write_dirty_csv(spark, d))
+    good = res.valid.select("source_row", "observed_at", F.lit("").alias("violations"))
+    bad = res.quarantine.select("source_row", F.lit(None).cast("timestamp_ntz").alias("observed_at"),
+                                F.array_join("violations", "|").alias("violations"))
+    return good.unionByName(bad)
 
 
 def write_readings_csv(spark, d) -> str:

@@ -7,9 +7,10 @@ both fatal for this contract, so files are read as text lines:
 * every line gets its 0-based position in its file: lines are counted per
   split (``_metadata.file_path`` / ``file_block_start``), split offsets are a
   prefix sum over a table with one row per split, and the position inside a
-  split comes from ``monotonically_increasing_id`` (no single-partition window);
+  split comes from ``monotonically_increasing_id``; the offsets are looked up by
+  a size-checked broadcast, so the text is not shuffled;
 * line 0 of each file is its header, mapped to canonical names on the driver
-  (only the header strings travel there);
+  (only the distinct header lines travel there);
 * data lines are split, typed with regex guards before ``try_cast`` (the casts
   alone accept ``'1d'``, hex floats and zone offsets), and every failed check
   becomes a violation code.  ``source_row`` numbers data lines 1..N in file
@@ -18,12 +19,15 @@ both fatal for this contract, so files are read as text lines:
 
 from __future__ import annotations
 
-import re
+import csv
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hourwise.functions.columns import local_frame
+from hourwise.session import materialize
 from hourwise.spec import READING_SCHEMA, ReadingSchema
 
 # naive ISO-8601 date or date-time (no zone designator)
@@ -37,62 +41,68 @@ class IngestError(ValueError):
     pass
 
 
-def canonical_header(header: str, schema: ReadingSchema = READING_SCHEMA) -> str | None:
-    norm = re.sub(r"[^a-z0-9]", "", header.strip().lower().lstrip("﻿"))
-    if norm in schema.aliases:
-        return schema.aliases[norm]
-    return {re.sub(r"[^a-z0-9]", "", f): f for f in schema.fields}.get(norm)
+#: Splits up to which their table (about 200 bytes each) is broadcast; more are joined by a shuffle.
+BROADCAST_SPLITS = 100_000
+#: Different header lines that one load may hold.
+MAX_HEADERS = 1_000
 
 
-def header_positions(headers: list[str], schema: ReadingSchema = READING_SCHEMA) -> dict[str, int]:
-    """Canonical name -> field position; duplicates and missing names are fatal."""
-    pos: dict[str, int] = {}
-    for i, h in enumerate(headers):
-        name = canonical_header(h, schema)
-        if name is not None:
-            if name in pos:
-                raise IngestError(f"Duplicate CSV column: {name}")
-            pos[name] = i
-    missing = set(schema.fields) - set(pos)
-    if missing:
-        raise IngestError(f"CSV is missing required columns: {sorted(missing)}. Found {headers}")
-    return pos
+def _squeezed(name: str) -> str:
+    return "".join(c for c in name.lower() if c.isascii() and c.isalnum())
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """S3: ``(file, line_no, value)`` with 0-based line positions in file order.
+def field_order(header: str, schema: ReadingSchema = READING_SCHEMA) -> list[int]:
+    """The position in a header line of every canonical field. A field that no column or more than one
+    column stands for is fatal."""
+    known = {_squeezed(f): f for f in schema.fields} | dict(schema.aliases)
+    names = [known.get(_squeezed(cell)) for cell in next(csv.reader([header.lstrip("\ufeff")]), [])]
+    counts = Counter(n for n in names if n)
+    if twice := sorted(n for n, k in counts.items() if k > 1):
+        raise IngestError(f"Duplicate CSV column: {', '.join(twice)} (header {header!r})")
+    if absent := [f for f in schema.fields if f not in counts]:
+        raise IngestError(f"CSV is missing required columns {absent} (header {header!r})")
+    return [names.index(f) for f in schema.fields]
 
-    One row per split (path, block start, line count, first row id) is the only
-    table that needs an order; the prefix sum over it gives each split's first
-    line number, and a row's position inside its split comes from
-    ``monotonically_increasing_id`` (rows of one split are contiguous).
+
+def _text(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("_mid"))
+
+
+def split_table(spark: SparkSession, path: str) -> DataFrame:
+    """One row per split: file, block, lines before it, first row id, data rows of earlier files, first line of its
+    file. Written once; the only table of a load that needs an order."""
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:  # row ids must not change with the number of cores between two scans
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    splits = materialize(_text(spark, path).groupBy("file", "block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"), F.min_by("value", "_mid").alias("_line0")), "csv_splits")
+    in_file = Window.partitionBy("file").orderBy("block")
+    files = splits.groupBy("file").agg((F.sum("_n") - 1).alias("_data"), F.min_by("_line0", "block").alias("header"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", "header", F.coalesce(F.sum("_data").over(earlier), F.lit(0)).alias("_foff"))
+    before = F.coalesce(F.sum("_n").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return materialize(splits.select("file", "block", "_mid0", before.alias("_off")).join(files, "file"), "csv_offsets")
+
+
+def numbered_lines(spark: SparkSession, path: str, splits: DataFrame) -> DataFrame:
+    """S3: ``(file, line_no, _foff, header, value)`` with 0-based line positions in file order.
+
+    A line's position in its split comes from ``monotonically_increasing_id`` (rows of one split are
+    contiguous); the split's offset is looked up, so the text itself is not moved.
     """
-    raw = (spark.read.text(path)
-           .select("value", F.col("_metadata.file_path").alias("file"),
-                   F.col("_metadata.file_block_start").alias("block"),
-                   F.monotonically_increasing_id().alias("_mid")))
-    per_split = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"))
-    # file offsets (data rows of earlier files) and split offsets (lines of earlier splits), one row per split
-    by_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    file_rows = per_split.groupBy("file").agg((F.sum("_n") - 1).alias("_data"))
-    files = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    file_off = file_rows.select("file", F.coalesce(F.sum("_data").over(files), F.lit(0)).alias("_foff"))
-    offsets = (per_split.select("file", "block", "_mid0", F.coalesce(F.sum("_n").over(by_file), F.lit(0)).alias("_off"))
-               .join(file_off, on="file", how="inner"))
-    return (raw.join(offsets, on=["file", "block"], how="inner")
-            .select("file", (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias("line_no"), "_foff", "value"))
-
-
-def first_line(spark: SparkSession, path: str) -> str | None:
-    """First line of one file, read on the driver through the Hadoop FileSystem API (bounded: one line)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
-    try:
-        return reader.readLine()
-    finally:
-        reader.close()
+    small = splits.count() <= BROADCAST_SPLITS
+    joined = _text(spark, path).join(F.broadcast(splits) if small else splits, ["file", "block"])
+    return joined.select("file", (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias("line_no"), "_foff", "header", "value")
+
+
+def fields_of(line: Column) -> Column:
+    """The cells of a CSV line: quoted cells may hold commas and doubled quotes."""
+    outside = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    cells = F.transform(F.split(line, outside), lambda c: F.when(
+        c.rlike(r'(?s)^\s*".*"\s*$'), F.regexp_replace(F.regexp_replace(c, r'(?s)^\s*"(.*)"\s*$', "$1"), '""', '"')).otherwise(c))
+    return F.when(line.contains('"'), cells).otherwise(F.split(line, ","))
 
 
 def _typed_num(c: Column) -> Column:
@@ -147,7 +157,8 @@ def typed_with_violations(strings: DataFrame, schema: ReadingSchema = READING_SC
     violations = F.array_remove(F.split(F.concat_ws("|", *checks), r"\|"), "")
     if line_col is not None:
         # a blank or short line is reported alone (the field checks would only repeat it)
-        violations = (F.when(F.trim(F.col(line_col)) == "", F.array(F.lit("blank_row")))
+        violations = (F.when(F.col(line_col).rlike(r'^[\s,"]*$'), F.array(F.lit("blank_row")))
+                      .when(F.length(F.regexp_replace(F.col(line_col), '[^"]', "")) % 2 == 1, F.array(F.lit("open_quote")))
                       .when(F.col("_fields") < F.col("_needed"), F.array(F.lit("short_row")))
                       .otherwise(violations))
     out_cols = [F.col("source_row"), F.col("_ts").alias("observed_at")]
@@ -167,36 +178,31 @@ class IngestResult:
 
 
 def scan_csv(spark: SparkSession, path: str, schema: ReadingSchema = READING_SCHEMA) -> IngestResult:
-    """Text scan -> numbered lines -> header map -> typed rows + quarantine.
+    """Text scan -> numbered lines -> fields by each file's own header -> typed rows + quarantine.
 
-    The header is taken from the first file (by path) on the driver; every other
-    file's line 0 is compared with it inside the same pass and a differing
-    header is quarantined as ``header_mismatch`` (line 0 of that file).
+    Files may order their columns differently; a file whose header lacks a field or has one twice is fatal. An
+    all-empty line is ``blank_row``, a line with an open quote ``open_quote``.
     """
-    files = sorted(spark.read.text(path).inputFiles())
-    header = first_line(spark, files[0]) if files else None
-    if header is None:
+    splits = split_table(spark, path)
+    headers = [r.header for r in splits.filter(F.col("block") == 0).select("header").distinct().orderBy("header")
+               .limit(MAX_HEADERS + 1).collect()]
+    if not headers:
         raise IngestError("CSV is empty")
-    header = header.lstrip("\ufeff")
-    headers = header.split(",")
-    positions = header_positions(headers, schema)
-    needed = max(positions.values()) + 1
-    lines = numbered_lines(spark, path)
-    body = lines.withColumn("source_row", F.col("_foff") + F.col("line_no"))
-    bad_header = (body.filter((F.col("line_no") == 0)
-                              & (F.regexp_replace("value", "^\ufeff", "") != F.lit(header)))
-                  .select("source_row", F.col("value").alias("line"),
-                          F.array(F.lit("header_mismatch")).alias("violations")))
-    data = body.filter(F.col("line_no") > 0)
-    parts = F.split(F.col("value"), ",")
-    strings = data.select("source_row", F.col("value").alias("line"), F.size(parts).alias("_fields"),
-                          F.lit(needed).alias("_needed"),
-                          *[F.get(parts, i).alias(name) for name, i in positions.items()])
+    if len(headers) > MAX_HEADERS:
+        raise IngestError(f"more than {MAX_HEADERS} different header lines")
+    orders = {h: field_order(h, schema) for h in headers}
+    order = local_frame(spark, list(orders.items()), "header string, _at array<int>")
+    splits = splits.join(F.broadcast(order), "header")  # at most MAX_HEADERS rows
+    lines = numbered_lines(spark, path, splits.withColumn("header", F.col("_at")))
+    data = lines.filter(F.col("line_no") > 0).select(
+        (F.col("_foff") + F.col("line_no")).alias("source_row"), F.col("value").alias("line"), fields_of(F.col("value")).alias("_cells"),
+        F.col("header").alias("_at"))
+    strings = data.select("source_row", "line", F.size("_cells").alias("_fields"), (F.array_max("_at") + 1).alias("_needed"),
+                          *[F.get("_cells", F.get("_at", k)).alias(f) for k, f in enumerate(schema.fields)])
     typed = typed_with_violations(strings, schema)
     valid = typed.filter(F.size("violations") == 0).drop("violations", "line")
-    quarantine = (typed.filter(F.size("violations") > 0).select("source_row", "line", "violations")
-                  .unionByName(bad_header))
-    return IngestResult(valid, quarantine, headers)
+    quarantine = typed.filter(F.size("violations") > 0).select("source_row", "line", "violations")
+    return IngestResult(valid, quarantine, headers[0].lstrip("\ufeff").split(","))
 
 
 def fail_fast(result: IngestResult) -> DataFrame:
@@ -220,5 +226,5 @@ def completeness_gate(rows: DataFrame, expected: int | None, allow_subset: bool
 def assert_complete(gate: DataFrame) -> None:
     r = gate.first()
     if not r["passes"]:
-        raise IngestError(f"Imported {r['row_count']:,} rows; expected {r['expected_rows']}. "
-                          "Rerun with the complete source or allow a subset for fixtures.")
+        raise IngestError(f"{r['row_count']} rows came in where {r['expected_rows']} were announced; "
+                          "load the whole source, or allow a subset in tests")

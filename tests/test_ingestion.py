@@ -1,5 +1,6 @@
 """F1 ingest contract: header spellings, float digitals, missing/duplicate columns, row-numbered errors."""
 import pytest
+from pyspark.sql import functions as F
 
 from hourwise.sources import csv_ingest as I
 
@@ -78,3 +79,40 @@ def test_completeness_gate(spark, tmp_path):
     assert I.completeness_gate(res.valid, 3, allow_subset=True).first().passes
     with pytest.raises(I.IngestError):
         I.assert_complete(I.completeness_gate(res.valid.limit(0), 3, allow_subset=True))
+
+
+def test_quotes_column_orders_and_empty_rows(spark, tmp_path):
+    folder = tmp_path / "a folder, with spaces"
+    folder.mkdir()
+    names = HEADER.split(",")
+    quoted = [f'"{c}"' for c in row(1, analog="7.25").split(",")]
+    write(folder, [HEADER, row(0), ",".join(quoted), "," * 16, "  "], "1.csv")
+    back = dict(zip(names, row(2, analog="3.5").split(",")))
+    back["TP2"], back["TP3"] = "1.0", "2.0"
+    order = sorted(names, reverse=True)
+    write(folder, [",".join(order), ",".join(back[n] for n in order), '"x' + row(3)], "2.csv", bom=True)
+    res = I.scan_csv(spark, str(folder))
+    got = {r.source_row: (r.tp2, r.tp3) for r in res.valid.collect()}
+    assert got == {1: (7.1, 7.1), 2: (7.25, 7.25), 5: (1.0, 2.0)}
+    assert {r.source_row: r.violations for r in res.quarantine.collect()} == {3: ["blank_row"], 4: ["blank_row"], 6: ["open_quote"]}
+
+
+def test_cells_with_commas_and_doubled_quotes(spark):
+    lines = ['a,"b,c",d', '"say ""hi""",x', "plain,,", '""']
+    got = spark.createDataFrame([(x,) for x in lines], "v string").select(I.fields_of(F.col("v")).alias("c")).collect()
+    assert [r.c for r in got] == [["a", "b,c", "d"], ['say "hi"', "x"], ["plain", "", ""], [""]]
+
+
+def test_later_file_without_a_column_is_fatal(spark, tmp_path):
+    write(tmp_path, [HEADER, row(0)], "1.csv")
+    write(tmp_path, [HEADER.replace(",TP2", ",other"), row(1)], "2.csv")
+    with pytest.raises(I.IngestError, match="tp2"):
+        I.scan_csv(spark, str(tmp_path))
+
+
+def test_text_is_not_shuffled(spark, tmp_path):
+    path = write(tmp_path, [HEADER] + [row(i) for i in range(500)])
+    res = I.scan_csv(spark, path)
+    for df in (res.valid, res.quarantine):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
