@@ -10,10 +10,9 @@ if one is not.
 
 Documents of the same words are one node. Nodes that share a band (``ROWS`` registers) are a group; each of
 its nodes meets the group's best connected node only, never all others, and the overlap of the whole
-multisets confirms a link. Where nodes stay unlinked, exact rules on the overlaps (see ``_open_groups``) tell
-which nodes of the star may still be linked to each other; they form smaller groups, without the
-star's centre, and the step is repeated until no group holds two components that could be linked. Classes are
-connected components.
+multisets confirms a link. Which other nodes of such a star can still be linked to each other follows from their
+distances to its centre and from the units that none of them shares (see ``_open``); these few pairs are
+compared too. Classes are connected components.
 
 Two nodes at the threshold share no band with a probability of (1 - 0.8^4)^32 = 5e-8; that is the only way
 to lose a link. Defined cases: texts without words (null, empty) are classes of their own; repeated rows are
@@ -37,6 +36,8 @@ travels(__name__)
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 4
+#: Cells into which a star centre's size is cut to find pairs by their bounds.
+CELLS = 32
 REGISTERS = BANDS * ROWS
 #: Points a draw takes at a time; times are whole multiples of 2^-36, so that sums are exact.
 _DRAW, _TICK = 4096, float(1 << 36)
@@ -216,12 +217,16 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(m, x, nm, nx, o, outside) of pairs (m, x): sizes, overlap, and the units of x that m has not. Written once."""
+def _overlaps(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(m, x, nm, nx, apart, linked) of pairs (m, x): sizes, the units that only one of them has, and whether their
+    overlap reaches the threshold. Written once."""
     side = lambda c: sets.select(F.col("node").alias(c), F.col("units").alias(f"u{c}"))
     x = fresh_join(fresh_join(pairs, side("x"), ["x"]), side("m"), ["m"])
-    x = x.select("m", "x", F.size("um").alias("nm"), F.size("ux").alias("nx"), F.array_except("ux", "um").alias("outside"))
-    return materialize(x.withColumn("o", F.col("nx") - F.size("outside")), "near_overlaps")
+    x = x.select("m", "x", F.size("um").alias("nm"), F.size("ux").alias("nx"),
+                 F.concat(F.array_except("ux", "um"), F.array_except("um", "ux")).alias("apart"))
+    both = F.col("nm") + F.col("nx")  # overlap (both - d) / 2, union (both + d) / 2
+    linked = both - F.size("apart") >= threshold * (both + F.size("apart"))
+    return materialize(x.withColumn("linked", linked), "near_overlaps")
 
 
 def _stars(groups: DataFrame) -> DataFrame:
@@ -231,46 +236,52 @@ def _stars(groups: DataFrame) -> DataFrame:
     return fresh_join(groups, centre, ["g"]).filter("m != node").select("m", F.col("node").alias("x")).distinct()
 
 
-def _open_groups(tested: DataFrame, comp: DataFrame, threshold: float) -> DataFrame:
-    """(g, node): groups in which a link may be left, given the overlaps of stars and the components so far.
+def _open(tested: DataFrame, comp: DataFrame, threshold: float) -> DataFrame:
+    """(m, x): pairs of nodes of one star that may still be linked, given the stars tested and the components so far.
 
-    Nodes x and y of the star of m, x not linked to m, can be linked only if they share a unit that m has
-    not, or if y is smaller than m and most of x is in m: otherwise x and y have at most the overlap of x
-    and m in common. Of the units outside m, those of the prefix that such an overlap must meet are enough.
+    Let D be the units that only one of x and the star's centre m has. x and y have |Dx| + |Dy| - 2 |Dx and Dy|
+    units apart, and a link allows them r (nx + ny) with r = (1 - threshold) / (1 + threshold), so Dx and Dy must
+    have f(x) + f(y) units in common, f = (|D| - r n) / 2. Units of D that no other node of the star has cannot be in common:
+    with c others, |Dx and Dy| <= min(cx, cy), and so f(y) <= g(x) and f(x) <= g(y) with g = c - f. Copies edited
+    each in its own way fail here. Two linked nodes need no test of their own, so one of a pair is not linked to m.
+
+    The pairs are found by an equi-join on cells of f: the larger f of a pair lies in the other's [f, g].
     """
-    linked = F.col("o") >= threshold * (F.col("nm") + F.col("nx") - F.col("o"))
-    t = tested.withColumn("linked", linked).join(comp.select(F.col("node").alias("x"), "comp"), "x", "left")
-    t = t.withColumn("comp", F.coalesce("comp", "x"))
-    # stars that are wholly linked have nothing left
-    some = t.filter(~F.col("linked")).groupBy("m").agg(F.count(F.lit(1)).alias("k")).select("m")
-    t = fresh_join(t, some, ["m"])
-    need = F.greatest(F.lit(1), F.ceil(threshold * F.col("nx") - F.col("o") - 1e-9)).cast("int")
-    prefix = F.slice(F.array_sort("outside"), 1, F.greatest(F.lit(0), F.size("outside") - need + 1))
-    by_unit = t.select("x", "comp", "linked", "m", F.explode(prefix).alias("unit"))
-    small = t.filter((F.col("nx") < F.col("nm")) | (~F.col("linked") & (F.col("o") >= threshold * F.col("nx"))))
-    groups = by_unit.select(F.xxhash64("m", "unit").alias("g"), "x", "comp", "linked").unionByName(
-        small.select(F.xxhash64("m").alias("g"), "x", "comp", "linked"))
-    groups = materialize(groups, "near_open")
-    left = (groups.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("linked").alias("all_linked"))
-            .filter("lo < hi and not all_linked").select("g"))
-    return materialize(fresh_join(groups, left, ["g"]).select("g", F.col("x").alias("node")), "near_groups")
+    r = (1 - threshold) / (1 + threshold)
+    t = tested.join(comp.select(F.col("node").alias("x"), "comp"), "x", "left").withColumn("comp", F.coalesce("comp", "x"))
+    bounds = [F.min("linked").alias("all"), F.min("comp").alias("lo"), F.max("comp").alias("hi")]
+    some = t.groupBy("m").agg(*bounds).filter("not all and lo < hi").select("m")
+    t = materialize(fresh_join(t, some, ["m"]), "near_stars")
+    own = (t.select("m", "x", F.explode("apart").alias("unit")).groupBy("m", "unit")
+           .agg(F.count(F.lit(1)).alias("k"), F.min("x").alias("x")).filter("k = 1")
+           .groupBy("m", "x").agg(F.count(F.lit(1)).alias("p")))
+    d = F.size("apart")
+    t = t.select("m", "x", "nm", "nx", "comp", "linked", d.alias("d"), ((d - r * F.col("nx")) / 2 - 1e-6).alias("f"))
+    t = t.join(own, ["m", "x"], "left").withColumn("g", F.col("d") - F.coalesce("p", F.lit(0)) - F.col("f")).drop("d", "p")
+    t = materialize(t, "near_bounds")
+    free = t.filter("not linked").groupBy("m").agg(F.min("f").alias("free"))
+    t = fresh_join(t, free, ["m"])
+    cell = lambda v: F.floor(v * CELLS / F.col("nm"))
+    points = t.filter("not linked or f >= free").select(
+        "m", cell(F.col("f")).alias("cell"), *(F.col(c).alias(f"{c}2") for c in ("x", "nx", "comp", "linked", "f", "g")))
+    low = F.greatest("f", "free")
+    spans = t.filter(F.col("g") >= low).select(
+        "m", F.explode(F.sequence(cell(low), cell(F.col("g")))).alias("cell"), "x", "nx", "comp", "linked", "f", "g")
+    both = fresh_join(spans, points, ["m", "cell"]).filter("comp != comp2 and f <= f2 and f2 <= g and f <= g2 and not (linked and linked2)")
+    both = both.filter(F.least("nx", "nx2") >= threshold * F.greatest("nx", "nx2"))
+    return both.select(F.least("x", "x2").alias("m"), F.greatest("x", "x2").alias("x")).distinct()
 
 
 def links_of(banded: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """(node, comp) of all nodes with a link. ``banded``: (g, node, degree); sets: (node, units)."""
-    degree = materialize(banded.groupBy("node").agg(F.max("degree").alias("degree")), "near_degrees")
-    groups, links = banded, None
-    while True:
-        tested = _overlaps(_stars(groups), sets)
-        found = tested.filter(F.col("o") >= threshold * (F.col("nm") + F.col("nx") - F.col("o"))).select(
-            F.col("m").alias("a"), F.col("x").alias("b"))
-        links = materialize(found if links is None else links.unionByName(found), "near_links")
-        comp = components(links)
-        groups = _open_groups(tested, comp, threshold)
-        discard(tested)
-        if not groups.take(1):
-            return comp
-        groups = groups.join(degree, "node")
+    ends = lambda tested: tested.filter("linked").select(F.col("m").alias("a"), F.col("x").alias("b"))
+    stars = _overlaps(_stars(banded), sets, threshold)
+    comp = components(ends(stars))
+    rest = _overlaps(_open(stars, comp, threshold), sets, threshold)
+    if rest.filter("linked").take(1):
+        comp = components(ends(stars).unionByName(ends(rest)))
+    discard(stars, rest)
+    return comp
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
