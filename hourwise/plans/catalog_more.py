@@ -289,7 +289,7 @@ def _tally(**conditions):
 
 
 _SHORT, _THIN = "current_samples_insufficient", "baseline_samples_insufficient"
-_RECON_SQL = f"""
+RECON_SQL = f"""
 SELECT t.*, CASE WHEN observed_hours > 0 THEN eligible_hours * CAST(100 AS DOUBLE) / observed_hours END AS eligibility_percentage
 FROM (SELECT COUNT(*) AS observed_hours, MIN(hour_ts) AS first_hour, MAX(hour_ts) AS last_hour, {_tally(
     eligible_hours="rule_eligible", eligible_null_rate="rule_eligible AND (current_low_fraction + prior_low_fraction) IS NULL",
@@ -302,7 +302,7 @@ FROM (SELECT COUNT(*) AS observed_hours, MIN(hour_ts) AS first_hour, MAX(hour_ts
   FROM investigation) t"""
 
 
-@query("audit_reconciliation", _sql(ALL, _RECON_SQL, ["eligibility_percentage"]))
+@query("audit_reconciliation", _sql(ALL, RECON_SQL, ["eligibility_percentage"]))
 def q_audit_reconciliation(spark, d):
     """Q6: eligibility reconciliation measures."""
     return A.reconciliation(investigation(spark, d), SPEC)
@@ -421,7 +421,7 @@ def q_audit_integrity(spark, d):
     return A.integrity(readings(spark, d), SPEC)
 
 
-@query("audit_invariants", _sql(ALL + [_RAW_HOURS, f"r AS ({_RECON_SQL})", f"m AS ({_MISMATCH_SQL})"], f"""
+@query("audit_invariants", _sql(ALL + [_RAW_HOURS, f"r AS ({RECON_SQL})", f"m AS ({_MISMATCH_SQL})"], f"""
 SELECT c.*, c.expected = c.actual AS ok FROM (
   SELECT 'eligible_plus_not_evaluated_equals_observed' AS "check", observed_hours AS expected,
          eligible_hours + not_evaluated_hours AS actual FROM r

@@ -6,6 +6,7 @@ File-producing steps write below the shared checkpoint folder
 
 from __future__ import annotations
 
+import datetime as dt
 import posixpath
 import uuid
 
@@ -15,6 +16,7 @@ from hourwise.operators import marts
 from hourwise.plans import oracle as O
 from hourwise.plans.catalog import SPEC, _sql, hourly, incidents, investigation, query, readings, reports
 from hourwise.operators import audit as A
+from hourwise.plans.catalog_more import RECON_SQL
 from hourwise.operators.review import REPORT_KEY, report_slots
 from hourwise.functions.columns import trunc_hour
 from hourwise.session import checkpoint_dir
@@ -29,6 +31,10 @@ CSV_HEADER = {"timestamp": "timestamp", "tp2": "TP2", "tp3": "TP3", "h1": "H1",
               "pressure_switch": "Pressure_switch", "oil_level": "Oil_level", "caudal_impulse": "Caudal_impulses"}
 
 
+#: Load and export times of the registered loads.
+LOADED_AT, EXPORTED_AT = dt.datetime(2024, 2, 1, 6, 30), "2024-02-01T07:00:00"
+
+
 def scratch(spark, kind: str) -> str:
     return posixpath.join(checkpoint_dir(spark), "hourwise", kind, uuid.uuid4().hex)
 
@@ -153,10 +159,40 @@ def q_completeness_gate(spark, d):
     return I.completeness_gate(readings(spark, d), expected, allow_subset=False)
 
 
-@query("file_digests")
+def write_line_files(spark, d):
+    """Readings as one text line each, in DIRTY_FILES files in row order: content that SQL can digest too."""
+    path, rd = scratch(spark, "lines"), readings(spark, d)
+    total = rd.count()
+    text = F.concat_ws(",", F.col("source_row").cast("string"), F.date_format("observed_at", "yyyy-MM-dd HH:mm:ss"),
+                       F.col("lps").cast("int").cast("string"))
+    rows = rd.select(F.floor((F.col("source_row") - 1) * DIRTY_FILES / total).cast("int").alias("file"), "source_row", text.alias("value"))
+    (rows.repartition("file").sortWithinPartitions("file", "source_row").drop("source_row").write.partitionBy("file").text(path))
+    return path
+
+
+_LINES_SQL = f"""lines AS (
+  SELECT CAST(floor((source_row - 1) * {DIRTY_FILES} / (SELECT COUNT(*) FROM readings)) AS INTEGER) AS file, source_row,
+    source_row || ',' || strftime(observed_at, '%Y-%m-%d %H:%M:%S') || ',' || CAST(lps AS INTEGER) AS line FROM readings)"""
+
+
+@query("file_digests", _sql([READINGS_SQL, _LINES_SQL], """
+SELECT file, CAST(SUM(strlen(line) + 1) AS BIGINT) AS bytes,
+  sha256(string_agg(line || chr(10), '' ORDER BY source_row)) AS sha256 FROM lines GROUP BY file"""))
 def q_file_digests(spark, d):
-    """Sha-256 and size of every driver table file (computed on executors)."""
-    return S.file_digests(spark, d, "*.parquet").drop("path")
+    """Sha-256 and size of generated files of readings (computed on executors)."""
+    return S.file_digests(spark, write_line_files(spark, d), "part-*").select(
+        F.regexp_extract("path", r"file=(\d+)", 1).cast("int").alias("file"), "bytes", "sha256")
+
+
+@query("tree_digests", _sql([READINGS_SQL, _LINES_SQL], f"""
+SELECT file, 'tree-' || sha256(string_agg(h, '' ORDER BY chunk)) AS sha256 FROM (
+  SELECT file, chunk, sha256(string_agg(sha256(line), '' ORDER BY source_row)) AS h FROM (
+    SELECT *, (row_number() OVER (PARTITION BY file ORDER BY source_row) - 1) // {S.CHUNK_LINES} AS chunk FROM lines) c
+  GROUP BY file, chunk) t GROUP BY file"""))
+def q_tree_digests(spark, d):
+    """Digests of files by chunks of lines, as files over one row's limit get them."""
+    return S.file_digests(spark, write_line_files(spark, d), "part-*", whole_bytes=0).select(
+        F.regexp_extract("path", r"file=(\d+)", 1).cast("int").alias("file"), "sha256")
 
 
 _EXPORT_SCHEMA = ("reading_date date, readings bigint, loaded_readings bigint, unloaded_readings bigint, "
@@ -176,45 +212,69 @@ def q_export_ordered(spark, d):
 
 @query("provenance_row", _sql([READINGS_SQL], """
 SELECT 'sf-run' AS run_id, CAST(NULL AS VARCHAR) AS source_sha256, COUNT(*) AS original_rows,
-  CAST(NULL AS TIMESTAMP) AS loaded_at, 'events.parquet' AS source_name, TRUE AS is_complete_source,
+  TIMESTAMP '2024-02-01 06:30:00' AS loaded_at, 'events.parquet' AS source_name, TRUE AS is_complete_source,
   MIN(observed_at) AS first_reading, MAX(observed_at) AS last_reading,
   COUNT(*) - COUNT(DISTINCT observed_at) AS duplicate_timestamps FROM readings"""))
 def q_provenance_row(spark, d):
     """Singleton load-state row."""
-    return S.provenance_row(readings(spark, d), "sf-run", "events.parquet", None, True)
+    return S.provenance_row(readings(spark, d), "sf-run", "events.parquet", None, True, LOADED_AT)
 
 
 def _publish(spark, d):
     from hourwise.plans.refresh import refresh
     root = scratch(spark, "snapshots")
-    source_sha = S.file_digests(spark, d, "events.parquet").first()["sha256"]  # digest computed on an executor
-    refresh(spark, readings(spark, d), reports(spark), SPEC, root, "sf-run", "events.parquet",
-            source_sha256=source_sha, snapshot_id="sf-run-snapshot")
+    sha = S.source_digest(spark, posixpath.join(d, "events.parquet"), "*.parquet")
+    refresh(spark, readings(spark, d), reports(spark), SPEC, root, "sf-run", "events.parquet", source_sha256=sha,
+            snapshot_id="sf-run-snapshot", loaded_at=LOADED_AT, exported_at=EXPORTED_AT)
     return root
 
 
-@query("snapshot_manifest")
+@query("snapshot_manifest", _sql([READINGS_SQL], f"""
+SELECT 'sf-run-snapshot' AS snapshot_id, 'sf-run' AS run_id, TRUE AS source_digest_recorded, COUNT(*) AS original_reading_count,
+  strftime(MIN(observed_at), '%Y-%m-%dT%H:%M:%S') AS first_reading, strftime(MAX(observed_at), '%Y-%m-%dT%H:%M:%S') AS last_reading,
+  COUNT(*) - COUNT(DISTINCT observed_at) AS duplicate_timestamps, '{LOADED_AT.isoformat()}' AS loaded_at,
+  '{EXPORTED_AT}' AS exported_at, 'Original naive timestamps; source timezone unspecified.' AS timestamp_policy FROM readings"""))
 def q_snapshot_manifest(spark, d):
     """Gated publish of five ordered tables; the manifest read back as a row."""
     root = _publish(spark, d)
     folder, _ = S.current_snapshot(spark, root)
     m = spark.read.option("multiLine", True).json(posixpath.join(folder, S.MANIFEST))
-    return m.select("snapshot_id", "source_sha256", "original_reading_count", "first_reading", "last_reading",
-                    "duplicate_timestamps", "engine_version", "timestamp_policy")
-
-
-@query("snapshot_verify")
+    second = lambda c: F.substring(c, 1, 19).alias(c)
+    return m.select("snapshot_id", "run_id", F.col("source_sha256").rlike("^[0-9a-f]{64}$").alias("source_digest_recorded"),
+                    "original_reading_count", second("first_reading"), second("last_reading"), "duplicate_timestamps",
+                    "loaded_at", "exported_at", "timestamp_policy")
+
+
+@query("snapshot_verify", _sql(O.chain(upto="all"), """
+SELECT 'daily_metrics' AS "table", COUNT(*) AS "rows", CAST(SUM(readings) AS BIGINT) AS readings, TRUE AS ok FROM daily
+UNION ALL SELECT 'hourly_investigation', COUNT(*), CAST(SUM(readings) AS BIGINT), TRUE FROM investigation
+UNION ALL SELECT 'incidents', COUNT(*), CAST(SUM(readings) AS BIGINT), TRUE FROM incidents
+UNION ALL SELECT 'failure_reports', COUNT(*), NULL, TRUE FROM reports
+UNION ALL SELECT 'report_review', COUNT(*), NULL, TRUE FROM reports"""))
 def q_snapshot_verify(spark, d):
-    """Digest verification of every part file of the current snapshot (all ``ok``)."""
+    """Tables of the current snapshot read back with their types, and whether all of their part files have the
+    recorded digests."""
     root = _publish(spark, d)
-    S.read_snapshot(spark, root)
-    return S.verify_snapshot(spark, root)
+    frames, _ = S.read_snapshot(spark, root)
+    checked = (S.verify_snapshot(spark, root).groupBy(F.element_at(F.split("file", "/"), 1).alias("table"))
+               .agg(F.bool_and("ok").alias("ok")))
+    sums = None
+    for name, df in frames.items():
+        total = F.sum("readings") if "readings" in df.columns else F.lit(None)
+        row = df.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"), total.cast("bigint").alias("readings"))
+        sums = row if sums is None else sums.unionByName(row)
+    return sums.join(checked, "table").select("table", "rows", "readings", "ok")
+
+
+_JSON_COLUMNS = ["observed_hours", "eligible_hours", "not_evaluated_hours", "current_only", "baseline_only", "both"]
 
 
-@query("json_rows")
+@query("json_rows", _sql(O.chain(upto="all") + [f"audit AS ({RECON_SQL})"], f"""
+SELECT '{{' || concat_ws(',', {", ".join(f"""'"{c}":' || "{c}" """ for c in _JSON_COLUMNS)},
+  '"first_hour":"' || strftime(first_hour, '%Y-%m-%dT%H:%M:%S') || '.000"') || '}}' AS json FROM audit"""))
 def q_json_rows(spark, d):
     """Audit result rows as JSON documents (NULL fields kept)."""
-    return S.json_rows(A.reconciliation(investigation(spark, d), SPEC))
+    return S.json_rows(A.reconciliation(investigation(spark, d), SPEC).select(*_JSON_COLUMNS, "first_hour"))
 
 
 _UPSERT_TYPE = "Candidate incident review"

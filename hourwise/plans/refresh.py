@@ -33,8 +33,9 @@ class RefreshResult:
 
 def refresh(spark: SparkSession, readings: DataFrame, reports: DataFrame, spec: RuleSpec, root: str,
             run_id: str, source_name: str, source_sha256: str | None = None, complete: bool = True,
-            snapshot_id: str | None = None, loaded_at=None) -> RefreshResult:
+            snapshot_id: str | None = None, loaded_at=None, exported_at: str | None = None) -> RefreshResult:
     checkpoint_dir(spark)
+    loaded_at = loaded_at or S.now()
     hourly = materialize(marts.hourly_mart(readings, spec), "mart_hourly")   # the materialised mart
     state = S.provenance_row(readings.select("observed_at"), run_id, source_name, source_sha256, complete,
                              loaded_at).first().asDict()
@@ -48,5 +49,6 @@ def refresh(spark: SparkSession, readings: DataFrame, reports: DataFrame, spec:
     tables = {"hourly_investigation": (inv, ["hour_ts"]), "daily_metrics": (daily, ["reading_date"]),
               "failure_reports": (reports, ["report_id"]), "incidents": (inc.incidents(inv, spec, materialize_input=False), ["starts_at"]),
               "report_review": (review.report_review(reports, cand), ["report_id"])}
-    path = S.publish_snapshot(spark, root, snapshot_id or run_id, tables, state, counts, spec.as_dict())
+    path = S.publish_snapshot(spark, root, snapshot_id or run_id, tables, state, counts, spec.as_dict(),
+                              exported_at)
     return RefreshResult(path, state, counts, tables)

@@ -64,13 +64,13 @@ def field_order(header: str, schema: ReadingSchema = READING_SCHEMA) -> list[int
     return [names.index(f) for f in schema.fields]
 
 
-def _text(spark: SparkSession, path: str) -> DataFrame:
+def _text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("_mid"))
 
 
-def split_table(spark: SparkSession, path: str) -> DataFrame:
+def split_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per split: file, block, lines before it, first row id, data rows of earlier files, first line of its
     file. Written once; the only table of a load that needs an order."""
     key = "spark.sql.files.minPartitionNum"
@@ -86,7 +86,7 @@ def split_table(spark: SparkSession, path: str) -> DataFrame:
     return materialize(splits.select("file", "block", "_mid0", before.alias("_off")).join(files, "file"), "csv_offsets")
 
 
-def numbered_lines(spark: SparkSession, path: str, splits: DataFrame) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str | list[str], splits: DataFrame) -> DataFrame:
     """S3: ``(file, line_no, _foff, header, value)`` with 0-based line positions in file order.
 
     A line's position in its split comes from ``monotonically_increasing_id`` (rows of one split are

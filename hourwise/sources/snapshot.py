@@ -2,9 +2,9 @@
 manifest (S7, S9, S15, S16, S17, Q17), verified read (S18), JSON rows (S21).
 
 Tables are written by Spark (distributed, range-partitioned when ordered) into
-a staging folder under the snapshot root, digested with the ``binaryFile``
-source (one row per part file), described by a small manifest, moved into
-place with one rename, and published by rewriting the ``CURRENT`` pointer last.
+a staging folder under the snapshot root, digested on the executors into a
+table of files, described by a small manifest, moved into place with one
+rename, and published by replacing the ``CURRENT`` pointer by a rename last.
 File-system calls go through the Hadoop FileSystem API so the same code works
 on HDFS / object stores; only the manifest and pointer (a few hundred bytes)
 are written from the driver.
@@ -12,16 +12,25 @@ are written from the driver.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import posixpath
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hourwise.functions.columns import local_frame, ntz_lit
+from hourwise.functions.columns import ntz_lit, truthy
+from hourwise.sources.csv_ingest import numbered_lines, split_table
 
 MANIFEST = "provenance.json"
 POINTER = "CURRENT"
+#: The table of part files and digests beside a manifest (hidden from readers of the folder).
+FILES = "_files"
+#: Files up to this size are digested in one row; lines of a chunk of larger ones.
+WHOLE_BYTES, CHUNK_LINES = 1 << 30, 1 << 16
 
 
 class SnapshotError(ValueError):
@@ -59,11 +68,18 @@ def read_text(spark: SparkSession, path: str) -> str:
         reader.close()
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> None:
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
-    if not fs.rename(s, d):
-        raise SnapshotError(f"rename failed: {src} -> {dst}")
+def rename(spark: SparkSession, src: str, dst: str, replace: bool = False) -> None:
+    """Atomic rename. Without ``replace`` an existing target is an error, never a folder to move into."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    _, s = _fs(spark, src)
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = sc._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE if replace else kind.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(s.toUri(), sc._jsc.hadoopConfiguration()).rename(
+            s, jvm.org.apache.hadoop.fs.Path(dst), how)
+    except Exception as e:
+        raise SnapshotError(f"cannot move {src} to {dst}: {str(e)[:200]}") from e
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -82,14 +98,56 @@ def export_ordered(df: DataFrame, order: list[str], path: str, fmt: str = "csv")
         w.parquet(path)
 
 
-def file_digests(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``(path, name, bytes, sha256)`` per file; digests computed on the executors."""
+def file_digests(spark: SparkSession, path: str, glob: str | None = None, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """``(path, name, bytes, sha256)`` per file; digests computed on the executors.
+
+    A file of up to ``whole_bytes`` gets its SHA-256. A larger one, which no single row can hold, gets
+    ``tree-`` and the SHA-256 of the digests of its chunks of ``CHUNK_LINES`` lines (see ``tree_digests``).
+    """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.load(path)
-    return df.select("path", F.element_at(F.split("path", "/"), -1).alias("name"),
-                     F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    name = F.element_at(F.split("path", "/"), -1).alias("name")
+    out = df.filter(F.col("length") <= whole_bytes).select(
+        "path", name, F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    large = [x.path for x in df.filter(F.col("length") > whole_bytes).select("path").collect()]  # one short row per large file
+    if not large:
+        return out
+    sizes = df.filter(F.col("length") > whole_bytes).select("path", name, F.col("length").alias("bytes"))
+    trees = tree_digests(spark, large).withColumnRenamed("path", "key")
+    return out.unionByName(sizes.withColumn("key", _plain(F.col("path"))).join(trees, "key").drop("key"))
+
+
+def _plain(path):
+    """A file's path in one spelling: one slash after the scheme."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def tree_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, sha256), the path as ``_plain`` has it, of files of any size: lines (bytes between line feeds) are hashed, then chunks of line hashes,
+    then the chunks' hashes. The result does not depend on splits."""
+    lines = numbered_lines(spark, paths, split_table(spark, paths))
+    file = _plain(F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B"))))
+    x = lines.select(file.alias("path"), F.floor(F.col("line_no") / CHUNK_LINES).alias("chunk"),
+                     F.struct("line_no", F.sha2(F.col("value").cast("binary"), 256).alias("h")).alias("line"))
+    joined = lambda rows: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(rows)), lambda r: r["h"]), "")
+                                 .cast("binary"), 256)
+    chunks = x.groupBy("path", "chunk").agg(joined("line").alias("h"))
+    files = chunks.select("path", F.struct("chunk", "h").alias("c")).groupBy("path").agg(joined("c").alias("h"))
+    return files.select("path", F.concat(F.lit("tree-"), "h").alias("sha256"))
+
+
+def source_digest(spark: SparkSession, path: str, glob: str | None = None) -> str:
+    """Digest of a source that is one file or a folder of files: the file's own, or that of its sorted list."""
+    files = file_digests(spark, path, glob).select(F.regexp_replace("path", r"^[a-z]+:/+", "/").alias("path"), "sha256")
+    listed = F.array_sort(F.collect_list(F.struct("path", "sha256")))
+    x = files.agg(F.count(F.lit(1)).alias("n"), F.first("sha256").alias("one"), F.sha2(F.array_join(
+        F.transform(listed, lambda f: F.concat_ws(" ", F.element_at(F.split(f["path"], "/"), -1), f["sha256"])), "\n").cast("binary"), 256)
+        .alias("all")).first()
+    if not x.n:
+        raise SnapshotError(f"no file at {path}")
+    return x.one if x.n == 1 else x["all"]
 
 
 def json_rows(df: DataFrame) -> DataFrame:
@@ -123,36 +181,49 @@ def reconcile_counts(readings: DataFrame, hourly: DataFrame, daily: DataFrame) -
 
 def publish_snapshot(spark: SparkSession, root: str, snapshot_id: str, tables: dict[str, tuple[DataFrame, list[str]]],
                      state: dict, counts: dict, rule: dict, exported_at: str | None = None) -> str:
-    """Refuse incomplete or unreconciled loads, stage, digest, manifest, rename, pointer last."""
-    if not state or not state.get("is_complete_source"):
-        raise SnapshotError("Public export requires a complete-source load; fixtures cannot be published.")
-    expected = state["original_rows"]
-    if any(int(counts[k] or 0) != expected for k in ("raw_rows", "hourly_rows", "daily_rows")):
-        raise SnapshotError(f"Raw, hourly, daily and provenance row totals must reconcile: {counts} vs {expected}")
-    if "/" in snapshot_id or snapshot_id.startswith("."):
-        raise SnapshotError("invalid snapshot id")
-    snaps = posixpath.join(root, "snapshots")
-    staging = posixpath.join(snaps, f".staging-{snapshot_id}")
+    """Gate, then everything into a staging folder of its own, then one rename, then the pointer."""
+    folder = posixpath.join(root, "snapshots", snapshot_id)
+    _gate(state, counts)
+    if not snapshot_id or snapshot_id[0] in "._" or "/" in snapshot_id:
+        raise SnapshotError(f"invalid snapshot id {snapshot_id!r}")
+    if exists(spark, folder):
+        raise SnapshotError(f"snapshot {snapshot_id} exists already; ids are never reused")
+    staging = posixpath.join(root, "snapshots", f".{snapshot_id}-{uuid.uuid4().hex}")
     for name, (df, order) in tables.items():
         export_ordered(df, order, posixpath.join(staging, name))
-    digests = {r["rel"]: r["sha256"] for r in file_digests(spark, staging, "part-*")
-               .select(F.regexp_extract("path", r"/([^/]+/[^/]+)$", 1).alias("rel"), "sha256").collect()}
+    _relative(file_digests(spark, staging, "part-*")).write.parquet(posixpath.join(staging, FILES))
+    described = {name: {"order_by": order, "schema": df.schema.simpleString()[7:-1]} for name, (df, order) in tables.items()}
     manifest = {
-        "schema_version": 2, "snapshot_id": snapshot_id, "run_id": state.get("run_id"),
-        "source": state.get("source_name"), "source_sha256": state.get("source_sha256"),
-        "original_reading_count": expected, "loaded_at": _iso(state.get("loaded_at")),
-        "exported_at": exported_at, "first_reading": _iso(state.get("first_reading")),
-        "last_reading": _iso(state.get("last_reading")), "duplicate_timestamps": state.get("duplicate_timestamps"),
-        "engine_version": f"Apache Spark {spark.version}",
+        "schema_version": 3, "snapshot_id": snapshot_id, "rule": rule, "tables": described, "file_table": FILES,
+        "source": state.get("source_name"), "original_reading_count": state["original_rows"],
+        "exported_at": exported_at or now().isoformat(), "engine_version": f"Apache Spark {spark.version}",
         "timestamp_policy": "Original naive timestamps; source timezone unspecified.",
-        "rule": rule, "tables": {n: {"order_by": o} for n, (_, o) in tables.items()}, "files": digests,
+        **{k: state.get(k) for k in ("run_id", "source_sha256", "duplicate_timestamps")},
+        **{k: _iso(state.get(k)) for k in ("loaded_at", "first_reading", "last_reading")},
     }
     write_text(spark, posixpath.join(staging, MANIFEST), json.dumps(manifest, indent=2, sort_keys=True))
-    final = posixpath.join(snaps, snapshot_id)
-    rename(spark, staging, final)
-    # pointer last: a single small object rewritten in place (readers see old or new id)
-    write_text(spark, posixpath.join(root, POINTER), snapshot_id)
-    return final
+    rename(spark, staging, folder)
+    # a reader of the pointer sees the old id or the new one, never a part of it
+    fresh = posixpath.join(root, f".{POINTER}-{uuid.uuid4().hex}")
+    write_text(spark, fresh, snapshot_id)
+    rename(spark, fresh, posixpath.join(root, POINTER), replace=True)
+    return folder
+
+
+def _gate(state: dict, counts: dict) -> None:
+    if not (state or {}).get("is_complete_source"):
+        raise SnapshotError("not a complete-source load: only whole sources are published")
+    odd = {k: counts[k] for k in ("raw_rows", "hourly_rows", "daily_rows") if int(counts[k] or 0) != state["original_rows"]}
+    if odd:
+        raise SnapshotError(f"row totals do not reconcile with the {state['original_rows']} rows loaded: {odd}")
+
+
+def _relative(digests: DataFrame) -> DataFrame:
+    return digests.select(F.regexp_extract("path", r"/([^/]+/[^/]+)$", 1).alias("file"), "bytes", "sha256")
+
+
+def now() -> dt.datetime:
+    return dt.datetime.now(dt.UTC).replace(tzinfo=None, microsecond=0)
 
 
 def _iso(x):
@@ -162,52 +233,52 @@ def _iso(x):
 # ---------------------------------------------------------------- S18
 
 def current_snapshot(spark: SparkSession, root: str) -> tuple[str, dict]:
-    sid = read_text(spark, posixpath.join(root, POINTER)).strip()
-    if not sid or "/" in sid or "\\" in sid or sid.startswith("."):
-        raise SnapshotError("Invalid snapshot pointer")
-    folder = posixpath.join(root, "snapshots", sid)
+    name = read_text(spark, posixpath.join(root, POINTER)).strip()
+    if not re.fullmatch(r"[^./\\_][^/\\]*", name):
+        raise SnapshotError(f"the pointer holds no snapshot id: {name!r}")
+    folder = posixpath.join(root, "snapshots", name)
     return folder, json.loads(read_text(spark, posixpath.join(folder, MANIFEST)))
 
 
 def verify_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """Per-file digest check against the manifest ``(file, expected, actual, ok)``."""
+    """Digest check of every part file against the snapshot's file table ``(file, expected_sha256,
+    actual_sha256, ok)``; missing and additional files are not ok."""
     folder, meta = current_snapshot(spark, root)
-    for name in meta["files"]:
-        if name.count("/") != 1 or ".." in name:
-            raise SnapshotError(f"Invalid export filename: {name}")
-    expected = local_frame(spark, sorted(meta["files"].items()), "file string, expected_sha256 string")
-    actual = (file_digests(spark, folder, "part-*")
-              .select(F.regexp_extract("path", r"/([^/]+/[^/]+)$", 1).alias("file"),
-                      F.col("sha256").alias("actual_sha256")))
-    return (expected.join(actual, on="file", how="full")
-            .withColumn("ok", F.coalesce(F.col("expected_sha256") == F.col("actual_sha256"), F.lit(False))))
-
-
-def read_snapshot(spark: SparkSession, root: str, schemas: dict[str, str] | None = None) -> tuple[dict, dict]:
-    """Verify digests and totals, then return ``{table: DataFrame}`` and the manifest."""
+    listed = spark.read.schema("file string, bytes bigint, sha256 string").parquet(posixpath.join(folder, meta["file_table"]))
+    there = _relative(file_digests(spark, folder, "part-*"))
+    both = listed.select("file", F.col("sha256").alias("expected_sha256")).join(
+        there.select("file", F.col("sha256").alias("actual_sha256")), "file", "full")
+    return both.withColumn("ok", F.col("expected_sha256").eqNullSafe(F.col("actual_sha256")))
+
+
+def read_table(spark: SparkSession, folder: str, name: str, ddl: str) -> DataFrame:
+    """A snapshot table with the types it was written with: naive times stay naive, truth values in any usual
+    spelling become booleans."""
+    schema = T.StructType.fromDDL(ddl.replace(":", " "))
+    raw = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.BooleanType) else f.dataType)
+                        for f in schema])
+    df = (spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").schema(raw)
+          .csv(posixpath.join(folder, name)))
+    return df.select(*[F.when(F.col(f.name).isNotNull(), truthy(f.name)).alias(f.name)
+                       if isinstance(f.dataType, T.BooleanType) else F.col(f.name) for f in schema])
+
+
+def read_snapshot(spark: SparkSession, root: str) -> tuple[dict, dict]:
+    """``{table: DataFrame}`` and the manifest, after digests and row totals have been checked."""
     folder, meta = current_snapshot(spark, root)
     try:
-        bad = verify_snapshot(spark, root).filter(~F.col("ok")).select("file").limit(1).collect()
-    except Exception as e:  # a part file the file system itself refuses (e.g. its own checksum fails)
-        if "FAILED_READ_FILE" in str(e) or "ChecksumException" in str(e):
-            raise SnapshotError(f"Export checksum mismatch: unreadable part file ({str(e)[:200]})") from e
-        raise
-    if bad:
-        raise SnapshotError(f"Export checksum mismatch: {bad[0]['file']}")
-    frames = {}
-    for name in meta["tables"]:
-        r = spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        if schemas and name in schemas:
-            r = r.schema(schemas[name])
-        else:
-            r = r.option("inferSchema", True)
-        frames[name] = r.csv(posixpath.join(folder, name))
-    expected = meta["original_reading_count"]
-    for name in ("daily_metrics", "hourly_investigation"):
-        if name in frames:
-            total = frames[name].agg(F.coalesce(F.sum("readings"), F.lit(0))).first()[0]
-            if int(total) != expected:
-                raise SnapshotError(f"{name} totals do not match source row count")
+        wrong = verify_snapshot(spark, root).filter("not ok").select("file").first()
+    except Exception as e:
+        if not re.search("FAILED_READ_FILE|ChecksumException", str(e)):
+            raise
+        raise SnapshotError(f"checksum: the file system refuses a part file ({str(e)[:200]})") from e
+    if wrong:
+        raise SnapshotError(f"checksum of {wrong.file} is not the recorded one")
+    frames = {name: read_table(spark, folder, name, t["schema"]) for name, t in meta["tables"].items()}
+    for name in {"daily_metrics", "hourly_investigation"} & set(frames):
+        total = frames[name].agg(F.coalesce(F.sum("readings"), F.lit(0)).alias("n")).first().n
+        if total != meta["original_reading_count"]:
+            raise SnapshotError(f"{name} sums up to {total} readings, the source has {meta['original_reading_count']}")
     return frames, meta
 
 
