@@ -25,7 +25,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from hourwise.functions.columns import ntz_lit
 from hourwise.session import materialize
@@ -61,18 +60,75 @@ def alert_condition(values: DataFrame, op: str = ">", threshold: float = 0.0,
     return values.withColumn("triggered", condition(F.col(value_col), op, threshold))
 
 
-def _greedy(grace_us: int):
+#: A run of true ticks is worked on in chunks of so many grace windows.
+CHUNK_WINDOWS = 256
+
+
+def _jumps(ep: np.ndarray, grace_us: int) -> np.ndarray:
+    """For every tick, the position of the first tick a grace window later."""
+    return np.searchsorted(ep, ep + grace_us, side="left")
+
+
+def _exits(grace_us: int, chunk_us: int):
+    """Where a chunk is left, for each tick at which it can be entered: those up to the first one that is a grace
+    window after its start."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        ep = np.unique(pdf["_us"].to_numpy())
+        after = np.searchsorted(ep, int(pdf["_chunk"].iloc[0]) * chunk_us + grace_us, side="left")
+        entries = np.arange(min(len(ep), after + 1))
+        jump, at = _jumps(ep, grace_us), entries.copy()
+        while (moving := jump[at] < len(ep)).any():
+            at = np.where(moving, jump[at], at)
+        return pd.DataFrame({"_alert": pdf["_alert"].iloc[0], "_segment": pdf["_segment"].iloc[0], "_chunk": pdf["_chunk"].iloc[0],
+                             "_in": ep[entries], "_out": ep[at] + grace_us})
+    return run
+
+
+def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The tick at which each chunk of a run is entered."""
+    found, free = [], None
+    for chunk, part in pdf.sort_values(["_chunk", "_in"]).groupby("_chunk", sort=True):
+        ticks = part["_in"].to_numpy()
+        i = 0 if free is None else int(np.searchsorted(ticks, free, side="left"))
+        if i < len(ticks):
+            found.append((chunk, ticks[i]))
+            free = part["_out"].iloc[i]
+    return pd.DataFrame({"_alert": pdf["_alert"].iloc[0], "_segment": pdf["_segment"].iloc[0],
+                         "_chunk": [c for c, _ in found], "_entry": [t for _, t in found]})
+
+
+def _marks(grace_us: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ep = np.unique(pdf["_us"].to_numpy())  # sorted, one row per tick time
-        hit = np.zeros(len(ep), dtype=bool)
-        i = 0
+        ep = np.unique(pdf["_us"].to_numpy())
+        jump, hit, i = _jumps(ep, grace_us), np.zeros(len(ep), dtype=bool), int(np.searchsorted(ep, pdf["_entry"].iloc[0]))
         while i < len(ep):
             hit[i] = True
-            i = int(np.searchsorted(ep, ep[i] + grace_us, side="left"))
-        return pd.DataFrame({"_alert": pdf["_alert"].iloc[0], "_us": ep, "_success": hit})
+            i = jump[i]
+        return pd.DataFrame({"_alert": pdf["_alert"].iloc[0], "_us": ep[hit], "_success": True})
     return run
 
 
+def successes(true_ticks: DataFrame, grace_us: int) -> DataFrame:
+    """(_alert, _us, _success) of the ticks that succeed: the first of each run, then each first tick a grace
+    window after the last success.
+
+    A run is cut into chunks, which are worked on apart: first, for each tick at which a chunk can be entered, where it
+    is left; then the chunks are chained (a few rows per chunk); then each chunk is marked from its entry. So an
+    alert that is always true spreads over many tasks.
+    """
+    chunk_us = CHUNK_WINDOWS * max(1, grace_us)
+    seg = assign_islands(true_ticks, ["_alert"], "_tick", out="_segment", max_gap_micros=grace_us,
+                         materialize_input=False)  # a filter over the written tick log
+    seg = seg.select("_alert", "_segment", "_us", F.floor(F.col("_us") / chunk_us).cast("long").alias("_chunk"))
+    seg = materialize(seg, "alert_chunks")
+    kind = seg.schema["_alert"].dataType.simpleString()
+    key = f"_alert {kind}, _segment timestamp_ntz, _chunk long"
+    exits = seg.groupBy("_alert", "_segment", "_chunk").applyInPandas(_exits(grace_us, chunk_us), f"{key}, _in long, _out long")
+    entries = exits.groupBy("_alert", "_segment").applyInPandas(_chain, f"{key}, _entry long")
+    return (seg.join(entries, ["_alert", "_segment", "_chunk"]).groupBy("_alert", "_segment", "_chunk")
+            .applyInPandas(_marks(grace_us), f"_alert {kind}, _us long, _success boolean"))
+
+
 def running_last(df: DataFrame, key: str, ts: str, flag: str, out: str, day_of: str | None = None) -> DataFrame:
     """``out`` = max ``ts`` with ``flag`` at or before each row (per key), bucketed by day + carry.
 
@@ -100,12 +156,7 @@ def alert_states(ticks: DataFrame, grace_seconds: float, op: str = ">", threshol
     # the tick log feeds several branches (segments, success marks, running last): written once
     t = materialize(t.withColumn("_us", F.unix_micros(F.col("_tick").cast("timestamp"))), "alert_ticks")
     true_ticks = t.filter(condition(F.col("_value"), op, threshold)).select("_alert", "_tick", "_us")
-    seg = assign_islands(true_ticks, ["_alert"], "_tick", out="_segment", max_gap_micros=grace_us,
-                         materialize_input=False)  # a filter over the written tick log
-    schema = StructType([StructField("_alert", ticks.schema[alert].dataType), StructField("_us", LongType()),
-                         StructField("_success", BooleanType())])
-    succ = (seg.select("_alert", "_segment", "_us").groupBy("_alert", "_segment")
-            .applyInPandas(_greedy(grace_us), schema).filter("_success").select("_alert", "_us", "_success"))
+    succ = successes(true_ticks, grace_us)
     marked = t.join(succ, on=["_alert", "_us"], how="left").withColumn(
         "_success", F.coalesce("_success", F.lit(False)))
     last = running_last(marked, "_alert", "_us", "_success", "_last_us", day_of="_tick")

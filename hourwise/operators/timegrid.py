@@ -79,16 +79,17 @@ def stitched_lag(df: DataFrame, order_col: str, value_col: str, out: str, bucket
     """LAG(value) OVER (PARTITION BY keys ORDER BY order_col), computed bucket-locally.
 
     ``bucket`` must be monotone in ``order_col`` (e.g. ``row_id div N``).  When it
-    is omitted the buckets are data-adaptive (``quantile_buckets``), so a burst of
-    rows in one hour is split across tasks.  Ties in ``order_col`` must not matter
+    is omitted the rows are range-partitioned by ``order_col`` into ``buckets`` parts
+    (default: shuffle partitions), so a burst of rows in one hour is split across tasks
+    and the number of buckets grows with the setting.  Ties in ``order_col`` must not matter
     for the value (true when ``value_col`` is the order column itself, or
     ``order_col`` is unique).
     """
     keys = list(keys or [])
     if bucket is None:
         n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        bucket = quantile_buckets(df, order_col, n)
-    # rows feed two branches (in-bucket LAG and per-bucket last value): written once
+        df, bucket = df.repartitionByRange(n, order_col), F.spark_partition_id()
+    # rows feed two branches (in-bucket LAG and per-bucket last value): written once, which also fixes the buckets
     b = materialize(df.withColumn("_bucket", bucket), "lag_input")
     w = Window.partitionBy(*keys, "_bucket").orderBy(order_col)
     local = b.withColumn("_lag", F.lag(value_col).over(w)).withColumn("_first", F.row_number().over(w) == 1)
@@ -113,14 +114,15 @@ def _bucketize(x: Column, bounds: list, lo: int, hi: int) -> Column:
     return F.when(x < F.lit(bounds[mid]), _bucketize(x, bounds, lo, mid)).otherwise(_bucketize(x, bounds, mid + 1, hi))
 
 
-def quantile_buckets(df: DataFrame, order_col: str, n: int, rel_error: float = 0.001) -> Column:
-    """Monotone bucket id with about equal rows per bucket.
+def quantile_buckets(df: DataFrame, order_col: str, n: int) -> Column:
+    """Monotone bucket id with about equal rows per bucket, for moderate ``n`` (the cut points are literals).
 
     ``approxQuantile`` returns ``n - 1`` cut points to the driver (bounded by n),
     which are embedded as literals, so every branch of a plan and every
     recomputation after an executor loss assigns the same buckets.
     """
     x = _numeric(df, order_col)
+    rel_error = 1 / (8 * n)
     probs = [i / n for i in range(1, n)]
     cuts = sorted(set(v for v in df.select(x.alias("_x")).approxQuantile("_x", probs, rel_error) if v is not None))
     return _bucketize(x, cuts, 0, len(cuts)) if cuts else F.lit(0)
@@ -136,11 +138,7 @@ def distinct_time_deltas(readings: DataFrame, ts: str = "observed_at",
     """
     keys = list(keys or [])
     per_ts = readings.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("n"))
-    # cut points from the raw column (a scan with per-partition sketches, no shuffle); any monotone
-    # cut points are correct, these also balance the per-timestamp rows
-    n = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lagged = stitched_lag(per_ts, ts, ts, "previous_at", bucket=quantile_buckets(readings.select(ts), ts, n),
-                          keys=keys)
+    lagged = stitched_lag(per_ts, ts, ts, "previous_at", keys=keys)
     return lagged.withColumn("delta_seconds", seconds_between(ts, "previous_at"))
 
 

@@ -14,15 +14,20 @@ from hourwise.streaming.hourly import stream_hourly_mart, stream_scored_hours
 _FINAL = "hour_ts + INTERVAL 1 HOUR <= (SELECT MAX(observed_at) FROM readings) - INTERVAL 10 MINUTE"
 
 
-EVENTS_GLOB = "events*.parquet"
+def events_source(spark, d):
+    """(folder to watch, glob) of the events, be they one file or a folder of files."""
+    jvm = spark.sparkContext._jvm
+    table = jvm.org.apache.hadoop.fs.Path(posixpath.join(d, "events.parquet"))
+    folder = table.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(table).isDirectory()
+    return (table.toString(), "*.parquet") if folder else (d, "events.parquet")
 
 
 @query("stream_hourly_mart", _sql(O.chain(upto="hourly"), f"SELECT * FROM hourly WHERE {_FINAL}", HOURLY_DOUBLES))
 def q_stream_hourly_mart(spark, d):
     """Streaming hourly mart (watermark 10 min, append): every hour whose end the watermark passed."""
-    root = scratch(spark, "stream")
+    root, (source, glob) = scratch(spark, "stream"), events_source(spark, d)
     sink = posixpath.join(root, "hourly")
-    q = stream_hourly_mart(spark, d, sink, posixpath.join(root, "_checkpoint"), SPEC, glob=EVENTS_GLOB)
+    q = stream_hourly_mart(spark, source, sink, posixpath.join(root, "_checkpoint"), SPEC, glob=glob)
     q.awaitTermination()
     return spark.read.parquet(sink)
 
@@ -31,10 +36,10 @@ def q_stream_hourly_mart(spark, d):
                                            HOURLY_DOUBLES))
 def q_stream_hourly_mart_by_asset(spark, d):
     """X5 per asset: tumbling hourly windows grouped by asset, one global event-time watermark."""
-    root = scratch(spark, "stream-asset")
+    root, (source, glob) = scratch(spark, "stream-asset"), events_source(spark, d)
     sink = posixpath.join(root, "hourly")
-    q = stream_hourly_mart(spark, d, sink, posixpath.join(root, "_checkpoint"), SPEC, keys=["asset_id"],
-                           glob=EVENTS_GLOB)
+    q = stream_hourly_mart(spark, source, sink, posixpath.join(root, "_checkpoint"), SPEC, keys=["asset_id"],
+                           glob=glob)
     q.awaitTermination()
     return spark.read.parquet(sink)
 
@@ -43,8 +48,8 @@ def q_stream_hourly_mart_by_asset(spark, d):
                                    CAND_DOUBLES))
 def q_stream_scored_hours(spark, d):
     """foreachBatch scoring of finalised hours against the stored 7-day history."""
-    root = scratch(spark, "stream-scored")
-    q = stream_scored_hours(spark, d, root, posixpath.join(root, "_checkpoint"), SPEC, glob=EVENTS_GLOB)
+    root, (source, glob) = scratch(spark, "stream-scored"), events_source(spark, d)
+    q = stream_scored_hours(spark, source, root, posixpath.join(root, "_checkpoint"), SPEC, glob=glob)
     q.awaitTermination()
     return spark.read.parquet(posixpath.join(root, "scored")).drop("batch_id")
 

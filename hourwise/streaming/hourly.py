@@ -21,6 +21,7 @@ import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from hourwise.functions.columns import ntz_lit
 from hourwise.operators.marts import HOURLY_COLUMNS, state_predicates
@@ -76,13 +77,14 @@ def stream_scored_hours(spark: SparkSession, source: str, out_root: str, checkpo
     lookback = F.expr(f"INTERVAL {spec.lookback_seconds} SECONDS")
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        bounds = batch.agg(F.min("hour_ts").alias("lo")).first()
-        if bounds is None or bounds["lo"] is None:
+        mine = posixpath.join(hourly_dir, f"batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(mine)  # the only run of the batch's plan
+        new_hours = spark.read.schema(batch.schema).parquet(mine).select("hour_ts")
+        bounds = new_hours.agg(F.min("hour_ts").alias("lo")).first()
+        if bounds["lo"] is None:
             return
-        batch.write.mode("overwrite").parquet(posixpath.join(hourly_dir, f"batch_id={batch_id}"))
-        lo = ntz_lit(bounds["lo"])
-        hist = spark.read.parquet(hourly_dir).drop("batch_id").filter(F.col("hour_ts") >= lo - lookback)
-        new_hours = batch.select("hour_ts")
+        hist = (spark.read.schema(batch.schema).parquet(hourly_dir)
+                .filter(F.col("hour_ts") >= ntz_lit(bounds["lo"]) - lookback))
         scored = candidate_hours(hist, spec).join(new_hours, on="hour_ts", how="left_semi")
         scored.write.mode("overwrite").parquet(posixpath.join(scored_dir, f"batch_id={batch_id}"))
 
@@ -92,10 +94,33 @@ def stream_scored_hours(spark: SparkSession, source: str, out_root: str, checkpo
     return q.start()
 
 
+def _late(progress) -> int:
+    ops = progress.get("stateOperators", []) if isinstance(progress, dict) else progress.stateOperators
+    return sum(int(op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark) for op in ops)
+
+
 def dropped_late_rows(query) -> int:
-    """Rows the watermark dropped as too late, summed over the query's recent progress reports."""
-    total = 0
-    for progress in query.recentProgress:
-        for op in progress.get("stateOperators", []) if isinstance(progress, dict) else progress.stateOperators:
-            total += int(op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark)
-    return total
+    """Rows the watermark dropped as too late in the newest progress reports that the query keeps
+    (``spark.sql.streaming.numRecentProgressUpdates``, 100 by default). ``LateRows`` counts all of them."""
+    return sum(map(_late, query.recentProgress))
+
+
+class LateRows(StreamingQueryListener):
+    """Rows dropped as too late by each query over its whole life. Add it with ``spark.streams.addListener`` before the
+    query starts."""
+
+    def __init__(self):
+        self.by_query: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.by_query.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        key = str(event.progress.id)
+        self.by_query[key] = self.by_query.get(key, 0) + _late(event.progress)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass

@@ -1,8 +1,12 @@
 """F5 period contract and F7 alert trace."""
 import datetime as dt
 
+from pyspark.sql import functions as F
+
+from conftest import SF
 from hourwise.operators import alerts as X, period as P
 from hourwise.sources.readings import reports
+from hourwise.spec import DEMO_V1
 
 D = dt.datetime
 
@@ -109,3 +113,64 @@ def test_stream_scoring_uses_stored_history_across_batches(spark, tmp_path):
     cand = rule.candidate_hours(marts.hourly_mart(readings_from_events(batch_all), DEMO_V1), DEMO_V1)
     expect = {r.hour_ts: (r.prior_loaded_readings, r.candidate_status) for r in cand.collect() if r.hour_ts in scored}
     assert len(scored) >= 70 and scored == expect
+
+
+def test_always_true_alert_spreads_over_chunks(spark, monkeypatch):
+    from hourwise.operators import alerts as al
+    monkeypatch.setattr(al, "CHUNK_WINDOWS", 3)
+    base = dt.datetime(2024, 1, 1)
+    import random
+    rng = random.Random(4)
+    times, t = [], 0
+    for _ in range(3000):
+        t += rng.choice([1, 5, 20, 59, 60, 61, 200])
+        times.append(t)
+    rows = [("a", base + dt.timedelta(seconds=s), 1.0 if rng.random() < 0.9 else 0.0) for s in times]
+    rows += [("b", base + dt.timedelta(seconds=10 * i), 1.0) for i in range(2000)]
+    ticks = spark.createDataFrame(rows, "alert string, tick timestamp_ntz, value double")
+    expected, last = {}, {}
+    for a, at, v in sorted(rows):
+        if v > 0 and (a not in last or (at - last[a]).total_seconds() >= 60):
+            last[a] = at
+            expected[a, at] = "Success"
+    got = {(r.alert, r.tick) for r in al.alert_states(ticks, 60).filter("state = 'Success'").collect()}
+    assert got == set(expected)
+    true = ticks.select(F.col("alert").alias("_alert"), F.col("tick").alias("_tick"), F.unix_micros(F.col("tick").cast("timestamp")).alias("_us"))
+    chunks = true.filter("_alert = 'b'").select(F.floor(F.col("_us") / (3 * 60_000_000))).distinct().count()
+    assert chunks > 100
+
+
+def test_late_rows_are_counted_over_all_batches(spark, tmp_path):
+    from hourwise.streaming.hourly import LateRows, dropped_late_rows, stream_hourly_mart
+    counter = LateRows()
+    spark.streams.addListener(counter)
+    try:
+        src = str(tmp_path / "events")
+        ev = spark.read.parquet(f"{SF}/events.parquet").orderBy("ts")
+        ev.filter("event_id >= 500").coalesce(1).write.parquet(src)
+        dropped = 0
+        for _ in range(3):
+            q = stream_hourly_mart(spark, src, str(tmp_path / "sink"), str(tmp_path / "ck"), DEMO_V1, glob="*.parquet")
+            q.awaitTermination()
+            dropped += dropped_late_rows(q)
+            ev.filter("event_id < 100").coalesce(1).write.mode("append").parquet(src)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        assert len(counter.by_query) == 1 and sum(counter.by_query.values()) == dropped > 0
+    finally:
+        spark.streams.removeListener(counter)
+
+
+def test_stream_queries_read_a_folder_of_events(spark, tmp_path):
+    from hourwise.plans import catalog
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    ev.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stream_hourly_mart", "stream_scored_hours", "snapshot_manifest"):
+        q = catalog.queries()[name]
+        assert q(spark, str(tmp_path)).count() == q(spark, SF).count() > 0
+
+
+def test_lag_buckets_grow_with_the_setting(spark):
+    from hourwise.operators.timegrid import stitched_lag
+    df = spark.range(4000).select(F.col("id"), (F.col("id") * 3).alias("t"))
+    out = stitched_lag(df, "t", "t", "prev", buckets=64)
+    assert out.filter("prev is null").count() == 1 and out.filter("t - prev = 3").count() == 3999
