@@ -191,6 +191,7 @@ def prune_retention(log: DataFrame, days: int, now, order: str = "tick") -> Data
     return log.filter(F.col(order) >= ntz_lit(now) - F.expr(f"INTERVAL {days} DAYS"))
 
 
-def incremental(log: DataFrame, prior_max, id_col: str = "log_id") -> DataFrame:
-    """Rows with an id above the high-water mark of the previous poll."""
-    return log.filter(F.col(id_col) > F.lit(prior_max))
+def incremental(log: DataFrame, prior: DataFrame, id_col: str = "log_id") -> DataFrame:
+    """Rows with an id above the high-water mark of the previous poll's log (all rows if that is empty)."""
+    mark = prior.select(F.max(id_col)).scalar()
+    return log.filter(mark.isNull() | (F.col(id_col) > mark))

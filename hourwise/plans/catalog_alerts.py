@@ -97,8 +97,8 @@ def q_alert_log_prune(spark, d):
 
 
 def _log_id(alert="alert", tick="tick"):
-    return (F.unix_micros(F.col(tick).cast("timestamp")) * 16
-            + F.regexp_extract(F.col(alert), "([0-9]+)$", 1).cast("bigint"))
+    """Text that sorts by tick and asset, for any number of assets."""
+    return F.concat(F.date_format(tick, "yyyyMMddHHmmssSSSSSS"), F.lit("-"), F.lpad(F.regexp_extract(F.col(alert), "([0-9]+)$", 1), 12, "0"))
 
 
 def _incremental_sql():
@@ -107,7 +107,7 @@ def _incremental_sql():
         .replace("t AS (", "p_t AS (", 1).replace("r AS (", "p_r AS (", 1).replace("FROM r JOIN t ON t.alert = r.alert AND t.rn = r.rn + 1",
                                                                                     "FROM p_r r JOIN p_t t ON t.alert = r.alert AND t.rn = r.rn + 1") \
         .replace("FROM t WHERE rn = 1", "FROM p_t WHERE rn = 1")
-    idx = "epoch_us(tick) * 16 + CAST(regexp_extract(alert, '([0-9]+)$', 1) AS BIGINT)"
+    idx = "strftime(tick, '%Y%m%d%H%M%S%f') || '-' || lpad(regexp_extract(alert, '([0-9]+)$', 1), 12, '0')"
     final = f"""
 SELECT {idx} AS log_id, alert, tick, value, state FROM r
 WHERE {idx} > (SELECT MAX({idx}) FROM p_r)"""
@@ -118,9 +118,8 @@ WHERE {idx} > (SELECT MAX({idx}) FROM p_r)"""
 def q_incremental_log(spark, d):
     """Log rows above the previous poll's high-water mark (previous poll = data before the cut)."""
     prior = state_log(spark, d, CUT).withColumn("log_id", _log_id())
-    prior_max = prior.agg(F.max("log_id")).first()[0]
     log = state_log(spark, d).withColumn("log_id", _log_id()).select("log_id", "alert", "tick", "value", "state")
-    return X.incremental(log, prior_max if prior_max is not None else -1)
+    return X.incremental(log, prior)
 
 
 @query("alert_condition", _sql(O.chain(ASSET), """

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from hourwise.operators import marts
 from hourwise.plans import oracle as O
-from hourwise.plans.catalog import SPEC, _sql, hourly, incidents, investigation, query, readings, reports
+from hourwise.plans.catalog import CAND_DOUBLES, SPEC, _sql, hourly, incidents, investigation, query, readings, reports
 from hourwise.operators import audit as A
 from hourwise.plans.catalog_more import RECON_SQL
-from hourwise.operators.review import REPORT_KEY, report_slots
+from hourwise.operators.review import REPORT_KEY, incident_evidence, report_context, report_slots
 from hourwise.functions.columns import trunc_hour
 from hourwise.session import checkpoint_dir
 from hourwise.sources import csv_ingest as I, snapshot as S
@@ -210,6 +210,49 @@ def q_export_ordered(spark, d):
     return spark.read.option("header", True).schema(_EXPORT_SCHEMA).csv(path)
 
 
+def exported(spark, df, order):
+    """A selection as ordered CSV, read back with the types it was written with."""
+    folder = scratch(spark, "evidence")
+    S.export_ordered(df, order, posixpath.join(folder, "rows"))
+    return S.read_table(spark, folder, "rows", df.schema.simpleString()[7:-1])
+
+
+_HOURS = "hour_ts >= TIMESTAMP '2024-01-08 00:00:00' AND hour_ts < TIMESTAMP '2024-01-22 00:00:00' AND candidate_status = 'REVIEW_PRESSURE'"
+
+
+@query("export_hours", _sql(O.chain(), f"SELECT * FROM investigation WHERE {_HOURS}", CAND_DOUBLES))
+def q_export_hours(spark, d):
+    """The review hours of a period, exported."""
+    return exported(spark, investigation(spark, d).filter(_HOURS.replace("TIMESTAMP '", "TIMESTAMP_NTZ '")), ["hour_ts"])
+
+
+@query("export_incident", _sql(O.chain(upto="incidents"), """
+SELECT g.incident_id, g.hour_ts, i.readings, i.loaded_readings, i.low_pressure_loaded_readings, i.current_low_fraction,
+  i.prior_low_fraction, i.candidate_status
+FROM (SELECT incident_id, UNNEST(generate_series(starts_at - INTERVAL 7 DAY, ends_at - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS hour_ts
+      FROM (SELECT * FROM incidents ORDER BY candidate_hours DESC, starts_at LIMIT 1) longest) g
+LEFT JOIN investigation i ON i.hour_ts = g.hour_ts""", ["current_low_fraction", "prior_low_fraction"]))
+def q_export_incident(spark, d):
+    """The evidence of one incident (the longest), exported."""
+    inv = investigation(spark, d)
+    one = incidents(spark, d).orderBy(F.desc("candidate_hours"), "starts_at").limit(1)
+    return exported(spark, incident_evidence(one, inv, SPEC.lookback_days), ["hour_ts"])
+
+
+@query("export_report_context", _sql(O.chain(), """
+SELECT *, expected_hours - observed_hours AS missing_hours FROM (
+  SELECT w.report_id, w.report_type, w.starts_at, w.ends_at, w.opens AS window_start, w.closes AS window_end,
+    date_diff('hour', w.opens, w.closes) AS expected_hours,
+    (SELECT COUNT(*) FROM investigation i WHERE i.hour_ts >= w.opens AND i.hour_ts < w.closes) AS observed_hours,
+    (SELECT COUNT(*) FROM investigation i WHERE i.hour_ts >= w.opens AND i.hour_ts < w.closes
+       AND i.candidate_status = 'REVIEW_PRESSURE') AS candidate_hours
+  FROM (SELECT *, date_trunc('hour', starts_at - INTERVAL 21 DAY) AS opens,
+          date_trunc('hour', ends_at + INTERVAL 21 DAY + INTERVAL 59 MINUTE + INTERVAL 59 SECOND) AS closes FROM reports) w) q"""))
+def q_export_report_context(spark, d):
+    """Three weeks of context of every report, exported."""
+    return exported(spark, report_context(reports(spark), investigation(spark, d), 21), ["report_id"])
+
+
 @query("provenance_row", _sql([READINGS_SQL], """
 SELECT 'sf-run' AS run_id, CAST(NULL AS VARCHAR) AS source_sha256, COUNT(*) AS original_rows,
   TIMESTAMP '2024-02-01 06:30:00' AS loaded_at, 'events.parquet' AS source_name, TRUE AS is_complete_source,

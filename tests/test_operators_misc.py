@@ -58,7 +58,7 @@ def test_clip_and_context(spark):
     assert ctx[1].window_start == D(2024, 1, 6) and ctx[1].window_end == D(2024, 1, 13)  # 23:59 + 3 d -> ceil hour
     assert ctx[1].expected_hours == 168 and ctx[1].observed_hours == 1 and ctx[1].candidate_hours == 1
     with pytest.raises(ValueError):
-        review.report_context(rep, hours, 15)
+        review.report_context(rep, hours, -1)
 
 
 def test_null_asset_key_keeps_its_islands(spark):
@@ -68,3 +68,36 @@ def test_null_asset_key_keeps_its_islands(spark):
     df = spark.createDataFrame(rows, "asset int, hour_ts timestamp_ntz")
     got = {(r.asset, r.hour_ts.hour): r.island_start.hour for r in assign_islands(df, ["asset"], chunk_days=1).collect()}
     assert got == {(None, 0): 0, (None, 1): 0, (None, 5): 5, (1, 0): 0, (1, 2): 2}
+
+
+def _audit_rows(spark, **changes):
+    from hourwise.operators import audit as A
+    recon = dict(observed_hours=10, eligible_hours=4, not_evaluated_hours=6, evaluated_no_breach=3, evaluated_breach=1,
+                 current_only=2, baseline_only=1, both=2, eligible_null_rate=0)
+    window = dict(compared_hours=10, mismatched_hours=0, mismatched_eligibility=0)
+    missing = dict(missing_rates=1)
+    frames = []
+    for part in (recon, window, missing):
+        values = {k: changes.get(k, v) for k, v in part.items()}
+        frames.append(spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} long" for k in values)))
+    return {r.check: r.ok for r in A.invariants(*frames).collect()}
+
+
+def test_every_audit_check_can_fail(spark):
+    assert all(_audit_rows(spark).values())
+    tampered = {"eligible_hours": {"eligible_plus_not_evaluated_equals_observed", "evaluated_split_equals_eligible"},
+                "evaluated_breach": {"evaluated_split_equals_eligible"}, "current_only": {"exclusion_reasons_sum_to_not_evaluated"},
+                "missing_rates": {"exclusion_reasons_sum_to_not_evaluated"}, "eligible_null_rate": {"eligible_null_rate_is_zero"},
+                "compared_hours": {"compared_equals_observed"}, "mismatched_hours": {"window_mismatches_zero"},
+                "mismatched_eligibility": {"eligibility_mismatches_zero"}}
+    for column, checks in tampered.items():
+        assert {k for k, ok in _audit_rows(spark, **{column: 999}).items() if not ok} == checks
+
+
+def test_id_stability_reports_changed_ids(spark):
+    from hourwise.operators.compare import id_stability
+    cols = "starts_at timestamp_ntz, incident_id string"
+    prior = spark.createDataFrame([(D(2024, 1, 1), "a"), (D(2024, 1, 2), "b")], cols)
+    now = spark.createDataFrame([(D(2024, 1, 1), "a"), (D(2024, 1, 2), "c"), (D(2024, 1, 3), "b")], cols)
+    assert [r.incident_id for r in id_stability(prior, now, ["starts_at"], "incident_id").collect()] == ["b"]
+    assert id_stability(now, now, ["starts_at"], "incident_id").count() == 0
