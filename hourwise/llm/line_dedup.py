@@ -81,9 +81,9 @@ def shortest_runs(level0: DataFrame, min_words: int) -> DataFrame:
             .select(ROW, "doc_id", "run.seq", "run.m"))
 
 
-def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(row, start, end, first_doc): maximal runs [start, end) of non-blank lines to delete."""
-    lines = materialize(line_table(docs), "lines")
+def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(row, start, end, first_doc): maximal runs [start, end) of non-blank lines to delete, from a written
+    line table."""
     level = repeated_lines(lines)
     runs = materialize(shortest_runs(level, min_words), "line_runs")
     longest = runs.agg(F.max("m")).first()[0] or 1
@@ -114,19 +114,27 @@ def without_later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     """``docs`` (doc_id, text, ...) with later copies deleted from ``text``, and ``__hw_lines`` and
     ``__hw_removed``: its non-blank lines and how many of them went."""
     kept = numbered(docs, "line_docs")
-    cuts = later_copies(kept, min_words).groupBy(ROW).agg(
+    lines = materialize(line_table(kept), "lines")
+    cuts = later_copies(lines, min_words).groupBy(ROW).agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__hw_cuts"))
-    x = kept.join(cuts, ROW, "left")
-    lines = F.split("text", "\n")
-    x = x.withColumn("__hw_all", lines)
-    x = x.withColumn("__hw_at", F.filter(F.transform("__hw_all", lambda v, i: F.when(v.rlike(r"\S"), i)),
-                                         lambda i: i.isNotNull()))
-    cut, at, every = F.col("__hw_cuts"), F.col("__hw_at"), F.col("__hw_all")
-    froms = F.concat(F.array(F.lit(0)), F.transform(cut, lambda r: F.get(at, r["end"] - 1) + 1))
-    upto = F.concat(F.transform(cut, lambda r: F.get(at, r["start"])), F.array(F.size(every)))
-    pieces = F.flatten(F.zip_with(froms, upto, lambda a, b: F.slice(every, a + 1, b - a)))
+    found = lines.groupBy(ROW).agg(F.count(F.lit(1)).alias("__hw_lines")).join(cuts, ROW, "left")
+    cut = F.col("__hw_cuts")
     gone = F.aggregate(cut, F.lit(0).cast("long"), lambda s, r: s + r["end"] - r["start"])
-    x = x.withColumn("text", F.when(cut.isNull(), F.col("text")).otherwise(F.array_join(pieces, "\n")))
-    x = (x.withColumn("__hw_lines", F.coalesce(F.size(at), F.lit(0)).cast("long"))
-         .withColumn("__hw_removed", F.coalesce(gone, F.lit(0).cast("long"))))
-    return x.drop(ROW, "__hw_cuts", "__hw_all", "__hw_at")
+    found = found.withColumn("__hw_removed", F.coalesce(gone, F.lit(0).cast("long")))
+    x = kept.join(found, ROW, "left")
+    # only texts with cuts are taken apart
+    x = x.withColumn("text", F.when(cut.isNull(), F.col("text")).otherwise(_without("text", cut)))
+    zero = F.lit(0).cast("long")
+    return x.withColumns({c: F.coalesce(c, zero) for c in ("__hw_lines", "__hw_removed")}).drop(ROW, "__hw_cuts")
+
+
+def _without(text: str, cuts):
+    """The text without the runs [start, end) of its non-blank lines, and the blank lines inside them."""
+    let = lambda value, body: F.transform(F.array(value), body)[0]  # noqa: E731  a value that is computed once
+
+    def pieces(every, at):
+        froms = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda r: F.get(at, r["end"] - 1) + 1))
+        upto = F.concat(F.transform(cuts, lambda r: F.get(at, r["start"])), F.array(F.size(every)))
+        return F.array_join(F.flatten(F.zip_with(froms, upto, lambda a, b: F.slice(every, a + 1, b - a))), "\n")
+    solid = lambda every: F.filter(F.transform(every, lambda v, i: F.when(v.rlike(r"\S"), i)), lambda i: i.isNotNull())
+    return let(F.split(text, "\n"), lambda every: let(solid(every), lambda at: pieces(every, at)))
