@@ -10,7 +10,7 @@ content. Spark counts, for each tag and each (tag, class or id word), how many o
 outside, over a sample of at most ``train_pages`` pages chosen by a hash. An element known by
 a class, id or role word that stands outside (log-odds under ``OUT``, in ``MIN_PAGES`` pages) makes its words negative; a
 tag that often stands outside costs up to ``TAG``. Elements that never hold article text by their meaning are named in
-``NOT_TAGS`` and ``NOT_WORDS``. On a page with an ``article`` or ``main`` element, words outside of it are negative.
+``NOT_TAGS`` and ``NOT_WORDS``; the header of an article does. On a page with an ``article`` or ``main`` element, words outside of it are negative.
 
 Defined cases: null or empty html, and pages without a positive region, give an empty text; an unclosed
 element ends with its parent; a paragraph ends at the next block; raw elements end at their end tag or
@@ -42,9 +42,9 @@ OUT, MIN_PAGES = -2.0, 5
 # Elements and class, id or role words that are not article text.
 NOT_TAGS = frozenset("aside button datalist dialog fieldset footer form header menu nav".split())
 NOT_WORDS = frozenset(
-    "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment commentlist comments "
-    "complementary consent contentinfo cookie cookies disclaimer footer form gdpr header login menu modal nav "
-    "navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted "
+    "ad ads advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment commentlist comments "
+    "complementary consent contentinfo cookie cookies disclaimer disqus footer form gdpr header login masthead menu "
+    "modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted "
     "promotion related replies reply respond search share sharing sidebar signup social sponsor sponsored "
     "subscribe subscription toolbar widget widgets".split())
 RAW = "applet|audio|canvas|head|iframe|math|noembed|noframes|noscript|object|script|select|style|svg|template|textarea|title|video"
@@ -54,6 +54,7 @@ BLOCK = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section "
     "summary table tbody td tfoot th thead tr ul".split())
 CONTENT = ("article", "main")
+OWN_HEADER = frozenset("article entry post story".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
@@ -65,7 +66,12 @@ _NAME = re.compile(r"[a-z0-9]+")
 
 def _keys(tag: str, attributes: str) -> tuple[str, ...]:
     """What an element is known by: tag and class, id and role words, or the tag alone."""
-    words = [w for m in _HINT.finditer(attributes) for w in _NAME.findall((m[1] or m[2] or m[3] or "").lower())] if attributes else []
+    words = []
+    for m in _HINT.finditer(attributes) if attributes else ():
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = _NAME.findall(name)
+            # the header of an article holds its heading
+            words += [w for w in parts if w != "header" or not OWN_HEADER & set(parts)]
     return tuple(f"{tag}.{w}" for w in words) or (tag,)
 
 
@@ -107,9 +113,15 @@ def _named(chain, names) -> bool:
     return any(k.partition(".")[0] in names for k in chain)
 
 
-def _not_content(key: str) -> bool:
-    tag, _, word = key.partition(".")
-    return tag in NOT_TAGS or word in NOT_WORDS
+def _not_content(chain) -> bool:
+    """Whether an open element never holds article text; the header of an article does."""
+    inside = False
+    for key in chain:
+        tag, _, word = key.partition(".")
+        if word in NOT_WORDS or tag in NOT_TAGS and not (tag == "header" and inside):
+            return True
+        inside |= tag == "article"
+    return False
 
 
 def count_page(page: str) -> Counter:
@@ -174,7 +186,7 @@ def extract(page: str | None, model: dict) -> str:
         else:
             fine = known.get(chain)
             if fine is None:
-                fine = known[chain] = not any(_not_content(k) or k in out for k in chain) and (
+                fine = known[chain] = not (_not_content(chain) or any(k in out for k in chain)) and (
                     not labelled or _named(chain, CONTENT))
             runs.append(value if fine else None)
             score = len(value.split()) * (1.0 if fine else 0.0 if labelled and _named(chain, CONTENT) else -1.0)

@@ -18,6 +18,12 @@ def test_page_without_article_element():
     assert he.extract(page, MODEL) == "\n".join(f"Paragraph {i} has some words in it." for i in range(5))
 
 
+def test_headers_of_articles_and_of_sites():
+    page = "<header><h1>Site</h1></header><main><article><header class='entry-header'><h2>Title</h2></header><p>Text a</p><footer>tags</footer>"
+    page += "<div class='header'>x</div><div class='post-header'>y</div></article><div class='comments'><article class='comment'>no</article></div></main>"
+    assert he.extract(page, MODEL) == "Title\nText a\ny"
+
+
 def test_broken_and_empty_pages():
     assert he.extract(None, MODEL) == he.extract("", MODEL) == he.extract("<p></p><!-- x", MODEL) == he.extract("<nav>a b c</nav>", MODEL) == ""
     assert he.extract("plain words only", MODEL) == "plain words only"
