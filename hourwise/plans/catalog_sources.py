@@ -129,10 +129,9 @@ def q_validate_rows(spark, d):
     return good.unionByName(bad)
 
 
-def write_readings_csv(spark, d) -> str:
+def write_readings_csv(spark, rd) -> str:
     """Render readings as header-per-part CSV files (source header spellings), key-ordered across files."""
     path = scratch(spark, "csv")
-    rd = readings(spark, d)
     cols = [(_fmt_ts("observed_at") if f == "timestamp" else F.col(f).cast("string")).alias(CSV_HEADER[f])
             for f in READING_SCHEMA.fields]
     # range-partitioned into one ordered part file per core: part file order = row order
@@ -146,7 +145,7 @@ def write_readings_csv(spark, d) -> str:
 @query("row_numbering", _sql([READINGS_SQL], "SELECT source_row, observed_at FROM readings"))
 def q_row_numbering(spark, d):
     """CSV written by Spark (many part files), scanned as text; source_row recovered in file order."""
-    res = I.scan_csv(spark, write_readings_csv(spark, d))
+    res = I.scan_csv(spark, write_readings_csv(spark, readings(spark, d)))
     return res.valid.select("source_row", "observed_at")
 
 
