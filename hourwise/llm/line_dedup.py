@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from hourwise.llm.common import ROW, fresh_join, numbered
-from hourwise.session import materialize
+from hourwise.session import discard, materialize
 
 #: Words of the shortest run that counts as repeated.
 MIN_WORDS = 50
@@ -87,9 +87,10 @@ def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     level = repeated_lines(lines)
     runs = materialize(shortest_runs(level, min_words), "line_runs")
     longest = runs.agg(F.max("m")).first()[0] or 1
-    names = level.select(ROW, "seq", "name", F.lit(0).alias("k"))
+    names, levels = level.select(ROW, "seq", "name", F.lit(0).alias("k")), [level]
     for k in range(longest.bit_length() - 1):
         level = doubled(level, k)
+        levels.append(level)
         names = names.unionByName(level.select(ROW, "seq", "name", F.lit(k + 1).alias("k")))
     at = lambda alias, pos: names.select(ROW, "k", F.col("seq").alias(pos), F.col("name").alias(alias))
     x = runs.withColumn("k", F.length(F.bin("m")) - 1)
@@ -106,8 +107,10 @@ def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     late = late.withColumn("new", F.coalesce((F.col("seq") > before).cast("int"), F.lit(1)))
     late = late.withColumn("run", F.sum("new").over(
         W.partitionBy(ROW).orderBy("seq", "stop").rowsBetween(W.unboundedPreceding, 0)))
-    return late.groupBy(ROW, "run").agg(F.min("seq").alias("start"), F.max("stop").alias("end"),
-                                        F.min("first_doc").alias("first_doc")).drop("run")
+    late = materialize(late.groupBy(ROW, "run").agg(F.min("seq").alias("start"), F.max("stop").alias("end"),
+                                                    F.min("first_doc").alias("first_doc")).drop("run"), "line_late")
+    discard(runs, *levels)
+    return late
 
 
 def without_later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -120,7 +123,8 @@ def without_later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     found = lines.groupBy(ROW).agg(F.count(F.lit(1)).alias("__hw_lines")).join(cuts, ROW, "left")
     cut = F.col("__hw_cuts")
     gone = F.aggregate(cut, F.lit(0).cast("long"), lambda s, r: s + r["end"] - r["start"])
-    found = found.withColumn("__hw_removed", F.coalesce(gone, F.lit(0).cast("long")))
+    found = materialize(found.withColumn("__hw_removed", F.coalesce(gone, F.lit(0).cast("long"))), "line_cuts")
+    discard(lines)
     x = kept.join(found, ROW, "left")
     # only texts with cuts are taken apart
     x = x.withColumn("text", F.when(cut.isNull(), F.col("text")).otherwise(_without("text", cut)))

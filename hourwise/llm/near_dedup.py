@@ -306,7 +306,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     node = fresh_join(worded.select(ROW, "doc_id", "th", "n", "d1", "d2"), first, ["d1", "d2"])
     node = node.join(comp, "node", "left").select(ROW, "doc_id", "th", "n", F.coalesce("comp", "node").alias("comp"))
     alone = sig.filter("n = 0").select(ROW, "doc_id", "th", "n", F.col(ROW).alias("comp"))
-    return materialize(node.unionByName(alone), "near_classes")
+    found = materialize(node.unionByName(alone), "near_classes")
+    discard(sig, banded, sets)
+    return found
 
 
 def labelled(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
