@@ -68,4 +68,47 @@ SELECT doc_id, size, source_size, target, CAST(CASE WHEN source_size = 0 THEN 0
        + greatest(0, least(size, planned % source_size - start)) END AS BIGINT) AS taken FROM o
 """
 
-SQL = {"op1_url_filter": _OP1, "op2_line_dedup": _OP2, "op10_mixing": _OP10}
+_WORDS = (f"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+_OP3 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({_WORDS}, []) AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, coalesce({_WORDS}, []) AS ws FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, 13 AS n, list_slice(ws, i, i + 12) AS content FROM (SELECT item, ws, unnest(range(1, len(ws) - 11)) AS i FROM b WHERE len(ws) >= 13)
+  UNION SELECT item, len(ws), ws FROM b WHERE len(ws) BETWEEN 1 AND 12),
+spots AS (SELECT rid, n, i, list_slice(ws, i, i + n - 1) AS content FROM (
+            SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM windows) WHERE len(ws) >= n)),
+found AS (SELECT rid, i, n, item FROM spots JOIN windows USING (n, content)),
+hit AS (SELECT rid, count(*) AS n_hit FROM (SELECT DISTINCT rid, unnest(range(i, i + n)) AS k FROM found) GROUP BY rid),
+own AS (SELECT rid, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM found GROUP BY rid)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN own USING (rid)
+"""
+
+_OP6 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({_WORDS}, []) AS ws FROM documents),
+runs AS (SELECT rid, array_to_string(list_slice(ws, i, i + least(5, len(ws)) - 1), ' ') AS s
+         FROM (SELECT rid, ws, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i FROM d WHERE len(ws) > 0)),
+bags AS (SELECT rid, s, count(*) AS n FROM runs GROUP BY rid, s),
+sizes AS (SELECT rid, sum(n) AS total FROM bags GROUP BY rid),
+common AS (SELECT a.rid AS x, b.rid AS y, sum(least(a.n, b.n)) AS m FROM bags a JOIN bags b ON a.s = b.s AND a.rid <> b.rid GROUP BY 1, 2),
+links AS (SELECT x, y FROM common JOIN sizes p ON p.rid = x JOIN sizes q ON q.rid = y WHERE 10 * m >= 8 * (p.total + q.total - m)),
+reach(rid, other) AS (SELECT rid, rid FROM d UNION SELECT r.rid, l.y FROM reach r JOIN links l ON l.x = r.other),
+label AS (SELECT rid, min(other) AS class FROM reach GROUP BY rid),
+classes AS (SELECT class, min(doc_id) AS class_id, count(*) AS class_size FROM label JOIN d USING (rid) GROUP BY class)
+SELECT doc_id, class_id, class_size, CAST(coalesce(total, 0) AS BIGINT) AS n_shingles
+FROM d JOIN label USING (rid) JOIN classes USING (class) LEFT JOIN sizes USING (rid)
+"""
+
+_OP9 = """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.rid, a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.rid <> b.rid WHERE a.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST) AS place FROM s)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 5
+"""
+
+SQL = {"op3_decontaminate": _OP3, "op6_near_dedup": _OP6, "op9_topk": _OP9, "op1_url_filter": _OP1, "op2_line_dedup": _OP2, "op10_mixing": _OP10}
