@@ -4,8 +4,8 @@ Words are runs of digits, a-z (A-Z lower-cased) and non-ASCII characters. The au
 built over words; every document is streamed through it once, and the length of the longest item substring
 that ends at each word is tracked. A match of ``window`` words or more is an occurrence of an item's
 window, so its words are hit; an item of fewer words is one window and is found through the suffix links.
-A document is contaminated if at least one word and ``share`` of its words are hit. ``cleaned`` removes the
-hit spans, ``kept`` the contaminated documents.
+A document is contaminated if at least one word and one in ``share`` of its words are hit. ``kept`` drops such
+documents, or with ``cut`` removes the hit spans from every document.
 
 The automaton goes to the executors as a broadcast of at most ``shard_bytes`` of item text. A larger
 benchmark is dealt into shards of that size; each has a pass of its own over the documents and the spans
