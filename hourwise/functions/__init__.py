@@ -1,4 +1,4 @@
 from hourwise.functions.columns import (  # noqa: F401
-    trunc_hour, trunc_day, epoch_seconds, ratio, weighted_mean, is_finite, stable_id,
+    trunc_hour, epoch_seconds, ratio, stable_id,
     seconds_between, ceil_hour, truthy, round_doubles, null_safe_differs, within_tolerance,
 )

@@ -78,10 +78,6 @@ def trunc_hour(ts) -> Column:
     return F.date_trunc("hour", _c(ts)).cast("timestamp_ntz")
 
 
-def trunc_day(ts) -> Column:
-    return F.date_trunc("day", _c(ts)).cast("timestamp_ntz")
-
-
 def ceil_hour(ts) -> Column:
     t = trunc_hour(ts)
     return F.when(t == _c(ts), t).otherwise(t + F.expr("INTERVAL 1 HOUR"))
@@ -102,16 +98,6 @@ def ratio(num, den) -> Column:
     return _c(num).cast("double") / F.nullif(_c(den), F.lit(0)).cast("double")
 
 
-def weighted_mean(means, weights) -> Column:
-    """Σ(mean·n) / Σn as an aggregate expression."""
-    return ratio(F.sum(_c(means) * _c(weights)), F.sum(_c(weights)))
-
-
-def is_finite(x) -> Column:
-    x = _c(x)
-    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
-
-
 def stable_id(prefix: str, version: str, ts, keys: list[str] | None = None) -> Column:
     """prefix + first 12 hex digits of md5('version|[key|…]yyyy-MM-dd HH:mm:ss')."""
     parts = [F.lit(version + "|")]

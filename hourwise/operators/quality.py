@@ -11,14 +11,6 @@ from hourwise.operators.period import combine_rows, half_open
 TIMESTAMP_CONTEXT = "Historical source; timestamp timezone unspecified"
 
 
-def duplicate_count(df: DataFrame, col: str, keys: list[str] | None = None) -> DataFrame:
-    """A5: ``count(*) - count(distinct col)`` as a two-phase aggregate (one row per distinct value)."""
-    keys = list(keys or [])
-    return (df.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
-            .groupBy(*keys).agg(F.coalesce(F.sum(F.col("_n") - F.when(F.col(col).isNotNull(), 1).otherwise(0)),
-                                           F.lit(0)).cast("bigint").alias("duplicates")))
-
-
 def raw_profile(readings: DataFrame) -> DataFrame:
     """One row: count, bounds, duplicate timestamps, rows missing a core sensor."""
     per_ts = readings.groupBy("observed_at").agg(
