@@ -105,10 +105,11 @@ def _resolve(k: int, lists: int):
         for b, p in enumerate(parts):
             collected |= p >= cutoff[:, None] + floor[:, b:b + 1]
         collected &= qs[:, None] != cs[None, :]
+        # one dense sum is cheaper than picking the collected entries from every list
+        total = sum(parts)
+        collected &= total >= (bound + floor.sum(axis=1))[:, None]
         i, j = np.nonzero(collected)
-        total = sum(p[i, j].astype(float) for p in parts)
-        keep = total - floor.sum(axis=1)[i] >= bound[i]
-        i, j, total = i[keep], j[keep], total[keep]
+        total = total[i, j].astype(float)
         order = np.lexsort((j, -total, i))
         i, j, total = i[order], j[order], total[order]
         start = np.r_[0, np.flatnonzero(np.diff(i)) + 1] if len(i) else np.empty(0, int)
