@@ -43,6 +43,8 @@ class IngestError(ValueError):
 
 #: Splits up to which their table (about 200 bytes each) is broadcast; more are joined by a shuffle.
 BROADCAST_SPLITS = 100_000
+#: A control character that readings cannot hold.
+CELL_END = "\x1f"
 #: Different header lines that one load may hold.
 MAX_HEADERS = 1_000
 
@@ -98,11 +100,18 @@ def numbered_lines(spark: SparkSession, path: str | list[str], splits: DataFrame
 
 
 def fields_of(line: Column) -> Column:
-    """The cells of a CSV line: quoted cells may hold commas and doubled quotes."""
-    outside = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    cells = F.transform(F.split(line, outside), lambda c: F.when(
-        c.rlike(r'(?s)^\s*".*"\s*$'), F.regexp_replace(F.regexp_replace(c, r'(?s)^\s*"(.*)"\s*$', "$1"), '""', '"')).otherwise(c))
-    return F.when(line.contains('"'), cells).otherwise(F.split(line, ","))
+    """The cells of a CSV line: quoted cells may hold commas and doubled quotes.
+
+    Between quotes, every second piece is inside a cell; an empty piece between two others is a doubled quote. Commas
+    outside become ``CELL_END``, at which the line is split.
+    """
+    pieces = F.split(line, '"')
+
+    def piece(p, i):
+        return F.when(i % 2 == 1, p).when((p == "") & (i > 0) & (i < F.size(pieces) - 1), F.lit('"')).otherwise(
+            F.replace(p, F.lit(","), F.lit(CELL_END)))
+    quoted = F.split(F.array_join(F.transform(pieces, piece), ""), CELL_END)
+    return F.when(line.contains('"'), quoted).otherwise(F.split(line, ","))
 
 
 def _typed_num(c: Column) -> Column:
@@ -195,7 +204,8 @@ def scan_csv(spark: SparkSession, path: str, schema: ReadingSchema = READING_SCH
     splits = splits.join(F.broadcast(order), "header")  # at most MAX_HEADERS rows
     lines = numbered_lines(spark, path, splits.withColumn("header", F.col("_at")))
     data = lines.filter(F.col("line_no") > 0).select(
-        (F.col("_foff") + F.col("line_no")).alias("source_row"), F.col("value").alias("line"), fields_of(F.col("value")).alias("_cells"),
+        (F.col("_foff") + F.col("line_no")).alias("source_row"), F.col("value").alias("line"),
+        F.explode(F.array(fields_of(F.col("value")))).alias("_cells"),  # a generator: the cells are made once, not per field
         F.col("header").alias("_at"))
     strings = data.select("source_row", "line", F.size("_cells").alias("_fields"), (F.array_max("_at") + 1).alias("_needed"),
                           *[F.get("_cells", F.get("_at", k)).alias(f) for k, f in enumerate(schema.fields)])
