@@ -4,9 +4,9 @@ A vector's components are cut into ``lists`` blocks; the inner product with a qu
 blocks' partial scores, each block being one list of (candidate, partial score). Queries and candidates are
 dealt into bounded blocks, and each (query block, candidate block) cell works alone on its part of the lists:
 
-1. Gather: every cell gives its ``k`` best local scores of each list and the list's least local score. A
-   list's least score is taken off it, so scores are not negative; the k-th largest of the sums over the
-   lists, with nothing for a score not seen, is a lower bound of the k-th best total.
+1. Gather: every cell gives the candidates with its ``k`` best local scores of each list, with their totals, and the
+   list's least local score. A list's least score is taken off it, so scores are not negative; the k-th largest total
+   seen, less these, is a lower bound of the k-th best.
 2. Cutoff: that bound divided by the number of lists goes back to every cell. A candidate under the cutoff
    in every list totals less than the bound and is out; the cells collect all others.
 3. Resolve: collected candidates whose total reaches the bound are scored in full; each cell's best ``k``
@@ -77,15 +77,18 @@ def _gather(k: int, lists: int):
         if len(left) and len(right):
             qs, cs = left["query"].to_numpy(), right["cand"].to_numpy()
             own = qs[:, None] == cs[None, :]
-            for b, p in enumerate(_partials(_matrix(left["qv"]), _matrix(right["v"]), lists)):
+            parts = list(_partials(_matrix(left["qv"]), _matrix(right["v"]), lists))
+            total = sum(parts)
+            for b, p in enumerate(parts):
                 least = p.min(axis=1)
                 p[own] = -np.inf
                 m = min(k, p.shape[1])
                 top = np.argpartition(-p, m - 1, axis=1)[:, :m]
                 out.append(pd.DataFrame({
                     "query": np.repeat(qs, m), "list": b, "cand": cs[top].ravel(), "least": np.repeat(least.astype(float), m),
-                    "score": np.take_along_axis(p, top, axis=1).ravel().astype(float)}))
-        x = pd.concat(out) if out else pd.DataFrame(columns=["query", "list", "cand", "least", "score"])
+                    "score": np.take_along_axis(p, top, axis=1).ravel().astype(float),
+                    "total": np.take_along_axis(total, top, axis=1).ravel().astype(float)}))
+        x = pd.concat(out) if out else pd.DataFrame(columns=["query", "list", "cand", "least", "score", "total"])
         return x[np.isfinite(x["score"].to_numpy(dtype=float))]
     return run
 
@@ -132,15 +135,14 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, lis
     left, right = _cells(v, queries, n, q)
     meet = lambda x: x.groupBy("q_qb", "q_cb").cogroup(right.groupBy("qb", "cb"))
     gathered = materialize(meet(left).applyInPandas(
-        _gather(k, lists), "query long, list int, cand long, least double, score double"), "topk_gathered")
-    # phase 1: each list's least score, and the k-th largest sum of what has been seen
+        _gather(k, lists), "query long, list int, cand long, least double, score double, total double"), "topk_gathered")
+    # phase 1: each list's least score, and the k-th best total of the candidates that any cell gave
     floor = gathered.groupBy("query", "list").agg(F.min("least").alias("least"))
-    best = gathered.withColumn("nth", F.row_number().over(
-        W.partitionBy("query", "list").orderBy(F.desc("score"), "cand"))).filter(F.col("nth") <= k)
-    seen = (best.drop("least").join(floor, ["query", "list"]).groupBy("query", "cand")
-            .agg(F.sum(F.col("score") - F.col("least")).alias("sum")))
-    kth = seen.withColumn("nth", F.row_number().over(W.partitionBy("query").orderBy(F.desc("sum"))))
-    bound = kth.filter(F.col("nth") == k).select("query", F.col("sum").alias("bound"))
+    seen = gathered.groupBy("query", "cand").agg(F.max("total").alias("total"))
+    kth = seen.withColumn("nth", F.row_number().over(W.partitionBy("query").orderBy(F.desc("total"))))
+    base = floor.groupBy("query").agg(F.sum("least").alias("base"))
+    bound = (kth.filter(F.col("nth") == k).join(base, "query")
+             .select("query", (F.col("total") - F.col("base")).alias("bound")))
     floors = floor.groupBy("query").agg(F.transform(F.array_sort(F.collect_list(F.struct("list", "least"))),
                                                     lambda x: x["least"]).alias("floor"))
     # with fewer than k seen there is no bound: all candidates are collected
