@@ -13,8 +13,10 @@ tag that often stands outside costs up to ``TAG``. Elements that never hold arti
 ``NOT_TAGS`` and ``NOT_WORDS``; the header of an article does. On a page with an ``article`` or ``main`` element, words outside of it are negative.
 
 Defined cases: null or empty html, and pages without a positive region, give an empty text; an unclosed
-element ends with its parent; a paragraph ends at the next block; raw elements end at their end tag or
-with the page; of regions with the same sum the first one is taken. No length limit.
+element ends with its parent; a paragraph ends at the next block; the head is not an element of its own, as its end
+may be left out. An element of ``RAW`` or ``HIDDEN`` reaches to its end tag. Without one, a script or style ends where the page's
+structure goes on (``_STRUCTURE``) or with the page, a title or textarea at the next tag, and the others, like a self-closed
+svg, are empty. Of regions with the same sum the first one is taken. No length limit.
 """
 
 from __future__ import annotations
@@ -47,7 +49,15 @@ NOT_WORDS = frozenset(
     "modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted "
     "promotion related replies reply respond search share sharing sidebar signup social sponsor sponsored "
     "subscribe subscription toolbar widget widgets".split())
-RAW = "applet|audio|canvas|head|iframe|math|noembed|noframes|noscript|object|script|select|style|svg|template|textarea|title|video"
+# Elements that hold characters and no elements, and elements whose content is not read as text.
+RAW = frozenset("iframe noembed noframes noscript script style textarea title".split())
+HIDDEN = frozenset("annotation annotation-xml applet audio canvas object select svg template video".split())
+#: Those that a reader of the whole page sees as text.
+SEEN = frozenset("object select textarea".split())
+#: Formulas are words of their sentence; their tags cost nothing.
+MATH = frozenset(
+    "maction math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption "
@@ -58,8 +68,11 @@ OWN_HEADER = frozenset("article entry post story".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    rf"|<({RAW})(?=[\s/>])[^>]*+>.*?(?:</\1\s*+>|\Z)"
+    rf"|<({'|'.join(sorted(RAW | HIDDEN))})(?=[\s/>])[^>]*+>"
     r"|<(/?)([a-z][a-z0-9:-]*+)((?:\"[^\"<]*+\"|'[^'<]*+'|[^<>\"'])*+|[^<>]*+)>|<[!?/][^<>]*+>", re.I | re.S)
+_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I) for name in RAW}
+_STRUCTURE = re.compile(r"</?(?:head|body|html|article|main)(?=[\s/>])", re.I)
+_TAG = re.compile(r"<(?=[a-z/!])", re.I)
 _HINT = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[a-z0-9]+")
 
@@ -75,15 +88,58 @@ def _keys(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(f"{tag}.{w}" for w in words) or (tag,)
 
 
-def tokens(page: str):
-    """(kind, value, keys) in page order: ("tag", name, keys of all open elements) or ("text", raw text, the same)."""
+def _marks(page: str, seen: frozenset) -> tuple[list, dict[int, int]]:
+    """Comments and tags as (match, end of the raw content, end), and the places of the start and end tags of hidden elements."""
+    marks: list[tuple] = []
+    starts: dict[str, list[int]] = {}
+    until: dict[int, int] = {}
+    endless = set()  # raw elements without an end tag in the rest of the page
+    at = 0
+    while m := _TOKEN.search(page, at):
+        stop = at = m.end()
+        if m[1]:
+            name = m[1].lower()
+            if name in RAW:
+                if end := None if name in endless else _END[name].search(page, at):
+                    stop, at = end.span()
+                else:
+                    endless.add(name)
+                    if name in ("script", "style"):
+                        stop = at = found.start() if (found := _STRUCTURE.search(page, at)) else len(page)
+                    elif name in ("textarea", "title"):
+                        stop = at = found.start() if (found := _TAG.search(page, at)) else len(page)
+            elif name not in seen and not (name == "svg" and m[0].endswith("/>")):
+                starts.setdefault(name, []).append(len(marks))
+        elif m[2] and (own := starts.get(m[3].lower())):
+            until[own.pop()] = len(marks)
+        marks.append((m, stop, at))
+    return marks, until
+
+
+def tokens(page: str, seen: frozenset = frozenset()):
+    """(kind, value, keys) in page order: ("tag", name, keys of all open elements) or ("text", raw text, the same).
+
+    ``seen``: elements of ``SEEN`` whose content counts as text.
+    """
     open_: list[tuple[str, tuple]] = []
     chain: tuple = ()
-    at = 0
-    for m in _TOKEN.finditer(page):
+    marks, until = _marks(page, seen)
+    at = i = 0
+    while i < len(marks):
+        m, stop, end = marks[i]
         if m.start() > at:
             yield "text", page[at:m.start()], chain
-        at = m.end()
+        if i in until:
+            i = until[i]
+            end = marks[i][2]
+        i += 1
+        at = end
+        if m[1]:
+            if (tag := m[1].lower()) in seen:
+                yield "tag", tag, chain
+                if stop > m.end():
+                    yield "text", page[m.end():stop], chain
+            continue
         if not (tag := m[3]):
             if (raw := m[0])[:9].upper() == "<![CDATA[":
                 yield "text", raw[9:-3], chain
@@ -101,7 +157,7 @@ def tokens(page: str):
                 pass
             chain = tuple(k for _, ks in open_ for k in ks)
         yield "tag", tag, chain
-        if tag not in VOID and not m[4].endswith("/"):
+        if tag not in VOID and tag != "head" and not m[4].endswith("/"):
             keys = _keys(tag, m[4])
             open_.append((tag, keys))
             chain += keys
@@ -182,7 +238,7 @@ def extract(page: str | None, model: dict) -> str:
         if kind == "tag":
             runs.append("\n" if value in BLOCK else None)
             # inside a labelled article a tag says nothing about where the article ends
-            score = 0.0 if labelled and _named(chain, CONTENT) else min(0.0, weights.get(value, UNKNOWN_TAG))
+            score = 0.0 if value in MATH or labelled and _named(chain, CONTENT) else min(0.0, weights.get(value, UNKNOWN_TAG))
         else:
             fine = known.get(chain)
             if fine is None:

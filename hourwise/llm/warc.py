@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from hourwise.llm.common import travels
-from hourwise.llm.html_extract import BLOCK, tokens
+from hourwise.llm.html_extract import BLOCK, SEEN, tokens
 from hourwise.llm.text import texts_of
 
 travels(__name__)
@@ -100,7 +100,7 @@ def plain_text(page: str, kind: str = "text/html") -> str:
     if kind.startswith("text/plain"):
         return page
     blocks, block = [], []
-    for what, value, _ in [*tokens(page), ("tag", "p", ())]:
+    for what, value, _ in [*tokens(page, SEEN), ("tag", "p", ())]:
         if what == "text":
             block.append(value)
         elif value in BLOCK:

@@ -35,6 +35,23 @@ def test_broken_and_empty_pages():
     assert he.extract(f"<article><p>{words}</p></article>", MODEL) == words
 
 
+def test_elements_without_an_end():
+    assert he.extract("<html><head><title>T</title><body><article><p>a b</p></article>", MODEL) == "a b"
+    assert he.extract("<html><head><meta charset=x><title>T<article><p>a b</p></article>", MODEL) == "a b"
+    for empty in ("<svg class=i/>", "<svg/>", "<math/>", "<svg><path d=x>", "<video src=x>", "<canvas>", "<iframe src=x/>", "<noscript>", "<object>"):
+        assert he.extract(f"<article>a {empty} b<p>c</p></article>", MODEL) == "a b\nc"
+        assert he.extract(f"<article>a {empty} b<p>c</p><svg><text>no</text></svg></article>", MODEL) == "a b\nc"
+    assert he.extract("<head><script src=x><body><article>a</article>", MODEL) == "a"
+    assert he.extract("<article>a<svg><svg><text>x</text></svg><text>y</text></svg> <select><option>z</select>b<script>'<p>c'</script ></article>", MODEL) == "a b"
+    assert he.extract("<article>a" + "<svg>" * 20_000 + "<iframe>" * 20_000 + "<script>" * 20_000, MODEL) == "a"
+
+
+def test_formulas_are_text():
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation encoding=t>no</annotation></semantics></math>"
+    assert he.extract(f"<article><p>Let {formula} be.</p></article>", MODEL) == "Let x=1 be."
+    assert he.extract(f"<nav>n</nav><p>Let {formula} be.</p>", MODEL) == "Let x=1 be."
+
+
 def test_learned_from_labelled_pages(spark):
     rows = [(i, f"u{i}", f"<body><div class=promo2>buy {i} now</div><article><p>text of page {i}</p></article>") for i in range(20)]
     rows += [(50, None, None), (51, "u", ""), (52, "u", "<body><div class=promo2>buy it</div><p>some text here</p>"), (0, "u0", rows[0][2])]

@@ -27,6 +27,11 @@ def test_derivatives_link_and_keep_digests(spark):
     assert all(x.block_digest == "sha256:" + hashlib.sha256(bytes(x.block)).hexdigest() and x.content_length == len(x.block) for x in rows)
 
 
+def test_whole_visible_text():
+    page = "<html><head><title>t</title><body>a<svg class=i/><select><option>b<option>c</select><textarea>d <b></textarea><object>e</object>"
+    assert warc.plain_text(page + "<math><mi>x</mi></math><p>f<video>g</video>") == "a\nb\ncd <b>ex\nf"
+
+
 def test_nulls_repeats_long_and_empty(spark):
     long = "<p>word</p>" * 200_000
     rows = warc.derived_from_pages(pages(spark, [(None, None, None), (2, "u", ""), (2, "u", ""), (3, "u", long)])).collect()
