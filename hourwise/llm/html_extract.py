@@ -10,7 +10,10 @@ content. Spark counts, for each tag and each (tag, class or id word), how many o
 outside, over a sample of at most ``train_pages`` pages chosen by a hash. An element known by
 a class, id or role word that stands outside (log-odds under ``OUT``, in ``MIN_PAGES`` pages) makes its words negative; a
 tag that often stands outside costs up to ``TAG``. Elements that never hold article text by their meaning are named in
-``NOT_TAGS`` and ``NOT_WORDS``; the header of an article does. On a page with an ``article`` or ``main`` element, words outside of it are negative.
+``NOT_TAGS`` and ``NOT_WORDS``; the header of an article does. Names often tell the state of a page ("no-sidebar") or stand
+on what holds all of it (a form), so html and body have no such names, and an element named so that holds more than
+half of the words (of a labelled page: of those in its ``article`` and ``main``) is read like one without a name, unless the words that are content without it are over a
+``BESIDE``-th of its own (``BESIDE_REPLIES`` if it is named as a discussion). On a page with an ``article`` or ``main`` element, words outside of it are negative.
 
 Defined cases: null or empty html, and pages without a positive region, give an empty text; an unclosed
 element ends with its parent; a paragraph ends at the next block; the head is not an element of its own, as its end
@@ -49,6 +52,10 @@ NOT_WORDS = frozenset(
     "modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted "
     "promotion related replies reply respond search share sharing sidebar signup social sponsor sponsored "
     "subscribe subscription toolbar widget widgets".split())
+# Elements named above that may also hold the whole page, and names of what readers add, which may be longer than an article.
+WRAPS = frozenset("fieldset form".split())
+REPLIES = frozenset("comment commentlist comments disqus replies reply respond".split())
+BESIDE, BESIDE_REPLIES = 5, 20
 # Elements that hold characters and no elements, and elements whose content is not read as text.
 RAW = frozenset("iframe noembed noframes noscript script style textarea title".split())
 HIDDEN = frozenset("annotation annotation-xml applet audio canvas object select svg template video".split())
@@ -88,6 +95,33 @@ def _keys(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(f"{tag}.{w}" for w in words) or (tag,)
 
 
+class _Element:
+    """An open element; the page itself is one without a parent."""
+
+    __slots__ = ("parent", "tag", "keys", "article", "inside", "reply", "never", "named", "words", "plain", "out")
+
+    def __init__(self, parent: _Element | None, tag: str, keys: tuple[str, ...]):
+        self.parent, self.tag, self.keys = parent, tag, keys
+        above = parent is not None
+        named = tag not in ("html", "body")
+        self.article = tag == "article" or above and parent.article
+        self.reply = above and parent.reply or named and any(k.partition(".")[2] in REPLIES for k in keys)
+        # a content element or in one; an article of a discussion is none
+        self.inside = above and parent.inside or tag in CONTENT and not self.reply
+        # the header of an article holds its heading
+        self.never = above and (parent.never or tag in NOT_TAGS and tag not in WRAPS and not (tag == "header" and parent.article))
+        self.named = self.out = False
+        self.words = self.plain = 0
+
+    def chain(self) -> set[str]:
+        """Keys of this and all elements it stands in."""
+        found, e = set(), self
+        while e is not None:
+            found.update(e.keys)
+            e = e.parent
+        return found
+
+
 def _marks(page: str, seen: frozenset) -> tuple[list, dict[int, int]]:
     """Comments and tags as (match, end of the raw content, end), and the places of the start and end tags of hidden elements."""
     marks: list[tuple] = []
@@ -116,19 +150,19 @@ def _marks(page: str, seen: frozenset) -> tuple[list, dict[int, int]]:
     return marks, until
 
 
-def tokens(page: str, seen: frozenset = frozenset()):
-    """(kind, value, keys) in page order: ("tag", name, keys of all open elements) or ("text", raw text, the same).
+def tokens(page: str, seen: frozenset = frozenset(), made: list[_Element] | None = None):
+    """(kind, value, element it stands in) in page order: ("tag", name, element) or ("text", raw text, element).
 
-    ``seen``: elements of ``SEEN`` whose content counts as text.
+    ``seen``: elements of ``SEEN`` whose content counts as text. ``made`` gets all elements, the page first.
     """
-    open_: list[tuple[str, tuple]] = []
-    chain: tuple = ()
+    made = [] if made is None else made
+    made.append(here := _Element(None, "", ()))
     marks, until = _marks(page, seen)
     at = i = 0
     while i < len(marks):
         m, stop, end = marks[i]
         if m.start() > at:
-            yield "text", page[at:m.start()], chain
+            yield "text", page[at:m.start()], here
         if i in until:
             i = until[i]
             end = marks[i][2]
@@ -136,48 +170,58 @@ def tokens(page: str, seen: frozenset = frozenset()):
         at = end
         if m[1]:
             if (tag := m[1].lower()) in seen:
-                yield "tag", tag, chain
+                yield "tag", tag, here
                 if stop > m.end():
-                    yield "text", page[m.end():stop], chain
+                    yield "text", page[m.end():stop], here
             continue
         if not (tag := m[3]):
             if (raw := m[0])[:9].upper() == "<![CDATA[":
-                yield "text", raw[9:-3], chain
+                yield "text", raw[9:-3], here
             continue
         tag = tag.lower()
         if m[2]:
-            if any(tag == t for t, _ in open_):
-                while open_ and open_.pop()[0] != tag:
-                    pass
-                chain = tuple(k for _, ks in open_ for k in ks)
-            yield "tag", tag, chain
+            e = here
+            while e.parent is not None and e.tag != tag:
+                e = e.parent
+            here = e.parent or here
+            yield "tag", tag, here
             continue
-        if tag in BLOCK and tag != "br" and any(t == "p" for t, _ in open_):
-            while open_ and open_.pop()[0] != "p":
-                pass
-            chain = tuple(k for _, ks in open_ for k in ks)
-        yield "tag", tag, chain
+        if tag in BLOCK and tag != "br":
+            e = here
+            while e.parent is not None and e.tag != "p":
+                e = e.parent
+            here = e.parent or here
+        yield "tag", tag, here
         if tag not in VOID and tag != "head" and not m[4].endswith("/"):
-            keys = _keys(tag, m[4])
-            open_.append((tag, keys))
-            chain += keys
+            made.append(here := _Element(here, tag, _keys(tag, m[4])))
     if at < len(page):
-        yield "text", page[at:], chain
-
-
-def _named(chain, names) -> bool:
-    return any(k.partition(".")[0] in names for k in chain)
-
-
-def _not_content(chain) -> bool:
-    """Whether an open element never holds article text; the header of an article does."""
-    inside = False
-    for key in chain:
-        tag, _, word = key.partition(".")
-        if word in NOT_WORDS or tag in NOT_TAGS and not (tag == "header" and inside):
-            return True
-        inside |= tag == "article"
-    return False
+        yield "text", page[at:], here
+
+
+def _judge(found: list[tuple], made: list[_Element], out, labelled: bool) -> bool:
+    """Sets ``out`` of the elements that are not content; whether any words are. Of a labelled page only words of its content elements count."""
+    for e in made:
+        e.words = 0
+        e.named = e.never or e.tag in WRAPS or e.tag not in ("html", "body") and any(k in out or k.partition(".")[2] in NOT_WORDS for k in e.keys)
+    for kind, value, e in found:
+        if kind == "text" and (e.inside or not labelled) and not e.never:
+            e.words += len(value.split())
+    for e in made:
+        e.plain = e.words
+    for e in reversed(made):
+        if e.parent is not None:
+            e.parent.words += e.words
+            e.parent.plain += 0 if e.named else e.plain
+    words, content = made[0].words, made[0].plain
+    for e in made[1:]:
+        e.out = e.parent.out
+        if e.named and not e.out:
+            beside = BESIDE_REPLIES if e.reply and not e.parent.reply else BESIDE
+            if 2 * e.words > words and beside * content < e.words:
+                content += e.plain
+            else:
+                e.out = True
+    return content > 0
 
 
 def count_page(page: str) -> Counter:
@@ -185,12 +229,12 @@ def count_page(page: str) -> Counter:
     out: Counter = Counter()
     if sum(len(re.findall(rf"<{c}[\s>]", page, re.I)) for c in CONTENT) != 1:
         return out
-    for kind, value, chain in tokens(page):
-        inside = _named(chain, CONTENT)
+    for kind, value, e in tokens(page):
+        inside = e.inside
         if kind == "tag":
             out["tag", value, inside] += 1
         elif n := len(value.split()):
-            for k in set(chain):
+            for k in e.chain():
                 out["word", k, inside] += n
     return out
 
@@ -228,24 +272,24 @@ def extract(page: str | None, model: dict) -> str:
     if not page:
         return ""
     weights, out = model["tag"], model["out"]
-    found = list(tokens(page))
-    labelled = any(kind == "text" and _named(chain, CONTENT) and value.strip() for kind, value, chain in found)
-    known: dict[tuple, bool] = {}
+    made: list[_Element] = []
+    found = list(tokens(page, made=made))
+    labelled = any(kind == "text" and e.inside and value.strip() for kind, value, e in found)
+    if not _judge(found, made, out, labelled) and labelled:
+        labelled = False  # nothing in its content elements is content
+        _judge(found, made, out, labelled)
     runs: list[str | None] = []  # content text, "\n" between blocks, or None
     best = total = 0.0
     start = first = last = 0
-    for i, (kind, value, chain) in enumerate(found):
+    for i, (kind, value, e) in enumerate(found):
         if kind == "tag":
             runs.append("\n" if value in BLOCK else None)
             # inside a labelled article a tag says nothing about where the article ends
-            score = 0.0 if value in MATH or labelled and _named(chain, CONTENT) else min(0.0, weights.get(value, UNKNOWN_TAG))
+            score = 0.0 if value in MATH or labelled and e.inside else min(0.0, weights.get(value, UNKNOWN_TAG))
         else:
-            fine = known.get(chain)
-            if fine is None:
-                fine = known[chain] = not (_not_content(chain) or any(k in out for k in chain)) and (
-                    not labelled or _named(chain, CONTENT))
+            fine = not e.out and (e.inside or not labelled)
             runs.append(value if fine else None)
-            score = len(value.split()) * (1.0 if fine else 0.0 if labelled and _named(chain, CONTENT) else -1.0)
+            score = len(value.split()) * (1.0 if fine else 0.0 if labelled and e.inside else -1.0)
         if total <= 0:
             total, start = 0.0, i
         total += score

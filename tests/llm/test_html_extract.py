@@ -52,6 +52,33 @@ def test_formulas_are_text():
     assert he.extract(f"<nav>n</nav><p>Let {formula} be.</p>", MODEL) == "Let x=1 be."
 
 
+def test_names_on_what_holds_the_article():
+    text = "<p>" + "some words of the text " * 20 + "</p>"
+    want = " ".join("some words of the text".split() * 20)
+    side = "<nav>a b c</nav><div class=sidebar>d e f</div><div class=comments><article class=comment>no</article></div>"
+    for name in ("has-sidebar", "no-sidebar", "comments-open", "nav-open", "with-banner", "teaser"):
+        for page in (f"<html class={name}><body class='{name}'>{side}<article>{text}</article>", f"<body><div class={name}><article>{text}</article>{side}</div>",
+                     f"<body>{side}<article class={name}>{text}</article>", f"<body><main><div id={name}>{text}</div></main>{side}",
+                     f"<body><form><div class={name}>{side}<div>{text}</div>{side}</div></form>"):
+            assert he.extract(page, MODEL) == want, page
+    assert he.extract(f"<body><form>{side}<article>{text}<form>Mail</form></article></form>", MODEL) == want
+
+
+def test_long_discussion_stays_out():
+    text = "<p>" + "word " * 40 + "</p>"
+    for name in ("comments", "reply-list"):
+        page = f"<body><main><article>{text}</article><section class={name}>" + "<p>I disagree with all of it.</p>" * 100 + "</section></main>"
+        assert he.extract(page, MODEL) == " ".join(["word"] * 40)
+        assert he.extract(f"<form>{page}</form>", MODEL) == " ".join(["word"] * 40)
+    assert he.extract("<nav>a b c</nav><aside>d</aside>", MODEL) == ""
+
+
+def test_articles_that_are_not_the_text():
+    for name in ("related", "comment"):
+        page = "<div id=post><p>" + "word " * 40 + "</p></div>" + f"<article class={name}>not this</article>" * 3
+        assert he.extract(page, MODEL) == " ".join(["word"] * 40)
+
+
 def test_learned_from_labelled_pages(spark):
     rows = [(i, f"u{i}", f"<body><div class=promo2>buy {i} now</div><article><p>text of page {i}</p></article>") for i in range(20)]
     rows += [(50, None, None), (51, "u", ""), (52, "u", "<body><div class=promo2>buy it</div><p>some text here</p>"), (0, "u0", rows[0][2])]
