@@ -5,9 +5,10 @@ not content; each tag scores a negative weight. One linear scan finds the contig
 sum, and the blocks of its content words are the text. Tags and notices inside a labelled
 article cost nothing.
 
-Weights come from labelled pages: those with one ``article`` or ``main`` element, whose words inside are
-content. Spark counts, for each tag and each (tag, class or id word), how many of its words and tags lie inside and
-outside, over a sample of at most ``train_pages`` pages chosen by a hash. An element known by
+Weights come from labelled pages: those with one outermost ``article`` or ``main`` element, whose words inside are
+content (articles of a discussion are none). Spark counts, for each tag and each (tag, class or id word), how many of its words and tags lie inside and
+outside, over the ``train_pages`` labelled pages with the lowest hash of id and html, or all if there are fewer. The model
+holds every tag and word found in ``MIN_PAGES`` of them, so its size is bounded by the sample, not by a cut. An element known by
 a class, id or role word that stands outside (log-odds under ``OUT``, in ``MIN_PAGES`` pages) makes its words negative; a
 tag that often stands outside costs up to ``TAG``. Elements that never hold article text by their meaning are named in
 ``NOT_TAGS`` and ``NOT_WORDS``; the header of an article does. Names often tell the state of a page ("no-sidebar") or stand
@@ -38,8 +39,8 @@ from hourwise.llm.common import travels
 
 travels(__name__)
 
-#: Pages that training reads; keys (tag, or tag and class word) that a model holds at most.
-TRAIN_PAGES, MAX_KEYS = 5000, 4096
+#: Labelled pages that training reads.
+TRAIN_PAGES = 5000
 #: Cost of a tag that is always outside, and of a tag of which nothing is known.
 TAG, UNKNOWN_TAG = -3.25, -0.5
 OUT, MIN_PAGES = -2.0, 5
@@ -224,12 +225,18 @@ def _judge(found: list[tuple], made: list[_Element], out, labelled: bool) -> boo
     return content > 0
 
 
+def _labelled(made: list[_Element]) -> bool:
+    return sum(e.inside and not e.parent.inside for e in made) == 1
+
+
 def count_page(page: str) -> Counter:
     """(kind, key, inside) -> count, of a labelled page; empty for others."""
     out: Counter = Counter()
-    if sum(len(re.findall(rf"<{c}[\s>]", page, re.I)) for c in CONTENT) != 1:
+    made: list[_Element] = []
+    found = list(tokens(page, made=made))
+    if not _labelled(made):
         return out
-    for kind, value, e in tokens(page):
+    for kind, value, e in found:
         inside = e.inside
         if kind == "tag":
             out["tag", value, inside] += 1
@@ -253,14 +260,33 @@ def _counts(batches):
              pa.array([pages[k] for k in keys], pa.int64())], names=["kind", "key", "inside", "outside", "pages"])
 
 
+def _hashes(batches):
+    """Hashes of labelled pages."""
+    for batch in batches:
+        found = []
+        for page, h in zip(batch.column("html").to_pylist(), batch.column("h").to_pylist()):
+            for _ in tokens(page, made=(made := [])):
+                pass
+            if _labelled(made):
+                found.append(h)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["h"])
+
+
+def sample(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> DataFrame:
+    """(h, html) of ``train_pages`` different labelled pages, or of all if there are fewer."""
+    # a page without such a tag has no label
+    p = pages.filter(F.col("html").rlike(rf"(?i)<(?:{'|'.join(CONTENT)})[\s/>]")).select(F.xxhash64("page_id", "html").alias("h"), "html")
+    chosen = p.mapInArrow(_hashes, "h long").distinct().orderBy("h").limit(train_pages).collect()
+    return p.join(F.broadcast(pages.sparkSession.createDataFrame(chosen, "h long")), "h").dropDuplicates(["h"])
+
+
 def learn(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> dict:
     """{"tag": weight of each tag, "out": keys whose words are not content}."""
-    p = pages.select("html").filter("html is not null")
-    share = min(1.0, train_pages / max(1, p.count()))
-    p = p.filter(F.pmod(F.xxhash64("html"), F.lit(1 << 20)) < share * (1 << 20))
-    found = (p.mapInArrow(_counts, "kind string, key string, inside long, outside long, pages long").groupBy("kind", "key")
+    counts = sample(pages, train_pages).select("html").mapInArrow(_counts, "kind string, key string, inside long, outside long, pages long")
+    found = (counts.groupBy("kind", "key")
              .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"), F.sum("pages").alias("pages"))
-             .filter(F.col("pages") >= MIN_PAGES).orderBy(F.desc("pages"), "kind", "key").limit(MAX_KEYS).collect())
+             .filter(F.col("pages") >= MIN_PAGES)
+             .filter((F.col("kind") == "tag") | F.col("key").contains(".") & (F.col("outside") > F.col("inside"))).collect())
     weights = {r.key: TAG * r.outside / (r.inside + r.outside) for r in found if r.kind == "tag"}
     out = [r.key for r in found if r.kind == "word" and math.log((r.inside + 1) / (r.outside + 1)) < OUT
            and "." in r.key and r.key.partition(".")[0] not in CONTENT]
@@ -312,7 +338,7 @@ def extracted(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html)."""
     model = learn(pages, train_pages)
     model["out"] = frozenset(model["out"])
-    shared = pages.sparkSession.sparkContext.broadcast(model)  # at most MAX_KEYS entries
+    shared = pages.sparkSession.sparkContext.broadcast(model)  # at most the keys of the sample
 
     def run(batches):
         for batch in batches:

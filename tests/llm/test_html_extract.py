@@ -89,3 +89,24 @@ def test_learned_from_labelled_pages(spark):
     text = {r[0]: f"text of page {r[0]}" for r in rows[:20]} | {50: "", 51: "", 52: "some text here"}
     assert got == sorted(((i, u, text[i], len(text[i])) for i, u, _ in rows), key=repr)
     assert he.extracted(pages.limit(0)).collect() == []
+
+
+def test_rare_labels_teach(spark):
+    plain = [(i, f"<body><p>no label {i}</p><article>a</article><article>b</article>") for i in range(3000)]
+    label = [(5000 + i, f"<body><div class=promo2>buy {i} now</div><main><article><p>text of page {i}</p></article></main>"
+                        "<div class=comments><article>c</article></div>") for i in range(20)]
+    pages = spark.createDataFrame(plain + label, "page_id long, html string")
+    model = he.learn(pages, train_pages=20)
+    assert "div.promo2" in model["out"] and model["tag"]["p"] == 0
+    # a page with many copies has its share of a sample of a fixed size; repeated rows count once
+    copies = [(9000 + i, label[0][1]) for i in range(300)] + [label[1]] * 300
+    many = pages.union(spark.createDataFrame(copies, "page_id long, html string"))
+    got = [x.html for x in he.sample(many, 100).collect()]
+    assert len(got) == 100 and 60 < got.count(label[0][1]) and got.count(label[1][1]) <= 1
+    assert he.sample(many, 1000).count() == 320
+
+
+def test_all_supported_keys_are_kept(spark):
+    page = "".join(f"<div class=c{i}>a b c d</div>" for i in range(5000)) + "<article>text</article>"
+    pages = spark.createDataFrame([(i, page) for i in range(5)], "page_id long, html string")
+    assert len(he.learn(pages)["out"]) == 5000
