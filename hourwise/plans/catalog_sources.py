@@ -61,27 +61,29 @@ def dirty_strings(spark, d):
     return rd.select("source_row", *fields)
 
 
-#: Files of a generated source; every other one has its columns reversed and all cells quoted.
-DIRTY_FILES = 4
+#: Least files of a generated source, every other one with its columns reversed and all cells quoted; readings of a file of it at most.
+DIRTY_FILES, FILE_ROWS = 4, 1_000_000
 
 
-def write_dirty_csv(spark, d) -> str:
+def write_dirty_csv(spark, d, file_rows: int = FILE_ROWS) -> str:
     """CSV files with the strings of ``dirty_strings`` and blank, all-empty and short lines (by event id)."""
     rows, path = dirty_strings(spark, d), scratch(spark, "dirty_csv")
     total = rows.count()
     eid = F.col("source_row") - 1
     plain = [F.coalesce(F.col(f), F.lit("")) for f in READING_SCHEMA.fields]
     quoted = [F.concat(F.lit('"'), c, F.lit('"')) for c in reversed(plain)]
-    file = F.floor(eid * DIRTY_FILES / total).cast("int")
+    files = max(DIRTY_FILES, -(-total // file_rows))
+    file = F.floor(eid * files / total).cast("long")
     cells = F.when(file % 2 == 0, F.array(*plain)).otherwise(F.array(*quoted))
     line = (F.when(eid % 79 == 0, F.lit("")).when(eid % 71 == 0, F.lit(",,,,"))
             .when(eid % 67 == 0, F.array_join(F.slice(cells, 1, 5), ",")).otherwise(F.array_join(cells, ",")))
     lines = rows.select(file.alias("file"), "source_row", line.alias("value"))
     names = [CSV_HEADER[f] for f in READING_SCHEMA.fields]
-    heads = spark.range(DIRTY_FILES).select(
-        F.col("id").cast("int").alias("file"), F.lit(0).cast("long").alias("source_row"),
+    heads = spark.range(files).select(
+        F.col("id").alias("file"), F.lit(0).cast("long").alias("source_row"),
         F.when(F.col("id") % 2 == 0, ",".join(names)).otherwise(",".join(f'"{n}"' for n in reversed(names))).alias("value"))
-    (lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "source_row").drop("source_row")
+    # rows are numbered in the order of the files' names
+    (lines.unionByName(heads).withColumn("file", F.format_string("%012d", "file")).repartition("file").sortWithinPartitions("file", "source_row").drop("source_row")
      .write.partitionBy("file").text(path))
     return path
 

@@ -116,3 +116,20 @@ def test_text_is_not_shuffled(spark, tmp_path):
     for df in (res.valid, res.quarantine):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_generated_source_has_more_files_for_more_rows(spark):
+    from pathlib import Path
+
+    from conftest import SF
+    from hourwise.plans import catalog_sources as C
+    few, many = (C.write_dirty_csv(spark, SF, n) for n in (C.FILE_ROWS, 50))
+    count = lambda path: len(list(Path(path.removeprefix("file:")).glob("file=*/part-*")))
+    rows = C.readings(spark, SF).count()
+    assert count(few) == C.DIRTY_FILES and count(many) == -(-rows // 50) > 10
+
+    def numbers(path):
+        res = I.scan_csv(spark, path)
+        return (sorted(tuple(r) for r in res.valid.select("source_row", "observed_at").collect()),
+                sorted((r.source_row, tuple(r.violations)) for r in res.quarantine.collect()))
+    assert numbers(few) == numbers(many)
