@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hourwise.llm import (decontaminate, html_extract, language_id, line_dedup, mixing, near_dedup, secret_scan, topk,
-                          url_filter, warc)
+from hourwise.llm import (decontaminate, html_extract, language_id, line_dedup, mixing, near_dedup, periodic, quality,
+                          secret_scan, topk, url_filter, warc)
 from hourwise.llm.common import ROW, numbered, table
 from hourwise.llm.oracle import SQL
 
@@ -67,9 +67,19 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(docs).drop(ROW)
 
 
+def op11_quality(spark, sf_dir):
+    """Quality score of every document."""
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of every document."""
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_line_dedup, op3_decontaminate, op4_language_id, op5_warc, op6_near_dedup, op7_html_extract,
-    op8_secret_scan, op9_topk, op10_mixing)}
+    op8_secret_scan, op9_topk, op10_mixing, op11_quality, op12_periodic_runs)}
 
 
 def queries():
