@@ -284,22 +284,21 @@ def q_month_slice(spark, d):
 
 # ---------------------------------------------------------------- audit (Q6-Q16, Q18)
 
-def _tally(**conditions):
-    return ", ".join(f"CAST(COALESCE(SUM(CAST(({c}) AS INTEGER)), 0) AS BIGINT) AS {name}" for name, c in conditions.items())
-
-
-_SHORT, _THIN = "current_samples_insufficient", "baseline_samples_insufficient"
+# Every hour falls into one class of flags; the measures are sums over classes.
 RECON_SQL = f"""
-SELECT t.*, CASE WHEN observed_hours > 0 THEN eligible_hours * CAST(100 AS DOUBLE) / observed_hours END AS eligibility_percentage
-FROM (SELECT COUNT(*) AS observed_hours, MIN(hour_ts) AS first_hour, MAX(hour_ts) AS last_hour, {_tally(
-    eligible_hours="rule_eligible", eligible_null_rate="rule_eligible AND (current_low_fraction + prior_low_fraction) IS NULL",
-    evaluated_breach="evaluation_status = 'Evaluated: breach'", evaluated_no_breach="evaluation_status = 'Evaluated: no breach'",
-    not_evaluated_hours="evaluation_status = 'Not evaluated'", both=f"{_SHORT} AND {_THIN}",
-    current_only=f"{_SHORT} AND NOT {_THIN}", baseline_only=f"{_THIN} AND NOT {_SHORT}",
-    zero_current_loaded="loaded_readings = 0", current_loaded_below_min=f"loaded_readings > 0 AND loaded_readings < {SPEC.min_current_loaded}",
-    null_prior_counts="prior_loaded_readings IS NULL", null_current_rate="current_low_fraction IS NULL",
-    null_prior_rate="prior_low_fraction IS NULL", complete_prior_hour_windows=f"prior_observed_hours = {SPEC.window_hours}")}
-  FROM investigation) t"""
+SELECT CAST(SUM(n) AS BIGINT) AS observed_hours, MIN(lo) AS first_hour, MAX(hi) AS last_hour,
+  100.0 * SUM(n * ok) / SUM(n) AS eligibility_percentage, {", ".join(f"CAST(SUM(n * {x}) AS BIGINT) AS {name}" for name, x in {
+    "eligible_hours": "ok", "not_evaluated_hours": "(verdict = 'Not evaluated')::INT", "evaluated_breach": "(verdict = 'Evaluated: breach')::INT",
+    "evaluated_no_breach": "(verdict = 'Evaluated: no breach')::INT", "current_only": "short * (1 - thin)", "baseline_only": "thin * (1 - short)",
+    "both": "short * thin", "zero_current_loaded": "(load_class = 0)::INT", "current_loaded_below_min": "(load_class = 1)::INT",
+    "null_prior_counts": "no_prior", "null_current_rate": "no_rate", "null_prior_rate": "no_prior_rate",
+    "eligible_null_rate": "ok * GREATEST(no_rate, no_prior_rate)", "complete_prior_hour_windows": "whole"}.items())}
+FROM (SELECT COUNT(*) AS n, MIN(hour_ts) AS lo, MAX(hour_ts) AS hi, rule_eligible::INT AS ok, evaluation_status AS verdict,
+        current_samples_insufficient::INT AS short, baseline_samples_insufficient::INT AS thin,
+        CASE WHEN loaded_readings = 0 THEN 0 WHEN loaded_readings < {SPEC.min_current_loaded} THEN 1 ELSE 2 END AS load_class,
+        (prior_loaded_readings IS NULL)::INT AS no_prior, (current_low_fraction IS NULL)::INT AS no_rate,
+        (prior_low_fraction IS NULL)::INT AS no_prior_rate, (prior_observed_hours = {SPEC.window_hours})::INT AS whole
+      FROM investigation GROUP BY ALL) AS classes"""
 
 
 @query("audit_reconciliation", _sql(ALL, RECON_SQL, ["eligibility_percentage"]))
@@ -309,8 +308,8 @@ def q_audit_reconciliation(spark, d):
 
 
 @query("audit_exclusion_periods", _sql(ALL, """
-SELECT exclusion_reason, COUNT(*) AS hours, MIN(hour_ts) AS first_hour, MAX(hour_ts) AS last_hour
-FROM investigation GROUP BY exclusion_reason ORDER BY exclusion_reason"""))
+SELECT reason AS exclusion_reason, len(times) AS hours, times[1] AS first_hour, times[-1] AS last_hour
+FROM (SELECT exclusion_reason AS reason, list_sort(list(hour_ts)) AS times FROM investigation GROUP BY reason)"""))
 def q_audit_exclusion_periods(spark, d):
     """Q7: periods per exclusion reason."""
     return A.exclusion_periods(investigation(spark, d))
@@ -329,14 +328,20 @@ rebuilt AS (
     FROM per_hour w WHERE w.hour_ts BETWEEN this.hour_ts - INTERVAL {24 * SPEC.lookback_days} HOURS
                                         AND this.hour_ts - INTERVAL 1 HOUR) before)"""
 
+# An hour is odd if its row is in only one of the two row sets.
+_ROW_COLS = "hour_ts, readings, loaded, low, prior_loaded, prior_low, prior_hours"
 _MISMATCH_SQL = f"""
-SELECT COUNT(*) AS compared_hours,
-  COUNT(CASE WHEN (x.readings, x.loaded, x.low, x.prior_loaded, x.prior_low, x.prior_hours) IS DISTINCT FROM
-    (i.readings, i.loaded_readings, i.low_pressure_loaded_readings, i.prior_loaded_readings, i.prior_low_readings,
-     i.prior_observed_hours) THEN 1 END) AS mismatched_hours,
-  COUNT(CASE WHEN (COALESCE(x.prior_loaded, 0) >= {SPEC.min_prior_loaded} AND x.loaded >= {SPEC.min_current_loaded})
-    IS DISTINCT FROM i.rule_eligible THEN 1 END) AS mismatched_eligibility
-FROM investigation i FULL JOIN rebuilt x ON x.hour_ts = i.hour_ts"""
+WITH windowed(hour_ts, readings, loaded, low, prior_loaded, prior_low, prior_hours, eligible) AS (
+  SELECT hour_ts, readings, loaded_readings, low_pressure_loaded_readings, prior_loaded_readings, prior_low_readings,
+    prior_observed_hours, rule_eligible FROM investigation),
+joined AS (SELECT *, loaded >= {SPEC.min_current_loaded} AND COALESCE(prior_loaded, 0) >= {SPEC.min_prior_loaded} AS eligible FROM rebuilt),
+odd_rows AS ((SELECT {_ROW_COLS} FROM windowed EXCEPT SELECT {_ROW_COLS} FROM joined)
+             UNION ALL (SELECT {_ROW_COLS} FROM joined EXCEPT SELECT {_ROW_COLS} FROM windowed)),
+odd_flags AS ((SELECT hour_ts, eligible FROM windowed EXCEPT SELECT hour_ts, eligible FROM joined)
+              UNION ALL (SELECT hour_ts, eligible FROM joined EXCEPT SELECT hour_ts, eligible FROM windowed))
+SELECT (SELECT COUNT(*) FROM (SELECT hour_ts FROM windowed UNION SELECT hour_ts FROM joined)) AS compared_hours,
+  (SELECT COUNT(DISTINCT hour_ts) FROM odd_rows) AS mismatched_hours,
+  (SELECT COUNT(DISTINCT hour_ts) FROM odd_flags) AS mismatched_eligibility"""
 
 
 @query("baseline_self_join", _sql([READINGS_SQL, _RAW_HOURS], "SELECT * FROM rebuilt"))
@@ -345,24 +350,25 @@ def q_baseline_self_join(spark, d):
     return A.independent_window(readings(spark, d), SPEC)
 
 
-@query("window_vs_join_mismatch", _sql(ALL + [_RAW_HOURS], _MISMATCH_SQL))
+@query("window_vs_join_mismatch", _sql(ALL + [_RAW_HOURS], f"SELECT * FROM ({_MISMATCH_SQL}) m"))
 def q_window_vs_join_mismatch(spark, d):
     """Window vs self-join derivations, null-safe mismatches."""
     return A.window_vs_join(readings(spark, d), investigation(spark, d), SPEC)
 
 
-_DELTAS = """seconds AS (SELECT source_row, epoch_us(observed_at) / 1e6 AS t FROM readings),
-ordered AS (
-  SELECT t - LAG(t) OVER in_time AS delta, t - LAG(t) OVER in_file AS source_delta FROM seconds
-  WINDOW in_time AS (ORDER BY t), in_file AS (ORDER BY source_row))"""
+# Neighbours are found by joining numbered rows; the median is the middle element of the sorted list of steps.
+_STEPS = """times AS (SELECT source_row, epoch_us(observed_at) AS us FROM readings),
+by_time AS (SELECT us, ROW_NUMBER() OVER (ORDER BY us) AS k FROM times),
+by_row AS (SELECT us, ROW_NUMBER() OVER (ORDER BY source_row) AS k FROM times),
+steps AS (SELECT list_sort(list(y.us - x.us)) AS us FROM by_time x JOIN by_time y ON y.k = x.k + 1)"""
 
 
-@query("audit_cadence", _sql([READINGS_SQL, _DELTAS], """
-SELECT COUNT(*) AS observations, COUNT(*) FILTER (WHERE delta = 0) AS duplicate_timestamps,
-  COUNT(*) FILTER (WHERE source_delta < 0) AS source_order_reversals,
-  percentile_disc(0.5) WITHIN GROUP (ORDER BY delta) AS median_interval_seconds,
-  COUNT(*) FILTER (WHERE delta > 20) AS gaps_over_20_seconds, MAX(delta) AS largest_gap_seconds
-FROM ordered""", ["median_interval_seconds", "largest_gap_seconds"]))
+@query("audit_cadence", _sql([READINGS_SQL, _STEPS], """
+SELECT (SELECT COUNT(*) FROM times) AS observations,
+  (SELECT COUNT(*) FROM times) - (SELECT COUNT(DISTINCT us) FROM times) AS duplicate_timestamps,
+  (SELECT COUNT(*) FROM by_row x JOIN by_row y ON y.k = x.k + 1 WHERE y.us < x.us) AS source_order_reversals,
+  us[(len(us) + 1) // 2] / 1e6 AS median_interval_seconds, len(list_filter(us, lambda d: d > 20000000)) AS gaps_over_20_seconds,
+  us[-1] / 1e6 AS largest_gap_seconds FROM steps""", ["median_interval_seconds", "largest_gap_seconds"]))
 def q_audit_cadence(spark, d):
     """Cadence and order via stitched LAG and an exact weighted discrete median."""
     return A.cadence(readings(spark, d))
@@ -396,26 +402,33 @@ def q_audit_largest_gaps(spark, d):
     return A.largest_gaps(readings(spark, d), 10)
 
 
-@query("audit_proxy_comparison", _sql([READINGS_SQL], f"""
-SELECT dv_electric, comp, COUNT(*) AS observations, COUNT(*) FILTER (WHERE motor_current >= {_LC}) AS current_loaded,
-  COUNT(*) FILTER (WHERE motor_current >= {_LC} AND tp3 < {_LP}) AS current_loaded_low_pressure,
-  MIN(motor_current) AS min_current_a, MAX(motor_current) AS max_current_a, AVG(motor_current) AS mean_current_a
-FROM readings GROUP BY dv_electric, comp ORDER BY dv_electric, comp""",
+# Readings by (valve, compressor signal, loaded by current, low pressure, an input missing): both audits sum over these cells.
+_CELLS = f"""cells AS (
+  SELECT dv_electric AS valve, comp, motor_current >= {_LC} AS loaded, tp3 < {_LP} AS low,
+    observed_at IS NULL OR motor_current IS NULL OR tp3 IS NULL AS missing, COUNT(*) AS n, COUNT(motor_current) AS known,
+    SUM(motor_current) AS total, MIN(motor_current) AS least, MAX(motor_current) AS most
+  FROM readings GROUP BY ALL)"""
+
+
+def _cells(condition):
+    return f"CAST(COALESCE(SUM(CASE WHEN {condition} THEN n END), 0) AS BIGINT)"
+
+
+@query("audit_proxy_comparison", _sql([READINGS_SQL, _CELLS], f"""
+SELECT valve AS dv_electric, comp, CAST(SUM(n) AS BIGINT) AS observations, {_cells("loaded")} AS current_loaded,
+  {_cells("loaded AND low")} AS current_loaded_low_pressure, MIN(least) AS min_current_a, MAX(most) AS max_current_a,
+  SUM(total) / SUM(known) AS mean_current_a FROM cells GROUP BY valve, comp""",
                                         ["min_current_a", "max_current_a", "mean_current_a"]))
 def q_audit_proxy_comparison(spark, d):
     """Current statistics by (dv_electric, comp)."""
     return A.proxy_comparison(readings(spark, d), SPEC)
 
 
-@query("audit_integrity", _sql([READINGS_SQL], f"""
-SELECT COUNT(*) FILTER (WHERE observed_at IS NULL OR motor_current IS NULL OR tp3 IS NULL) AS null_rule_inputs,
-  COUNT(*) FILTER (WHERE motor_current >= {_LC}) AS current_proxy_loaded_observations,
-  COUNT(*) FILTER (WHERE dv_electric = 1) AS valve_loaded_observations,
-  COUNT(*) FILTER (WHERE motor_current >= {_LC} AND dv_electric = 1) AS agreeing_loaded_observations,
-  COUNT(*) FILTER (WHERE motor_current >= {_LC} AND dv_electric = 0) AS proxy_only_observations,
-  COUNT(*) FILTER (WHERE motor_current < {_LC} AND dv_electric = 1) AS valve_only_observations,
-  COUNT(*) FILTER (WHERE motor_current >= {_LC} AND tp3 < {_LP}) AS rule_low_pressure_observations
-FROM readings"""))
+@query("audit_integrity", _sql([READINGS_SQL, _CELLS], f"""
+SELECT {_cells("missing")} AS null_rule_inputs, {_cells("loaded")} AS current_proxy_loaded_observations,
+  {_cells("valve = 1")} AS valve_loaded_observations, {_cells("loaded AND valve = 1")} AS agreeing_loaded_observations,
+  {_cells("loaded AND valve = 0")} AS proxy_only_observations, {_cells("NOT loaded AND valve = 1")} AS valve_only_observations,
+  {_cells("loaded AND low")} AS rule_low_pressure_observations FROM cells"""))
 def q_audit_integrity(spark, d):
     """Q13: NULL inputs and loaded-definition agreement."""
     return A.integrity(readings(spark, d), SPEC)
