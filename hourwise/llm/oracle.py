@@ -111,4 +111,31 @@ r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 5
 """
 
-SQL = {"op3_decontaminate": _OP3, "op6_near_dedup": _OP6, "op9_topk": _OP9, "op1_url_filter": _OP1, "op2_line_dedup": _OP2, "op10_mixing": _OP10}
+# crc32 written out: a list of start value and bytes is reduced, eight shifts a byte
+_CRC = ("xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), "
+        "lambda crc, byte: list_reduce([xor(crc, byte)] || CAST(range(8) AS BIGINT[]), "
+        "lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)")
+
+_OP13 = f"""
+WITH t AS (SELECT conv_id, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS tok,
+                  length(coalesce(text, '')) AS len, turn FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(tok ORDER BY turn NULLS FIRST, tok) AS toks, list(len ORDER BY turn NULLS FIRST, tok) AS lens FROM t GROUP BY conv_id),
+h AS (SELECT *, {_CRC.format("conv_id")} % 6 AS h FROM o),
+c AS (SELECT h.conv_id, coalesce(list_slice(b.toks, 1, h.h), []) || list_slice(h.toks, h.h + 1, len(h.toks)) AS toks,
+             coalesce(list_slice(b.lens, 1, h.h), []) || list_slice(h.lens, h.h + 1, len(h.lens)) AS lens
+      FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 100),
+m AS (SELECT conv_id, array_to_string(toks, '') AS path, len(toks) AS size, lens, unnest(range(0, len(toks) + 1)) AS d FROM c),
+n AS (SELECT d, substr(path, 1, 64 * d) AS node, min(conv_id) AS conv_id, count(*) AS n_convs,
+             coalesce(any_value(CASE WHEN d > 0 THEN lens[d] END), 0) AS len,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE d = size), '')) AS ends_sha256
+      FROM m GROUP BY ALL),
+kids AS (SELECT d - 1 AS d, substr(node, 1, 64 * (d - 1)) AS node, count(*) AS n FROM n WHERE d > 0 GROUP BY ALL),
+u AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM n LEFT JOIN kids k USING (d, node)),
+up AS (SELECT substr(node, 1, 64 * a) AS node, CAST(count(*) FILTER (WHERE n_children = 0) AS BIGINT) AS n_leaves,
+              CAST(sum((n_convs - 1) * len) AS BIGINT) AS saved_tokens
+       FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM u) GROUP BY a, substr(node, 1, 64 * a))
+SELECT u.conv_id, u.d AS depth, p.conv_id AS parent_conv_id, u.n_convs, u.n_children, up.n_leaves, up.saved_tokens, u.ends_sha256
+FROM u JOIN up USING (node) LEFT JOIN n p ON u.d > 0 AND p.node = substr(u.node, 1, 64 * (u.d - 1))
+"""
+
+SQL = {"op13_conversation_trie": _OP13, "op3_decontaminate": _OP3, "op6_near_dedup": _OP6, "op9_topk": _OP9, "op1_url_filter": _OP1, "op2_line_dedup": _OP2, "op10_mixing": _OP10}

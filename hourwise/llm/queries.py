@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hourwise.llm import (decontaminate, html_extract, language_id, line_dedup, mixing, near_dedup, periodic, quality,
-                          secret_scan, topk, url_filter, warc)
+                          secret_scan, topk, trie, url_filter, warc)
 from hourwise.llm.common import ROW, numbered, table
 from hourwise.llm.oracle import SQL
 
@@ -77,9 +77,14 @@ def op12_periodic_runs(spark, sf_dir):
     return periodic.periodic_runs(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_trie(spark, sf_dir):
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_line_dedup, op3_decontaminate, op4_language_id, op5_warc, op6_near_dedup, op7_html_extract,
-    op8_secret_scan, op9_topk, op10_mixing, op11_quality, op12_periodic_runs)}
+    op8_secret_scan, op9_topk, op10_mixing, op11_quality, op12_periodic_runs, op13_conversation_trie)}
 
 
 def queries():

@@ -47,7 +47,7 @@ def test_near_dedup_classes_of_table(spark):
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_queries_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "embeddings"):
+    for t in ("documents", "pages", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = queries()[name](spark, SF)
     columns = sorted(df.columns)
