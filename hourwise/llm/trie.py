@@ -107,7 +107,7 @@ def _carried(parts: DataFrame, values: list[str], add, down: bool = False) -> Da
     both = near.join(far, ["conv_id", "sup"])
     zero = lambda c: F.coalesce(c, F.lit(0))
     joined = (lambda v: zero(v).bitwiseXOR(zero(f"far_{v}"))) if add is F.bit_xor else (lambda v: zero(v) + zero(f"far_{v}"))
-    return both.select("conv_id", "seg", *[joined(F.col(v)).alias(v) for v in values])
+    return both.select("conv_id", "seg", *[joined(v).alias(v) for v in values])
 
 
 def conversation_parts(named: DataFrame, bare: DataFrame) -> DataFrame:
@@ -173,7 +173,7 @@ def _convs(table: pa.Table):
 _NODES = NODE + ", pa long, pb long, shard long, n_convs long, conv_id long, n long, n_ends long, ends string"
 
 
-def _shard_nodes(key, table: pa.Table) -> pa.Table:
+def _shard_nodes(key, table):
     seg, shard, convs, out = key[0].as_py(), key[1].as_py(), _convs(table), []
     for bits, d, name, parent, n, ends in walk(convs):
         if d == 0 and seg > 0:
@@ -187,7 +187,7 @@ def _shard_nodes(key, table: pa.Table) -> pa.Table:
 _SUMS = NODE + ", n_leaves long, saved long"
 
 
-def _shard_sums(key, table: pa.Table) -> pa.Table:
+def _shard_sums(key, table):
     """Sums over each node's members; the table also has own (the first depth that the conversation owns, or null), leaf and after."""
     seg, t, out = key[0].as_py(), table.sort_by("conv_id"), []
     convs = _convs(t)
