@@ -233,3 +233,4 @@ def _load_all():
     import hourwise.plans.catalog_alerts  # noqa: F401
     import hourwise.plans.catalog_sources  # noqa: F401
     import hourwise.plans.catalog_streaming  # noqa: F401
+    import hourwise.plans.catalog_marts  # noqa: F401

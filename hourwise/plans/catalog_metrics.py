@@ -6,11 +6,13 @@ baseline window (the investigation table is computed on all hours first).
 
 from __future__ import annotations
 
-from hourwise.operators import marts, quality as Q, review
+from hourwise.operators import intervals, marts, quality as Q, review
 from hourwise.plans import oracle as O
 from hourwise.plans.catalog import BREACHES, REVIEWED, SPEC, _sql, candidates, hourly, incidents, investigation, query, readings, reports
 from hourwise.plans.catalog_more import HI, HI_SQL, LO, LO_SQL, QUALITY, demo_state
 from hourwise.plans.metrics import datasets, metric_query
+from hourwise.sources.readings import LOGGED_SQL, logged_reports
+from hourwise.spec import REVIEW_PRESSURE
 
 DS = datasets(SPEC)
 RANGE = (LO, HI)
@@ -230,11 +232,12 @@ def m2(spark, d):
     return metric_query(marts.daily_mart(hourly(spark, d)), DS["mart_daily"], _REST, grain="day", timeseries=True)
 
 
-@query("m5_maintenance_reports", _sql(ALL, "SELECT COUNT(*) AS maintenance_reports FROM reports"))
+@query("m5_maintenance_reports", _sql([LOGGED_SQL], """
+SELECT date_trunc('day', starts_at) AS ts, COUNT(*) AS maintenance_reports FROM logged GROUP BY ALL"""))
 def m5(spark, d):
-    """M5: maintenance reports."""
-    return metric_query(review.report_review(reports(spark), candidates(spark, d)), DS["mart_report_review"],
-                        ["maintenance_reports"])
+    """M5: maintenance reports by day, of the reports logged in the events."""
+    reviewed = intervals.review_counts(logged_reports(spark, d), candidates(spark, d), ["report_id"], REVIEW_PRESSURE)
+    return metric_query(reviewed, DS["mart_report_review"], ["maintenance_reports"], grain="day", timeseries=True)
 
 
 @query("m7_source_rows", _sql(ALL, "SELECT COUNT(*) AS source_rows FROM readings"))

@@ -112,3 +112,21 @@ REPORTS_SQL = """reports AS (
     (3, TIMESTAMP '2024-01-20 10:00:00', TIMESTAMP '2024-01-22 14:30:00', 'Reported air leak'),
     (4, TIMESTAMP '2024-01-27 14:30:00', TIMESTAMP '2024-01-27 19:00:00', 'Reported air leak')
   ) AS t(report_id, starts_at, ends_at, report_type))"""
+
+
+def logged_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports derived from the data: every error event opens one, for half an hour up to about seventeen months."""
+    ensure_utc(spark)
+    eid = F.col("event_id")
+    hours = (eid % 997) * (eid % 13)
+    start = F.col("ts").cast("timestamp_ntz")
+    return (load_table(spark, sf_dir, "events").filter("event_type = 'error'")
+            .select(eid.alias("report_id"), start.alias("starts_at"),
+                    (start + F.make_dt_interval(hours=hours, mins=F.lit(30))).alias("ends_at"), F.lit("Logged fault").alias("report_type")))
+
+
+LOGGED_SQL = """logged AS (
+  SELECT event_id AS report_id, CAST(ts AS TIMESTAMP) AS starts_at,
+    CAST(ts AS TIMESTAMP) + to_hours(CAST((event_id % 997) * (event_id % 13) AS BIGINT)) + INTERVAL 30 MINUTE AS ends_at,
+    'Logged fault' AS report_type
+  FROM events WHERE event_type = 'error')"""

@@ -89,9 +89,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 # ---------------------------------------------------------------- S13 / S14 / S21
 
-def export_ordered(df: DataFrame, order: list[str], path: str, fmt: str = "csv") -> None:
-    """Key-ordered export (range-partitioned sort; part files in key order)."""
-    w = df.orderBy(*order).write.mode("errorifexists")
+def export_ordered(df: DataFrame, order: list[str], path: str, fmt: str = "csv", observed: tuple | None = None) -> None:
+    """Key-ordered export (range-partitioned sort; part files in key order).
+
+    ``observed`` is (Observation, aggregates): they are taken from the rows as they are written, above the sort, whose
+    sampling would run what is below it once more.
+    """
+    rows = df.orderBy(*order)
+    w = (rows.observe(observed[0], *observed[1]) if observed else rows).write.mode("errorifexists")
     if fmt == "csv":
         w.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
     else:
@@ -180,17 +185,28 @@ def reconcile_counts(readings: DataFrame, hourly: DataFrame, daily: DataFrame) -
 
 
 def publish_snapshot(spark: SparkSession, root: str, snapshot_id: str, tables: dict[str, tuple[DataFrame, list[str]]],
-                     state: dict, counts: dict, rule: dict, exported_at: str | None = None) -> str:
-    """Gate, then everything into a staging folder of its own, then one rename, then the pointer."""
+                     state: dict, counts, rule: dict, exported_at: str | None = None, observed: dict | None = None) -> str:
+    """Gate, then everything into a staging folder of its own, then one rename, then the pointer.
+
+    ``counts`` may be a function: then the gate asks it once the tables are staged, so that counts can be observed in the
+    writing jobs themselves (``observed``: (Observation, aggregates) by table). A refused staging folder is deleted.
+    """
     folder = posixpath.join(root, "snapshots", snapshot_id)
-    _gate(state, counts)
+    _gate(state, {} if callable(counts) else counts)
     if not snapshot_id or snapshot_id[0] in "._" or "/" in snapshot_id:
         raise SnapshotError(f"invalid snapshot id {snapshot_id!r}")
     if exists(spark, folder):
         raise SnapshotError(f"snapshot {snapshot_id} exists already; ids are never reused")
     staging = posixpath.join(root, "snapshots", f".{snapshot_id}-{uuid.uuid4().hex}")
     for name, (df, order) in tables.items():
-        export_ordered(df, order, posixpath.join(staging, name))
+        export_ordered(df, order, posixpath.join(staging, name), observed=(observed or {}).get(name))
+    if callable(counts):
+        try:
+            _gate(state, counts())
+        except SnapshotError:
+            fs, p = _fs(spark, staging)
+            fs.delete(p, True)
+            raise
     _relative(file_digests(spark, staging, "part-*")).write.parquet(posixpath.join(staging, FILES))
     described = {name: {"order_by": order, "schema": df.schema.simpleString()[7:-1]} for name, (df, order) in tables.items()}
     manifest = {
@@ -213,7 +229,7 @@ def publish_snapshot(spark: SparkSession, root: str, snapshot_id: str, tables: d
 def _gate(state: dict, counts: dict) -> None:
     if not (state or {}).get("is_complete_source"):
         raise SnapshotError("not a complete-source load: only whole sources are published")
-    odd = {k: counts[k] for k in ("raw_rows", "hourly_rows", "daily_rows") if int(counts[k] or 0) != state["original_rows"]}
+    odd = {k: counts[k] for k in ("raw_rows", "hourly_rows", "daily_rows") if k in counts and int(counts[k] or 0) != state["original_rows"]}
     if odd:
         raise SnapshotError(f"row totals do not reconcile with the {state['original_rows']} rows loaded: {odd}")
 

@@ -55,6 +55,8 @@ def evaluate_ticks(us: np.ndarray, values: np.ndarray, last: int | None, grace_u
         succ.append(s)
         pos = int(np.searchsorted(cand, s + grace_us, side="left"))
     succ_arr = np.array(([last] if last is not None else []) + succ, dtype=np.int64)
+    if not len(succ_arr):
+        return np.full(len(us), NOT_TRIGGERED), None
     idx = np.searchsorted(succ_arr, us, side="right") - 1
     prev = np.where(idx >= 0, succ_arr[np.clip(idx, 0, None)], np.iinfo(np.int64).min)
     is_succ = np.isin(us, np.array(succ, dtype=np.int64))

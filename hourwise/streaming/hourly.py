@@ -10,24 +10,26 @@ the watermark are dropped by Spark and counted in the query progress
 source of truth.
 
 X6 ``stream_scored_hours``: ``foreachBatch`` appends each batch of finalised
-hours to an hourly table (one folder per batch id, overwritten on retry, so a
-replayed batch is idempotent) and re-scores the new hours with the trailing
-baseline over the stored hours of the preceding look-back window.
+hours to an hourly table (folders by day and batch id, overwritten on retry, so a
+replayed batch is idempotent) and scores the new hours with the trailing
+baseline over the stored hours of the look-back window, whose day folders are all it lists.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from hourwise.functions.columns import ntz_lit
+from hourwise.functions.columns import join_keys
 from hourwise.operators.marts import HOURLY_COLUMNS, state_predicates
 from hourwise.operators.rule import candidate_hours
 from hourwise.session import ensure_utc
 from hourwise.sources.readings import readings_from_events
+from hourwise.sources.snapshot import exists
 from hourwise.spec import RuleSpec
 
 
@@ -70,25 +72,31 @@ def stream_hourly_mart(spark: SparkSession, source: str, sink: str, checkpoint:
 
 
 def stream_scored_hours(spark: SparkSession, source: str, out_root: str, checkpoint: str, spec: RuleSpec,
-                        watermark: str = "10 minutes", available_now: bool = True, glob: str | None = None):
+                        watermark: str = "10 minutes", available_now: bool = True, glob: str | None = None,
+                        keys: list[str] | None = None):
     """foreachBatch scoring of finalised hours; returns the StreamingQuery."""
-    hourly_dir = posixpath.join(out_root, "hourly")
-    scored_dir = posixpath.join(out_root, "scored")
-    lookback = F.expr(f"INTERVAL {spec.lookback_seconds} SECONDS")
+    hourly_dir, scored_dir = posixpath.join(out_root, "hourly"), posixpath.join(out_root, "scored")
+    incoming, keys = posixpath.join(out_root, "_incoming"), list(keys or [])
+    reach = -(-spec.lookback_seconds // 86400)
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        mine = posixpath.join(hourly_dir, f"batch_id={batch_id}")
+        mine, kind = posixpath.join(incoming, f"batch_id={batch_id}"), batch.schema
         batch.write.mode("overwrite").parquet(mine)  # the only run of the batch's plan
-        new_hours = spark.read.schema(batch.schema).parquet(mine).select("hour_ts")
-        bounds = new_hours.agg(F.min("hour_ts").alias("lo")).first()
-        if bounds["lo"] is None:
+        new = spark.read.schema(kind).parquet(mine)
+        days = sorted(r.day for r in new.select(F.to_date("hour_ts").alias("day")).distinct().collect())
+        if not days:
             return
-        hist = (spark.read.schema(batch.schema).parquet(hourly_dir)
-                .filter(F.col("hour_ts") >= ntz_lit(bounds["lo"]) - lookback))
-        scored = candidate_hours(hist, spec).join(new_hours, on="hour_ts", how="left_semi")
+        # a replayed batch replaces its own part of each day
+        (new.withColumns({"day": F.to_date("hour_ts"), "batch_id": F.lit(batch_id)}).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(hourly_dir))
+        # only the folders of these days and of their look-back are listed
+        needed = sorted({d - dt.timedelta(days=i) for d in days for i in range(reach + 1)})
+        there = [p for d in needed if exists(spark, p := posixpath.join(hourly_dir, f"day={d}"))]
+        hist = spark.read.schema(kind).option("basePath", hourly_dir).parquet(*there)
+        scored = join_keys(candidate_hours(hist, spec, keys), new.select(*keys, "hour_ts"), [*keys, "hour_ts"], "left_semi")
         scored.write.mode("overwrite").parquet(posixpath.join(scored_dir, f"batch_id={batch_id}"))
 
-    q = (_hourly_stream(spark, source, spec, watermark, glob=glob).writeStream.outputMode("append")
+    q = (_hourly_stream(spark, source, spec, watermark, keys, glob).writeStream.outputMode("append")
          .foreachBatch(score).option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     return q.start()
