@@ -160,20 +160,23 @@ def q_completeness_gate(spark, d):
     return I.completeness_gate(readings(spark, d), expected, allow_subset=False)
 
 
-def write_line_files(spark, d):
-    """Readings as one text line each, in DIRTY_FILES files in row order: content that SQL can digest too."""
+def write_line_files(spark, d, file_rows: int = FILE_ROWS):
+    """Readings as one text line each, in files of ``file_rows`` rows at most (DIRTY_FILES files at least), in row order: content that
+    SQL can digest too."""
     path, rd = scratch(spark, "lines"), readings(spark, d)
     total = rd.count()
+    files = max(DIRTY_FILES, -(-total // file_rows))
     text = F.concat_ws(",", F.col("source_row").cast("string"), F.date_format("observed_at", "yyyy-MM-dd HH:mm:ss"),
                        F.col("lps").cast("int").cast("string"))
-    rows = rd.select(F.floor((F.col("source_row") - 1) * DIRTY_FILES / total).cast("int").alias("file"), "source_row", text.alias("value"))
+    rows = rd.select(F.floor((F.col("source_row") - 1) * files / total).cast("int").alias("file"), "source_row", text.alias("value"))
     (rows.repartition("file").sortWithinPartitions("file", "source_row").drop("source_row").write.partitionBy("file").text(path))
     return path
 
 
 _LINES_SQL = f"""lines AS (
-  SELECT CAST(floor((source_row - 1) * {DIRTY_FILES} / (SELECT COUNT(*) FROM readings)) AS INTEGER) AS file, source_row,
-    source_row || ',' || strftime(observed_at, '%Y-%m-%d %H:%M:%S') || ',' || CAST(lps AS INTEGER) AS line FROM readings)"""
+  SELECT CAST(floor((source_row - 1) * files / total) AS INTEGER) AS file, source_row,
+    source_row || ',' || strftime(observed_at, '%Y-%m-%d %H:%M:%S') || ',' || CAST(lps AS INTEGER) AS line
+  FROM readings, (SELECT COUNT(*) AS total, GREATEST({DIRTY_FILES}, CAST(ceil(COUNT(*) / {FILE_ROWS}) AS BIGINT)) AS files FROM readings))"""
 
 
 @query("file_digests", _sql([READINGS_SQL, _LINES_SQL], """

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourwise.functions.columns import ntz_lit, truthy
-from hourwise.sources.csv_ingest import numbered_lines, split_table
+from hourwise.session import materialize
+from hourwise.sources.csv_ingest import fixed_splits, numbered_lines, split_table
 
 MANIFEST = "provenance.json"
 POINTER = "CURRENT"
@@ -132,15 +133,16 @@ def _plain(path):
 def tree_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(path, sha256), the path as ``_plain`` has it, of files of any size: lines (bytes between line feeds) are hashed, then chunks of line hashes,
     then the chunks' hashes. The result does not depend on splits."""
-    lines = numbered_lines(spark, paths, split_table(spark, paths))
-    file = _plain(F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B"))))
-    x = lines.select(file.alias("path"), F.floor(F.col("line_no") / CHUNK_LINES).alias("chunk"),
-                     F.struct("line_no", F.sha2(F.col("value").cast("binary"), 256).alias("h")).alias("line"))
-    joined = lambda rows: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(rows)), lambda r: r["h"]), "")
-                                 .cast("binary"), 256)
-    chunks = x.groupBy("path", "chunk").agg(joined("line").alias("h"))
-    files = chunks.select("path", F.struct("chunk", "h").alias("c")).groupBy("path").agg(joined("c").alias("h"))
-    return files.select("path", F.concat(F.lit("tree-"), "h").alias("sha256"))
+    with fixed_splits(spark):
+        lines = numbered_lines(spark, paths, split_table(spark, paths))
+        file = _plain(F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B"))))
+        x = lines.select(file.alias("path"), F.floor(F.col("line_no") / CHUNK_LINES).alias("chunk"),
+                         F.struct("line_no", F.sha2(F.col("value").cast("binary"), 256).alias("h")).alias("line"))
+        joined = lambda rows: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(rows)), lambda r: r["h"]), "")
+                                     .cast("binary"), 256)
+        chunks = x.groupBy("path", "chunk").agg(joined("line").alias("h"))
+        files = chunks.select("path", F.struct("chunk", "h").alias("c")).groupBy("path").agg(joined("c").alias("h"))
+        return materialize(files.select("path", F.concat(F.lit("tree-"), "h").alias("sha256")), "tree_digests")
 
 
 def source_digest(spark: SparkSession, path: str, glob: str | None = None) -> str:

@@ -133,3 +133,71 @@ def test_generated_source_has_more_files_for_more_rows(spark):
         return (sorted(tuple(r) for r in res.valid.select("source_row", "observed_at").collect()),
                 sorted((r.source_row, tuple(r.violations)) for r in res.quarantine.collect()))
     assert numbers(few) == numbers(many)
+
+
+def test_line_breaks_inside_quoted_cells(spark, tmp_path):
+    """Records over several lines, over split edges and beside plain files; an open quote is one bad record."""
+    names = HEADER.split(",")
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    rows, at = [HEADER], 0
+    for i in range(400):
+        if i % 7 == 3:
+            rows.append(row(f'"{i}\nline two\n\nline four"', ts=f"2020-02-01 00:{i // 60:02d}:{i % 60:02d}"))
+        elif i % 50 == 9:
+            rows.append(row(f'"a ""quoted"" {i}\n"', analog="x"))
+        else:
+            rows.append(row(i, ts=f"2020-02-01 00:{i // 60:02d}:{i % 60:02d}"))
+    write(folder, rows, "1.csv")
+    write(folder, [HEADER, row(1), row(2, digital="2.0")], "2.csv")
+    write(folder, ['"' + names[0] + '\nnew","' + '","'.join(names[1:]) + '"', row('"x\ny"'), row(5), '"open', row(6), row(7)], "3.csv")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("4k", old):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            res = I.scan_csv(spark, str(folder))
+            got = {r.source_row: r.observed_at for r in res.valid.collect()}
+            bad = {r.source_row: (r.line, r.violations[0]) for r in res.quarantine.collect()}
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        wrong = {i for i in range(400) if i % 7 != 3 and i % 50 == 9}
+        assert sorted(got) == [*(i + 1 for i in range(400) if i not in wrong), 401, 403, 404]
+        assert all(got[i + 1].minute * 60 + got[i + 1].second == i for i in range(400) if i not in wrong)
+        assert set(bad) == {i + 1 for i in wrong} | {402, 405}
+        assert bad[402][1] == "not_0_1:comp" and bad[405] == ('"open', "open_quote")
+        assert all(bad[i + 1] == (row(f'"a ""quoted"" {i}\n"', analog="x"), "unparseable:tp2") for i in wrong)
+
+
+def test_records_over_the_line_limit_count_as_open(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(I, "MAX_RECORD_LINES", 5)
+    path = write(tmp_path, [HEADER, row('"' + "a\n" * 4 + 'b"'), row('"' + "a\n" * 5 + 'b"'), row(3)])
+    res = I.scan_csv(spark, path)
+    assert sorted(r.source_row for r in res.valid.collect()) == [1, 3]
+    assert [(r.source_row, r.line, r.violations) for r in res.quarantine.collect()] == [(2, '"a', ["open_quote"])]
+
+
+def test_any_number_of_different_headers_and_session_options(spark, tmp_path):
+    names = HEADER.split(",")
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(1100):
+        write(folder, [",".join([f"extra{i}", *names[1:]]), row(i)], f"{i:05d}.csv")
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    res = I.scan_csv(spark, str(folder))
+    assert res.valid.count() == 1100 and res.quarantine.count() == 0
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) == before
+    assert res.headers == ["extra0", *names[1:]]
+
+
+def test_numbers_too_large_are_not_finite(spark, tmp_path):
+    res = I.scan_csv(spark, write(tmp_path, [HEADER, row(0, analog="1e999"), row(1, impulse="-1"), row(2, analog=" 1.5 ")]))
+    got = {r.source_row: r.violations[0] for r in res.quarantine.collect()}
+    assert got == {1: "non_finite:tp2", 2: "invalid_impulse:caudal_impulse"} and res.valid.first().tp2 == 1.5
+
+
+def test_a_load_types_its_rows_once(spark, tmp_path, monkeypatch):
+    """Valid rows and quarantine read the written table: no text scan is left in their plans."""
+    res = I.scan_csv(spark, write(tmp_path, [HEADER, row(0), "x"]))
+    for df in (res.valid, res.quarantine):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "csv_rows" in df.inputFiles()[0] and "rlike" not in plan.lower()
