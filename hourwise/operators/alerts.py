@@ -69,12 +69,12 @@ def _jumps(ep: np.ndarray, grace_us: int) -> np.ndarray:
     return np.searchsorted(ep, ep + grace_us, side="left")
 
 
-def _exits(grace_us: int, chunk_us: int):
-    """Where a chunk is left, for each tick at which it can be entered: those up to the first one that is a grace
-    window after its start."""
+def _exits(grace_us: int):
+    """Where a chunk (from ``_start`` on) is left, for each tick at which it can be entered: those up to the first one that is a
+    grace window after its start."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         ep = np.unique(pdf["_us"].to_numpy())
-        after = np.searchsorted(ep, int(pdf["_chunk"].iloc[0]) * chunk_us + grace_us, side="left")
+        after = np.searchsorted(ep, int(pdf["_start"].iloc[0]) + grace_us, side="left")
         entries = np.arange(min(len(ep), after + 1))
         jump, at = _jumps(ep, grace_us), entries.copy()
         while (moving := jump[at] < len(ep)).any():
@@ -84,19 +84,55 @@ def _exits(grace_us: int, chunk_us: int):
     return run
 
 
-def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The tick at which each chunk of a run is entered."""
-    found, free = [], None
-    for chunk, part in pdf.sort_values(["_chunk", "_in"]).groupby("_chunk", sort=True):
-        ticks = part["_in"].to_numpy()
-        i = 0 if free is None else int(np.searchsorted(ticks, free, side="left"))
-        if i < len(ticks):
-            found.append((chunk, ticks[i]))
-            free = part["_out"].iloc[i]
+def _following(part: pd.DataFrame) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(chunk, entries, exits) of a group's chunks in order."""
+    return [(int(c), p["_in"].to_numpy(), p["_out"].to_numpy())
+            for c, p in part.sort_values(["_chunk", "_in"]).groupby("_chunk", sort=True)]
+
+
+def _composed(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Where a group of chunks is left, for each tick at which its first chunk can be entered."""
+    (_, entries, free), *rest = _following(pdf)
+    for _, ins, outs in rest:
+        at = np.searchsorted(ins, free, side="left")
+        free = np.where(at < len(ins), outs[np.minimum(at, len(ins) - 1)], free)
+    return pd.DataFrame({"_alert": pdf["_alert"].iloc[0], "_segment": pdf["_segment"].iloc[0], "_chunk": pdf["_group"].iloc[0],
+                         "_in": entries, "_out": free})
+
+
+def _walked(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The tick at which each chunk of a group is entered, given the tick at which the group is."""
+    found, free = [], pdf["_entry"].iloc[0]
+    for chunk, ins, outs in _following(pdf):
+        if (i := int(np.searchsorted(ins, free, side="left"))) < len(ins):
+            found.append((chunk, ins[i]))
+            free = outs[i]
     return pd.DataFrame({"_alert": pdf["_alert"].iloc[0], "_segment": pdf["_segment"].iloc[0],
                          "_chunk": [c for c, _ in found], "_entry": [t for _, t in found]})
 
 
+def chained(exits: DataFrame, fan: int | None = None) -> DataFrame:
+    """(_alert, _segment, _chunk, _entry): the tick at which each chunk of a run is entered, the run at its first tick.
+
+    Chunks (numbered from the start of their run) are put together in groups of ``fan``, groups in groups, until a run is one group;
+    then the entries go down the same way. So no task gets more than ``fan`` chunks of a run, whose rows are the ticks
+    of one grace window each. The number of levels is the logarithm of the longest run.
+    """
+    fan, by, key = fan or CHUNK_WINDOWS, ["_alert", "_segment"], exits.schema["_alert"].dataType.simpleString()
+    key = f"_alert {key}, _segment timestamp_ntz, _chunk long"
+    levels, most = [exits], exits.agg(F.max("_chunk")).first()[0] or 0
+    grouped = lambda df: df.withColumn("_group", F.floor(F.col("_chunk") / fan).cast("long"))
+    while most >= fan:
+        levels.append(materialize(grouped(levels[-1]).groupBy(*by, "_group").applyInPandas(_composed, f"{key}, _in long, _out long"),
+                                  "alert_exits"))
+        most //= fan
+    entries = levels[-1].groupBy(*by).agg(F.lit(0).cast("long").alias("_group"), F.min("_in").alias("_entry"))
+    for level in reversed(levels):
+        entries = (grouped(level).join(entries, [*by, "_group"]).groupBy(*by, "_group").applyInPandas(_walked, f"{key}, _entry long")
+                   .withColumnRenamed("_chunk", "_group"))
+    return entries.withColumnRenamed("_group", "_chunk")
+
+
 def _marks(grace_us: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         ep = np.unique(pdf["_us"].to_numpy())
@@ -113,18 +149,19 @@ def successes(true_ticks: DataFrame, grace_us: int) -> DataFrame:
     window after the last success.
 
     A run is cut into chunks, which are worked on apart: first, for each tick at which a chunk can be entered, where it
-    is left; then the chunks are chained (a few rows per chunk); then each chunk is marked from its entry. So an
+    is left; then the chunks are chained in groups of groups (``chained``); then each chunk is marked from its entry. So an
     alert that is always true spreads over many tasks.
     """
     chunk_us = CHUNK_WINDOWS * max(1, grace_us)
     seg = assign_islands(true_ticks, ["_alert"], "_tick", out="_segment", max_gap_micros=grace_us,
                          materialize_input=False)  # a filter over the written tick log
-    seg = seg.select("_alert", "_segment", "_us", F.floor(F.col("_us") / chunk_us).cast("long").alias("_chunk"))
-    seg = materialize(seg, "alert_chunks")
+    begin = F.unix_micros(F.col("_segment").cast("timestamp"))
+    seg = seg.select("_alert", "_segment", "_us", F.floor((F.col("_us") - begin) / chunk_us).cast("long").alias("_chunk"))
+    seg = materialize(seg.withColumn("_start", begin + F.col("_chunk") * chunk_us), "alert_chunks")
     kind = seg.schema["_alert"].dataType.simpleString()
     key = f"_alert {kind}, _segment timestamp_ntz, _chunk long"
-    exits = seg.groupBy("_alert", "_segment", "_chunk").applyInPandas(_exits(grace_us, chunk_us), f"{key}, _in long, _out long")
-    entries = exits.groupBy("_alert", "_segment").applyInPandas(_chain, f"{key}, _entry long")
+    exits = seg.groupBy("_alert", "_segment", "_chunk").applyInPandas(_exits(grace_us), f"{key}, _in long, _out long")
+    entries = chained(materialize(exits, "alert_exits"))
     return (seg.join(entries, ["_alert", "_segment", "_chunk"]).groupBy("_alert", "_segment", "_chunk")
             .applyInPandas(_marks(grace_us), f"_alert {kind}, _us long, _success boolean"))
 
