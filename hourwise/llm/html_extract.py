@@ -1,26 +1,32 @@
 """Main text of web pages by a maximum-scoring subsequence of their tokens.
 
-A page is a sequence of tags and text runs. Each word scores +1, or -1 where its open elements say that it is
-not content; each tag scores a negative weight. One linear scan finds the contiguous region with the highest
-sum, and the blocks of its content words are the text. Tags and notices inside a labelled
-article cost nothing.
+A page is a sequence of tags and text runs. Each word scores +1; each tag scores a negative weight, and so does, once and
+whatever its size, each element that is not content. One linear scan finds the contiguous region with the highest
+sum, and the blocks of its content words are the text. Tags inside a labelled article, and all that stands outside of
+the articles of a page that has some, cost nothing, so that no article, and no part of one behind an advert, is lost.
 
 Weights come from labelled pages: those with one outermost ``article`` or ``main`` element, whose words inside are
 content (articles of a discussion are none). Spark counts, for each tag and each (tag, class or id word), how many of its words and tags lie inside and
 outside, over the ``train_pages`` labelled pages with the lowest hash of id and html, or all if there are fewer. The model
 holds every tag and word found in ``MIN_PAGES`` of them, so its size is bounded by the sample, not by a cut. An element known by
-a class, id or role word that stands outside (log-odds under ``OUT``, in ``MIN_PAGES`` pages) makes its words negative; a
+a class, id or role word that stands outside (log-odds under ``OUT``, in ``MIN_PAGES`` pages) is not content; a
 tag that often stands outside costs up to ``TAG``. Elements that never hold article text by their meaning are named in
-``NOT_TAGS`` and ``NOT_WORDS``; the header of an article does. Names often tell the state of a page ("no-sidebar") or stand
-on what holds all of it (a form), so html and body have no such names, and an element named so that holds more than
-half of the words (of a labelled page: of those in its ``article`` and ``main``) is read like one without a name, unless the words that are content without it are over a
-``BESIDE``-th of its own (``BESIDE_REPLIES`` if it is named as a discussion). On a page with an ``article`` or ``main`` element, words outside of it are negative.
+``NOT_TAGS`` and ``NOT_WORDS``; the header of an article does.
+
+Where names are not taken at their word: html and body; names that tell a state ("no-sidebar", ``STATE``); inside an
+article, names of paragraphs, headings, cells and phrases, and ids of several words that are not all names of page parts
+("related-work"). Any other element named so is left out, at any size, if there is content outside of such elements (on a page with
+``article`` or ``main`` elements, content in these). If all content is in named elements, the largest that is no discussion is
+read like one without a name, and so on inside it. A form or fieldset, which often wraps a page, is also read so if it
+holds more than half of the words and the content beside it is under a ``BESIDE``-th of its own.
 
 Defined cases: null or empty html, and pages without a positive region, give an empty text; an unclosed
 element ends with its parent; a paragraph ends at the next block; the head is not an element of its own, as its end
-may be left out. An element of ``RAW`` or ``HIDDEN`` reaches to its end tag. Without one, a script or style ends where the page's
+may be left out; a quoted attribute value may hold any character but its quote. An element of ``RAW`` or ``HIDDEN`` reaches to its end tag. Without one, a script or style ends where the page's
 structure goes on (``_STRUCTURE``) or with the page, a title or textarea at the next tag, and the others, like a self-closed
-svg, are empty. Of regions with the same sum the first one is taken. No length limit.
+svg, are empty. Of regions with the same sum the one that ends first is taken, and then the shortest. No length limit; the work is linear in the page, however deep it
+nests. Repeated rows give a row each and are learned from once; an empty table gives no rows; only page_id, url and html are
+read, other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -56,7 +62,15 @@ NOT_WORDS = frozenset(
 # Elements named above that may also hold the whole page, and names of what readers add, which may be longer than an article.
 WRAPS = frozenset("fieldset form".split())
 REPLIES = frozenset("comment commentlist comments disqus replies reply respond".split())
-BESIDE, BESIDE_REPLIES = 5, 20
+BESIDE = 5
+# Words of names that tell a state of the page, words of page parts, and elements that are no containers.
+STATE = frozenset("closed disabled enabled has hide is no off on open show with without".split())
+PARTS = NOT_WORDS | frozenset(
+    "area articles bar block box container content inner links list main outer page posts section site stories top "
+    "wrap wrapper".split())
+PHRASES = frozenset(
+    "a abbr b blockquote caption cite code dd dfn dt em figcaption h1 h2 h3 h4 h5 h6 i kbd li mark p pre q s small span "
+    "strong sub summary sup td th time tr u".split())
 # Elements that hold characters and no elements, and elements whose content is not read as text.
 RAW = frozenset("iframe noembed noframes noscript script style textarea title".split())
 HIDDEN = frozenset("annotation annotation-xml applet audio canvas object select svg template video".split())
@@ -77,20 +91,23 @@ OWN_HEADER = frozenset("article entry post story".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     rf"|<({'|'.join(sorted(RAW | HIDDEN))})(?=[\s/>])[^>]*+>"
-    r"|<(/?)([a-z][a-z0-9:-]*+)((?:\"[^\"<]*+\"|'[^'<]*+'|[^<>\"'])*+|[^<>]*+)>|<[!?/][^<>]*+>", re.I | re.S)
+    r"|<(/?)([a-z][a-z0-9:-]*+)((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^<>])*+)>|<[!?/][^<>]*+>", re.I | re.S)
 _END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I) for name in RAW}
 _STRUCTURE = re.compile(r"</?(?:head|body|html|article|main)(?=[\s/>])", re.I)
 _TAG = re.compile(r"<(?=[a-z/!])", re.I)
-_HINT = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_HINT = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[a-z0-9]+")
 
 
-def _keys(tag: str, attributes: str) -> tuple[str, ...]:
+def _keys(tag: str, attributes: str, in_article: bool = False) -> tuple[str, ...]:
     """What an element is known by: tag and class, id and role words, or the tag alone."""
     words = []
     for m in _HINT.finditer(attributes) if attributes else ():
-        for name in (m[1] or m[2] or m[3] or "").lower().split():
+        for name in (m[2] or m[3] or m[4] or "").lower().split():
             parts = _NAME.findall(name)
+            if STATE & set(parts) or in_article and m[1].lower() == "id" and len(parts) > 1 and not PARTS >= set(parts):
+                words.append("_".join(parts))  # a name as a whole
+                continue
             # the header of an article holds its heading
             words += [w for w in parts if w != "header" or not OWN_HEADER & set(parts)]
     return tuple(f"{tag}.{w}" for w in words) or (tag,)
@@ -99,28 +116,22 @@ def _keys(tag: str, attributes: str) -> tuple[str, ...]:
 class _Element:
     """An open element; the page itself is one without a parent."""
 
-    __slots__ = ("parent", "tag", "keys", "article", "inside", "reply", "never", "named", "words", "plain", "out")
+    __slots__ = ("parent", "tag", "keys", "article", "inside", "reply", "never", "named", "words", "plain", "other", "out")
 
     def __init__(self, parent: _Element | None, tag: str, keys: tuple[str, ...]):
         self.parent, self.tag, self.keys = parent, tag, keys
         above = parent is not None
-        named = tag not in ("html", "body")
+        named = tag not in ("html", "body") and not (above and parent.article and tag in PHRASES)
         self.article = tag == "article" or above and parent.article
         self.reply = above and parent.reply or named and any(k.partition(".")[2] in REPLIES for k in keys)
         # a content element or in one; an article of a discussion is none
         self.inside = above and parent.inside or tag in CONTENT and not self.reply
         # the header of an article holds its heading
         self.never = above and (parent.never or tag in NOT_TAGS and tag not in WRAPS and not (tag == "header" and parent.article))
-        self.named = self.out = False
-        self.words = self.plain = 0
-
-    def chain(self) -> set[str]:
-        """Keys of this and all elements it stands in."""
-        found, e = set(), self
-        while e is not None:
-            found.update(e.keys)
-            e = e.parent
-        return found
+        # whether a name counts
+        self.named = named
+        self.out = False
+        self.words = self.plain = self.other = 0
 
 
 def _marks(page: str, seen: frozenset) -> tuple[list, dict[int, int]]:
@@ -160,6 +171,18 @@ def tokens(page: str, seen: frozenset = frozenset(), made: list[_Element] | None
     made.append(here := _Element(None, "", ()))
     marks, until = _marks(page, seen)
     at = i = 0
+    opened: Counter = Counter()  # open elements by tag
+
+    def closed(e: _Element, tag: str) -> _Element:
+        """What is open once the innermost element of the tag has ended; nothing ends if there is none."""
+        if not opened[tag]:
+            return e
+        while e.tag != tag:
+            opened[e.tag] -= 1
+            e = e.parent
+        opened[tag] -= 1
+        return e.parent
+
     while i < len(marks):
         m, stop, end = marks[i]
         if m.start() > at:
@@ -181,29 +204,25 @@ def tokens(page: str, seen: frozenset = frozenset(), made: list[_Element] | None
             continue
         tag = tag.lower()
         if m[2]:
-            e = here
-            while e.parent is not None and e.tag != tag:
-                e = e.parent
-            here = e.parent or here
+            here = closed(here, tag)
             yield "tag", tag, here
             continue
         if tag in BLOCK and tag != "br":
-            e = here
-            while e.parent is not None and e.tag != "p":
-                e = e.parent
-            here = e.parent or here
+            here = closed(here, "p")
         yield "tag", tag, here
         if tag not in VOID and tag != "head" and not m[4].endswith("/"):
-            made.append(here := _Element(here, tag, _keys(tag, m[4])))
+            made.append(here := _Element(here, tag, _keys(tag, m[4], here.article)))
+            opened[tag] += 1
     if at < len(page):
         yield "text", page[at:], here
 
 
 def _judge(found: list[tuple], made: list[_Element], out, labelled: bool) -> bool:
     """Sets ``out`` of the elements that are not content; whether any words are. Of a labelled page only words of its content elements count."""
+    named = {}
     for e in made:
-        e.words = 0
-        e.named = e.never or e.tag in WRAPS or e.tag not in ("html", "body") and any(k in out or k.partition(".")[2] in NOT_WORDS for k in e.keys)
+        e.words, e.out = 0, False
+        named[e] = e.never or e.tag in WRAPS or e.named and any(k in out or k.partition(".")[2] in NOT_WORDS for k in e.keys)
     for kind, value, e in found:
         if kind == "text" and (e.inside or not labelled) and not e.never:
             e.words += len(value.split())
@@ -212,17 +231,29 @@ def _judge(found: list[tuple], made: list[_Element], out, labelled: bool) -> boo
     for e in reversed(made):
         if e.parent is not None:
             e.parent.words += e.words
-            e.parent.plain += 0 if e.named else e.plain
-    words, content = made[0].words, made[0].plain
-    for e in made[1:]:
-        e.out = e.parent.out
-        if e.named and not e.out:
-            beside = BESIDE_REPLIES if e.reply and not e.parent.reply else BESIDE
-            if 2 * e.words > words and beside * content < e.words:
-                content += e.plain
-            else:
-                e.out = True
-    return content > 0
+            e.parent.plain += 0 if named[e] else e.plain
+    words, content, read = made[0].words, made[0].plain, set()
+    wraps = lambda e: e.tag in WRAPS and 2 * e.words > words and BESIDE * content < e.words
+    while True:
+        outer, changed = [], False  # the outermost named elements that are not read
+        for e in made[1:]:
+            e.out = e.parent.out
+            if not e.out and named[e] and e not in read:
+                if wraps(e) and not e.reply:
+                    read.add(e)
+                    content += e.plain
+                else:
+                    e.out = True
+                    outer.append(e)
+        if not content:
+            # an article that is named so is none of the labels
+            best = max((e for e in outer if e.words and not e.never and not (labelled and (e.tag in CONTENT or e.reply))), key=lambda e: (not e.reply, e.words), default=None)
+            if best is not None:
+                read.add(best)
+                content += best.plain
+                changed = True
+        if not changed:
+            return content > 0
 
 
 def _labelled(made: list[_Element]) -> bool:
@@ -237,12 +268,27 @@ def count_page(page: str) -> Counter:
     if not _labelled(made):
         return out
     for kind, value, e in found:
-        inside = e.inside
         if kind == "tag":
-            out["tag", value, inside] += 1
-        elif n := len(value.split()):
-            for k in e.chain():
-                out["word", k, inside] += n
+            out["tag", value, e.inside] += 1
+        elif e.inside:
+            e.words += len(value.split())
+        else:
+            e.other += len(value.split())
+    for e in reversed(made[1:]):
+        e.parent.words += e.words
+        e.parent.other += e.other
+    # a key counts where no element around has it too
+    around, above = [made[0]], Counter()
+    for e in made[1:]:
+        while around[-1] is not e.parent:
+            above.subtract(around.pop().keys)
+        for k in set(e.keys):
+            if not above[k]:
+                for inside, n in ((True, e.words), (False, e.other)):
+                    if n:
+                        out["word", k, inside] += n
+        above.update(e.keys)
+        around.append(e)
     return out
 
 
@@ -273,11 +319,20 @@ def _hashes(batches):
 
 
 def sample(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> DataFrame:
-    """(h, html) of ``train_pages`` different labelled pages, or of all if there are fewer."""
+    """(h, html) of ``train_pages`` different labelled pages, those of the lowest hashes, or of all if there are fewer.
+
+    A surplus of pages is drawn by hash and parsed; more are drawn only if too few of them are labelled.
+    """
     # a page without such a tag has no label
     p = pages.filter(F.col("html").rlike(rf"(?i)<(?:{'|'.join(CONTENT)})[\s/>]")).select(F.xxhash64("page_id", "html").alias("h"), "html")
-    chosen = p.mapInArrow(_hashes, "h long").distinct().orderBy("h").limit(train_pages).collect()
-    return p.join(F.broadcast(pages.sparkSession.createDataFrame(chosen, "h long")), "h").dropDuplicates(["h"])
+    below = lambda share: p if share >= 1 else p.filter(F.col("h") < int((share - 0.5) * 2.0 ** 64))
+    share = min(1.0, 2 * train_pages / max(1, p.count()))
+    while True:
+        chosen = below(share).mapInArrow(_hashes, "h long").distinct().orderBy("h").limit(train_pages).collect()
+        if len(chosen) == train_pages or share >= 1:
+            break
+        share = min(1.0, 4 * share)
+    return below(share).join(F.broadcast(pages.sparkSession.createDataFrame(chosen, "h long")), "h").dropDuplicates(["h"])
 
 
 def learn(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> dict:
@@ -307,15 +362,22 @@ def extract(page: str | None, model: dict) -> str:
     runs: list[str | None] = []  # content text, "\n" between blocks, or None
     best = total = 0.0
     start = first = last = 0
+    left_out = False  # in an element that is not content
     for i, (kind, value, e) in enumerate(found):
+        if e.out and not labelled:
+            score, left_out = 0.0 if left_out else TAG, True  # once, whatever its size
+        else:
+            score, left_out = 0.0, e.out
         if kind == "tag":
             runs.append("\n" if value in BLOCK else None)
-            # inside a labelled article a tag says nothing about where the article ends
-            score = 0.0 if value in MATH or labelled and e.inside else min(0.0, weights.get(value, UNKNOWN_TAG))
+            # on a page with articles a tag says nothing about where they end
+            if not (value in MATH or labelled or e.out):
+                score = min(0.0, weights.get(value, UNKNOWN_TAG))
         else:
             fine = not e.out and (e.inside or not labelled)
             runs.append(value if fine else None)
-            score = len(value.split()) * (1.0 if fine else 0.0 if labelled and e.inside else -1.0)
+            if fine:
+                score = float(len(value.split()))
         if total <= 0:
             total, start = 0.0, i
         total += score

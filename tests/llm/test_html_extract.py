@@ -110,3 +110,94 @@ def test_all_supported_keys_are_kept(spark):
     page = "".join(f"<div class=c{i}>a b c d</div>" for i in range(5000)) + "<article>text</article>"
     pages = spark.createDataFrame([(i, page) for i in range(5)], "page_id long, html string")
     assert len(he.learn(pages)["out"]) == 5000
+
+
+def words(w, n):
+    return " ".join([w] * n)
+
+
+def test_named_elements_beside_content_stay_out_at_any_size():
+    for name in ("comments", "related", "promo", "reply-list"):
+        for n in (60, 900, 20_000):
+            story = f"<p>{words('a', 40)}</p>"
+            for page in (f"<body><article>{story}</article><div class={name}>{words('x', n)}</div>", f"<article>{story}<div class={name}>{words('x', n)}</div></article>",
+                         f"<body><div id=post>{story}</div><div class={name}><p>{words('x', n)}</p></div>", f"<div class={name}>{words('x', n)}</div><main>{story}</main>"):
+                assert he.extract(page, MODEL) == words("a", 40), page[:80]
+        assert he.extract(f"<body><nav>n</nav><div class={name}><p>{words('x', 30)}</p></div>", MODEL) == words("x", 30)
+
+
+def test_attribute_values_with_signs():
+    for value in ("a<b", "a>b", "<b>bold</b>", "x</p>y", "a'b"):
+        assert he.extract(f'<article><p data-x="{value}">hello</p> <img alt="{value}">there</article>', MODEL) == "hello\nthere"
+    assert he.extract("<article><p title='a\"b<c'>hello<p don't>it's <b x=\"1>2\">so</b></article>", MODEL) == "hello\nit's so"
+    assert he.extract('<article><p title="open>hello</p></article>', MODEL) == "hello"
+
+
+def test_no_article_and_no_part_of_a_story_is_lost():
+    two = f"<article>{words('a', 40)}</article><div>{words('x', 60)}</div><article>{words('b', 30)}</article>"
+    assert he.extract(f"<body>{two}</body>", MODEL) == words("a", 40) + "\n" + words("b", 30)
+    for n in (60, 5000):
+        story = f"<p>{words('a', 40)}</p><div class=ad>{words('x', n)}</div><p>{words('b', 30)}</p>"
+        for page in (f"<article>{story}</article>", f"<body><div id=post>{story}</div>"):
+            assert he.extract(page, MODEL) == words("a", 40) + "\n" + words("b", 30)
+
+
+def test_names_inside_an_article():
+    inner = "<p class=alert>one</p><p class='comment'>two</p><section id=related-work><h2 id=comments>three</h2>four</section><ul><li class=notice>five</li></ul>"
+    assert he.extract(f"<article><p>zero</p>{inner}</article>", MODEL) == "\n".join("zero one two three four five".split())
+    chrome = "<div class=alert>x</div><section id=related-posts>y</section><div id=comments>z</div><section class=related-work>v</section>"
+    assert he.extract(f"<article><p>zero</p>{chrome}</article>", MODEL) == "zero"
+
+
+def test_work_is_linear_in_depth():
+    import time
+
+    def took(n):
+        page = "<article>" + "<div class=c>" * n + "deep" + "</span>" * n + "</i></b>" * n
+        t = time.process_time()
+        assert he.extract(page, MODEL) == "deep"
+        he.count_page(page)
+        return time.process_time() - t
+    took(1000)
+    assert took(32_000) < 12 * max(0.2, took(8_000))
+
+
+def best_region(scores):
+    """All regions tried; of equal sums the one that ends first, and then the shortest."""
+    best = (0.0, 0, 0)
+    for j in range(1, len(scores) + 1):
+        total = 0.0
+        for i in range(j - 1, -1, -1):
+            total += scores[i]
+            if total > best[0] + 1e-9:
+                best = (total, i, j)
+    return best
+
+
+def test_region_against_brute_force():
+    """Pages without article elements, of paragraphs, lists and adverts: the region is the best of all."""
+    import random
+    rng = random.Random(8)
+    for _ in range(200):
+        parts, scores = [], []
+        for k in range(rng.randrange(1, 14)):
+            kind, n = rng.choice(["p", "li", "ad"]) if k else "p", rng.randrange(1, 8)
+            if kind == "ad":
+                parts.append(f"<section class=ad>{words('x', n)}</section>")
+                scores += [(-0.5, None), (he.TAG, None), (-0.5, None)]
+            else:
+                parts.append(f"<{kind}>{words(f'w{k}', n)}</{kind}>")
+                cost = MODEL["tag"][kind]
+                scores += [(cost, None), (float(n), words(f"w{k}", n)), (cost, None)]
+        total, first, last = best_region([s for s, _ in scores])
+        want = "\n".join(t for _, t in scores[first:last] if t) if total else ""
+        assert he.extract("".join(parts), MODEL) == want
+
+
+def test_extra_columns_repeats_and_empty_tables(spark):
+    rows = [(i, "u", f"<body><div class=promo2>buy now</div><article><p>text {i}</p></article>") for i in range(8)] * 2
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string").selectExpr("*", "'q' as text", "7L as n_chars", "1 as h")
+    got = he.extracted(pages)
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted((x.page_id, x.text, x.n_chars) for x in got.collect()) == sorted((i, f"text {i}", 6) for i, _, _ in rows)
+    assert he.extracted(pages.limit(0)).count() == 0
