@@ -32,8 +32,9 @@ def op3_decontaminate(spark, sf_dir):
 
 
 def op4_language_id(spark, sf_dir):
-    """Predicted language of every document."""
-    return language_id.identified(table(spark, sf_dir, "documents"))
+    """Predicted language of every document, and the languages of its mixture with their shares."""
+    x = language_id.languages(table(spark, sf_dir, "documents"))
+    return x.select("doc_id", "held_out", *language_id.main_language(), "langs", "shares")
 
 
 def op5_warc(spark, sf_dir):

@@ -64,3 +64,91 @@ def test_long_text_matches_short_pieces():
     long, score = li.predict([raw], ["x", "y"], logs)
     shares = li.infer(li.word_likelihoods(li._normal(raw), logs), np.array([len(raw.split())]))
     assert abs(score[0] - shares.max()) < 1e-3 and long == [["x", "y"][shares.argmax()]]
+
+
+def brute_em(words, start, rounds):
+    """Shares by plain loops."""
+    shares = list(start)
+    for _ in range(rounds):
+        new = [0.0] * len(shares)
+        for w in words:
+            total = sum(p * s for p, s in zip(w, shares))
+            for k, p in enumerate(w):
+                new[k] += p * shares[k] / total / len(words)
+        shares = new
+    return shares
+
+
+def test_em_against_plain_loops():
+    r = np.random.default_rng(4)
+    counts = np.array([7, 30, 1])
+    words = (r.random((38, 5)) ** 4 + 1e-4).astype(np.float32)
+    begins, of = np.r_[0, np.cumsum(counts)[:-1]], np.repeat(np.arange(3), counts)
+    got = li._em(words, np.full((3, 5), 0.2, np.float32), of, begins, counts.astype(np.float32), 8)
+    for d, (lo, n) in enumerate(zip(begins, counts)):
+        want = brute_em(words[lo:lo + n].tolist(), [0.2] * 5, 8)
+        assert np.allclose(got[d], want, atol=1e-3)
+
+
+def brute_infer(words):
+    """The set of the largest shares with the best penalised likelihood, by plain loops."""
+    langs, n = len(words[0]), len(words)
+    full = brute_em(words, [1 / langs] * langs, li.EM_ROUNDS)
+    order = sorted(range(langs), key=lambda k: (-full[k], k))
+    best = None
+    for size in range(1, langs + 1):
+        own = [full[k] + 1e-6 if k in order[:size] else 0.0 for k in range(langs)]
+        own = [x / sum(own) for x in own]
+        own = brute_em(words, own, li.REFIT_ROUNDS) if size > 1 else own
+        ll = sum(np.log(sum(p * s for p, s in zip(w, own))) for w in words) - li.PENALTY * size * np.log(n + 1)
+        if best is None or ll > best[0]:
+            best = (ll, own)
+    return best[1]
+
+
+def test_sets_of_any_size_against_plain_loops():
+    r = np.random.default_rng(6)
+    words, counts = [], []
+    for mix in ([1, 0, 0, 0, 0, 0], [0.3, 0.3, 0.2, 0.2, 0, 0], [0.17] * 6, [0.6, 0.4, 0, 0, 0, 0]):
+        n = 400
+        w = np.full((n, 6), 0.002, np.float32) + 0.01 * r.random((n, 6)).astype(np.float32)
+        w[np.arange(n), r.choice(6, n, p=np.array(mix) / sum(mix))] = 1
+        words.append(w)
+        counts.append(n)
+    got = li.infer(np.concatenate(words), np.array(counts))
+    assert [(x > 0).sum() for x in got] == [1, 4, 6, 2]
+    for shares, w in zip(got, words):
+        assert np.allclose(shares, brute_infer(w.tolist()), atol=5e-3)
+
+
+def test_four_languages_give_four_shares(spark):
+    r = rng(3)
+    more = SYLLABLES | {"dd": ["qua", "zor", "pif", "wex"]}
+    make = lambda lang, n: " ".join("".join(r.choice(more[lang]) for _ in range(r.randint(1, 4))) for _ in range(n))
+    rows = [(i, make(list(more)[i % 4], 60), list(more)[i % 4]) for i in range(400)]
+    rows.append((1002, " ".join(make(lang, n) for lang, n in (("aa", 80), ("bb", 120), ("cc", 160), ("dd", 240))), None))
+    x = li.languages(documents(spark, rows)).filter("doc_id = 1002").first()
+    assert x.langs == ["dd", "cc", "bb", "aa"]
+    assert np.allclose(x.shares, [0.4, 0.8 / 3, 0.2, 0.4 / 3], atol=0.03)
+
+
+def test_any_number_of_languages(spark):
+    """Dirty tags: several hundred language values are learned, and large ones are still found."""
+    r = rng(4)
+    rows = corpus(r) + [(5000 + i, f"x{i} " * 3, f"tag{i}") for i in range(400)]
+    got = {x.doc_id: x.lang_pred for x in li.identified(documents(spark, rows)).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows[:300]) >= 280 and len(got) == 700
+
+
+def test_every_bit_of_a_trigram_counts():
+    for a, b in ((b"0aa", b"paa"), (b"aaa", b"qaa"), (b"oaa", b" aa")):
+        x, y = (li.word_grams(t)[0].tolist() for t in (a + b"b", b + b"b"))
+        assert x[1] != y[1]
+    seen = {int(g) for a in range(26) for b in range(26) for c in range(26) for g in li.word_grams(bytes([97 + a, 97 + b, 97 + c]))[0][1:2]}
+    assert len(seen) > 0.85 * 26 ** 3
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    rows = corpus(rng(7), 60) * 2
+    docs = documents(spark, rows).selectExpr("*", "1 as share", "'q' as lang_pred", "2 as langs")
+    assert li.identified(docs).count() == 120 and li.kept(docs).columns == docs.columns
