@@ -7,11 +7,14 @@ Both carry WARC-Refers-To with the response's id, and name each other. Record id
 the type, so a rerun makes the same records. Digests are sha256 in hex.
 
 ``serialised`` makes gzip members, one a record, that joined in any order are a WARC file; ``read`` parses
-WARC files (a file is one row, so it must be under Spark's limit of 2 GiB).
+WARC files (a file is one row, so it must be under Spark's limit of 2 GiB), in time linear in the file. What cannot be read never
+ends a job: a member that is damaged or cut, a header without an end, and a Content-Length that is missing, no number or beyond the data
+each give a row of ``errors`` with the file, the offset and the reason, and reading goes on at the next member or record.
 
 Defined cases: null url and null html are empty; a block without a header end is all headers; bodies in gzip
 or chunked coding are decoded, damaged ones kept as they are; unknown charsets are read as UTF-8, bad bytes
-replaced; repeated rows make repeated records with the same ids; an empty table makes no records.
+replaced; repeated rows make repeated records with the same ids; an empty table makes no records; page ids keep their type; texts are
+taken whole, however long; only the columns named are read, others, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from hourwise.llm.common import travels
 from hourwise.llm.html_extract import BLOCK, SEEN, tokens
@@ -141,14 +145,16 @@ _ARROW = pa.schema([(n, pa.int64() if n in ("page_id", "content_length") else pa
 
 
 def derived_from_pages(pages: DataFrame) -> DataFrame:
-    """Derivative records (see RECORD) of every row of ``pages`` (page_id, url, html) as a response."""
-    names, schema = _NAMES, _ARROW
+    """Derivative records (see RECORD; page_id as in ``pages``) of every row of ``pages`` (page_id, url, html) as a response."""
+    names, plain = _NAMES, _ARROW
 
     def run(batches):
         for batch in batches:
+            schema = plain.set(0, batch.schema.field("page_id"))
             rows = zip(batch.column("page_id").to_pylist(), batch.column("url").to_pylist(), texts_of(batch.column("html")))
             yield _records([x for i, url, body in rows for x in derivatives(response_of(i, url, body or b""))], schema)
-    return pages.select(pages["page_id"].cast("long").alias("page_id"), "url", "html").mapInArrow(run, RECORD).select(*names)
+    made = T.StructType([pages.schema["page_id"], *T.StructType.fromDDL(RECORD).fields[1:]])
+    return pages.select("page_id", "url", "html").mapInArrow(run, made).select(*names)
 
 
 def derived(responses: DataFrame) -> DataFrame:
@@ -173,23 +179,73 @@ def to_bytes(r: dict) -> bytes:
     return VERSION + b"\r\n" + lines.encode("utf-8", "replace") + b"\r\n" + block + b"\r\n\r\n"
 
 
-def from_bytes(data: bytes):
-    """Records of a WARC file's bytes, compressed by member or not."""
-    while data[:2] == b"\x1f\x8b":
-        member = zlib.decompressobj(31)
-        yield from from_bytes(member.decompress(data))
-        data = member.unused_data
+#: Compressed bytes that are fed to the decompressor at a time.
+FEED = 1 << 16
+_MEMBER = b"\x1f\x8b\x08"
+
+
+def _member(data: bytes, at: int) -> tuple[bytes | None, int]:
+    """Content of the gzip member at an offset, or None if it is damaged, and the offset after it."""
+    d, parts, pos = zlib.decompressobj(31), [], at
+    try:
+        while not d.eof and pos < len(data):
+            parts.append(d.decompress(data[pos:pos + FEED]))
+            pos += FEED
+    except zlib.error:
+        return None, at + 1
+    return (b"".join(parts), min(pos, len(data)) - len(d.unused_data)) if d.eof else (None, at + 1)
+
+
+def parsed(data: bytes):
+    """(offset, record, None) or (offset, None, error) of a WARC file's bytes, compressed by member or not; offsets are those of
+    members, or of records if there are none."""
+    if data[:2] != _MEMBER[:2]:
+        yield from _plain_records(data)
+        return
     at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        end = data.index(b"\r\n\r\n", at)
+    while 0 <= at < len(data):
+        content, after = _member(data, at)
+        if content is None:
+            yield at, None, "damaged or cut gzip member"
+            at = data.find(_MEMBER, after)
+            continue
+        for _, record, error in _plain_records(content):
+            yield at, record, error
+        at = after
+        if at < len(data) and data[at:at + 2] != _MEMBER[:2]:
+            yield at, None, "no gzip member"
+            at = data.find(_MEMBER, at)
+
+
+def _plain_records(data: bytes):
+    at = data.find(b"WARC/")
+    if at < 0 and data.strip():
+        yield 0, None, "no record"
+    while at >= 0:
+        end = data.find(b"\r\n\r\n", at)
+        if end < 0:
+            yield at, None, "header without an end"
+            return
         lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
         h = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        n = int(h.get("content-length") or 0)
-        at = end + 4 + n
-        yield {"page_id": None, "record_type": h.get("warc-type"), "record_id": h.get("warc-record-id"),
-               "refers_to": h.get("warc-refers-to"), "target_uri": h.get("warc-target-uri", ""), "date": h.get("warc-date"),
-               "content_type": h.get("content-type"), "content_length": n, "block_digest": h.get("warc-block-digest"),
-               "source_digest": None, "concurrent_to": h.get("warc-concurrent-to"), "block": data[end + 4:at]}
+        size = h.get("content-length", "")
+        n = int(size) if re.fullmatch("[0-9]{1,18}", size) else -1
+        if n < 0 or end + 4 + n > len(data):
+            yield at, None, f"Content-Length {size[:40]!r}" if n < 0 else "record cut short"
+            begin = data.find(b"\r\nWARC/", at + 5)
+            at = begin + 2 if begin >= 0 else -1
+            continue
+        block = data[end + 4:end + 4 + n]
+        yield at, {"page_id": None, "record_type": h.get("warc-type"), "record_id": h.get("warc-record-id"),
+                   "refers_to": h.get("warc-refers-to"), "target_uri": h.get("warc-target-uri", ""), "date": h.get("warc-date"),
+                   "content_type": h.get("content-type"), "content_length": n, "block_digest": h.get("warc-block-digest"),
+                   "source_digest": None, "concurrent_to": h.get("warc-concurrent-to"), "block": block}, None
+        at = data.find(b"WARC/", end + 4 + n)
+
+
+def from_bytes(data: bytes):
+    """Records of a WARC file's bytes that can be read."""
+    return (record for _, record, _ in parsed(data) if record is not None)
 
 
 def serialised(records: DataFrame) -> DataFrame:
@@ -203,18 +259,31 @@ def serialised(records: DataFrame) -> DataFrame:
     return records.mapInArrow(run, "record_id string, member binary")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Records (see RECORD) of the WARC files below ``path``."""
-    schema = _ARROW
+def scan(spark: SparkSession, path: str) -> DataFrame:
+    """Records (see RECORD) and errors of the WARC files below ``path``, with path, offset and error."""
+    plain = _ARROW
 
     def run(batches):
+        schema = pa.schema([*plain, pa.field("path", pa.string()), pa.field("offset", pa.int64()), pa.field("error", pa.string())])
         for batch in batches:
-            for data in batch.column("content").to_pylist():
-                rows = []
-                for r in from_bytes(data):
-                    rows.append(r)
-                    if len(rows) == 500:
-                        yield _records(rows, schema)
-                        rows = []
-                yield _records(rows, schema)
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content").mapInArrow(run, RECORD)
+            for name, data in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                rows, room = [], FEED * 64
+                for at, record, error in parsed(data):
+                    rows.append((record or {}) | {"path": name, "offset": at, "error": error})
+                    room -= len(rows[-1].get("block") or b"")
+                    if len(rows) == 500 or room < 0:
+                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                        rows, room = [], FEED * 64
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return files.mapInArrow(run, RECORD + ", path string, offset long, error string")
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """Records (see RECORD) of the WARC files below ``path``."""
+    return scan(spark, path).filter("error IS NULL").select(*_NAMES)
+
+
+def errors(spark: SparkSession, path: str) -> DataFrame:
+    """(path, offset, error) of what could not be read of the WARC files below ``path``."""
+    return scan(spark, path).filter("error IS NOT NULL").select("path", "offset", "error")

@@ -67,3 +67,43 @@ def test_round_trip_through_files(spark, tmp_path):
 def test_responses_with_nulls(spark):
     r = spark.createDataFrame([("<a>", None, None, None)], "record_id string, target_uri string, date string, block binary")
     assert {x.record_type for x in warc.derived(r).collect()} == {"metadata", "conversion"}
+
+
+def test_damaged_files_give_errors_and_all_that_can_be_read(spark, tmp_path):
+    records = [warc.to_bytes({"record_type": "response", "record_id": f"<r{i}>", "target_uri": "u", "date": "d", "content_type": "t",
+                              "block": b"x" * (100 + i)}) for i in range(6)]
+    zipped = [gzip.compress(r, mtime=0) for r in records]
+    bad = bytearray(zipped[2])
+    bad[30] ^= 0xFF
+    (tmp_path / "a.warc.gz").write_bytes(b"".join([*zipped[:2], bytes(bad), zipped[3], b"rubbish", zipped[4], zipped[5][:-20]]))
+    lines = [records[0], records[1].replace(b"Content-Length: 101", b"Content-Length: many"), records[2],
+             records[3].replace(b"Content-Length: 103\r\n", b""), records[4].replace(b"Content-Length: 104", b"Content-Length: 99999"),
+             records[5], b"WARC/1.1\r\nWARC-Type: cut"]
+    (tmp_path / "b.warc").write_bytes(b"".join(lines))
+    (tmp_path / "c.warc").write_bytes(b"no record at all")
+    (tmp_path / "d.warc.gz").write_bytes(b"")
+    got = sorted((x.record_id, len(x.block)) for x in warc.read(spark, os.fspath(tmp_path)).collect())
+    assert got == sorted([(f"<r{i}>", 100 + i) for i in (0, 1, 3, 4)] + [(f"<r{i}>", 100 + i) for i in (0, 2, 5)])
+    bad = [(x.path.rsplit("/", 1)[1], x.error) for x in warc.errors(spark, os.fspath(tmp_path)).collect()]
+    assert sorted(bad) == sorted(
+        [("a.warc.gz", "damaged or cut gzip member")] * 2 + [("a.warc.gz", "no gzip member"), ("b.warc", "Content-Length 'many'"),
+         ("b.warc", "Content-Length ''"), ("b.warc", "record cut short"), ("b.warc", "header without an end"), ("c.warc", "no record")])
+
+
+def test_reading_is_linear_in_the_file():
+    import time
+    record = {"record_type": "response", "record_id": "<r>", "target_uri": "u", "date": "d", "content_type": "t", "block": os.urandom(20_000)}
+    one = gzip.compress(warc.to_bytes(record), mtime=0)
+
+    def took(n):
+        t = time.process_time()
+        assert sum(1 for _ in warc.from_bytes(one * n)) == n
+        return time.process_time() - t
+    took(50)
+    assert took(2000) < 10 * max(0.05, took(400))
+
+
+def test_page_ids_keep_their_type_and_other_columns_are_not_read(spark):
+    rows = spark.createDataFrame([("a", "u", PAGE), ("b", None, None)], "page_id string, url string, html string").selectExpr("*", "1 as block", "2 as date")
+    got = warc.derived_from_pages(rows)
+    assert dict(got.dtypes)["page_id"] == "string" and sorted({x.page_id for x in got.collect()}) == ["a", "b"]
