@@ -1,17 +1,19 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Base detectors find assignments, access keys and hex strings in each text; a further detector finds long
-tokens of high entropy. Every candidate value is hashed, and Spark counts the distinct repositories and
-owners that hold it: a value of ``shared_owners`` owners or more is a widely copied example, any other is
-specific to its owner and looks live. Base spans always stay; a token is a span only if it looks live. Values
+tokens of high entropy. Every candidate value is hashed, and Spark counts the distinct owners, repositories and texts
+that hold it. A value of ``shared_owners`` owners or more that also stands in ``shared_texts`` different texts or more is a
+widely copied example; any other is specific to its owner and looks live, also if one text with it has been copied to many
+owners and repositories. Base spans always stay; a token is a span only if it looks live. Values
 never leave the tasks, only their 128-bit hashes do.
 
-Counting goes in three steps, by (value, owner, repository), (value, owner) and value, so that an example in a third
-of all rows is summed up before it meets in one task.
+The counts are distinct aggregates, which are first reduced by (value, owner), (value, repository) and (value, text), so that an
+example in a third of all rows is summed up before it meets in one task.
 
-Defined cases: null and empty texts have no spans; a null owner is an owner of its own; spans are in code
+Defined cases: null and empty texts have no spans; a null owner is an owner of its own, and so is a null repository; spans are in code
 points, end exclusive, by start and then kind; rows that repeat are scanned on their own but count as one
-repository; a token that overlaps a base span is none.
+repository; a token that overlaps a base span is none; an empty table gives no rows; texts are scanned whole, however long; only
+doc_id, text and the columns of owner and repository are read, other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from hourwise.session import materialize
 travels(__name__)
 
 KINDS = ("assign", "access", "hex", "token")
-#: Owners from which a value counts as a copied example.
-SHARED_OWNERS = 3
+#: Owners, and different texts, from which a value counts as a copied example.
+SHARED_OWNERS, SHARED_TEXTS = 3, 2
 #: Least length, and bits a character, of a token.
 TOKEN_CHARS, TOKEN_BITS = 20, 3.5
 
@@ -102,44 +104,53 @@ def _scan(batches):
                                        [int.from_bytes(h[8:], "big", signed=True) for h in hashes])):
                 out[c].append(values)
         arrays = [pa.array(v, pa.list_(pa.int64())) for v in out.values()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("owner"), batch.column("repository"), *arrays],
-                                         names=["doc_id", "owner", "repository", *out])
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("doc_id", "owner", "repository", "same")] + arrays,
+                                         names=["doc_id", "owner", "repository", "same", *out])
 
 
 def candidates(docs: DataFrame, owner, repository) -> DataFrame:
-    """(row, doc_id, owner, repository, found) of every document, written once; found: array of (start,
-    kind, end, h1, h2)."""
-    d = docs.select("doc_id", owner.cast("string").alias("owner"), repository.cast("string").alias("repository"), "text")
+    """(row, doc_id, owner, repository, same, found) of every document, written once; same: a hash of the text; found: array of
+    (start, kind, end, h1, h2)."""
+    d = docs.select("doc_id", owner.cast("string").alias("owner"), repository.cast("string").alias("repository"),
+                    F.xxhash64("text").alias("same"), "text")
     longs = ", ".join(f"{c} array<long>" for c in ("start", "kind", "end", "h1", "h2"))
-    x = d.mapInArrow(_scan, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, owner string, repository string, {longs}")
-    return materialize(x.select(F.monotonically_increasing_id().alias(ROW), "doc_id", "owner", "repository",
+    x = d.mapInArrow(_scan, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, owner string, repository string, same long, {longs}")
+    return materialize(x.select(F.monotonically_increasing_id().alias(ROW), "doc_id", "owner", "repository", "same",
                                 F.arrays_zip("start", "kind", "end", "h1", "h2").alias("found")), "secret_candidates")
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(h1, h2, repositories, owners) of every candidate value."""
-    x = found.select("owner", "repository", F.explode("found").alias("f")).select("owner", "repository", "f.h1", "f.h2")
-    x = x.groupBy("h1", "h2", "owner", "repository").agg(F.count(F.lit(1)).alias("n"))
-    x = x.groupBy("h1", "h2", "owner").agg(F.count(F.lit(1)).alias("n"))
-    return x.groupBy("h1", "h2").agg(F.sum("n").alias("repositories"), F.count(F.lit(1)).alias("owners"))
-
-
-def scanned(docs: DataFrame, owner="source", repository="doc_id", shared_owners: int = SHARED_OWNERS) -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_shared) of every document."""
+    """(h1, h2, owners, repositories, texts) of every candidate value."""
+    x = found.select("owner", "repository", "same", F.explode("found").alias("f"))
+    named = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("null"))
+    return x.groupBy("f.h1", "f.h2").agg(
+        F.count_distinct(named("owner")).alias("owners"), F.count_distinct(named("repository")).alias("repositories"),
+        F.count_distinct("same").alias("texts"))
+
+
+def scanned(docs: DataFrame, owner="source", repository="doc_id", shared_owners: int = SHARED_OWNERS,
+            shared_texts: int = SHARED_TEXTS) -> DataFrame:
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_shared, frequency) of every document; frequency:
+    kind:start:end:owners:repositories:texts of all candidates, joined like spans."""
     all_ = candidates(docs, F.col(owner), F.col(repository))
-    values = ownership(all_).select("h1", "h2", (F.col("owners") >= shared_owners).alias("shared"))
+    values = ownership(all_).withColumn("shared", (F.col("owners") >= shared_owners) & (F.col("texts") >= shared_texts))
     one = all_.select(ROW, F.explode("found").alias("f")).select(ROW, "f.start", "f.kind", "f.end", "f.h1", "f.h2")
     judged = fresh_join(one, values, ["h1", "h2"]).groupBy(ROW).agg(
         F.count_if(~F.col("shared")).alias("n_live"), F.count_if("shared").alias("n_shared"),
-        F.collect_list(F.when(~F.col("shared") & (F.col("kind") == 3), F.struct("start", "kind", "end"))).alias("tokens"))
+        F.collect_list(F.when(~F.col("shared") & (F.col("kind") == 3), F.struct("start", "kind", "end"))).alias("tokens"),
+        F.collect_list(F.struct("start", "kind", "end", "owners", "repositories", "texts")).alias("counts"))
     base = F.filter(F.transform("found", lambda f: F.struct(f["start"].alias("start"), f["kind"].alias("kind"), f["end"].alias("end"))),
                     lambda f: f["kind"] < 3)
     names = F.array(*map(F.lit, KINDS))
     listed = lambda spans: F.array_join(F.transform(F.array_sort(spans), lambda f: F.concat_ws(
         ":", F.element_at(names, (f["kind"] + 1).cast("int")), f["start"], f["end"])), ",")
+    kind_of = lambda f: F.element_at(names, (f["kind"] + 1).cast("int"))
+    counted = F.array_join(F.transform(F.array_sort("counts"), lambda f: F.concat_ws(
+        ":", kind_of(f), f["start"], f["end"], f["owners"], f["repositories"], f["texts"])), ",")
     x = all_.withColumn("base", base).drop("found").join(judged, ROW, "left")
     count = lambda k: F.size(F.filter("base", lambda f: f["kind"] == k)).cast("long")
     both = F.concat("base", F.coalesce("tokens", F.array().cast(x.schema["base"].dataType)))
     return x.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
                     F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), listed(both).alias("spans"),
-                    F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_shared", F.lit(0)).alias("n_shared"))
+                    F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_shared", F.lit(0)).alias("n_shared"),
+                    F.coalesce(counted, F.lit("")).alias("frequency"))

@@ -50,3 +50,16 @@ def test_long_texts_and_empty(spark):
     x = ss.scanned(documents(spark, [(1, text)])).first()
     assert x.n_assign == 60_000 and x.spans == ",".join(base(text))
     assert ss.scanned(documents(spark, [])).collect() == []
+
+
+def test_copied_texts_and_repositories_are_told_apart(spark):
+    """A live token whose document has been copied to many sources is no example; counts are of distinct owners, repositories and texts."""
+    rows = [(i, f"the key {LIVE} of it", "en", f"o{i}") for i in range(4)]
+    rows += [(10 + i, f"see {SHARED} {'again ' * i}", "en", f"o{i}") for i in range(3)]
+    rows += [(20, f"mine {LIVE}x", "en", None), (21, f"mine {LIVE}x", "en", None)]
+    got = {x.doc_id: x for x in ss.scanned(documents(spark, rows + rows)).collect()}
+    assert got[0].n_live == 1 and got[0].spans == "token:8:31" and got[0].frequency == "token:8:31:4:4:1"
+    assert got[10].n_shared == 1 and got[10].spans == "" and got[10].frequency == "token:4:27:3:3:3"
+    assert got[20].frequency.endswith(":1:2:1") and got[20].n_live == 1
+    values = ss.ownership(ss.candidates(documents(spark, rows), *map(__import__("pyspark").sql.functions.col, ("source", "doc_id"))))
+    assert sorted((x.owners, x.repositories, x.texts) for x in values.collect()) == [(1, 2, 1), (3, 3, 3), (4, 4, 1)]
