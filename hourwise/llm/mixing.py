@@ -9,11 +9,13 @@ interval of cumulative slots holds it, so every prefix of the schedule is close
 source gets exactly its slots. The r-th slot of a source takes its r-th block, beginning again after the
 last one; the last slot is cut at the target.
 
-Hot sources: running sums are taken over small buckets first and then over the buckets' sums, slots are
+Hot sources and ids: running sums are taken in range partitions of the shuffled order first and then over their sums, slots are
 ranked within chunks of the schedule, and blocks join slots on (source, block).
 
 Defined cases: null or empty text has size 0 and takes nothing; null source is a source of its own; rows
-that repeat are separate documents; an empty table gives an empty table. One row for each source is
+that repeat are separate documents, and so are those of one doc_id or none, however many; very long texts are counted whole; an empty
+table gives an empty table; of other columns only source and doc_id are read by ``mix``, and ``mixed`` replaces columns named like its
+own. One row for each source is
 ranked in one task; documents, blocks and slots never are. Only DataFrame functions are used.
 """
 
@@ -29,8 +31,8 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BLOCK_TOKENS = 128
 SEED = "mix-1"
-#: Documents of a bucket of the shuffled order, slots of a chunk of the schedule (powers of two).
-BUCKET_DOCS, CHUNK_BITS = 512, 12
+#: Slots of a chunk of the schedule (a power of two).
+CHUNK_BITS = 12
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -92,15 +94,18 @@ def schedule(sources: DataFrame) -> DataFrame:
 
 
 def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
-    """(row, sid, size, start): where each document starts in the shuffled order of its source."""
-    n = sizes.count()
-    buckets = max(1, n // BUCKET_DOCS)
-    high = F.conv(F.substring("order", 1, 7), 16, 10).cast("long")  # 28 bits
+    """(row, sid, size, start): where each document starts in the shuffled order of its source.
+
+    The documents are dealt into range partitions of that order, so that a source, and one doc_id, that holds a third of all
+    rows is split like any other; a partition starts where the lower ones end.
+    """
     ids = sources.select("sid", F.col("source").alias("__s"))
-    x = sizes.join(ids, F.col("source").eqNullSafe(F.col("__s"))).select(
-        ROW, "sid", "size", "order", F.shiftright(high * buckets, 28).alias("bucket"))
+    x = sizes.join(ids, F.col("source").eqNullSafe(F.col("__s"))).select(ROW, "sid", "size", "order")
+    keys = ["sid", "order", "size", ROW]
+    x = materialize(x.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id()).drop("order"),
+                    "mix_order").withColumn("bucket", F.shiftright("at", 33))
     before = running_offsets(x.groupBy("sid", "bucket").agg(F.sum("size").alias("n")), "sid", "bucket", "n")
-    w = W.partitionBy("sid", "bucket").orderBy("order", "size", ROW)
+    w = W.partitionBy("sid", "bucket").orderBy("at")
     x = x.withColumn("within", F.sum("size").over(w.rowsBetween(W.unboundedPreceding, 0)) - F.col("size"))
     return x.join(before, ["sid", "bucket"]).select(
         ROW, "sid", "size", (F.col("before") + F.col("within")).alias("start"))

@@ -85,3 +85,19 @@ def test_stage_keeps_columns_and_empty(spark):
 def test_no_python_in_the_plan(spark):
     plan = mixing.mix(numbered(documents(spark, corpus()), "test_mix"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_one_id_in_a_third_of_all_rows_is_split(spark, monkeypatch):
+    """Rows without an id, or of one id, are dealt over partitions; the result follows the written-out order."""
+    from hourwise.llm import mixing as mx
+    r = rng(9)
+    rows = [(None if i % 3 else 7 if i % 2 else i, prose(r, r.randrange(1, 9)), "en", "s") for i in range(3000)]
+    docs = numbered(documents(spark, rows).select("doc_id", "source", "text"), "t")
+    sizes = mx.sized(docs)
+    got = mx.placed(sizes, mx.targets(sizes)).collect()
+    order = sorted(sizes.collect(), key=lambda x: (x.order, x["size"], x[mx.ROW]))
+    start, want = 0, {}
+    for x in order:
+        want[x[mx.ROW]] = start
+        start += x["size"]
+    assert {x[mx.ROW]: x.start for x in got} == want
