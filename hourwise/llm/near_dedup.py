@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourwise.llm.common import ROW, fresh_join, travels
 from hourwise.llm.text import folded_pieces, texts_of
@@ -194,8 +195,9 @@ def _unit_arrays(batches):
 
 def signed(docs: DataFrame) -> DataFrame:
     """(row, doc_id, th, d1, d2, n, bands) of every document, written once. th: hash of the exact text."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    x = d.mapInArrow(_sign, "doc_id long, th long, d1 long, d2 long, n long, bands array<long>")
+    d = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    rest = T.StructType.fromDDL("th long, d1 long, d2 long, n long, bands array<long>").fields
+    x = d.mapInArrow(_sign, T.StructType([d.schema["doc_id"], *rest]))
     return materialize(x.withColumn(ROW, F.monotonically_increasing_id()), "near_signed")
 
 
@@ -212,8 +214,10 @@ def components(edges: DataFrame) -> DataFrame:
         jump = label.select(F.col("node").alias("comp"), F.col("comp").alias("far"))
         new = materialize(fresh_join(step, jump, ["comp"], "left").select(
             "node", "old", F.least("comp", F.coalesce("far", "comp")).alias("comp")), "near_labels")
+        discard(label)
         label = new.select("node", "comp")
         if not new.filter("comp < old").take(1):
+            discard(both)
             return label
 
 
@@ -236,8 +240,9 @@ def _stars(groups: DataFrame) -> DataFrame:
     return fresh_join(groups, centre, ["g"]).filter("m != node").select("m", F.col("node").alias("x")).distinct()
 
 
-def _open(tested: DataFrame, comp: DataFrame, threshold: float) -> DataFrame:
-    """(m, x): pairs of nodes of one star that may still be linked, given the stars tested and the components so far.
+def _open(tested: DataFrame, comp: DataFrame, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
+    """((m, x): pairs of nodes of one star that may still be linked, given the stars tested and the components so far;
+    written tables that the pairs are read from).
 
     Let D be the units that only one of x and the star's centre m has. x and y have |Dx| + |Dy| - 2 |Dx and Dy|
     units apart, and a link allows them r (nx + ny) with r = (1 - threshold) / (1 + threshold), so Dx and Dy must
@@ -251,14 +256,14 @@ def _open(tested: DataFrame, comp: DataFrame, threshold: float) -> DataFrame:
     t = tested.join(comp.select(F.col("node").alias("x"), "comp"), "x", "left").withColumn("comp", F.coalesce("comp", "x"))
     bounds = [F.min("linked").alias("all"), F.min("comp").alias("lo"), F.max("comp").alias("hi")]
     some = t.groupBy("m").agg(*bounds).filter("not all and lo < hi").select("m")
-    t = materialize(fresh_join(t, some, ["m"]), "near_stars")
+    t = stars = materialize(fresh_join(t, some, ["m"]), "near_stars")
     own = (t.select("m", "x", F.explode("apart").alias("unit")).groupBy("m", "unit")
            .agg(F.count(F.lit(1)).alias("k"), F.min("x").alias("x")).filter("k = 1")
            .groupBy("m", "x").agg(F.count(F.lit(1)).alias("p")))
     d = F.size("apart")
     t = t.select("m", "x", "nm", "nx", "comp", "linked", d.alias("d"), ((d - r * F.col("nx")) / 2 - 1e-6).alias("f"))
     t = t.join(own, ["m", "x"], "left").withColumn("g", F.col("d") - F.coalesce("p", F.lit(0)) - F.col("f")).drop("d", "p")
-    t = materialize(t, "near_bounds")
+    t = bounded = materialize(t, "near_bounds")
     free = t.filter("not linked").groupBy("m").agg(F.min("f").alias("free"))
     t = fresh_join(t, free, ["m"])
     cell = lambda v: F.floor(v * CELLS / F.col("nm"))
@@ -269,7 +274,7 @@ def _open(tested: DataFrame, comp: DataFrame, threshold: float) -> DataFrame:
         "m", F.explode(F.sequence(cell(low), cell(F.col("g")))).alias("cell"), "x", "nx", "comp", "linked", "f", "g")
     both = fresh_join(spans, points, ["m", "cell"]).filter("comp != comp2 and f <= f2 and f2 <= g and f <= g2 and not (linked and linked2)")
     both = both.filter(F.least("nx", "nx2") >= threshold * F.greatest("nx", "nx2"))
-    return both.select(F.least("x", "x2").alias("m"), F.greatest("x", "x2").alias("x")).distinct()
+    return both.select(F.least("x", "x2").alias("m"), F.greatest("x", "x2").alias("x")).distinct(), [stars, bounded]
 
 
 def links_of(banded: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -277,10 +282,12 @@ def links_of(banded: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     ends = lambda tested: tested.filter("linked").select(F.col("m").alias("a"), F.col("x").alias("b"))
     stars = _overlaps(_stars(banded), sets, threshold)
     comp = components(ends(stars))
-    rest = _overlaps(_open(stars, comp, threshold), sets, threshold)
+    pairs, written = _open(stars, comp, threshold)
+    rest = _overlaps(pairs, sets, threshold)
     if rest.filter("linked").take(1):
+        written.append(comp)
         comp = components(ends(stars).unionByName(ends(rest)))
-    discard(stars, rest)
+    discard(stars, rest, *written)
     return comp
 
 
@@ -298,7 +305,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # whole texts of the nodes that have a candidate
     wanted = reps.select(F.col(ROW).alias("node"), "doc_id", "th").join(
         banded.select("node").distinct(), "node", "left_semi")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("th"), "text")
+    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"), "text")
     found = texts.join(wanted, (texts["th"] == wanted["th"]) & texts["id"].eqNullSafe(wanted["doc_id"]))
     sets = found.select("node", "text").mapInArrow(_unit_arrays, "node long, units array<long>")
     sets = materialize(sets.dropDuplicates(["node"]), "near_sets")  # a row may occur several times
@@ -307,7 +314,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     node = node.join(comp, "node", "left").select(ROW, "doc_id", "th", "n", F.coalesce("comp", "node").alias("comp"))
     alone = sig.filter("n = 0").select(ROW, "doc_id", "th", "n", F.col(ROW).alias("comp"))
     found = materialize(node.unionByName(alone), "near_classes")
-    discard(sig, banded, sets)
+    discard(sig, banded, sets, comp)
     return found
 
 
@@ -326,7 +333,7 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     d = docs.withColumn("__hw_text", F.xxhash64("text"))
     # the same row may occur several times: as one class it stays once, as several (no words) each stays
     copies = stay.groupBy("__hw_id", "__hw_th").agg(F.count(F.lit(1)).alias("__hw_stay"))
-    kept = d.join(copies, (F.col("__hw_text") == F.col("__hw_th")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__hw_id")))
+    kept = d.join(copies, (F.col("__hw_text") == F.col("__hw_th")) & F.col("doc_id").eqNullSafe(F.col("__hw_id")))
     many = x.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").limit(1).count()
     if many:
         nth = F.row_number().over(W.partitionBy("__hw_text", "__hw_id").orderBy(F.lit(1)))

@@ -97,3 +97,30 @@ def test_repeated_rows_null_ids_and_empty(spark):
     got = sorted(((x.doc_id, x.class_id, x.class_size) for x in nd.labelled(docs).collect()), key=repr)
     assert got == sorted([(4, 4, 3), (4, 4, 3), (None, 4, 3), (None, None, 2), (None, None, 2), (8, 8, 1), (8, 8, 1), (9, 9, 1)], key=repr)
     assert nd.labelled(documents(spark, [])).collect() == [] and nd.one_of_each(documents(spark, [])).collect() == []
+
+
+def test_text_ids_keep_their_type(spark):
+    from hourwise.llm import near_dedup as nd
+    r = rng(12)
+    same = prose(r, 60)
+    rows = [("b", same), ("a", same + " tail"), ("c", prose(r, 60)), (None, same), ("d", None)]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id string, text string, class_id int")
+    got = {x.doc_id: (x.class_id, x.class_size) for x in nd.labelled(docs).collect()}
+    assert got == {"a": ("a", 3), "b": ("a", 3), None: ("a", 3), "c": ("c", 1), "d": ("d", 1)}
+    kept = nd.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(x.doc_id for x in kept.collect()) == ["a", "c", "d"]
+
+
+def test_written_tables_are_deleted(spark):
+    import os
+
+    from hourwise.llm import near_dedup as nd
+    from hourwise.session import checkpoint_dir
+    folder = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "hourwise", "tables")
+    there = lambda: {x for x in os.listdir(folder) if x.startswith("near_")} if os.path.isdir(folder) else set()
+    r = rng(13)
+    base = prose(r, 80)
+    docs = spark.createDataFrame([(i, base + f" w{i % 4}") for i in range(30)] + [(99, prose(r, 50))], "doc_id long, text string")
+    before = there()
+    assert nd.labelled(docs).filter("class_size > 1").count() == 30
+    assert {x.rsplit("-", 1)[0] for x in there() - before} == {"near_classes"}
