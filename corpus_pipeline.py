@@ -1,14 +1,14 @@
 """Training-data pipeline: language ID, line dedup, near-duplicate removal, decontamination, mixing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes every stage's rows as
-Parquet below ``spark.checkpoint.dir`` and reads them again as the next stage's documents.
+Parquet below ``spark.checkpoint.dir``, reads them again as the next stage's documents and deletes them once that stage is written.
 """
 
 from __future__ import annotations
 
 from hourwise.llm import decontaminate, language_id, line_dedup, mixing, near_dedup
 from hourwise.llm.common import table
-from hourwise.session import materialize
+from hourwise.session import discard, materialize
 
 
 def language(spark, docs, sf_dir):
@@ -46,7 +46,9 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        discard(*before)  # the rows that this stage has read
+        before = [docs]
     return docs
