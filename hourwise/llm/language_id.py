@@ -25,14 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourwise.llm.common import travels
+from hourwise.llm.common import fresh_join, travels
 from hourwise.llm.text import folded_pieces, texts_of
+from hourwise.session import discard, materialize
 
 travels(__name__)
 
 #: Documents that training reads for each language.
 TRAIN_DOCS = 5000
 GRAMS = 1 << 16
+#: Languages up to which their table (some dozen bytes each) is broadcast.
+BROADCAST_LANGUAGES = 100_000
 SMOOTHING = 0.5
 #: Likelihood that any word has besides, relative to its best language: odd words decide nothing.
 ODD_WORD = 1e-4
@@ -89,11 +92,15 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[str], np.
     """Languages and the log-frequency of every gram, from (doc_id, text, lang) not held out."""
     d = docs.select("doc_id", "text", "lang").filter(~held_out(docs) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     # a document is read if its hash is under its language's share
-    share = d.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(train_docs)) / F.count(F.lit(1))).alias("share"))
+    share = materialize(d.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(train_docs)) / F.count(F.lit(1))).alias("share")),
+                        "language_shares")
+    # a row for each language: texts are not shuffled unless there are very many
+    known = d.join(F.broadcast(share), "lang") if share.count() <= BROADCAST_LANGUAGES else fresh_join(d, share, ["lang"])
     at = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
-    n = (d.join(share, "lang").filter(at < F.col("share")).select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
+    n = (known.filter(at < F.col("share")).select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
          .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     found = n.toPandas()  # at most one row for each language and gram
+    discard(share)
     langs = sorted(set(found["lang"]))
     table = np.full((GRAMS, len(langs)), SMOOTHING, dtype=np.float32)
     places = {lang: k for k, lang in enumerate(langs)}
