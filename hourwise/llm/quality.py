@@ -5,8 +5,9 @@ words (n-grams of the pattern of words), hashed to ``GRAMS`` numbers. Each indic
 log-count ratio, the scaled vector is brought to length 1, and a linear hinge-loss model is fitted by dual
 coordinate descent. The descent runs on blocks of rows in parallel: in each round every block improves its own dual
 variables against the shared weights, and the changes of all blocks are added up (the quadratic term is scaled by the
-number of blocks, so that adding is safe). Platt's sigmoid, fitted on rows that the descent did not see, turns the
-margin into a score.
+number of blocks, so that adding is safe). Platt's sigmoid turns the margin into a score; it is fitted on the margins that each row
+has under a model that did not see it: besides the model of all rows there is one for each of ``FOLDS`` parts left out, and all are
+fitted in the same jobs.
 
 Bounds: training reads at most about ``per_label`` rows a label, chosen by a hash of (doc_id, text) of the labelled rows;
 the sigmoid weighs them back to the shares of all labelled rows. The model is ``GRAMS`` numbers. All documents are
@@ -41,8 +42,8 @@ BITS = 18
 GRAMS = 1 << BITS
 SMOOTHING, COST = 1.0, 10.0
 BLOCKS, ROUNDS, EPOCHS = 4, 6, 4
-#: One row in so many fits the sigmoid, not the weights.
-CALIBRATE = 5
+#: Parts of the rows that are left out in turn for the sigmoid.
+FOLDS = 3
 THRESHOLD = 0.3
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _PAD = b" "
@@ -95,18 +96,24 @@ def _features(batches):
     for batch in batches:
         grams = [grams_of(raw) for raw in texts_of(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), batch.column("y"), batch.column("own"), pa.array(grams, pa.list_(pa.int32()))],
-            names=["row", "y", "own", "grams"])
+            [batch.column("row"), batch.column("y"), batch.column("fold"), pa.array(grams, pa.list_(pa.int32()))],
+            names=["row", "y", "fold", "grams"])
 
 
 def _count(batches):
-    counts = np.zeros((2, GRAMS), dtype=np.int64)
+    counts = np.zeros((FOLDS, 2, GRAMS), dtype=np.int32)
     for batch in batches:
-        for y, grams in zip(batch.column("y").to_pylist(), batch.column("grams")):
-            counts[y, grams.values.to_numpy()] += 1
-    at = np.flatnonzero(counts.sum(axis=0))
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[0, at]), pa.array(counts[1, at])],
-                                     names=["gram", "n0", "n1"])
+        for y, fold, grams in zip(batch.column("y").to_pylist(), batch.column("fold").to_pylist(), batch.column("grams")):
+            counts[fold, y, grams.values.to_numpy()] += 1
+    fold, at = np.nonzero(counts.sum(axis=1))
+    yield pa.RecordBatch.from_arrays([pa.array(fold, pa.int32()), pa.array(at, pa.int64()), pa.array(counts[fold, 0, at], pa.int64()),
+                                      pa.array(counts[fold, 1, at], pa.int64())], names=["fold", "gram", "n0", "n1"])
+
+
+def log_ratio(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """Log-count ratio of every gram."""
+    p0, p1 = n0 + SMOOTHING, n1 + SMOOTHING
+    return np.log(p1 / p1.sum()) - np.log(p0 / p0.sum())
 
 
 def scaled(grams: np.ndarray, ratio: np.ndarray) -> np.ndarray:
@@ -140,11 +147,12 @@ def descend(rows, weights: np.ndarray, ratio: np.ndarray, duals: dict[int, float
 
 def _round(shared, blocks: int, epochs: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        weights, ratio, duals, cost = shared.value
+        model = int(pdf["model"].iloc[0])
+        weights, ratio, duals, cost = (x[model] for x in shared.value)
         rows = [(int(r), int(y), np.asarray(g)) for r, y, g in zip(pdf["row"], pdf["y"], pdf["grams"])]
         change, new = descend(rows, weights, ratio, duals, cost, blocks, epochs)
         at = np.flatnonzero(change)
-        return pd.DataFrame({"kind": np.r_[np.zeros(len(at), np.int32), np.ones(len(new), np.int32)],
+        return pd.DataFrame({"model": model, "kind": np.r_[np.zeros(len(at), np.int32), np.ones(len(new), np.int32)],
                              "at": np.r_[at, np.fromiter(new, np.int64, len(new))],
                              "value": np.r_[change[at], np.fromiter(new.values(), float, len(new))]})
     return run
@@ -152,9 +160,9 @@ def _round(shared, blocks: int, epochs: int):
 
 def _margins(shared):
     def run(batches):
-        weights = shared.value
+        weights, ratio = shared.value
         for batch in batches:
-            m = [margin(g.values.to_numpy(), *weights) for g in batch.column("grams")]
+            m = [margin(g.values.to_numpy(), weights[k], ratio[k]) for k, g in zip(batch.column("fold").to_pylist(), batch.column("grams"))]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(m, pa.float64())], names=["y", "margin"])
     return run
 
@@ -197,36 +205,41 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL):
     d = docs.select("doc_id", "text").withColumn("at", at(1)).filter(F.col("at") < max(share.values()))
     picked = (d.join(known, "doc_id").filter(F.col("at") < F.when(F.col("y") == 0, share[0]).otherwise(share[1]))
               .groupBy("doc_id", "y", F.xxhash64("text").alias("same")).agg(F.first("text").alias("text")))
-    rows = picked.select(F.xxhash64("doc_id", "y", "same").alias("row"), "y",
-                         (at(2) * CALIBRATE >= 1).alias("own"), "text")
-    x = materialize(rows.mapInArrow(_features, "row long, y int, own boolean, grams array<int>"), "quality_rows")
-    sums = x.filter("own").mapInArrow(_count, "gram long, n0 long, n1 long").groupBy("gram").agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()  # a row for each gram at most
-    counts = np.full((2, GRAMS), SMOOTHING)
-    counts[0, sums["gram"]] += sums["n0"]
-    counts[1, sums["gram"]] += sums["n1"]
-    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    rows = picked.select(F.xxhash64("doc_id", "y", "same").alias("row"), "y", F.floor(at(2) * FOLDS).cast("int").alias("fold"), "text")
+    x = materialize(rows.mapInArrow(_features, "row long, y int, fold int, grams array<int>"), "quality_rows")
+    # model k leaves part k out, the last one none; a row for each part and gram at most comes back
+    sums = x.mapInArrow(_count, "fold int, gram long, n0 long, n1 long").groupBy("fold", "gram").agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
+    counts = np.zeros((FOLDS + 1, 2, GRAMS))
+    counts[sums["fold"], 0, sums["gram"]], counts[sums["fold"], 1, sums["gram"]] = sums["n0"], sums["n1"]
+    counts[:FOLDS], counts[FOLDS] = counts[:FOLDS].sum(axis=0) - counts[:FOLDS], counts[:FOLDS].sum(axis=0)
+    ratio = [log_ratio(*c) for c in counts]
     # the bounds of the dual variables give both labels the same say
-    n = {r.y: r.n for r in x.filter("own").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cost = {y: COST * sum(n.values()) / (2 * max(1, n.get(y, 0))) for y in (0, 1)}
-    weights, duals = np.zeros(GRAMS + 1), {}
+    n = np.zeros((FOLDS + 1, 2))
+    for r in x.groupBy("fold", "y").agg(F.count(F.lit(1)).alias("n")).collect():
+        n[[k for k in range(FOLDS + 1) if k != r.fold], r.y] += r.n
+    cost = [{y: COST * own.sum() / (2 * max(1, own[y])) for y in (0, 1)} for own in n]
+    weights, duals = [np.zeros(GRAMS + 1) for _ in n], [{} for _ in n]
     sc = docs.sparkSession.sparkContext
-    blocks = x.filter("own").withColumn("block", F.pmod(F.col("row"), F.lit(BLOCKS)))
+    models = F.explode(F.sequence(F.lit(0), F.lit(FOLDS)))
+    blocks = x.withColumn("model", models).filter("model != fold").withColumn("block", F.pmod(F.col("row"), F.lit(BLOCKS)))
     for _ in range(ROUNDS):
         shared = sc.broadcast((weights, ratio, duals, cost))
-        out = (blocks.groupBy("block").applyInPandas(_round(shared, BLOCKS, EPOCHS), "kind int, at long, value double")
-               .groupBy("kind", "at").agg(F.sum("value").alias("value")).toPandas())
-        changes, new = out[out["kind"] == 0], out[out["kind"] == 1]
-        weights[changes["at"].to_numpy()] += changes["value"].to_numpy()
-        duals = dict(zip(new["at"].to_numpy().tolist(), new["value"].to_numpy().tolist()))
+        out = (blocks.groupBy("model", "block").applyInPandas(_round(shared, BLOCKS, EPOCHS), "model int, kind int, at long, value double")
+               .groupBy("model", "kind", "at").agg(F.sum("value").alias("value")).toPandas())
+        for (model, kind), own in out.groupby(["model", "kind"]):
+            if kind == 0:
+                weights[model][own["at"].to_numpy()] += own["value"].to_numpy()
+            else:
+                duals[model] = dict(zip(own["at"].to_numpy().tolist(), own["value"].to_numpy().tolist()))
         shared.unpersist()
     shared = sc.broadcast((weights, ratio))
-    seen = x.filter("not own").mapInArrow(_margins(shared), "y int, margin double").toPandas()
+    seen = x.mapInArrow(_margins(shared), "y int, margin double").toPandas()  # two numbers for each row of the sample
     discard(x)
     y = seen["y"].to_numpy(dtype=float)
     own = {k: max(1, int((y == k).sum())) for k in (0, 1)}
     weight = np.where(y == 1, sizes[1] / own[1], sizes[0] / own[0]) * (len(y) / sum(sizes.values()))
-    return (weights, ratio, *platt(seen["margin"].to_numpy(), y, weight))
+    return (weights[FOLDS], ratio[FOLDS], *platt(seen["margin"].to_numpy(), y, weight))
 
 
 def scored(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, threshold: float = THRESHOLD) -> DataFrame:

@@ -37,7 +37,7 @@ def test_descent_reaches_the_optimum():
     rows = [(i, int(y), np.sort(rng.choice(40, 8, replace=False) + 20 * int(y)).astype(np.int64)) for i, y in enumerate(rng.random(200) < 0.6)]
     ratio, cost = rng.normal(size=quality.GRAMS), {0: 0.7, 1: 0.4}
     weights, duals = np.zeros(quality.GRAMS + 1), {}
-    for _ in range(150):
+    for _ in range(600):
         new, total = {}, np.zeros_like(weights)
         for b in range(3):
             change, own = quality.descend([r for r in rows if r[0] % 3 == b], weights, ratio, duals, cost, 3, 3)
