@@ -16,12 +16,14 @@ from hourwise.plans import oracle as O
 from hourwise.plans.catalog import (CAND_DOUBLES, DAILY_DOUBLES, INC_DOUBLES, SPEC, _sql, candidates, hourly, query, readings,
                                     reports)
 from hourwise.plans.catalog_alerts import GRACE_S, _rsql, definitions, state_log, ticks
-from hourwise.plans.catalog_sources import scratch
+from hourwise.plans.catalog_sources import _LINES_SQL, scratch, write_line_files
 from hourwise.plans.catalog_streaming import _FINAL, events_source
 from hourwise.plans.incremental import Marts, changed_days
 from hourwise.plans.refresh import ObservedCounts
+from hourwise.plans.views import register_views
 from hourwise.session import materialize
 from hourwise.sources.buckets import BucketTable
+from hourwise.sources.ranges import range_digests
 from hourwise.sources.readings import LOGGED_SQL, READINGS_SQL, load_table, logged_reports
 from hourwise.spec import REVIEW_PRESSURE
 from hourwise.streaming.dedup import balance, deduplicated, split_late
@@ -39,7 +41,7 @@ def _later():
 
 
 def refreshed(spark, d, keys=()):
-    """A mart folder built without the late rows, and refreshed once they are there; (marts, file lists before, rewritten)."""
+    """A mart folder built without the late rows, and a function that refreshes it once they are there."""
     m, rd, rep = Marts(spark, scratch(spark, "marts"), SPEC, list(keys)), readings(spark, d), reports(spark)
     m.build(rd.filter(~_later()), rep)
     return m, lambda: m.refresh(rd, rep, changed_days(rd.filter(_later())))
@@ -91,10 +93,8 @@ def q_incremental_days(spark, d):
     refresh()
     out = None
     for n in names:
-        after = _files(m, n).withColumn("there", F.lit(True))
-        old = before[n].groupBy("day").agg(F.lit(True).alias("was"))
-        kept = after.join(before[n].withColumn("kept", F.lit(True)), ["day", "file"], "left")
-        days = kept.groupBy("day").agg((~F.bool_and(F.coalesce("kept", F.lit(False)))).alias("rewritten")).join(old, "day", "left")
+        kept = _files(m, n).join(before[n].withColumn("kept", F.lit(True)), ["day", "file"], "left")
+        days = kept.groupBy("day").agg((~F.bool_and(F.coalesce("kept", F.lit(False)))).alias("rewritten"))
         days = days.select(F.lit(n).alias("mart"), "day", "rewritten")
         out = days if out is None else out.unionByName(days)
     return out
@@ -331,3 +331,35 @@ def q_stream_dedup_balance(spark, d):
         q = deduplicated(spark, root, rd.schema, ["source_row"], "observed_at", kept, posixpath.join(root, "_dedup"), DELAY_S)
         q.awaitTermination()
     return balance(spark, root, kept, rd.schema)
+
+
+# ---------------------------------------------------------------- logical views
+
+@query("sql_views", _sql(O.chain(upto="all"), """
+SELECT i.hour_ts, i.candidate_status, d.readings AS day_readings, n.incident_id
+FROM investigation i JOIN daily d ON d.reading_date = CAST(i.hour_ts AS DATE)
+LEFT JOIN incidents n ON i.hour_ts >= n.starts_at AND i.hour_ts < n.ends_at"""))
+def q_sql_views(spark, d):
+    """Spark SQL over the logical views: hours with their day's readings and the incident they belong to."""
+    register_views(spark, readings(spark, d), reports(spark), SPEC)
+    return spark.sql("""
+        SELECT h.hour_ts, h.candidate_status, m.readings AS day_readings, i.incident_id
+        FROM mart_hourly_investigation h JOIN mart_daily m ON m.reading_date = to_date(h.hour_ts)
+        LEFT JOIN (SELECT incident_id, explode(sequence(starts_at, ends_at - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS hour_ts FROM mart_incidents) i
+          ON i.hour_ts = h.hour_ts""")
+
+
+# ---------------------------------------------------------------- digests by byte ranges
+
+RANGE = 10_000
+
+
+@query("range_digests", _sql([READINGS_SQL, _LINES_SQL], f"""
+SELECT file, bytes, 'tree-' || sha256(string_agg(sha256(substr(body, k * {RANGE} + 1, {RANGE})), '' ORDER BY k)) AS sha256
+FROM (SELECT *, unnest(range(0, greatest(1, CAST(ceil(bytes / {RANGE}) AS BIGINT)))) AS k
+      FROM (SELECT file, string_agg(line || chr(10), '' ORDER BY source_row) AS body, CAST(SUM(strlen(line) + 1) AS BIGINT) AS bytes
+            FROM lines GROUP BY file) f) r GROUP BY file, bytes"""))
+def q_range_digests(spark, d):
+    """Digests of generated files of readings by byte ranges, one rule for files of any size."""
+    x = range_digests(spark, write_line_files(spark, d), "part-*", RANGE)
+    return x.select(F.regexp_extract("path", r"file=(\d+)", 1).cast("int").alias("file"), "bytes", "sha256")

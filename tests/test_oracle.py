@@ -8,7 +8,10 @@ SF = "/root/testdata/sf0.01"  # has incidents; smaller tables have none
 NAMES = ["hourly_mart", "daily_mart", "investigation", "incidents_by_asset", "report_review", "audit_cadence",
          "window_vs_join_mismatch", "period_kpis", "k12_hourly_share_baseline", "alert_state_log", "validate_rows",
          "upsert_reports", "data_quality", "incidents", "k13_incident_queue", "stream_alert_state_log",
-         "stream_hourly_mart_by_asset", "audit_largest_gaps", "report_context", "daily_trend_dense"]
+         "stream_hourly_mart_by_asset", "audit_largest_gaps", "report_context", "daily_trend_dense",
+         "incremental_days", "incremental_incidents", "observed_counts", "asof_last_report", "asof_last_success", "sketch_days",
+         "dyadic_overlap_flag", "dyadic_report_review", "dyadic_report_context", "stream_session_incidents", "stream_alert_timers",
+         "stream_dedup_balance", "audit_reconciliation", "audit_integrity", "independent_recheck"]
 
 
 def _norm(v):
