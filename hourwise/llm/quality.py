@@ -5,7 +5,7 @@ words (n-grams of the pattern of words), hashed to ``GRAMS`` numbers. Each indic
 log-count ratio, the scaled vector is brought to length 1, and a linear hinge-loss model is fitted by dual
 coordinate descent. The descent runs on blocks of rows in parallel: in each round every block improves its own dual
 variables against the shared weights, and the changes of all blocks are added up (the quadratic term is scaled by the
-number of blocks, so that adding is safe). Platt's sigmoid turns the margin into a score; it is fitted on the margins that each row
+number of blocks, so that adding is safe). Rows are dealt to their blocks once and kept there; a round shuffles changes only. Platt's sigmoid turns the margin into a score; it is fitted on the margins that each row
 has under a model that did not see it: besides the model of all rows there is one for each of ``FOLDS`` parts left out, and all are
 fitted in the same jobs.
 
@@ -42,6 +42,8 @@ BITS = 18
 GRAMS = 1 << BITS
 SMOOTHING, COST = 1.0, 10.0
 BLOCKS, ROUNDS, EPOCHS = 4, 6, 4
+#: Partitions that the blocks are dealt to; in 5 the hashes of 4 blocks are all apart (two in one only cost time).
+PARTITIONS = 5
 #: Parts of the rows that are left out in turn for the sigmoid.
 FOLDS = 3
 THRESHOLD = 0.3
@@ -147,17 +149,25 @@ def descend(rows, weights: np.ndarray, ratio: np.ndarray, duals: dict[int, float
 
 def _round(shared, blocks: int, epochs: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        model = int(pdf["model"].iloc[0])
-        weights, ratio, duals, cost = (x[model] for x in shared.value)
         rows = [(int(r), int(y), np.asarray(g)) for r, y, g in zip(pdf["row"], pdf["y"], pdf["grams"])]
-        change, new = descend(rows, weights, ratio, duals, cost, blocks, epochs)
-        at = np.flatnonzero(change)
-        return pd.DataFrame({"model": model, "kind": np.r_[np.zeros(len(at), np.int32), np.ones(len(new), np.int32)],
-                             "at": np.r_[at, np.fromiter(new, np.int64, len(new))],
-                             "value": np.r_[change[at], np.fromiter(new.values(), float, len(new))]})
+        found = []
+        for model, (weights, ratio, duals, cost) in enumerate(zip(*shared.value)):
+            if not (own := [r for r, fold in zip(rows, pdf["fold"]) if fold != model]):
+                continue
+            change, new = descend(own, weights, ratio, duals, cost, blocks, epochs)
+            at = np.flatnonzero(change)
+            found.append(pd.DataFrame({"model": model, "kind": np.r_[np.zeros(len(at), np.int32), np.ones(len(new), np.int32)],
+                                       "at": np.r_[at, np.fromiter(new, np.int64, len(new))],
+                                       "value": np.r_[change[at], np.fromiter(new.values(), float, len(new))]}))
+        return pd.concat(found)
     return run
 
 
+def dealt(x: DataFrame) -> DataFrame:
+    """``x`` with the block of each row, kept by block, so that groups by block need no shuffle."""
+    return x.withColumn("block", F.pmod(F.col("row"), F.lit(BLOCKS))).repartition(PARTITIONS, "block").persist()
+
+
 def _margins(shared):
     def run(batches):
         weights, ratio = shared.value
@@ -202,11 +212,15 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL):
     share = {y: min(1.0, per_label / n) for y, n in sizes.items()}
     one = float(1 << 30)
     at = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 30)) / one
-    d = docs.select("doc_id", "text").withColumn("at", at(1)).filter(F.col("at") < max(share.values()))
+    same = F.xxhash64("text").alias("same")
+    d = docs.select("doc_id", same, at(1).alias("at"), F.floor(at(2) * FOLDS).cast("int").alias("fold")).filter(F.col("at") < max(share.values()))
     picked = (d.join(known, "doc_id").filter(F.col("at") < F.when(F.col("y") == 0, share[0]).otherwise(share[1]))
-              .groupBy("doc_id", "y", F.xxhash64("text").alias("same")).agg(F.first("text").alias("text")))
-    rows = picked.select(F.xxhash64("doc_id", "y", "same").alias("row"), "y", F.floor(at(2) * FOLDS).cast("int").alias("fold"), "text")
-    x = materialize(rows.mapInArrow(_features, "row long, y int, fold int, grams array<int>"), "quality_rows")
+              .select("doc_id", "same", "y", "fold").distinct())
+    # ids and hashes of about per_label rows a label go to the texts, so that no text is shuffled
+    rows = (docs.select("doc_id", "text", same).join(F.broadcast(picked), ["doc_id", "same"])
+            .select(F.xxhash64("doc_id", "y", "same").alias("row"), "y", "fold", "text"))
+    x = materialize(rows.mapInArrow(_features, "row long, y int, fold int, grams array<int>")
+                    .groupBy("row").agg(*[F.first(c).alias(c) for c in ("y", "fold", "grams")]), "quality_rows")
     # model k leaves part k out, the last one none; a row for each part and gram at most comes back
     sums = x.mapInArrow(_count, "fold int, gram long, n0 long, n1 long").groupBy("fold", "gram").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
@@ -221,20 +235,21 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL):
     cost = [{y: COST * own.sum() / (2 * max(1, own[y])) for y in (0, 1)} for own in n]
     weights, duals = [np.zeros(GRAMS + 1) for _ in n], [{} for _ in n]
     sc = docs.sparkSession.sparkContext
-    models = F.explode(F.sequence(F.lit(0), F.lit(FOLDS)))
-    blocks = x.withColumn("model", models).filter("model != fold").withColumn("block", F.pmod(F.col("row"), F.lit(BLOCKS)))
+    blocks = dealt(x)
     for _ in range(ROUNDS):
         shared = sc.broadcast((weights, ratio, duals, cost))
-        out = (blocks.groupBy("model", "block").applyInPandas(_round(shared, BLOCKS, EPOCHS), "model int, kind int, at long, value double")
+        out = (blocks.groupBy("block").applyInPandas(_round(shared, BLOCKS, EPOCHS), "model int, kind int, at long, value double")
                .groupBy("model", "kind", "at").agg(F.sum("value").alias("value")).toPandas())
         for (model, kind), own in out.groupby(["model", "kind"]):
             if kind == 0:
                 weights[model][own["at"].to_numpy()] += own["value"].to_numpy()
             else:
                 duals[model] = dict(zip(own["at"].to_numpy().tolist(), own["value"].to_numpy().tolist()))
-        shared.unpersist()
+        shared.destroy()
+    blocks.unpersist()
     shared = sc.broadcast((weights, ratio))
     seen = x.mapInArrow(_margins(shared), "y int, margin double").toPandas()  # two numbers for each row of the sample
+    shared.destroy()
     discard(x)
     y = seen["y"].to_numpy(dtype=float)
     own = {k: max(1, int((y == k).sum())) for k in (0, 1)}

@@ -1,5 +1,10 @@
+import json
+import os
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 
@@ -96,3 +101,68 @@ def test_defined_cases(spark):
     one = quality.scored(docs, made.filter("quality = 0")).collect()
     assert {r.predicted for r in one} == {0} and len({r.score for r in one}) == 1
     assert quality.scored(docs.limit(0), made).count() == 0
+
+
+LEARN = """
+import sys
+from hourwise.llm import quality
+from hourwise.session import build_session
+from tests.llm.test_quality import LABEL, ROWS
+from tests.llm.helpers import documents
+case, log = sys.argv[1:]
+spark = build_session("local[2]", 8, extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log, "spark.eventLog.compress": "false",
+    "spark.eventLog.rolling.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"})  # joins as with tables of any size
+rows, labels, per_label, quality.ROUNDS = ROWS[case]()
+quality.learn(documents(spark, rows), spark.createDataFrame(labels, LABEL), per_label)
+spark.stop()
+"""
+
+
+def even():
+    rng = random.Random(6)
+    rows = [(i, prose(rng, 300, 100) + (" !!" if i % 2 else "")) for i in range(2000)]
+    return rows, [(i, i % 2, 0) for i, _ in rows], quality.PER_LABEL, 6
+
+
+def rare():
+    """With a rare label, the hash alone leaves out hardly a document."""
+    rng = random.Random(7)
+    rows = [(i, prose(rng, 500, 100)) for i in range(3000)]
+    return rows, [(i, int(i % 100 > 0), 0) for i, _ in rows], 20, 1
+
+
+ROWS = {"even": even, "rare": rare}
+
+
+def shuffled(case, folder):
+    """Bytes that learning writes to shuffles, by Spark's event log."""
+    root = str(Path(__file__).parents[2])
+    subprocess.run([sys.executable, "-c", LEARN, case, f"file://{folder}"], check=True, cwd=root, timeout=600,
+                   env=os.environ | {"PYTHONPATH": root, "HOURWISE_DRIVER_MEMORY": "1g"})
+    events = [json.loads(line) for f in folder.iterdir() if f.is_file() and not f.name.startswith(".") for line in f.open()]
+    return sum(e["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"] for e in events if e["Event"] == "SparkListenerTaskEnd")
+
+
+def test_rounds_shuffle_changes_only(tmp_path):
+    rows = even()[0]
+    grams = sum(4 * len(quality.grams_of(t.encode())) for i, t in rows if zlib.crc32(str(i).encode()) % 5)
+    assert 0 < shuffled("even", tmp_path) < 2 * grams
+
+
+def test_texts_are_not_shuffled_to_choose_rows(tmp_path):
+    assert 0 < shuffled("rare", tmp_path) < sum(len(t) for _, t in rare()[0]) / 5
+
+
+def test_rows_to_learn_from(spark, monkeypatch):
+    """Each labelled (doc_id, text) once, with its label, grams and one part; documents of both labels once for each."""
+    seen, stored = [], quality.materialize
+    monkeypatch.setattr(quality, "materialize", lambda df, name: (seen.append(stored(df, name)), seen[-1])[1])
+    monkeypatch.setattr(quality, "discard", lambda *dfs: None)
+    rows = [(i, f"text {i} " + "ab" * (i % 7)) for i in range(200)] + [(i, "another") for i in range(50)] + [(i, None) for i in range(3)]
+    labels = [(i, i % 2, 0) for i in range(180)] + [(8, 1, 0), (9, 1, 0)]
+    quality.learn(documents(spark, rows * 3), spark.createDataFrame(labels, LABEL))
+    got = seen[0].collect()
+    known = {(i, y) for i, y, _ in labels if zlib.crc32(str(i).encode()) % 5}
+    want = sorted((y, quality.grams_of(t.encode() if t is not None else None).tolist()) for i, t in rows for j, y in known if i == j)
+    assert sorted((r.y, r.grams) for r in got) == want and len({r.row for r in got}) == len(got)
+    assert {r.fold for r in got} == set(range(quality.FOLDS))
